@@ -27,6 +27,16 @@ def _dbl(v: float) -> Column:
     return F.lit(float(v)).cast("double")
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``body(v)`` with ``v`` bound to ``value`` once.
+
+    Column expressions are trees, so a sub-expression used twice is built
+    (and analysed) twice; nesting multiplies that. Binding through a
+    one-element ``transform`` keeps every heavy sub-expression single.
+    """
+    return F.element_at(F.transform(F.array(value), body), F.lit(1))
+
+
 # ---------------------------------------------------------------- construction
 
 
@@ -36,9 +46,11 @@ def vertex(x, y) -> Column:
 
 def point(x, y) -> Column:
     """Point geometry from two numeric columns; NULL when a coordinate is NULL."""
-    v = vertex(x, y)
-    geom = F.struct(F.lit("Point").alias("kind"), F.array(F.array(F.array(v))).alias("parts"))
-    return F.when(_c(x).isNotNull() & _c(y).isNotNull(), geom)
+    def build(v):
+        geom = F.struct(F.lit("Point").alias("kind"), F.array(F.array(F.array(v))).alias("parts"))
+        return F.when(v.getField("x").isNotNull() & v.getField("y").isNotNull(), geom)
+
+    return let(vertex(x, y), build)
 
 
 def polygon(shell: Column, holes: Column | None = None) -> Column:
@@ -47,25 +59,22 @@ def polygon(shell: Column, holes: Column | None = None) -> Column:
     return F.struct(F.lit("Polygon").alias("kind"), F.array(rings).alias("parts"))
 
 
-def geometry_from_vertices(vertices) -> Column:
-    """Way geometry from its ordered vertex array (array<struct<x, y>>).
+def geometry_from_vertices(vertices: str) -> Column:
+    """Way geometry from its ordered vertex array column (array<struct<x, y>>).
 
     1 vertex -> Point; >= 4 vertices with first == last -> Polygon; otherwise
     LineString (so a closed 3-vertex way stays a LineString). An empty list
     raises, as there is no geometry for it.
     """
-    v = _c(vertices)
-    n = F.size(v)
-    first = F.element_at(v, 1)
-    last = F.element_at(v, -1)
-    closed = (first.getField("x") == last.getField("x")) & (first.getField("y") == last.getField("y"))
     kind = (
-        F.when(n == 1, F.lit("Point"))
-        .when((n >= 4) & closed, F.lit("Polygon"))
-        .when(n >= 2, F.lit("LineString"))
-        .otherwise(F.raise_error(F.lit("Provide at least one point as input")))
+        "CASE WHEN size(_vv) = 1 THEN 'Point' "
+        "WHEN size(_vv) >= 4 AND try_element_at(_vv, 1).x = try_element_at(_vv, -1).x "
+        "AND try_element_at(_vv, 1).y = try_element_at(_vv, -1).y THEN 'Polygon' "
+        "WHEN size(_vv) >= 2 THEN 'LineString' "
+        "ELSE raise_error('Provide at least one point as input') END"
     )
-    return F.when(v.isNotNull(), F.struct(kind.alias("kind"), F.array(F.array(v)).alias("parts")))
+    body = f"CASE WHEN _vv IS NULL THEN NULL ELSE named_struct('kind', {kind}, 'parts', array(array(_vv))) END"
+    return F.expr(_let(vertices, "_vv", body))
 
 
 def geom_kind(g) -> Column:
@@ -74,21 +83,64 @@ def geom_kind(g) -> Column:
 
 def geom_x(g) -> Column:
     """x of a point geometry (first vertex of other kinds)."""
-    return F.element_at(F.element_at(F.element_at(_c(g).getField("parts"), 1), 1), 1).getField("x")
+    return _first_vertex(g).getField("x")
 
 
 def geom_y(g) -> Column:
-    return F.element_at(F.element_at(F.element_at(_c(g).getField("parts"), 1), 1), 1).getField("y")
+    return _first_vertex(g).getField("y")
+
+
+def _first_vertex(g) -> Column:
+    one = F.lit(1)
+    return F.try_element_at(F.try_element_at(F.try_element_at(_c(g).getField("parts"), one), one), one)
 
 
 # ---------------------------------------------------------------- decomposition
+#
+# Heavy per-row functions are written as Spark SQL text: one ``F.expr`` call
+# builds the whole expression JVM-side, where building it Column by Column
+# would cost thousands of driver round-trips. Arguments are column names
+# (or SQL expressions) of geometry values.
+
+
+def _let(value: str, var: str, body: str) -> str:
+    return f"element_at(transform(array({value}), {var} -> {body}), 1)"
+
+
+def rings_sql(g: str) -> str:
+    return f"flatten(transform({g}.parts, _rp -> transform(_rp, (_rr, _ri) -> named_struct('hole', _ri > 0, 'ring', _rr))))"
+
+
+def vertices_sql(g: str) -> str:
+    return f"flatten(flatten({g}.parts))"
+
+
+def pairs_sql(arr: str) -> str:
+    """Consecutive vertex pairs of a vertex array ``arr`` (a simple reference)."""
+    m = f"greatest(size({arr}) - 1, 0)"
+    return (
+        f"zip_with(slice({arr}, 1, {m}), slice({arr}, 2, {m}), "
+        "(_pu, _pv) -> named_struct('x1', _pu.x, 'y1', _pu.y, 'x2', _pv.x, 'y2', _pv.y))"
+    )
+
+
+def segments_sql(g: str) -> str:
+    """All segments of ``g``; a point yields one zero-length segment."""
+    return (
+        f"CASE WHEN {g}.kind = 'Point' THEN transform({vertices_sql(g)}, "
+        "_sw -> named_struct('x1', _sw.x, 'y1', _sw.y, 'x2', _sw.x, 'y2', _sw.y)) "
+        f"ELSE flatten(transform(flatten({g}.parts), _sr -> {pairs_sql('_sr')})) END"
+    )
 
 
 def rings(g) -> Column:
     """array<struct<hole boolean, ring array<vertex>>> of all parts."""
-    parts = _c(g).getField("parts")
+    return F.expr(rings_sql(g)) if isinstance(g, str) else _rings_col(g)
+
+
+def _rings_col(geom: Column) -> Column:
     per_part = F.transform(
-        parts, lambda p: F.transform(p, lambda r, i: F.struct((i > 0).alias("hole"), r.alias("ring")))
+        geom.getField("parts"), lambda p: F.transform(p, lambda r, i: F.struct((i > 0).alias("hole"), r.alias("ring")))
     )
     return F.flatten(per_part)
 
@@ -98,39 +150,13 @@ def vertices(g) -> Column:
     return F.flatten(F.flatten(_c(g).getField("parts")))
 
 
-def _pairs(arr: Column) -> Column:
-    """Consecutive vertex pairs of one ring/line as segments {x1, y1, x2, y2}."""
-    n = F.size(arr)
-    a = F.slice(arr, 1, F.greatest(n - 1, F.lit(0)))
-    b = F.slice(arr, 2, F.greatest(n - 1, F.lit(0)))
-    zipped = F.zip_with(
-        a,
-        b,
-        lambda p, q: F.struct(
-            p.getField("x").alias("x1"),
-            p.getField("y").alias("y1"),
-            q.getField("x").alias("x2"),
-            q.getField("y").alias("y2"),
-        ),
-    )
-    return F.when(n >= 2, zipped).otherwise(F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>"))
+def _pairs(arr: str) -> Column:
+    """Consecutive vertex pairs of a vertex-array column as segments {x1, y1, x2, y2}."""
+    return F.expr(pairs_sql(arr))
 
 
-def segments(g) -> Column:
-    """All segments of a geometry; a point yields one zero-length segment."""
-    geom = _c(g)
-    pts = vertices(geom)
-    segs = F.flatten(F.transform(rings(geom), lambda r: _pairs(r.getField("ring"))))
-    degenerate = F.transform(
-        F.slice(pts, 1, 1),
-        lambda p: F.struct(
-            p.getField("x").alias("x1"),
-            p.getField("y").alias("y1"),
-            p.getField("x").alias("x2"),
-            p.getField("y").alias("y2"),
-        ),
-    )
-    return F.when(F.size(segs) > 0, segs).otherwise(degenerate)
+def segments(g: str) -> Column:
+    return F.expr(segments_sql(g))
 
 
 def transform_vertices(g, fn) -> Column:
@@ -141,205 +167,162 @@ def transform_vertices(g, fn) -> Column:
         nx, ny = fn(v.getField("x"), v.getField("y"))
         return F.struct(nx.alias("x"), ny.alias("y"))
 
-    parts = F.transform(
-        geom.getField("parts"), lambda p: F.transform(p, lambda r: F.transform(r, move))
-    )
+    parts = F.transform(geom.getField("parts"), lambda p: F.transform(p, lambda r: F.transform(r, move)))
     return F.when(geom.isNotNull(), F.struct(geom.getField("kind").alias("kind"), parts.alias("parts")))
 
 
-def bbox(g) -> Column:
-    """{minx, miny, maxx, maxy} of a geometry."""
-    pts = vertices(_c(g))
-    xs = F.transform(pts, lambda p: p.getField("x"))
-    ys = F.transform(pts, lambda p: p.getField("y"))
-    return F.struct(
-        F.array_min(xs).alias("minx"),
-        F.array_min(ys).alias("miny"),
-        F.array_max(xs).alias("maxx"),
-        F.array_max(ys).alias("maxy"),
+def bbox_sql(g: str) -> str:
+    body = (
+        "named_struct('minx', array_min(transform(_bv, _b1 -> _b1.x)), 'miny', array_min(transform(_bv, _b2 -> _b2.y)), "
+        "'maxx', array_max(transform(_bv, _b3 -> _b3.x)), 'maxy', array_max(transform(_bv, _b4 -> _b4.y)))"
     )
+    return _let(vertices_sql(g), "_bv", body)
+
+
+def bbox(g: str) -> Column:
+    """{minx, miny, maxx, maxy} of a geometry."""
+    return F.expr(bbox_sql(g))
 
 
 # ---------------------------------------------------------------- centroid
 
+_ZERO6 = "named_struct('a', 0D, 'mx', 0D, 'my', 0D, 'l', 0D, 'lx', 0D, 'ly', 0D)"
+_ZERO9 = "named_struct('a', 0D, 'mx', 0D, 'my', 0D, 'l', 0D, 'lx', 0D, 'ly', 0D, 'px', 0D, 'py', 0D, 'n', 0D)"
 
-def centroid(g) -> Column:
+
+def centroid_sql(g: str) -> str:
+    # segment relative to the base vertex _cb, with its absolute midpoint
+    rel = (
+        "zip_with(slice(_cr.ring, 1, greatest(size(_cr.ring) - 1, 0)), slice(_cr.ring, 2, greatest(size(_cr.ring) - 1, 0)), "
+        "(_cu, _cv) -> named_struct('x1', _cu.x - _cb.x, 'y1', _cu.y - _cb.y, 'x2', _cv.x - _cb.x, 'y2', _cv.y - _cb.y, "
+        "'mx', (_cu.x + _cv.x) / 2, 'my', (_cu.y + _cv.y) / 2))"
+    )
+    step_body = (
+        "named_struct('a', _ca.a + _ct.c, 'mx', _ca.mx + _ct.c * (_cs.x1 + _cs.x2), 'my', _ca.my + _ct.c * (_cs.y1 + _cs.y2), "
+        "'l', _ca.l + _ct.len, 'lx', _ca.lx + _ct.len * _cs.mx, 'ly', _ca.ly + _ct.len * _cs.my)"
+    )
+    step = "(_ca, _cs) -> " + _let(
+        "named_struct('c', _cs.x1 * _cs.y2 - _cs.x2 * _cs.y1, "
+        "'len', sqrt((_cs.x2 - _cs.x1) * (_cs.x2 - _cs.x1) + (_cs.y2 - _cs.y1) * (_cs.y2 - _cs.y1)))",
+        "_ct",
+        step_body,
+    )
+    sign = "(CASE WHEN _cr.hole THEN -1D ELSE 1D END) * signum(_cq.a)"
+    finish_ring = (
+        f"_cq -> named_struct('a', {sign} * _cq.a, 'mx', {sign} * _cq.mx, 'my', {sign} * _cq.my, "
+        "'l', _cq.l, 'lx', _cq.lx, 'ly', _cq.ly, 'px', try_element_at(_cr.ring, 1).x, 'py', try_element_at(_cr.ring, 1).y, 'n', 1D)"
+    )
+    per_ring = f"transform({rings_sql('_cg')}, _cr -> aggregate({rel}, {_ZERO6}, {step}, {finish_ring}))"
+    add = (
+        "(_cz, _cw) -> named_struct('a', _cz.a + _cw.a, 'mx', _cz.mx + _cw.mx, 'my', _cz.my + _cw.my, 'l', _cz.l + _cw.l, "
+        "'lx', _cz.lx + _cw.lx, 'ly', _cz.ly + _cw.ly, 'px', _cz.px + _cw.px, 'py', _cz.py + _cw.py, 'n', _cz.n + _cw.n)"
+    )
+    areal = "(_cg.kind IN ('Polygon', 'MultiPolygon') AND _cf.a != 0)"
+    finish = (
+        "_cf -> named_struct('kind', 'Point', 'parts', array(array(array(named_struct("
+        f"'x', CASE WHEN {areal} THEN _cb.x + _cf.mx / (3 * _cf.a) WHEN _cf.l > 0 THEN _cf.lx / _cf.l ELSE _cf.px / _cf.n END, "
+        f"'y', CASE WHEN {areal} THEN _cb.y + _cf.my / (3 * _cf.a) WHEN _cf.l > 0 THEN _cf.ly / _cf.l ELSE _cf.py / _cf.n END)))))"
+    )
+    body = _let(f"try_element_at({vertices_sql('_cg')}, 1)", "_cb", f"aggregate({per_ring}, {_ZERO9}, {add}, {finish})")
+    return _let(g, "_cg", f"CASE WHEN _cg IS NULL THEN NULL ELSE {body} END")
+
+
+def centroid(g: str) -> Column:
     """Centroid as a point geometry.
 
     Areal kinds: area-weighted (shells positive, holes negative, triangles
     taken from the first vertex); zero-area polygons and lines: length-weighted
     segment midpoints; otherwise the mean of the rings' first vertices.
     """
-    geom = _c(g)
-    first = F.element_at(vertices(geom), 1)
-    bx, by = first.getField("x"), first.getField("y")
-    zero = _dbl(0.0)
-
-    def ring_stats(r):
-        segs = _pairs(r.getField("ring"))
-        acc0 = F.struct(zero.alias("a"), zero.alias("mx"), zero.alias("my"), zero.alias("l"), zero.alias("lx"), zero.alias("ly"))
-
-        def step(acc, s):
-            x1, y1 = s.getField("x1") - bx, s.getField("y1") - by
-            x2, y2 = s.getField("x2") - bx, s.getField("y2") - by
-            cross = x1 * y2 - x2 * y1
-            seg_len = F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))
-            return F.struct(
-                (acc.getField("a") + cross).alias("a"),
-                (acc.getField("mx") + cross * (x1 + x2)).alias("mx"),
-                (acc.getField("my") + cross * (y1 + y2)).alias("my"),
-                (acc.getField("l") + seg_len).alias("l"),
-                (acc.getField("lx") + seg_len * (s.getField("x1") + s.getField("x2")) / 2).alias("lx"),
-                (acc.getField("ly") + seg_len * (s.getField("y1") + s.getField("y2")) / 2).alias("ly"),
-            )
-
-        st = F.aggregate(segs, acc0, step)
-        sign = F.when(r.getField("hole"), F.lit(-1.0)).otherwise(F.lit(1.0)) * F.signum(st.getField("a"))
-        head = F.element_at(r.getField("ring"), 1)
-        return F.struct(
-            (sign * st.getField("a")).alias("a"),
-            (sign * st.getField("mx")).alias("mx"),
-            (sign * st.getField("my")).alias("my"),
-            st.getField("l").alias("l"),
-            st.getField("lx").alias("lx"),
-            st.getField("ly").alias("ly"),
-            head.getField("x").alias("px"),
-            head.getField("y").alias("py"),
-        )
-
-    stats = F.transform(rings(geom), ring_stats)
-    tot0 = F.struct(*[zero.alias(k) for k in ("a", "mx", "my", "l", "lx", "ly", "px", "py")])
-
-    def add(acc, s):
-        return F.struct(*[(acc.getField(k) + s.getField(k)).alias(k) for k in ("a", "mx", "my", "l", "lx", "ly", "px", "py")])
-
-    t = F.aggregate(stats, tot0, add)
-    areal = geom_kind(geom).isin("Polygon", "MultiPolygon") & (t.getField("a") != 0)
-    n_rings = F.size(stats).cast("double")
-    cx = (
-        F.when(areal, bx + t.getField("mx") / (3 * t.getField("a")))
-        .when(t.getField("l") > 0, t.getField("lx") / t.getField("l"))
-        .otherwise(t.getField("px") / n_rings)
-    )
-    cy = (
-        F.when(areal, by + t.getField("my") / (3 * t.getField("a")))
-        .when(t.getField("l") > 0, t.getField("ly") / t.getField("l"))
-        .otherwise(t.getField("py") / n_rings)
-    )
-    return F.when(geom.isNotNull(), point(cx, cy))
+    return F.expr(centroid_sql(g))
 
 
 # ---------------------------------------------------------------- distance
 
+_START = "named_struct('d', CAST('Infinity' AS DOUBLE), 'x', CAST(NULL AS DOUBLE), 'y', CAST(NULL AS DOUBLE))"
+_NOHIT = "named_struct('d', CAST(NULL AS DOUBLE), 'x', CAST(NULL AS DOUBLE), 'y', CAST(NULL AS DOUBLE))"
+
+
+def _project_sql(p: str, s: str, tag: str) -> str:
+    """struct(d, x, y): nearest point on segment ``s`` to vertex ``p``."""
+    e, t = f"_e{tag}", f"_t{tag}"
+    len2 = f"({e}.dx * {e}.dx + {e}.dy * {e}.dy)"
+    tval = f"CASE WHEN {len2} > 0 THEN least(greatest((({p}.x - {s}.x1) * {e}.dx + ({p}.y - {s}.y1) * {e}.dy) / {len2}, 0D), 1D) ELSE 0D END"
+    qx, qy = f"({s}.x1 + {t} * {e}.dx)", f"({s}.y1 + {t} * {e}.dy)"
+    inner = f"named_struct('d', sqrt(({p}.x - {qx}) * ({p}.x - {qx}) + ({p}.y - {qy}) * ({p}.y - {qy})), 'x', {qx}, 'y', {qy})"
+    return _let(f"named_struct('dx', {s}.x2 - {s}.x1, 'dy', {s}.y2 - {s}.y1)", e, _let(tval, t, inner))
+
 
-def _project(px, py, s):
-    """Nearest point on segment s to (px, py): struct(d, x, y)."""
-    dx = s.getField("x2") - s.getField("x1")
-    dy = s.getField("y2") - s.getField("y1")
-    len2 = dx * dx + dy * dy
-    t = F.when(len2 > 0, ((px - s.getField("x1")) * dx + (py - s.getField("y1")) * dy) / len2).otherwise(0.0)
-    t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
-    qx = s.getField("x1") + t * dx
-    qy = s.getField("y1") + t * dy
-    d = F.sqrt((px - qx) * (px - qx) + (py - qy) * (py - qy))
-    return d, qx, qy
-
-
-def _orient(ax, ay, bx, by, cx, cy):
-    return F.signum((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
-
-
-def _crossing(s, t):
-    """struct(cross boolean, x, y) for a proper crossing of two segments."""
-    o1 = _orient(s.getField("x1"), s.getField("y1"), s.getField("x2"), s.getField("y2"), t.getField("x1"), t.getField("y1"))
-    o2 = _orient(s.getField("x1"), s.getField("y1"), s.getField("x2"), s.getField("y2"), t.getField("x2"), t.getField("y2"))
-    o3 = _orient(t.getField("x1"), t.getField("y1"), t.getField("x2"), t.getField("y2"), s.getField("x1"), s.getField("y1"))
-    o4 = _orient(t.getField("x1"), t.getField("y1"), t.getField("x2"), t.getField("y2"), s.getField("x2"), s.getField("y2"))
-    proper = (o1 * o2 < 0) & (o3 * o4 < 0)
-    rx, ry = s.getField("x2") - s.getField("x1"), s.getField("y2") - s.getField("y1")
-    qx, qy = t.getField("x2") - t.getField("x1"), t.getField("y2") - t.getField("y1")
-    den = rx * qy - ry * qx
-    u = ((t.getField("x1") - s.getField("x1")) * qy - (t.getField("y1") - s.getField("y1")) * qx) / den
-    return proper, s.getField("x1") + u * rx, s.getField("y1") + u * ry
-
-
-def _inside(px, py, segs: Column) -> Column:
-    """Even-odd test of (px, py) against the segments of an areal geometry."""
-    hits = F.filter(
-        segs,
-        lambda s: ((s.getField("y1") > py) != (s.getField("y2") > py))
-        & (
-            px
-            < (s.getField("x2") - s.getField("x1")) * (py - s.getField("y1")) / (s.getField("y2") - s.getField("y1"))
-            + s.getField("x1")
-        ),
+def _orient_sql(a: str, b: str, c: str) -> str:
+    (ax, ay), (bx, by), (cx, cy) = a, b, c
+    return f"signum(({bx} - {ax}) * ({cy} - {ay}) - ({by} - {ay}) * ({cx} - {ax}))"
+
+
+def _crossing_sql(s: str, t: str) -> str:
+    s1, s2, t1, t2 = (f"{s}.x1", f"{s}.y1"), (f"{s}.x2", f"{s}.y2"), (f"{t}.x1", f"{t}.y1"), (f"{t}.x2", f"{t}.y2")
+    proper = (
+        f"({_orient_sql(s1, s2, t1)} * {_orient_sql(s1, s2, t2)} < 0 AND "
+        f"{_orient_sql(t1, t2, s1)} * {_orient_sql(t1, t2, s2)} < 0)"
+    )
+    den = f"(({s}.x2 - {s}.x1) * ({t}.y2 - {t}.y1) - ({s}.y2 - {s}.y1) * ({t}.x2 - {t}.x1))"
+    u = f"((({t}.x1 - {s}.x1) * ({t}.y2 - {t}.y1) - ({t}.y1 - {s}.y1) * ({t}.x2 - {t}.x1)) / {den})"
+    return proper, f"({s}.x1 + {u} * ({s}.x2 - {s}.x1))", f"({s}.y1 + {u} * ({s}.y2 - {s}.y1))"
+
+
+def _inside_sql(p: str, segs: str) -> str:
+    return (
+        f"(size(filter({segs}, _iz -> ((_iz.y1 > {p}.y) != (_iz.y2 > {p}.y)) AND "
+        f"({p}.x < (_iz.x2 - _iz.x1) * ({p}.y - _iz.y1) / (_iz.y2 - _iz.y1) + _iz.x1))) % 2 = 1)"
+    )
+
+
+def closest_sql(g1: str, g2: str) -> str:
+    """SQL of struct(d, x, y): distance of two geometries and the point on g1 nearest g2."""
+    from_a = (
+        f"aggregate(_k.va, {_START}, (_m1, _pa) -> least(_m1, aggregate(_k.sb, {_START}, "
+        f"(_m2, _sb) -> least(_m2, named_struct('d', {_project_sql('_pa', '_sb', 'a')}.d, 'x', _pa.x, 'y', _pa.y)))))"
+    )
+    from_b = (
+        f"aggregate(_k.vb, {_START}, (_m3, _pb) -> least(_m3, aggregate(_k.sa, {_START}, "
+        f"(_m4, _sa) -> least(_m4, {_project_sql('_pb', '_sa', 'b')}))))"
+    )
+    proper, ix, iy = _crossing_sql("_s1", "_s2")
+    crossing = (
+        f"aggregate(_k.sa, {_NOHIT}, (_x1, _s1) -> aggregate(_k.sb, _x1, (_x2, _s2) -> "
+        f"CASE WHEN _x2.d IS NULL AND {proper} THEN named_struct('d', 0D, 'x', {ix}, 'y', {iy}) ELSE _x2 END))"
+    )
+    body = (
+        f"CASE WHEN _k.a.kind IN ('Polygon', 'MultiPolygon') AND {_inside_sql('_k.fb', '_k.sa')} "
+        "THEN named_struct('d', 0D, 'x', _k.fb.x, 'y', _k.fb.y) "
+        f"WHEN _k.b.kind IN ('Polygon', 'MultiPolygon') AND {_inside_sql('_k.fa', '_k.sb')} "
+        "THEN named_struct('d', 0D, 'x', _k.fa.x, 'y', _k.fa.y) "
+        f"ELSE {_let(crossing, '_cx', f'CASE WHEN _cx.d IS NOT NULL THEN _cx ELSE least({from_a}, {from_b}) END')} END"
+    )
+    bound = (
+        f"named_struct('a', _ga, 'b', _gb, 'sa', {segments_sql('_ga')}, 'sb', {segments_sql('_gb')}, "
+        f"'va', {vertices_sql('_ga')}, 'vb', {vertices_sql('_gb')}, "
+        f"'fa', try_element_at({vertices_sql('_ga')}, 1), 'fb', try_element_at({vertices_sql('_gb')}, 1))"
+    )
+    pair = f"named_struct('a', {g1}, 'b', {g2})"
+    return _let(
+        pair,
+        "_gp",
+        f"CASE WHEN _gp.a IS NULL OR _gp.b IS NULL THEN NULL ELSE "
+        + _let("_gp.a", "_ga", _let("_gp.b", "_gb", _let(bound, "_k", body)))
+        + " END",
     )
-    return (F.size(hits) % 2) == 1
 
 
-def closest_on_first(g1, g2) -> Column:
+def closest_on_first(g1: str, g2: str) -> Column:
     """struct(d, x, y): planar distance of two geometries and the point on g1 nearest g2.
 
     Touching, crossing or containment give distance 0. Cost is
     |g1| x |g2| vertex-segment tests, meant for way-sized geometries.
     """
-    a, b = _c(g1), _c(g2)
-    segs_a, segs_b = segments(a), segments(b)
-    verts_a, verts_b = vertices(a), vertices(b)
-    inf = _dbl(INF)
-    none = F.lit(None).cast("double")
-    start = F.struct(inf.alias("d"), none.alias("x"), none.alias("y"))
-
-    def best(x, y):
-        return F.least(x, y)
-
-    # vertex of g1 against segments of g2: the point on g1 is the vertex itself
-    def from_a(acc, v):
-        m = F.aggregate(
-            segs_b,
-            start,
-            lambda acc2, s: best(
-                acc2,
-                F.struct(_project(v.getField("x"), v.getField("y"), s)[0].alias("d"), v.getField("x").alias("x"), v.getField("y").alias("y")),
-            ),
-        )
-        return best(acc, m)
-
-    # vertex of g2 against segments of g1: the point on g1 is the projection
-    def from_b(acc, v):
-        def proj(acc2, s):
-            d, qx, qy = _project(v.getField("x"), v.getField("y"), s)
-            return best(acc2, F.struct(d.alias("d"), qx.alias("x"), qy.alias("y")))
-
-        return best(acc, F.aggregate(segs_a, start, proj))
-
-    near = best(F.aggregate(verts_a, start, from_a), F.aggregate(verts_b, start, from_b))
-
-    def cross_step(acc, s):
-        def inner(acc2, t):
-            proper, cx, cy = _crossing(s, t)
-            return F.when(proper & acc2.getField("d").isNull(), F.struct(_dbl(0.0).alias("d"), cx.alias("x"), cy.alias("y"))).otherwise(acc2)
-
-        return F.aggregate(segs_b, acc, inner)
-
-    no_hit = F.struct(none.alias("d"), none.alias("x"), none.alias("y"))
-    crossing = F.aggregate(segs_a, no_hit, cross_step)
-
-    fb, fa = F.element_at(verts_b, 1), F.element_at(verts_a, 1)
-    a_areal = geom_kind(a).isin("Polygon", "MultiPolygon")
-    b_areal = geom_kind(b).isin("Polygon", "MultiPolygon")
-    b_in_a = a_areal & _inside(fb.getField("x"), fb.getField("y"), segs_a)
-    a_in_b = b_areal & _inside(fa.getField("x"), fa.getField("y"), segs_b)
-    result = (
-        F.when(b_in_a, F.struct(_dbl(0.0).alias("d"), fb.getField("x").alias("x"), fb.getField("y").alias("y")))
-        .when(a_in_b, F.struct(_dbl(0.0).alias("d"), fa.getField("x").alias("x"), fa.getField("y").alias("y")))
-        .when(crossing.getField("d").isNotNull(), crossing)
-        .otherwise(near)
-    )
-    return F.when(a.isNotNull() & b.isNotNull(), result)
+    return F.expr(closest_sql(g1, g2))
 
 
-def distance(g1, g2) -> Column:
+def distance(g1: str, g2: str) -> Column:
     return closest_on_first(g1, g2).getField("d")
 
 

@@ -40,7 +40,11 @@ def way_geometries(df_way: DataFrame, df_node: DataFrame, output_col: str, way_i
     verts = F.transform(
         "node_list", lambda n: G.vertex(n.getField(f"{NODE_COL_PREFIX}longitude"), n.getField(f"{NODE_COL_PREFIX}latitude"))
     )
-    return lists.withColumn(output_col, G.geometry_from_vertices(verts)).drop("node_list")
+    return (
+        lists.withColumn("__verts", verts)
+        .withColumn(output_col, G.geometry_from_vertices("__verts"))
+        .drop("node_list", "__verts")
+    )
 
 
 def _extra(additional_columns: Mapping[str, str | Column] | None) -> list[Column]:

@@ -68,7 +68,7 @@ def area_edges(df: DataFrame, geom_col: str, key_col: str) -> DataFrame:
     areal = df.where(G.geom_kind(_q(geom_col)).isin("Polygon", "MultiPolygon"))
     rings = areal.select(_q(key_col).alias(key_col), F.posexplode(G.rings(_q(geom_col))).alias("ring", "r"))
     segs = rings.select(
-        key_col, "ring", F.col("r.hole").alias("hole"), F.explode(G._pairs(F.col("r.ring"))).alias("s")
+        key_col, "ring", F.col("r.hole").alias("hole"), F.explode(G._pairs("r.ring")).alias("s")
     )
     return segs.select(key_col, "ring", "hole", *[F.col("s").getField(c).alias(c) for c in EDGE_COLS])
 
@@ -159,29 +159,20 @@ def _point_cell(px: Column, py: Column, w: float):
     return c, k
 
 
-def _inside_record(px: Column, py: Column, Y: Column, e: Column, iv: Column) -> Column:
-    horiz = F.exists(iv, lambda i: (i.getField("a") <= px) & (px < i.getField("b")))
-
-    def vertical(s):
-        x1, y1, x2, y2 = (s.getField(c) for c in EDGE_COLS)
-        yc = y1 + (px - x1) * (y2 - y1) / (x2 - x1)
-        rising = (y2 - y1) / (x2 - x1) > 0
-        return ((x1 > px) != (x2 > px)) & ((yc > Y) | ((yc == Y) & rising)) & (yc < py)
-
-    vert = (F.size(F.filter(e, vertical)) % 2) == 1
-
-    def on_edge(s):
-        x1, y1, x2, y2 = (s.getField(c) for c in EDGE_COLS)
-        cross = (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)
-        return (
-            (cross == 0)
-            & (px >= F.least(x1, x2))
-            & (px <= F.greatest(x1, x2))
-            & (py >= F.least(y1, y2))
-            & (py <= F.greatest(y1, y2))
-        )
-
-    return (horiz != vert) & ~F.exists(e, on_edge)
+def inside_record_sql(px: str, py: str, Y: str, e: str = "e", iv: str = "iv") -> tuple[str, str]:
+    """(inside, on_edge) SQL for a point against one (area, cell) record."""
+    horiz = f"exists({iv}, _hi -> _hi.a <= {px} AND {px} < _hi.b)"
+    yc = f"(_ve.y1 + ({px} - _ve.x1) * (_ve.y2 - _ve.y1) / (_ve.x2 - _ve.x1))"
+    vertical = (
+        f"(size(filter({e}, _ve -> ((_ve.x1 > {px}) != (_ve.x2 > {px})) AND "
+        f"({yc} > {Y} OR ({yc} = {Y} AND (_ve.y2 - _ve.y1) / (_ve.x2 - _ve.x1) > 0)) AND {yc} < {py})) % 2 = 1)"
+    )
+    on_edge = (
+        f"exists({e}, _oe -> (_oe.x2 - _oe.x1) * ({py} - _oe.y1) - (_oe.y2 - _oe.y1) * ({px} - _oe.x1) = 0 "
+        f"AND {px} >= least(_oe.x1, _oe.x2) AND {px} <= greatest(_oe.x1, _oe.x2) "
+        f"AND {py} >= least(_oe.y1, _oe.y2) AND {py} <= greatest(_oe.y1, _oe.y2))"
+    )
+    return f"(({horiz}) != {vertical})", on_edge
 
 
 def point_area_pairs(
@@ -196,8 +187,8 @@ def point_area_pairs(
     joined = pts.join(
         records.withColumnRenamed("c", "__c").withColumnRenamed("k", "__k"), on=["__c", "__k"], how="inner"
     )
-    inside = _inside_record(F.col("__px"), F.col("__py"), F.col("__k") * w, F.col("e"), F.col("iv"))
-    return joined.where(inside).drop("__c", "__k", "__px", "__py", "e", "iv")
+    inside, on_edge = inside_record_sql("__px", "__py", f"(__k * {w!r})")
+    return joined.where(F.expr(f"{inside} AND NOT {on_edge}")).drop("__c", "__k", "__px", "__py", "e", "iv")
 
 
 def join_point_in_area(
@@ -316,7 +307,7 @@ def join_nearest_geometry(
     left = (
         df_in_1.withColumn("__lk", F.monotonically_increasing_id())
         .withColumn("__g1", G.reproject(_q(column_name_1), epsg_1, epsg_meter_based))
-        .withColumn("__b1", G.bbox(F.col("__g1")))
+        .withColumn("__b1", G.bbox("__g1"))
     )
     left = left.withColumn(
         "__cell",
@@ -328,7 +319,7 @@ def join_nearest_geometry(
     )
     right = (
         df_in_2.withColumn("__g2", G.reproject(_q(column_name_2), epsg_2, epsg_meter_based))
-        .withColumn("__b2", G.bbox(F.col("__g2")))
+        .withColumn("__b2", G.bbox("__g2"))
         .where(F.col("__g2").isNotNull())
     )
     right = right.withColumn(
@@ -351,7 +342,7 @@ def join_nearest_geometry(
     cp1 = F.when(
         both_points,
         F.struct(F.sqrt(dx * dx + dy * dy).alias("d"), G.geom_x(F.col("__g1")).alias("x"), G.geom_y(F.col("__g1")).alias("y")),
-    ).otherwise(G.closest_on_first(F.col("__g1"), F.col("__g2")))
+    ).otherwise(G.closest_on_first("__g1", "__g2"))
     pairs = pairs.withColumn("__cp1", cp1)
     d = F.col("__cp1.d")
     valid = F.col("__g2").isNotNull() & (d <= r)
@@ -359,7 +350,7 @@ def join_nearest_geometry(
     extra = []
     if closest_point_column_2:
         cp2 = F.when(both_points, F.struct(F.lit(0.0).alias("d"), G.geom_x(F.col("__g2")).alias("x"), G.geom_y(F.col("__g2")).alias("y")))
-        cp2 = cp2.otherwise(G.closest_on_first(F.col("__g2"), F.col("__g1")))
+        cp2 = cp2.otherwise(G.closest_on_first("__g2", "__g1"))
         extra.append(cp2.alias("__cp2"))
     pairs = pairs.select("*", *extra)
 

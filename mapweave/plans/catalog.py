@@ -280,3 +280,211 @@ def q_address_unify(spark, d):
     )
     out = unify_addresses(pts)
     return out.select("street", "housenumber", F.round("longitude", 6).alias("longitude"), F.round("latitude", 6).alias("latitude"))
+
+
+# ------------------------------------------------------------------ entity tables
+
+from mapweave.operators.areas import assemble_areas  # noqa: E402
+from mapweave.operators.features import extract_features, way_geometries  # noqa: E402
+from mapweave.plans.addresses import ADDRESS_FILTER, AddressConfig, build_address_list  # noqa: E402
+
+_ENTITY_CTES = (O.FX_POINTS, O.FX_SITES, O.FX_AREAS, O.FX_NODES, O.FX_WAYS)
+
+
+def _size0(c: str):
+    return F.coalesce(F.size(F.col(c)), F.lit(0))
+
+
+@query(
+    "scan_split_counts",
+    """SELECT CAST(0 AS TINYINT) AS type,
+              (SELECT 8 * count(*) FROM nation) + (SELECT count(*) FROM customer) + (SELECT 4 * count(*) FROM supplier) AS n_rows,
+              CAST(0 AS BIGINT) AS n_node_refs, CAST(0 AS BIGINT) AS n_members
+       UNION ALL
+       SELECT CAST(1 AS TINYINT), (SELECT 5 * count(*) FROM nation) + (SELECT count(*) FROM supplier),
+              (SELECT 13 * count(*) FROM nation)
+              + (SELECT sum(CASE s_suppkey % 4 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 5 END) FROM supplier),
+              CAST(0 AS BIGINT)
+       UNION ALL
+       SELECT CAST(2 AS TINYINT), (SELECT count(*) FROM nation), CAST(0 AS BIGINT),
+              (SELECT 6 * count(*) - 2 FROM nation)""",
+)
+def q_scan_split_counts(spark, d):
+    m = FX.split_entities(FX.fx_entities(spark, d))
+    parts = []
+    for kind, frame in enumerate((m.nodes, m.ways, m.relations)):
+        parts.append(
+            frame.agg(
+                F.lit(kind).cast("tinyint").alias("type"),
+                F.count(F.lit(1)).alias("n_rows"),
+                F.sum(_size0("nodes")).cast("bigint").alias("n_node_refs"),
+                F.sum(_size0("relations")).cast("bigint").alias("n_members"),
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_CITY_NAMES = "('NATION_0', 'NATION_9')"
+FIXTURE_CITY_FILTER = (
+    "element_at(tags, 'boundary') = 'administrative' AND "
+    "try_cast(element_at(tags, 'admin_level') AS INT) IN (8,6) OR "
+    "(try_cast(element_at(tags, 'admin_level') AS INT) = 4 AND "
+    f"element_at(tags, 'name') IN {_CITY_NAMES})"
+)
+_CITY_SQL = f"(level IN (8, 6) OR (level = 4 AND n_name IN {_CITY_NAMES}))"
+
+
+@query(
+    "tag_filter",
+    O.with_(O.FX_AREAS, O.FX_LEVELS)
+    + f"""SELECT CAST(1000 + area_id AS BIGINT) AS id, n_name AS name, admin_level
+          FROM fx_levels WHERE {_CITY_SQL}""",
+)
+def q_tag_filter(spark, d):
+    rel = FX.fx_map(spark, d).relations.where(FIXTURE_CITY_FILTER)
+    return rel.select("id", F.element_at("tags", "name").alias("name"), F.element_at("tags", "admin_level").alias("admin_level"))
+
+
+@query(
+    "member_way_join",
+    """WITH m AS (SELECT * FROM (VALUES (0, 2, 'outer'), (1, -1, 'admin_centre'), (2, 0, 'outer'), (3, 4, 'inner'),
+                                       (4, 1, 'outer'), (5, 3, 'outer')) v(p, w, role))
+       SELECT CAST(1000 + n_nationkey AS BIGINT) AS id,
+              CAST(p - CASE WHEN n_nationkey = 23 AND p > 3 THEN 1 ELSE 0 END AS INT) AS member_pos,
+              CAST(n_nationkey * 10 + w AS BIGINT) AS way_id, role AS way_role,
+              CAST(CASE WHEN w = 4 THEN 5 ELSE 2 END AS INT) AS n_nodes
+       FROM nation, m
+       WHERE role IN ('inner', 'outer') AND NOT (n_nationkey = 24 AND w = 3) AND NOT (n_nationkey = 23 AND w = 4)""",
+)
+def q_member_way_join(spark, d):
+    m = FX.fx_map(spark, d)
+    members = C.explode_col(m.relations.select("id", "relations"), "relations", "way_", position_column_name="member_pos")
+    members = members.where(F.col("way_role").isin("inner", "outer"))
+    ways = C.add_column_prefix(m.ways.select("id", "nodes"), "way_")
+    joined = members.join(ways, ["way_id"])
+    return joined.select("id", "member_pos", "way_id", "way_role", F.size("way_nodes").alias("n_nodes"))
+
+
+@query(
+    "way_node_join",
+    O.with_(*_ENTITY_CTES, O.FX_WAY_VERTS)
+    + "SELECT way_id, pos AS node_pos, node_id, ROUND(x, 6) AS lon, ROUND(y, 6) AS lat FROM fx_way_verts",
+)
+def q_way_node_join(spark, d):
+    m = FX.fx_map(spark, d)
+    exploded = C.explode_col(m.ways.select("id", "nodes"), "nodes", "node_id", position_column_name="node_pos")
+    nodes = C.add_column_prefix(m.nodes.select("id", "longitude", "latitude"), "n_")
+    joined = exploded.join(nodes, F.col("node_id") == F.col("n_id"))
+    return joined.select(
+        F.col("id").alias("way_id"),
+        "node_pos",
+        "node_id",
+        F.round("n_longitude", 6).alias("lon"),
+        F.round("n_latitude", 6).alias("lat"),
+    )
+
+
+@query(
+    "way_geometry_kind",
+    O.with_(*_ENTITY_CTES, O.FX_WAY_VERTS)
+    + """SELECT way_id AS id,
+              CASE WHEN count(*) = 1 THEN 'Point'
+                   WHEN count(*) >= 4 AND arg_min(x, pos) = arg_max(x, pos) AND arg_min(y, pos) = arg_max(y, pos)
+                   THEN 'Polygon' ELSE 'LineString' END AS kind,
+              CAST(count(*) AS INT) AS n_points
+       FROM fx_way_verts GROUP BY way_id""",
+)
+def q_way_geometry_kind(spark, d):
+    m = FX.fx_map(spark, d)
+    geoms = way_geometries(m.ways.select("id", "nodes"), m.nodes, "geom")
+    return geoms.select("id", G.geom_kind("geom").alias("kind"), F.size(G.vertices("geom")).alias("n_points"))
+
+
+_FEATURES_SQL = """features AS (
+  SELECT 'N' || CAST(1000000 + point_id AS VARCHAR) AS id, segment AS street,
+         CAST(1 + point_id % 50 AS VARCHAR) AS housenumber, lon AS x, lat AS y
+  FROM fx_points
+  UNION ALL
+  SELECT 'W' || CAST(5000 + site_id AS VARCHAR), 'Site', CAST(site_id AS VARCHAR),
+         CASE site_id % 4 WHEN 1 THEN lon WHEN 2 THEN lon + 0.005 ELSE lon + 0.0075 END,
+         CASE site_id % 4 WHEN 1 THEN lat WHEN 2 THEN lat + 0.005 ELSE lat + 0.0025 END
+  FROM fx_sites)"""
+
+
+@query(
+    "features_union",
+    O.with_(O.FX_POINTS, O.FX_SITES, _FEATURES_SQL)
+    + "SELECT id, street, housenumber, ROUND(x, 6) AS lon, ROUND(y, 6) AS lat FROM features",
+)
+def q_features_union(spark, d):
+    feats = extract_features(
+        FX.fx_map(spark, d),
+        ADDRESS_FILTER,
+        {"street": "element_at(tags, 'addr:street')", "housenumber": "element_at(tags, 'addr:housenumber')"},
+        id_column="id",
+        centroid_column="pt",
+    )
+    return feats.select(
+        "id", "street", "housenumber", F.round(G.geom_x("pt"), 6).alias("lon"), F.round(G.geom_y("pt"), 6).alias("lat")
+    )
+
+
+FIXTURE_AREA_FILTER = "element_at(tags, 'type') = 'boundary'"
+
+
+@query(
+    "area_assembly_stats",
+    """SELECT CAST(1000 + n_nationkey AS BIGINT) AS id, n_name AS name,
+              1 AS outer_polygon_count, CASE WHEN n_nationkey = 23 THEN 0 ELSE 1 END AS inner_polygon_count,
+              5 AS outer_point_count, CASE WHEN n_nationkey = 23 THEN 0 ELSE 5 END AS inner_point_count
+       FROM nation WHERE n_nationkey <> 24""",
+)
+def q_area_assembly_stats(spark, d):
+    areas = assemble_areas(
+        FX.fx_map(spark, d), FIXTURE_AREA_FILTER, {"name": "element_at(tags, 'name')"}, add_debug_columns=True,
+        cell_size=FIXTURE_CELL,
+    )
+    return areas.areas.select(
+        "id", "name", "outer_polygon_count", "inner_polygon_count", "outer_point_count", "inner_point_count"
+    )
+
+
+@query(
+    "point_in_area_hole",
+    O.with_(O.FX_POINTS, O.FX_AREAS)
+    + """SELECT p.point_id, a.n_name AS name FROM fx_points p JOIN fx_areas a
+           ON ABS(lon - cx) + ABS(lat - cy) < r AND a.area_id <> 24
+          AND NOT (a.area_id <> 23 AND ABS(lon - cx) + ABS(lat - cy) <= h)""",
+)
+def q_point_in_area_hole(spark, d):
+    areas = assemble_areas(
+        FX.fx_map(spark, d), FIXTURE_AREA_FILTER, {"name": "element_at(tags, 'name')"}, cell_size=FIXTURE_CELL
+    )
+    pts = FX.fx_points(spark, d).select("point_id", G.point("lon", "lat").alias("pt"))
+    return S.join_point_in_area(pts, "pt", areas, cell_size=FIXTURE_CELL).select("point_id", "name")
+
+
+FIXTURE_ADDRESS_CONFIG = AddressConfig(
+    postcode_filter=FIXTURE_AREA_FILTER,
+    postcode_columns={"plz": "element_at(tags, 'name')"},
+    city_filter=FIXTURE_CITY_FILTER,
+    cell_size=FIXTURE_CELL,
+)
+
+
+@query(
+    "address_list",
+    O.with_(O.FX_POINTS, O.FX_SITES, O.FX_AREAS, O.FX_LEVELS, _FEATURES_SQL)
+    + f"""SELECT f.street, a.n_name AS plz, a.n_name AS city, f.housenumber,
+                 ROUND(avg(f.x), 6) AS longitude, ROUND(avg(f.y), 6) AS latitude
+          FROM features f JOIN fx_areas a
+            ON ABS(f.x - a.cx) + ABS(f.y - a.cy) < a.r AND a.area_id <> 24
+           AND NOT (a.area_id <> 23 AND ABS(f.x - a.cx) + ABS(f.y - a.cy) <= a.h)
+          JOIN fx_levels l ON l.area_id = a.area_id AND {_CITY_SQL.replace('level', 'l.level').replace('n_name', 'l.n_name')}
+          GROUP BY 1, 2, 3, 4""",
+)
+def q_address_list(spark, d):
+    out = build_address_list(FX.fx_map(spark, d), FIXTURE_ADDRESS_CONFIG)
+    return out.select(
+        "street", "plz", "city", "housenumber", F.round("longitude", 6).alias("longitude"), F.round("latitude", 6).alias("latitude")
+    )

@@ -176,4 +176,9 @@ def fx_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_map(spark: SparkSession, sf_dir: str) -> MapFrames:
-    return split_entities(fx_entities(spark, sf_dir))
+    """The fixture entities as three frames in the entity schema (no union + split)."""
+    return MapFrames(
+        nodes=_pad(fx_nodes(spark, sf_dir), 0),
+        ways=_pad(fx_ways(spark, sf_dir), 1),
+        relations=_pad(fx_relations(spark, sf_dir), 2),
+    )

@@ -53,3 +53,44 @@ def utm_sql(lon: str, lat: str, crs: str = "epsg:25832") -> tuple[str, str]:
         north += f" + {aj!r} * SIN({2 * j} * {xi}) * COSH({2 * j} * {eta})"
     k = 0.9996 * c.A
     return f"(500000.0 + {k!r} * ({east}))", f"({c.n0!r} + {k!r} * ({north}))"
+
+
+# Entity fixtures in DuckDB form: tags are spread into the columns the oracles read.
+FX_NODES = """fx_nodes AS (
+  SELECT CAST(area_id AS BIGINT) * 100 + v.j AS id, cx + v.sx * r AS longitude, cy + v.sy * r AS latitude,
+         CAST(NULL AS VARCHAR) AS street, CAST(NULL AS VARCHAR) AS housenumber
+  FROM fx_areas, (VALUES (0, 1.0, 0.0), (1, 0.0, 1.0), (2, -1.0, 0.0), (3, 0.0, -1.0)) v(j, sx, sy)
+  UNION ALL
+  SELECT CAST(area_id AS BIGINT) * 100 + v.j, cx + v.sx * h, cy + v.sy * h, NULL, NULL
+  FROM fx_areas, (VALUES (10, 1.0, 0.0), (11, 0.0, 1.0), (12, -1.0, 0.0), (13, 0.0, -1.0)) v(j, sx, sy)
+  UNION ALL
+  SELECT 1000000 + point_id, lon, lat, segment, CAST(1 + point_id % 50 AS VARCHAR) FROM fx_points
+  UNION ALL
+  SELECT 2000000 + site_id * 10 + v.j, lon + v.dx, lat + v.dy, NULL, NULL
+  FROM fx_sites, (VALUES (0, 0.0, 0.0), (1, 0.01, 0.0), (2, 0.01, 0.01), (3, 0.0, 0.01)) v(j, dx, dy))"""
+
+FX_WAYS = """fx_ways AS (
+  SELECT CAST(area_id AS BIGINT) * 10 + v.w AS id,
+         list_transform(v.js, lambda x: CAST(area_id AS BIGINT) * 100 + x) AS nodes,
+         CAST(NULL AS VARCHAR) AS street, CAST(NULL AS VARCHAR) AS housenumber
+  FROM fx_areas, (VALUES (0, [0, 1]), (1, [2, 1]), (2, [2, 3]), (3, [0, 3]), (4, [10, 11, 12, 13, 10])) v(w, js)
+  UNION ALL
+  SELECT 5000 + site_id,
+         list_transform(CASE site_id % 4 WHEN 0 THEN [0, 1, 2] WHEN 1 THEN [0]
+                                         WHEN 2 THEN [0, 1, 2, 3, 0] ELSE [9, 0, 1, 2, 9] END,
+                        lambda x: 2000000 + site_id * 10 + x),
+         'Site', CAST(site_id AS VARCHAR)
+  FROM fx_sites)"""
+
+# way vertices that exist: (way id, position, node id, x, y)
+FX_WAY_VERTS = """fx_way_verts AS (
+  SELECT w.id AS way_id, CAST(u.pos - 1 AS INT) AS pos, n.id AS node_id, n.longitude AS x, n.latitude AS y
+  FROM fx_ways w, unnest(w.nodes) WITH ORDINALITY AS u(node_id, pos)
+  JOIN fx_nodes n ON n.id = u.node_id)"""
+
+# city/postcode levels of the fixture relations: admin_level text and its integer (NULL when not an integer)
+FX_LEVELS = """fx_levels AS (
+  SELECT area_id, n_name,
+         CASE WHEN area_id = 22 THEN '8;9' ELSE CAST(4 + 2 * (area_id % 3) AS VARCHAR) END AS admin_level,
+         CASE WHEN area_id = 22 THEN NULL ELSE 4 + 2 * (area_id % 3) END AS level
+  FROM fx_areas)"""
