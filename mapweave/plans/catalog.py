@@ -488,3 +488,63 @@ def q_address_list(spark, d):
     return out.select(
         "street", "plz", "city", "housenumber", F.round("longitude", 6).alias("longitude"), F.round("latitude", 6).alias("latitude")
     )
+
+
+# ------------------------------------------------------------------ nearest area, closest points
+
+_AREA_RADIUS = 30000
+
+
+def _nearest_area_sql(with_points: bool) -> str:
+    lon_sql, lat_sql = O.utm_inverse_sql("b.qx", "b.qy")
+    proj = (
+        "LEAST(GREATEST(((p.px - s.x1) * (s.x2 - s.x1) + (p.py - s.y1) * (s.y2 - s.y1)) / "
+        "((s.x2 - s.x1) * (s.x2 - s.x1) + (s.y2 - s.y1) * (s.y2 - s.y1)), 0.0), 1.0)"
+    )
+    ctes = [
+        O.FX_POINTS,
+        O.FX_AREAS,
+        f"p AS (SELECT point_id, {_E} AS px, {_N} AS py FROM fx_points)",
+        O.diamond_segments_cte(),
+        f"""c AS (SELECT p.point_id, s.area_id, p.px, p.py, s.x1 + {proj} * (s.x2 - s.x1) AS qx,
+                         s.y1 + {proj} * (s.y2 - s.y1) AS qy,
+                         CASE WHEN ((s.y1 > p.py) != (s.y2 > p.py))
+                               AND p.px < (s.x2 - s.x1) * (p.py - s.y1) / (s.y2 - s.y1) + s.x1 THEN 1 ELSE 0 END AS hit
+                  FROM p, fx_area_segs s)""",
+        """pa AS (SELECT point_id, area_id, sum(hit) % 2 = 1 AS inside,
+                         arg_min(struct_pack(qx := qx, qy := qy), sqrt((px - qx) * (px - qx) + (py - qy) * (py - qy))) AS q,
+                         min(sqrt((px - qx) * (px - qx) + (py - qy) * (py - qy))) AS dmin, any_value(px) AS px, any_value(py) AS py
+                  FROM c GROUP BY point_id, area_id)""",
+        """pd AS (SELECT point_id, area_id, CASE WHEN inside THEN 0.0 ELSE dmin END AS d,
+                         CASE WHEN inside THEN px ELSE q.qx END AS qx, CASE WHEN inside THEN py ELSE q.qy END AS qy
+                  FROM pa)""",
+        f"""b AS (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY d, area_id) AS rn
+                  FROM pd WHERE d <= {_AREA_RADIUS})""",
+    ]
+    cols = "p.point_id, b.area_id, ROUND(b.d, 3) AS distance"
+    if with_points:
+        cols += f", ROUND({lon_sql}, 6) AS near_lon, ROUND({lat_sql}, 6) AS near_lat"
+    return O.with_(*ctes) + f"SELECT {cols} FROM p LEFT JOIN b ON p.point_id = b.point_id AND b.rn = 1"
+
+
+def _nearest_area(spark, d, with_points: bool):
+    pts = FX.fx_points(spark, d).select("point_id", G.point("lon", "lat").alias("pt"))
+    areas = _areas_geom(FX.fx_areas(spark, d)).select("area_id", "geom")
+    out = S.join_nearest_geometry(
+        pts, areas, "pt", "geom", max_meter=_AREA_RADIUS, join_type="leftouter", tie_breaker=["area_id"],
+        closest_point_column_2="near" if with_points else None,
+    )
+    cols = [F.col("point_id"), F.col("area_id"), F.round("distance", 3).alias("distance")]
+    if with_points:
+        cols += [F.round(G.geom_x("near"), 6).alias("near_lon"), F.round(G.geom_y("near"), 6).alias("near_lat")]
+    return out.select(*cols)
+
+
+@query("nearest_area_distance", _nearest_area_sql(False))
+def q_nearest_area_distance(spark, d):
+    return _nearest_area(spark, d, False)
+
+
+@query("closest_point", _nearest_area_sql(True))
+def q_closest_point(spark, d):
+    return _nearest_area(spark, d, True)

@@ -94,3 +94,35 @@ FX_LEVELS = """fx_levels AS (
          CASE WHEN area_id = 22 THEN '8;9' ELSE CAST(4 + 2 * (area_id % 3) AS VARCHAR) END AS admin_level,
          CASE WHEN area_id = 22 THEN NULL ELSE 4 + 2 * (area_id % 3) END AS level
   FROM fx_areas)"""
+
+
+def utm_inverse_sql(e: str, n: str, crs: str = "epsg:25832") -> tuple[str, str]:
+    """(lon, lat) SQL of the inverse Krueger series for a UTM CRS."""
+    c = Crs(crs)
+    k = 0.9996 * c.A
+    xi = f"(({n}) - {c.n0!r}) / {k!r}"
+    eta = f"(({e}) - 500000.0) / {k!r}"
+    xi_p, eta_p = f"({xi}", f"({eta}"
+    for j, bj in enumerate(c.beta, start=1):
+        xi_p += f" - {bj!r} * SIN({2 * j} * {xi}) * COSH({2 * j} * {eta})"
+        eta_p += f" - {bj!r} * COS({2 * j} * {xi}) * SINH({2 * j} * {eta})"
+    xi_p += ")"
+    eta_p += ")"
+    chi = f"ASIN(SIN({xi_p}) / COSH({eta_p}))"
+    phi = f"({chi}"
+    for j, dj in enumerate(c.delta, start=1):
+        phi += f" + {dj!r} * SIN({2 * j} * {chi})"
+    phi += ")"
+    lam = f"ATAN2(SINH({eta_p}), COS({xi_p}))"
+    return f"(DEGREES({lam}) + {c.lon0!r})", f"DEGREES({phi})"
+
+
+def diamond_segments_cte(name: str = "fx_area_segs") -> str:
+    """Projected segments of the fx_areas diamonds: shell (radius r) and hole (radius h)."""
+    corners = "(VALUES (0, 1.0, 0.0, 0.0, 1.0), (1, 0.0, 1.0, -1.0, 0.0), (2, -1.0, 0.0, 0.0, -1.0), (3, 0.0, -1.0, 1.0, 0.0)) v(j, sx, sy, tx, ty)"
+    e1, n1 = utm_sql("(cx + v.sx * rad)", "(cy + v.sy * rad)")
+    e2, n2 = utm_sql("(cx + v.tx * rad)", "(cy + v.ty * rad)")
+    return f"""{name} AS (
+  SELECT area_id, {e1} AS x1, {n1} AS y1, {e2} AS x2, {n2} AS y2
+  FROM (SELECT area_id, cx, cy, r AS rad FROM fx_areas UNION ALL SELECT area_id, cx, cy, h FROM fx_areas WHERE h > 0) a,
+       {corners})"""
