@@ -32,7 +32,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mapweave.functions import geometry as G
@@ -89,67 +89,130 @@ def _floor_div(v: Column, cell: float) -> Column:
     return F.floor(v / F.lit(float(cell))).cast("long")
 
 
-def cell_records(edges: DataFrame, key: str, cell_size: float) -> DataFrame:
-    """(c, k, key, e: array<edge>, iv: array<{a, b}>) per area and covered cell."""
+def edge_cells(edges: DataFrame, key: str, cell_size: float) -> DataFrame:
+    """(key, __k, __c, __edge) for every cell an edge passes through.
+
+    The edge is clipped to each cell row it spans and spread over the cells
+    of the clipped x-range, so a long diagonal edge is copied to O(rows +
+    columns) cells, not to its whole bounding box.
+    """
     w = float(cell_size)
     eps = w * 1e-9
     e = edges.select(
-        _q(key).alias(key),
-        *EDGE_COLS,
-        F.least("y1", "y2").alias("miny"),
-        F.greatest("y1", "y2").alias("maxy"),
+        _q(key).alias("__key"), *EDGE_COLS, F.least("y1", "y2").alias("__miny"), F.greatest("y1", "y2").alias("__maxy")
     )
-
-    # edges clipped row by row, then spread over the cells of the clipped x-range
     rows = e.withColumn(
-        "k", F.explode(F.sequence(_floor_div(F.col("miny") - eps, w), _floor_div(F.col("maxy") + eps, w)))
+        "__k", F.explode(F.sequence(_floor_div(F.col("__miny") - eps, w), _floor_div(F.col("__maxy") + eps, w)))
     )
-    ylo = F.greatest(F.col("miny"), F.col("k") * w)
-    yhi = F.least(F.col("maxy"), (F.col("k") + 1) * w)
+    ylo = F.greatest(F.col("__miny"), F.col("__k") * w)
+    yhi = F.least(F.col("__maxy"), (F.col("__k") + 1) * w)
     dy = F.col("y2") - F.col("y1")
 
     def x_at(y: Column) -> Column:
-        return F.when(dy == 0, F.col("x1")).otherwise(F.col("x1") + (y - F.col("y1")) * (F.col("x2") - F.col("x1")) / dy)
+        return F.col("x1") + (y - F.col("y1")) * (F.col("x2") - F.col("x1")) / dy
 
     flat = dy == 0
     xlo = F.when(flat, F.least("x1", "x2")).otherwise(F.least(x_at(ylo), x_at(yhi)))
     xhi = F.when(flat, F.greatest("x1", "x2")).otherwise(F.greatest(x_at(ylo), x_at(yhi)))
-    local = rows.select(
-        key,
-        "k",
-        F.explode(F.sequence(_floor_div(xlo - eps, w), _floor_div(xhi + eps, w))).alias("c"),
-        F.struct(*EDGE_COLS).alias("edge"),
+    return rows.select(
+        F.col("__key").alias(key),
+        "__k",
+        F.explode(F.sequence(_floor_div(xlo - eps, w), _floor_div(xhi + eps, w))).alias("__c"),
+        F.struct(*EDGE_COLS).alias("__edge"),
     )
 
+
+def cell_records(edges: DataFrame, key: str, cell_size: float) -> DataFrame:
+    """(__c, __k, key, __e: array<edge>, __iv: array<{a, b}>) per area and covered cell."""
+    w = float(cell_size)
+    e = edges.select(
+        _q(key).alias("__key"), *EDGE_COLS, F.least("y1", "y2").alias("__miny"), F.greatest("y1", "y2").alias("__maxy")
+    )
+    local = edge_cells(e, "__key", w)
+
     # crossings of the row lines y = k * w (half-open rule: a vertex on the line counts as below)
     lines = e.withColumn(
-        "k", F.explode(F.sequence(_floor_div(F.col("miny"), w), _floor_div(F.col("maxy"), w) + 1))
-    ).withColumn("Y", F.col("k") * w)
-    crossing = lines.where((F.col("y1") > F.col("Y")) != (F.col("y2") > F.col("Y"))).select(
-        key,
-        "k",
-        (F.col("x1") + (F.col("Y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))).alias("x"),
+        "__k", F.explode(F.sequence(_floor_div(F.col("__miny"), w), _floor_div(F.col("__maxy"), w) + 1))
+    ).withColumn("__Y", F.col("__k") * w)
+    crossing = lines.where((F.col("y1") > F.col("__Y")) != (F.col("y2") > F.col("__Y"))).select(
+        "__key",
+        "__k",
+        (F.col("x1") + (F.col("__Y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))).alias("__x"),
     )
-    from pyspark.sql import Window
-
-    line_order = Window.partitionBy(key, "k").orderBy("x")
+    line_order = Window.partitionBy("__key", "__k").orderBy("__x")
     intervals = (
-        crossing.withColumn("rn", F.row_number().over(line_order))
-        .withColumn("nx", F.lead("x").over(line_order))
-        .where((F.col("rn") % 2 == 1) & F.col("nx").isNotNull())
-        .select(key, "k", F.col("x").alias("a"), F.col("nx").alias("b"))
+        crossing.withColumn("__rn", F.row_number().over(line_order))
+        .withColumn("__nx", F.lead("__x").over(line_order))
+        .where((F.col("__rn") % 2 == 1) & F.col("__nx").isNotNull())
+        .select("__key", "__k", F.col("__x").alias("a"), F.col("__nx").alias("b"))
     )
     covered = intervals.select(
-        key,
-        "k",
-        F.explode(F.sequence(_floor_div(F.col("a"), w), _floor_div(F.col("b"), w))).alias("c"),
-        F.struct("a", "b").alias("iv"),
+        "__key",
+        "__k",
+        F.explode(F.sequence(_floor_div(F.col("a"), w), _floor_div(F.col("b"), w))).alias("__c"),
+        F.struct("a", "b").alias("__ivs"),
     )
 
-    both = local.select(key, "c", "k", "edge", F.lit(None).cast("struct<a:double,b:double>").alias("iv")).unionByName(
-        covered.select(key, "c", "k", F.lit(None).cast("struct<x1:double,y1:double,x2:double,y2:double>").alias("edge"), "iv")
+    no_iv = F.lit(None).cast("struct<a:double,b:double>").alias("__ivs")
+    no_edge = F.lit(None).cast("struct<x1:double,y1:double,x2:double,y2:double>").alias("__edge")
+    both = local.select("__key", "__c", "__k", "__edge", no_iv).unionByName(
+        covered.select("__key", "__c", "__k", no_edge, "__ivs")
+    )
+    return both.groupBy("__c", "__k", "__key").agg(
+        F.collect_list("__edge").alias("__e"), F.collect_list("__ivs").alias("__iv")
+    ).withColumnRenamed("__key", key)
+
+
+# ---------------------------------------------------------------- validity
+
+
+def self_intersections(edges: DataFrame, key: str, cell_size: float = 0.01) -> DataFrame:
+    """(key, x, y) for every proper crossing of two edges of the same area.
+
+    Edges meet only the edges that share a cell with them (equi-join on
+    area and cell); a crossing found in several shared cells is kept only in
+    the cell that contains the crossing point. Edges that merely touch at a
+    shared vertex are not reported. The work per cell is quadratic in the
+    edges of one area inside one cell, which ``cell_size`` keeps small.
+    """
+    w = float(cell_size)
+    local = edge_cells(edges, key, w)
+    a = local.select(_q(key).alias("__ka"), F.col("__c").alias("__ca"), F.col("__k").alias("__kka"), F.col("__edge").alias("s"))
+    b = local.select(_q(key).alias("__kb"), F.col("__c").alias("__cb"), F.col("__k").alias("__kkb"), F.col("__edge").alias("t"))
+    pairs = a.join(
+        b,
+        (F.col("__ka") == F.col("__kb"))
+        & (F.col("__ca") == F.col("__cb"))
+        & (F.col("__kka") == F.col("__kkb"))
+        & (F.col("s") < F.col("t")),
+    )
+    proper, ix, iy = G._crossing_sql("s", "t")
+    found = pairs.where(F.expr(proper)).select(
+        "__ka", "__ca", "__kka", F.expr(ix).alias("__x"), F.expr(iy).alias("__y")
+    )
+    c, k = _point_cell(F.col("__x"), F.col("__y"), w)
+    return found.where((c == F.col("__ca")) & (k == F.col("__kka"))).select(
+        F.col("__ka").alias(key), F.col("__x").alias("x"), F.col("__y").alias("y")
+    )
+
+
+def invalid_areas(edges: DataFrame, key: str, cell_size: float = 0.01) -> DataFrame:
+    """(key, n_crossings, x, y, invalidity_explain) for areas whose edges cross.
+
+    ``invalidity_explain`` reads ``Self-intersection[x y]`` for the smallest
+    crossing point (x, then y); valid areas have no row.
+    """
+    found = self_intersections(edges, key, cell_size)
+    per_area = found.groupBy(key).agg(F.count(F.lit(1)).alias("n_crossings"), F.min(F.struct("x", "y")).alias("p"))
+    return per_area.select(
+        key,
+        "n_crossings",
+        F.col("p.x").alias("x"),
+        F.col("p.y").alias("y"),
+        F.format_string("Self-intersection[%s %s]", F.col("p.x").cast("string"), F.col("p.y").cast("string")).alias(
+            "invalidity_explain"
+        ),
     )
-    return both.groupBy("c", "k", key).agg(F.collect_list("edge").alias("e"), F.collect_list("iv").alias("iv"))
 
 
 def _point_cell(px: Column, py: Column, w: float):
@@ -159,7 +222,7 @@ def _point_cell(px: Column, py: Column, w: float):
     return c, k
 
 
-def inside_record_sql(px: str, py: str, Y: str, e: str = "e", iv: str = "iv") -> tuple[str, str]:
+def inside_record_sql(px: str, py: str, Y: str, e: str = "__e", iv: str = "__iv") -> tuple[str, str]:
     """(inside, on_edge) SQL for a point against one (area, cell) record."""
     horiz = f"exists({iv}, _hi -> _hi.a <= {px} AND {px} < _hi.b)"
     yc = f"(_ve.y1 + ({px} - _ve.x1) * (_ve.y2 - _ve.y1) / (_ve.x2 - _ve.x1))"
@@ -184,11 +247,9 @@ def point_area_pairs(
     pts = points.withColumn("__px", x.cast("double")).withColumn("__py", y.cast("double"))
     c, k = _point_cell(F.col("__px"), F.col("__py"), w)
     pts = pts.withColumn("__c", c).withColumn("__k", k)
-    joined = pts.join(
-        records.withColumnRenamed("c", "__c").withColumnRenamed("k", "__k"), on=["__c", "__k"], how="inner"
-    )
+    joined = pts.join(records, on=["__c", "__k"], how="inner")
     inside, on_edge = inside_record_sql("__px", "__py", f"(__k * {w!r})")
-    return joined.where(F.expr(f"{inside} AND NOT {on_edge}")).drop("__c", "__k", "__px", "__py", "e", "iv")
+    return joined.where(F.expr(f"{inside} AND NOT {on_edge}")).drop("__c", "__k", "__px", "__py", "__e", "__iv")
 
 
 def join_point_in_area(

@@ -548,3 +548,33 @@ def q_nearest_area_distance(spark, d):
 @query("closest_point", _nearest_area_sql(True))
 def q_closest_point(spark, d):
     return _nearest_area(spark, d, True)
+
+
+# ------------------------------------------------------------------ validity
+
+
+def _bow_ties(spark, d):
+    """One self-crossing ring per region, centred at (2 * r + 1, 50)."""
+    reg = FX.table(spark, d, "region").select(
+        (F.lit(100) + F.col("r_regionkey")).cast("int").alias("area_id"),
+        (2 * F.col("r_regionkey") + 1).cast("double").alias("cx"),
+        F.lit(50.0).alias("cy"),
+    )
+    x, y = F.col("cx"), F.col("cy")
+    ring = F.array(
+        G.vertex(x - 1, y - 1), G.vertex(x + 1, y + 1), G.vertex(x + 1, y - 1), G.vertex(x - 1, y + 1), G.vertex(x - 1, y - 1)
+    )
+    return reg.select("area_id", G.polygon(ring).alias("geom"))
+
+
+@query(
+    "invalid_areas",
+    """SELECT CAST(100 + r_regionkey AS INT) AS area_id, CAST(1 AS BIGINT) AS n_crossings,
+              ROUND(CAST(2 * r_regionkey + 1 AS DOUBLE), 6) AS x, ROUND(CAST(50 AS DOUBLE), 6) AS y
+       FROM region""",
+)
+def q_invalid_areas(spark, d):
+    valid = _areas_geom(FX.fx_areas(spark, d)).select("area_id", "geom")
+    shapes = valid.unionByName(_bow_ties(spark, d))
+    report = S.invalid_areas(S.area_edges(shapes, "geom", "area_id"), "area_id", cell_size=FIXTURE_CELL)
+    return report.select("area_id", "n_crossings", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
