@@ -89,3 +89,24 @@ def test_self_intersections(spark):
     for cell in (0.3, 1.0, 5.0):
         rep = S.invalid_areas(S.area_edges(shapes, "g", "k"), "k", cell).collect()
         assert [(r.k, r.n_crossings, r.invalidity_explain) for r in rep] == [(1, 1, "Self-intersection[1.0 1.0]")]
+
+
+def test_assembled_geometry_matches_edge_table(spark):
+    from mapweave.operators.areas import assemble_areas
+
+    areas = assemble_areas(
+        FX.fx_map(spark, SF_SMALL), catalog.FIXTURE_AREA_FILTER, {"name": "element_at(tags, 'name')"},
+        add_debug_columns=True, cell_size=0.25, result_polygon_name="multipolygon",
+    )
+    rows = areas.areas.collect()
+    for r in rows:
+        shells = [p[0] for p in r.multipolygon.parts]
+        holes = [h for p in r.multipolygon.parts for h in p[1:]]
+        assert sum(len(s) for s in shells) == r.outer_point_count
+        assert sum(len(h) for h in holes) == r.inner_point_count
+        assert r.invalidity_explain is None
+    pts = FX.fx_points(spark, SF_SMALL).select("point_id", G.point("lon", "lat").alias("pt"))
+    via_edges = S.join_point_in_area(pts, "pt", areas, cell_size=0.25).select("point_id", "name")
+    geo = areas.areas.select("id", "name", "multipolygon")
+    via_geom = S.join_point_in_area(pts, "pt", geo, "multipolygon", area_key="id", cell_size=0.5).select("point_id", "name")
+    assert sorted(via_edges.collect()) == sorted(via_geom.collect())
