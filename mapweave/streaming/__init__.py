@@ -1,0 +1,9 @@
+"""Streaming notes.
+
+The reference works on batch extracts only (no stream, watermark or state), so
+no streaming operator is built. The point-side of
+:func:`mapweave.operators.spatial.join_point_in_area` is stateless (one
+stream-static equi-join on the cell key plus a filter and a static payload
+join), so a streaming frame of points can be joined to static areas as is, e.g.
+``readStream`` parquet -> ``join_point_in_area`` -> ``writeStream``.
+"""
