@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from mapweave.functions import geometry as G
 from mapweave.schema import check_for_duplicate_columns, is_geometry
+from mapweave.session import sized_broadcast
 
 EDGE_COLS = ["x1", "y1", "x2", "y2"]
 
@@ -243,7 +244,7 @@ def point_area_pairs(
 ) -> DataFrame:
     """Point rows extended with ``areas.key`` for every area that contains them."""
     w = float(cell_size)
-    records = cell_records(areas.edges, areas.key, w)
+    records = sized_broadcast(cell_records(areas.edges, areas.key, w), "area-cell-records")
     pts = points.withColumn("__px", x.cast("double")).withColumn("__py", y.cast("double"))
     c, k = _point_cell(F.col("__px"), F.col("__py"), w)
     pts = pts.withColumn("__c", c).withColumn("__k", k)
@@ -386,6 +387,7 @@ def join_nearest_geometry(
     right = right.withColumn(
         "__rcell", F.explode(_cells_of_box(F.col("__b2.minx"), F.col("__b2.miny"), F.col("__b2.maxx"), F.col("__b2.maxy"), s))
     )
+    right = sized_broadcast(right, "nearest-right-cells")
 
     ref_x = F.greatest(F.col("__b1.minx") - r, F.col("__b2.minx"))
     ref_y = F.greatest(F.col("__b1.miny") - r, F.col("__b2.miny"))

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "mapweave") -> SparkSession:
@@ -56,3 +57,38 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/mapweave/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+# stored (compressed) bytes are multiplied by this to estimate the in-memory size of a broadcast
+BROADCAST_EXPANSION = 4
+DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Total size of the files behind a file-scan DataFrame, from the file system."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return total
+
+
+def sized_broadcast(df: DataFrame, name: str, limit_bytes: int | None = None) -> DataFrame:
+    """Materialize ``df`` and mark it for broadcast only if its measured size fits.
+
+    The side is written once to the checkpoint folder; its stored size times
+    :data:`BROADCAST_EXPANSION` is compared with ``limit_bytes`` (default
+    ``mapweave.broadcast.maxBytes`` or 64 MiB). Above the limit the frame is
+    returned with a ``shuffle_hash`` hint, so no planner estimate can turn it
+    into a broadcast.
+    """
+    spark = df.sparkSession
+    if limit_bytes is None:
+        limit_bytes = int(spark.conf.get("mapweave.broadcast.maxBytes", str(DEFAULT_BROADCAST_LIMIT)))
+    table = materialize(df, name)
+    if stored_bytes(table) * BROADCAST_EXPANSION <= limit_bytes:
+        return F.broadcast(table)
+    return table.hint("shuffle_hash")

@@ -110,3 +110,22 @@ def test_assembled_geometry_matches_edge_table(spark):
     geo = areas.areas.select("id", "name", "multipolygon")
     via_geom = S.join_point_in_area(pts, "pt", geo, "multipolygon", area_key="id", cell_size=0.5).select("point_id", "name")
     assert sorted(via_edges.collect()) == sorted(via_geom.collect())
+
+
+def test_broadcast_limit_fallback_same_result(spark):
+    pts = FX.fx_points(spark, SF_SMALL).select("point_id", G.point("lon", "lat").alias("pt"))
+    areas = catalog._areas_geom(FX.fx_areas(spark, SF_SMALL)).select("area_id", "geom")
+
+    def run():
+        out = S.join_point_in_area(pts, "pt", areas, "geom", area_key="area_id", cell_size=0.25)
+        return out, sorted((r.point_id, r.area_id) for r in out.collect())
+
+    _, small = run()
+    spark.conf.set("mapweave.broadcast.maxBytes", "0")
+    try:
+        df, forced = run()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("mapweave.broadcast.maxBytes")
+    assert forced == small and small
+    assert "shuffle_hash" in df._jdf.queryExecution().analyzed().toString().lower() or "ShuffledHashJoin" in plan or "SortMergeJoin" in plan
