@@ -36,14 +36,20 @@ def split_entities(raw_df: DataFrame) -> MapFrames:
 def read_entities(spark: SparkSession, path: str, fmt: str = "parquet") -> MapFrames:
     """Load an entity file or folder once and split it by kind.
 
-    ``fmt="parquet"`` reads with the fixed schema (no inference); any other
-    format name is handed to ``spark.read.format`` so an installed connector
-    can be used.
+    ``fmt="parquet"`` reads with the fixed schema (no inference);
+    ``fmt="pbf"`` decodes PBF extracts with :mod:`mapweave.sources.pbf`; any
+    other format name is handed to ``spark.read.format`` so an installed
+    connector can be used.
     """
     assert spark is not None, "spark cannot be None"
     assert path is not None, "path cannot be None"
     if fmt == "parquet":
         raw = spark.read.schema(ENTITY_SCHEMA).parquet(path)
+    elif fmt == "pbf":
+        from mapweave.sources import pbf
+
+        pbf.register(spark)
+        raw = spark.read.format(pbf.FORMAT_NAME).load(path)
     else:
         raw = spark.read.format(fmt).load(path)
     return split_entities(raw)
