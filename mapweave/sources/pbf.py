@@ -383,6 +383,9 @@ class PbfDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    from mapweave.session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(PbfDataSource)
 
 
