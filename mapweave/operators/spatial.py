@@ -123,45 +123,167 @@ def edge_cells(edges: DataFrame, key: str, cell_size: float) -> DataFrame:
     )
 
 
-def cell_records(edges: DataFrame, key: str, cell_size: float) -> DataFrame:
-    """(__c, __k, key, __e: array<edge>, __iv: array<{a, b}>) per area and covered cell."""
-    w = float(cell_size)
-    e = edges.select(
-        _q(key).alias("__key"), *EDGE_COLS, F.least("y1", "y2").alias("__miny"), F.greatest("y1", "y2").alias("__maxy")
-    )
-    local = edge_cells(e, "__key", w)
+REFINE = 8
+DEFAULT_MAX_EDGES = 512
+
 
-    # crossings of the row lines y = k * w (half-open rule: a vertex on the line counts as below)
-    lines = e.withColumn(
-        "__k", F.explode(F.sequence(_floor_div(F.col("__miny"), w), _floor_div(F.col("__maxy"), w) + 1))
-    ).withColumn("__Y", F.col("__k") * w)
+def _div(v: Column, n: int) -> Column:
+    """Integer floor division of a long column."""
+    return F.floor(v / F.lit(n)).cast("long")
+
+
+def _line_intervals(e: DataFrame, rows: Column, line_y) -> DataFrame:
+    """(__key, __k, a, b): inside intervals of the lines ``y = line_y(k)`` for the rows ``k`` in ``rows``.
+
+    Half-open rule: a vertex on the line counts as below it. Crossings of one
+    line with one area are sorted and paired (window bounded by the number of
+    crossings of that line).
+    """
+    lines = e.withColumn("__k", F.explode(rows)).withColumn("__Y", line_y(F.col("__k")))
     crossing = lines.where((F.col("y1") > F.col("__Y")) != (F.col("y2") > F.col("__Y"))).select(
         "__key",
         "__k",
         (F.col("x1") + (F.col("__Y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))).alias("__x"),
     )
     line_order = Window.partitionBy("__key", "__k").orderBy("__x")
-    intervals = (
+    return (
         crossing.withColumn("__rn", F.row_number().over(line_order))
         .withColumn("__nx", F.lead("__x").over(line_order))
         .where((F.col("__rn") % 2 == 1) & F.col("__nx").isNotNull())
         .select("__key", "__k", F.col("__x").alias("a"), F.col("__nx").alias("b"))
     )
-    covered = intervals.select(
+
+
+_NO_IV = "struct<a:double,b:double>"
+_NO_EDGE = "struct<x1:double,y1:double,x2:double,y2:double>"
+
+
+def _records(local: DataFrame, covered: DataFrame, level: int, line_y) -> DataFrame:
+    both = local.select("__key", "__c", "__k", "__edge", F.lit(None).cast(_NO_IV).alias("__ivs")).unionByName(
+        covered.select("__key", "__c", "__k", F.lit(None).cast(_NO_EDGE).alias("__edge"), "__ivs")
+    )
+    return both.groupBy("__c", "__k", "__key").agg(
+        F.collect_list("__edge").alias("__e"), F.collect_list("__ivs").alias("__iv")
+    ).select(F.lit(level).alias("__lvl"), "__c", "__k", line_y(F.col("__k")).alias("__Y"), "__key", "__e", "__iv")
+
+
+@dataclass(frozen=True)
+class CellIndex:
+    """Area records keyed by (level, cell x, cell row) for point lookups."""
+
+    records: DataFrame
+    key: str
+    cell_size: float
+    refine: int
+    two_level: bool
+
+
+def cell_index(
+    edges: DataFrame,
+    key: str,
+    cell_size: float,
+    max_edges: int = DEFAULT_MAX_EDGES,
+    refine: int = REFINE,
+    name: str = "area-cell-records",
+) -> CellIndex:
+    """Records ``(__lvl, __c, __k, __Y, key, __e, __iv)`` of the areas in ``edges``.
+
+    Level 0 uses cells of ``cell_size``. Where one area has more than
+    ``max_edges`` edges inside one cell, that (area, cell) record is replaced
+    by level-1 records on a ``refine`` x finer grid inside that cell only, so
+    the work per point and the size of one record stay bounded however dense a
+    boundary is. Every index derives from the fine grid (a coarse cell is a
+    block of ``refine`` x ``refine`` fine cells, coarse lines are fine lines),
+    so points and records always agree on cells and line heights. The record
+    table is written once and broadcast only if its measured size fits.
+    """
+    w = float(cell_size)
+    wf = w / refine
+    e = edges.select(
+        _q(key).alias("__key"), *EDGE_COLS, F.least("y1", "y2").alias("__miny"), F.greatest("y1", "y2").alias("__maxy")
+    )
+
+    def coarse_y(k: Column) -> Column:
+        return (k * refine) * wf
+
+    def fine_y(k: Column) -> Column:
+        return k * wf
+
+    local = edge_cells(e, "__key", w)
+    rows = F.sequence(_floor_div(F.col("__miny"), w) - 1, _floor_div(F.col("__maxy"), w) + 1)
+    iv = _line_intervals(e, rows, coarse_y)
+    covered = iv.select(
         "__key",
         "__k",
-        F.explode(F.sequence(_floor_div(F.col("a"), w), _floor_div(F.col("b"), w))).alias("__c"),
+        F.explode(F.sequence(_floor_div(F.col("a"), w) - 1, _floor_div(F.col("b"), w) + 1)).alias("__c"),
         F.struct("a", "b").alias("__ivs"),
     )
 
-    no_iv = F.lit(None).cast("struct<a:double,b:double>").alias("__ivs")
-    no_edge = F.lit(None).cast("struct<x1:double,y1:double,x2:double,y2:double>").alias("__edge")
-    both = local.select("__key", "__c", "__k", "__edge", no_iv).unionByName(
-        covered.select("__key", "__c", "__k", no_edge, "__ivs")
+    dense = local.groupBy("__key", "__c", "__k").count().where(F.col("count") > max_edges).select("__key", "__c", "__k")
+    dense = dense.persist()
+    two_level = not dense.isEmpty()
+    if not two_level:
+        records = _records(local, covered, 0, coarse_y)
+    else:
+        keep = ["__key", "__c", "__k"]
+        coarse = _records(
+            local.join(dense, keep, "left_anti"), covered.join(dense, keep, "left_anti"), 0, coarse_y
+        )
+        dense_keys = dense.select("__key").distinct()
+        e_d = e.join(dense_keys, "__key", "left_semi")
+        fine_local = edge_cells(e_d, "__key", wf).withColumn("__pc", _div(F.col("__c"), refine)).withColumn(
+            "__pk", _div(F.col("__k"), refine)
+        )
+        fine_local = fine_local.join(
+            dense.select("__key", F.col("__c").alias("__pc"), F.col("__k").alias("__pk")), ["__key", "__pc", "__pk"], "left_semi"
+        )
+        dense_rows = dense.select("__key", F.col("__k").alias("__pk")).distinct()
+        fine_rows = F.sequence(_floor_div(F.col("__miny"), wf) - 1, _floor_div(F.col("__maxy"), wf) + 1)
+        fiv = _line_intervals(e_d, fine_rows, fine_y).withColumn("__pk", _div(F.col("__k"), refine))
+        fiv = fiv.join(dense_rows, ["__key", "__pk"], "left_semi")
+        # clip each interval to the dense cells of its coarse row before spreading it over fine cells
+        cells_in_row = dense.select("__key", F.col("__k").alias("__pk"), F.col("__c").alias("__dc"))
+        fcov = fiv.join(cells_in_row, ["__key", "__pk"]).select(
+            "__key",
+            "__k",
+            F.explode(
+                F.sequence(
+                    F.greatest(_floor_div(F.col("a"), wf) - 1, F.col("__dc") * refine),
+                    F.least(_floor_div(F.col("b"), wf) + 1, F.col("__dc") * refine + (refine - 1)),
+                )
+            ).alias("__c"),
+            F.struct("a", "b").alias("__ivs"),
+        )
+        fine = _records(fine_local.drop("__pc", "__pk"), fcov, 1, fine_y)
+        records = coarse.unionByName(fine)
+    records = sized_broadcast(records.withColumnRenamed("__key", key), name)
+    dense.unpersist()
+    return CellIndex(records=records, key=key, cell_size=w, refine=refine, two_level=two_level)
+
+
+def locate(points: DataFrame, px: str, py: str, index: CellIndex) -> DataFrame:
+    """Points joined with the records of their cells (one equi-join).
+
+    Adds ``__lvl, __c, __k, __Y, key, __e, __iv``; evaluate with
+    :func:`inside_record_sql` using ``__Y`` as the line height.
+    """
+    wf = index.cell_size / index.refine
+    cf = _floor_div(F.col(px), wf)
+    k0 = _floor_div(F.col(py), wf)
+    kf = F.when(k0 * wf > F.col(py), k0 - 1).otherwise(k0)
+    coarse = F.struct(F.lit(0).alias("l"), _div(cf, index.refine).alias("c"), _div(kf, index.refine).alias("k"))
+    if index.two_level:
+        keys = F.explode(F.array(coarse, F.struct(F.lit(1).alias("l"), cf.alias("c"), kf.alias("k"))))
+        pts = points.withColumn("__cell", keys)
+    else:
+        pts = points.withColumn("__cell", coarse)
+    pts = (
+        pts.withColumn("__lvl", F.col("__cell.l"))
+        .withColumn("__c", F.col("__cell.c"))
+        .withColumn("__k", F.col("__cell.k"))
+        .drop("__cell")
     )
-    return both.groupBy("__c", "__k", "__key").agg(
-        F.collect_list("__edge").alias("__e"), F.collect_list("__ivs").alias("__iv")
-    ).withColumnRenamed("__key", key)
+    return pts.join(index.records, on=["__lvl", "__c", "__k"], how="inner")
 
 
 # ---------------------------------------------------------------- validity
@@ -240,17 +362,16 @@ def inside_record_sql(px: str, py: str, Y: str, e: str = "__e", iv: str = "__iv"
 
 
 def point_area_pairs(
-    points: DataFrame, x: Column, y: Column, areas: AreaSet, cell_size: float = 0.01
+    points: DataFrame, x: Column, y: Column, areas: AreaSet, cell_size: float = 0.01, max_edges: int = DEFAULT_MAX_EDGES
 ) -> DataFrame:
     """Point rows extended with ``areas.key`` for every area that contains them."""
-    w = float(cell_size)
-    records = sized_broadcast(cell_records(areas.edges, areas.key, w), "area-cell-records")
+    index = cell_index(areas.edges, areas.key, cell_size, max_edges=max_edges)
     pts = points.withColumn("__px", x.cast("double")).withColumn("__py", y.cast("double"))
-    c, k = _point_cell(F.col("__px"), F.col("__py"), w)
-    pts = pts.withColumn("__c", c).withColumn("__k", k)
-    joined = pts.join(records, on=["__c", "__k"], how="inner")
-    inside, on_edge = inside_record_sql("__px", "__py", f"(__k * {w!r})")
-    return joined.where(F.expr(f"{inside} AND NOT {on_edge}")).drop("__c", "__k", "__px", "__py", "__e", "__iv")
+    joined = locate(pts, "__px", "__py", index)
+    inside, on_edge = inside_record_sql("__px", "__py", "__Y")
+    return joined.where(F.expr(f"{inside} AND NOT {on_edge}")).drop(
+        "__lvl", "__c", "__k", "__Y", "__px", "__py", "__e", "__iv"
+    )
 
 
 def join_point_in_area(
@@ -262,6 +383,7 @@ def join_point_in_area(
     area_key: str | None = None,
     cell_size: float = 0.01,
     partition_count: int | None = None,
+    max_edges: int = DEFAULT_MAX_EDGES,
 ) -> DataFrame:
     """Inner join of points with the areas that contain them (boundary excluded).
 
@@ -289,6 +411,7 @@ def join_point_in_area(
         G.geom_y(_q(point_column)),
         AreaSet(areas.areas, areas.edges.withColumnRenamed(key, tmp_key), tmp_key, True),
         cell_size,
+        max_edges,
     )
     payload = areas.areas.withColumn(tmp_key, _q(key))
     joined = payload.join(pairs, on=tmp_key, how="inner")

@@ -129,3 +129,28 @@ def test_broadcast_limit_fallback_same_result(spark):
         spark.conf.unset("mapweave.broadcast.maxBytes")
     assert forced == small and small
     assert "shuffle_hash" in df._jdf.queryExecution().analyzed().toString().lower() or "ShuffledHashJoin" in plan or "SortMergeJoin" in plan
+
+
+@pytest.mark.parametrize("max_edges", [0, 1, 3])
+def test_dense_cells_refined_same_result(spark, max_edges):
+    """Records over the edge limit move to a finer grid; the answer must not change."""
+    pts = FX.fx_points(spark, SF_SMALL).select("point_id", G.point("lon", "lat").alias("pt"))
+    areas = catalog._areas_geom(FX.fx_areas(spark, SF_SMALL)).select("area_id", "geom")
+    base = S.join_point_in_area(pts, "pt", areas, "geom", area_key="area_id", cell_size=0.5)
+    refined = S.join_point_in_area(pts, "pt", areas, "geom", area_key="area_id", cell_size=0.5, max_edges=max_edges)
+    expect = sorted((r.point_id, r.area_id) for r in base.collect())
+    assert expect and sorted((r.point_id, r.area_id) for r in refined.collect()) == expect
+    index = S.cell_index(S.area_edges(areas, "geom", "area_id"), "area_id", 0.5, max_edges=max_edges)
+    assert index.two_level
+    coarse_max = index.records.where("__lvl = 0").selectExpr("coalesce(max(size(__e)), 0) AS m").first().m
+    assert coarse_max <= max_edges
+    assert index.records.where("__lvl = 1").count() > 0
+
+
+def test_refined_square_with_hole(spark):
+    pts = spark.createDataFrame(
+        [(1, 0.5, 0.5), (2, 2.0, 2.0), (3, 5.0, 1.0), (4, 4.0, 2.0), (5, 0.0, 0.0), (6, 3.5, 3.9), (7, 1.0, 2.0), (8, 3.2, 2.0)],
+        "pid int, x double, y double",
+    ).select("pid", G.point("x", "y").alias("pt"))
+    out = S.join_point_in_area(pts, "pt", _square_with_hole(spark), "poly", area_key="region", cell_size=4.0, max_edges=1)
+    assert sorted(r.pid for r in out.collect()) == [1, 6, 8]
