@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from mapweave.functions import geometry as G
 from mapweave.schema import check_for_duplicate_columns, is_geometry
-from mapweave.session import sized_broadcast
+from mapweave.session import materialize, sized_broadcast
 
 EDGE_COLS = ["x1", "y1", "x2", "y2"]
 
@@ -289,17 +289,8 @@ def locate(points: DataFrame, px: str, py: str, index: CellIndex) -> DataFrame:
 # ---------------------------------------------------------------- validity
 
 
-def self_intersections(edges: DataFrame, key: str, cell_size: float = 0.01) -> DataFrame:
-    """(key, x, y) for every proper crossing of two edges of the same area.
-
-    Edges meet only the edges that share a cell with them (equi-join on
-    area and cell); a crossing found in several shared cells is kept only in
-    the cell that contains the crossing point. Edges that merely touch at a
-    shared vertex are not reported. The work per cell is quadratic in the
-    edges of one area inside one cell, which ``cell_size`` keeps small.
-    """
-    w = float(cell_size)
-    local = edge_cells(edges, key, w)
+def _cell_crossings(local: DataFrame, key: str, cell_of_point) -> DataFrame:
+    """Proper crossings of edge pairs that share a cell, kept in the cell that contains them."""
     a = local.select(_q(key).alias("__ka"), F.col("__c").alias("__ca"), F.col("__k").alias("__kka"), F.col("__edge").alias("s"))
     b = local.select(_q(key).alias("__kb"), F.col("__c").alias("__cb"), F.col("__k").alias("__kkb"), F.col("__edge").alias("t"))
     pairs = a.join(
@@ -313,19 +304,62 @@ def self_intersections(edges: DataFrame, key: str, cell_size: float = 0.01) -> D
     found = pairs.where(F.expr(proper)).select(
         "__ka", "__ca", "__kka", F.expr(ix).alias("__x"), F.expr(iy).alias("__y")
     )
-    c, k = _point_cell(F.col("__x"), F.col("__y"), w)
+    c, k = cell_of_point(F.col("__x"), F.col("__y"))
     return found.where((c == F.col("__ca")) & (k == F.col("__kka"))).select(
         F.col("__ka").alias(key), F.col("__x").alias("x"), F.col("__y").alias("y")
     )
 
 
-def invalid_areas(edges: DataFrame, key: str, cell_size: float = 0.01) -> DataFrame:
+def self_intersections(
+    edges: DataFrame, key: str, cell_size: float = 0.01, max_edges: int = DEFAULT_MAX_EDGES, refine: int = REFINE
+) -> DataFrame:
+    """(key, x, y) for every proper crossing of two edges of the same area.
+
+    Edges meet only the edges that share a cell with them (equi-join on
+    area and cell); a crossing found in several shared cells is kept only in
+    the cell that contains the crossing point. Edges that merely touch at a
+    shared vertex are not reported. An (area, cell) with more than
+    ``max_edges`` edges is searched on a ``refine`` x finer grid instead, so
+    the pairs tested per cell stay bounded.
+    """
+    w = float(cell_size)
+    wf = w / refine
+
+    def fine_cell(x: Column, y: Column):
+        return _point_cell(x, y, wf)
+
+    def coarse_cell(x: Column, y: Column):
+        c, k = fine_cell(x, y)
+        return _div(c, refine), _div(k, refine)
+
+    local = edge_cells(edges, key, w)
+    cell_cols = [key, "__c", "__k"]
+    dense = local.groupBy(*cell_cols).count().where(F.col("count") > max_edges).select(*cell_cols).persist()
+    try:
+        if dense.isEmpty():
+            return _cell_crossings(local, key, coarse_cell)
+        coarse = _cell_crossings(local.join(dense, cell_cols, "left_anti"), key, coarse_cell)
+        parents = dense.select(key, F.col("__c").alias("__pc"), F.col("__k").alias("__pk"))
+        fine_local = (
+            edge_cells(edges.join(dense.select(key).distinct(), key, "left_semi"), key, wf)
+            .withColumn("__pc", _div(F.col("__c"), refine))
+            .withColumn("__pk", _div(F.col("__k"), refine))
+            .join(parents, [key, "__pc", "__pk"], "left_semi")
+            .drop("__pc", "__pk")
+        )
+        fine = _cell_crossings(fine_local, key, fine_cell)
+        return materialize(coarse.unionByName(fine), "self-intersections")
+    finally:
+        dense.unpersist()
+
+
+def invalid_areas(edges: DataFrame, key: str, cell_size: float = 0.01, max_edges: int = DEFAULT_MAX_EDGES) -> DataFrame:
     """(key, n_crossings, x, y, invalidity_explain) for areas whose edges cross.
 
     ``invalidity_explain`` reads ``Self-intersection[x y]`` for the smallest
     crossing point (x, then y); valid areas have no row.
     """
-    found = self_intersections(edges, key, cell_size)
+    found = self_intersections(edges, key, cell_size, max_edges=max_edges)
     per_area = found.groupBy(key).agg(F.count(F.lit(1)).alias("n_crossings"), F.min(F.struct("x", "y")).alias("p"))
     return per_area.select(
         key,

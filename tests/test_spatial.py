@@ -154,3 +154,19 @@ def test_refined_square_with_hole(spark):
     ).select("pid", G.point("x", "y").alias("pt"))
     out = S.join_point_in_area(pts, "pt", _square_with_hole(spark), "poly", area_key="region", cell_size=4.0, max_edges=1)
     assert sorted(r.pid for r in out.collect()) == [1, 6, 8]
+
+
+def test_self_intersections_refined_pentagram(spark):
+    import math
+
+    pts = [(math.cos(math.pi / 2 + i * 4 * math.pi / 5), math.sin(math.pi / 2 + i * 4 * math.pi / 5)) for i in range(5)]
+    pts.append(pts[0])
+    ring = F.array(*[G.vertex(F.lit(float(x)), F.lit(float(y))) for x, y in pts])
+    shapes = spark.range(1).select(F.lit(7).alias("k"), G.polygon(ring).alias("g"))
+    edges = S.area_edges(shapes, "g", "k")
+    results = []
+    for cell, max_edges in ((0.1, 512), (0.5, 512), (2.0, 512), (2.0, 1), (0.5, 0)):
+        found = S.self_intersections(edges, "k", cell, max_edges=max_edges).collect()
+        results.append(sorted((round(r.x, 9), round(r.y, 9)) for r in found))
+    assert len(results[0]) == 5
+    assert all(r == results[0] for r in results)
