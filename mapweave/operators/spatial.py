@@ -21,7 +21,9 @@ record side is measured small and splits hot cells on the point side.
 Nearest geometry
 ----------------
 Both sides are reprojected to a metric CRS, cut into cells of ``max_meter``
-(left bbox widened by the radius), equi-joined on the cell with a
+(one side's bbox widened by the radius: the right side when a proven bound
+of its widened copies fits the broadcast limit, else the left), equi-joined
+on the cell with a
 reference-cell rule that emits every pair once, measured exactly and reduced
 to the nearest right row per left row with ``min_by`` (partial aggregation,
 no window, no collection of a group).
@@ -29,6 +31,7 @@ no window, no collection of a group).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 
 from mapweave.functions import geometry as G
 from mapweave.schema import check_for_duplicate_columns, is_geometry
-from mapweave.session import materialize, sized_broadcast
+from mapweave.session import BROADCAST_EXPANSION, DEFAULT_BROADCAST_LIMIT, materialize, sized_broadcast, stored_bytes
 
 EDGE_COLS = ["x1", "y1", "x2", "y2"]
 
@@ -528,26 +531,45 @@ def join_nearest_geometry(
         .withColumn("__g1", G.reproject(_q(column_name_1), epsg_1, epsg_meter_based))
         .withColumn("__b1", G.bbox("__g1"))
     )
+    right = materialize(
+        df_in_2.withColumn("__g2", G.reproject(_q(column_name_2), epsg_2, epsg_meter_based))
+        .withColumn("__b2", G.bbox("__g2"))
+        .where(F.col("__g2").isNotNull()),
+        "nearest-right",
+    )
+    # Widen (by the radius) the side that is replicated least: the right side when
+    # a proven bound of its widened copies fits the broadcast limit, else the left.
+    ext = right.agg(
+        F.max(F.col("__b2.maxx") - F.col("__b2.minx")).alias("ex"), F.max(F.col("__b2.maxy") - F.col("__b2.miny")).alias("ey")
+    ).first()
+    limit = int(right.sparkSession.conf.get("mapweave.broadcast.maxBytes", str(DEFAULT_BROADCAST_LIMIT)))
+    widen_right = False
+    if ext.ex is not None:
+        copies = (math.ceil((ext.ex + 2 * r) / s) + 1) * (math.ceil((ext.ey + 2 * r) / s) + 1)
+        widen_right = stored_bytes(right) * copies * BROADCAST_EXPANSION <= limit
+    lr = 0.0 if widen_right else r
+    rr = r if widen_right else 0.0
     left = left.withColumn(
         "__cell",
         F.explode_outer(
             _cells_of_box(
-                F.col("__b1.minx") - r, F.col("__b1.miny") - r, F.col("__b1.maxx") + r, F.col("__b1.maxy") + r, s
+                F.col("__b1.minx") - lr, F.col("__b1.miny") - lr, F.col("__b1.maxx") + lr, F.col("__b1.maxy") + lr, s
             )
         ),
     )
-    right = (
-        df_in_2.withColumn("__g2", G.reproject(_q(column_name_2), epsg_2, epsg_meter_based))
-        .withColumn("__b2", G.bbox("__g2"))
-        .where(F.col("__g2").isNotNull())
-    )
     right = right.withColumn(
-        "__rcell", F.explode(_cells_of_box(F.col("__b2.minx"), F.col("__b2.miny"), F.col("__b2.maxx"), F.col("__b2.maxy"), s))
+        "__rcell",
+        F.explode(
+            _cells_of_box(
+                F.col("__b2.minx") - rr, F.col("__b2.miny") - rr, F.col("__b2.maxx") + rr, F.col("__b2.maxy") + rr, s
+            )
+        ),
     )
-    right = sized_broadcast(right, "nearest-right-cells")
+    right = F.broadcast(right) if widen_right else sized_broadcast(right, "nearest-right-cells")
 
-    ref_x = F.greatest(F.col("__b1.minx") - r, F.col("__b2.minx"))
-    ref_y = F.greatest(F.col("__b1.miny") - r, F.col("__b2.miny"))
+    # the lower-left corner of the overlap of both (one widened) boxes lies in exactly one shared cell
+    ref_x = F.greatest(F.col("__b1.minx") - lr, F.col("__b2.minx") - rr)
+    ref_y = F.greatest(F.col("__b1.miny") - lr, F.col("__b2.miny") - rr)
     cond = (
         (F.col("__cell.c") == F.col("__rcell.c"))
         & (F.col("__cell.k") == F.col("__rcell.k"))

@@ -170,3 +170,13 @@ def test_self_intersections_refined_pentagram(spark):
         results.append(sorted((round(r.x, 9), round(r.y, 9)) for r in found))
     assert len(results[0]) == 5
     assert all(r == results[0] for r in results)
+
+
+def test_nearest_both_widening_plans_agree(spark):
+    base = _nearest(spark, cell=9000.0)
+    spark.conf.set("mapweave.broadcast.maxBytes", "0")
+    try:
+        forced = _nearest(spark, cell=9000.0)
+    finally:
+        spark.conf.unset("mapweave.broadcast.maxBytes")
+    assert forced == base and base
