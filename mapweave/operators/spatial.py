@@ -82,7 +82,11 @@ def as_area_set(df_polygon: DataFrame | AreaSet, polygon_column: str | None, are
     if isinstance(df_polygon, AreaSet):
         return df_polygon
     if area_key is None:
-        raise ValueError("area_key is required for a geometry frame: the join reads areas twice")
+        # the join reads the areas twice (edges, payload): give each row an id once and keep it
+        keyed = materialize(df_polygon.withColumn("__area_row", F.monotonically_increasing_id()), "keyed-areas")
+        return AreaSet(
+            areas=keyed, edges=area_edges(keyed, polygon_column, "__area_row"), key="__area_row", hidden_key=True
+        )
     return AreaSet(areas=df_polygon, edges=area_edges(df_polygon, polygon_column, area_key), key=area_key)
 
 
@@ -426,8 +430,9 @@ def join_point_in_area(
 
     One output row per (point row, containing area row); columns are the area
     side's then the point side's. ``df_polygon`` is a frame with a geometry
-    column (then ``area_key`` names a unique key column) or an
-    :class:`AreaSet`. ``partition_count`` is accepted for compatibility; AQE
+    column (``area_key`` may name a unique key column; without one, rows are
+    numbered once and the numbered frame is written to the checkpoint folder)
+    or an :class:`AreaSet`. ``partition_count`` is accepted for compatibility; AQE
     sizes partitions at runtime.
     """
     assert point_column in df_in.schema.fieldNames(), f"'{point_column}' not in data frame df_in"

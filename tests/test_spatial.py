@@ -180,3 +180,19 @@ def test_nearest_both_widening_plans_agree(spark):
     finally:
         spark.conf.unset("mapweave.broadcast.maxBytes")
     assert forced == base and base
+
+
+def test_border_polygons_frame_and_keyless_join(spark):
+    from mapweave.operators.areas import border_polygons
+
+    frame = border_polygons(
+        FX.fx_map(spark, SF_SMALL), catalog.FIXTURE_AREA_FILTER, {"region": "element_at(tags, 'name')"},
+        add_debug_columns=True, cell_size=0.25,
+    )
+    assert frame.columns == ["region", "multipolygon", "id", "outer_polygon_count", "inner_polygon_count",
+                             "outer_point_count", "inner_point_count", "invalidity_explain"]
+    pts = FX.fx_points(spark, SF_SMALL).select("point_id", G.point("lon", "lat").alias("pt"))
+    keyless = S.join_point_in_area(pts, "pt", frame.select("region", "multipolygon"), "multipolygon", cell_size=0.25)
+    assert keyless.columns == ["region", "multipolygon", "point_id", "pt"]
+    keyed = S.join_point_in_area(pts, "pt", frame, "multipolygon", area_key="id", cell_size=0.25)
+    assert sorted((r.point_id, r.region) for r in keyless.collect()) == sorted((r.point_id, r.region) for r in keyed.collect())
