@@ -21,9 +21,9 @@ record side is measured small and splits hot cells on the point side.
 Nearest geometry
 ----------------
 Both sides are reprojected to a metric CRS, cut into cells of ``max_meter``
-(one side's bbox widened by the radius: the right side when a proven bound
-of its widened copies fits the broadcast limit, else the left), equi-joined
-on the cell with a
+(the smaller side's bbox widened by the radius, so the larger side is never
+replicated; the right side is broadcast only under a proven size bound),
+equi-joined on the cell with a
 reference-cell rule that emits every pair once, measured exactly and reduced
 to the nearest right row per left row with ``min_by`` (partial aggregation,
 no window, no collection of a group).
@@ -510,6 +510,7 @@ def join_nearest_geometry(
     closest_point_column_2: str | None = None,
     cell_size: float | None = None,
     tie_breaker: Sequence[str] | None = None,
+    widen: str | None = None,
 ) -> DataFrame:
     """For every row of ``df_in_1`` the nearest row of ``df_in_2`` within ``max_meter``.
 
@@ -518,8 +519,9 @@ def join_nearest_geometry(
     left rows kept with NULLs) or ``inner``. Optional closest points are
     returned in each side's own CRS. ``tie_breaker`` (right-side columns)
     makes the choice among equal distances deterministic. ``cell_size``
-    (metres, default ``max_meter``) only changes the work split, never the
-    result.
+    (metres, default ``max_meter``) and ``widen`` (``"left"``/``"right"``:
+    which side's boxes grow by the radius; default the smaller side) only
+    change the work split, never the result.
     """
     how = join_type.lower().replace("_", "")
     if how in ("left", "leftouter"):
@@ -542,18 +544,23 @@ def join_nearest_geometry(
         .where(F.col("__g2").isNotNull()),
         "nearest-right",
     )
-    # Widen (by the radius) the side that is replicated least: the right side when
-    # a proven bound of its widened copies fits the broadcast limit, else the left.
+    # Widen (by the radius) the smaller side, so the larger one is never replicated: the
+    # right side's size is measured, the left side's is the optimizer's estimate (a cost
+    # choice only). The right side is broadcast only when a proven bound of its copies fits.
     ext = right.agg(
         F.max(F.col("__b2.maxx") - F.col("__b2.minx")).alias("ex"), F.max(F.col("__b2.maxy") - F.col("__b2.miny")).alias("ey")
     ).first()
     limit = int(right.sparkSession.conf.get("mapweave.broadcast.maxBytes", str(DEFAULT_BROADCAST_LIMIT)))
-    widen_right = False
-    if ext.ex is not None:
-        copies = (math.ceil((ext.ex + 2 * r) / s) + 1) * (math.ceil((ext.ey + 2 * r) / s) + 1)
-        widen_right = stored_bytes(right) * copies * BROADCAST_EXPANSION <= limit
+    right_bytes = stored_bytes(right) * BROADCAST_EXPANSION
+    size = df_in_1._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    left_estimate = size if isinstance(size, int) else int(size.toString())
+    widen_right = ext.ex is not None and (right_bytes <= left_estimate if widen is None else widen == "right")
     lr = 0.0 if widen_right else r
     rr = r if widen_right else 0.0
+    broadcast_right = False
+    if ext.ex is not None:
+        copies = (math.ceil((ext.ex + 2 * rr) / s) + 1) * (math.ceil((ext.ey + 2 * rr) / s) + 1)
+        broadcast_right = right_bytes * copies <= limit
     left = left.withColumn(
         "__cell",
         F.explode_outer(
@@ -570,7 +577,7 @@ def join_nearest_geometry(
             )
         ),
     )
-    right = F.broadcast(right) if widen_right else sized_broadcast(right, "nearest-right-cells")
+    right = F.broadcast(right) if broadcast_right else right.hint("shuffle_hash")
 
     # the lower-left corner of the overlap of both (one widened) boxes lies in exactly one shared cell
     ref_x = F.greatest(F.col("__b1.minx") - lr, F.col("__b2.minx") - rr)

@@ -54,10 +54,12 @@ def test_point_in_area_cell_invariance(spark):
     assert len(results[0]) > 0
 
 
-def _nearest(spark, how="leftouter", cell=None, radius=50000):
+def _nearest(spark, how="leftouter", cell=None, radius=50000, widen=None):
     pts = FX.fx_points(spark, SF_SMALL).select("point_id", G.point("lon", "lat").alias("pt"))
     sites = FX.fx_sites(spark, SF_SMALL).select("site_id", G.point("lon", "lat").alias("site"))
-    out = S.join_nearest_geometry(pts, sites, "pt", "site", max_meter=radius, join_type=how, cell_size=cell, tie_breaker=["site_id"])
+    out = S.join_nearest_geometry(
+        pts, sites, "pt", "site", max_meter=radius, join_type=how, cell_size=cell, tie_breaker=["site_id"], widen=widen
+    )
     return sorted((r.point_id, r.site_id, None if r.distance is None else round(r.distance, 6)) for r in out.collect())
 
 
@@ -196,3 +198,8 @@ def test_border_polygons_frame_and_keyless_join(spark):
     assert keyless.columns == ["region", "multipolygon", "point_id", "pt"]
     keyed = S.join_point_in_area(pts, "pt", frame, "multipolygon", area_key="id", cell_size=0.25)
     assert sorted((r.point_id, r.region) for r in keyless.collect()) == sorted((r.point_id, r.region) for r in keyed.collect())
+
+
+@pytest.mark.parametrize("widen", ["left", "right"])
+def test_nearest_widening_side_does_not_change_result(spark, widen):
+    assert _nearest(spark, cell=9000.0, widen=widen) == _nearest(spark, cell=9000.0)
