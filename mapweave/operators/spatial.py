@@ -268,11 +268,13 @@ def cell_index(
     return CellIndex(records=records, key=key, cell_size=w, refine=refine, two_level=two_level)
 
 
-def locate(points: DataFrame, px: str, py: str, index: CellIndex) -> DataFrame:
+def locate(points: DataFrame, px: str, py: str, index: CellIndex, match: tuple[str, str] | None = None) -> DataFrame:
     """Points joined with the records of their cells (one equi-join).
 
     Adds ``__lvl, __c, __k, __Y, key, __e, __iv``; evaluate with
-    :func:`inside_record_sql` using ``__Y`` as the line height.
+    :func:`inside_record_sql` using ``__Y`` as the line height. ``match``
+    ``(point column, record key field)`` adds one more equality to the join
+    keys, e.g. to meet only the areas of the point's own relation.
     """
     wf = index.cell_size / index.refine
     cf = _floor_div(F.col(px), wf)
@@ -290,7 +292,13 @@ def locate(points: DataFrame, px: str, py: str, index: CellIndex) -> DataFrame:
         .withColumn("__k", F.col("__cell.k"))
         .drop("__cell")
     )
-    return pts.join(index.records, on=["__lvl", "__c", "__k"], how="inner")
+    if match is None:
+        return pts.join(index.records, on=["__lvl", "__c", "__k"], how="inner")
+    point_col, record_field = match
+    recs = index.records.withColumn("__match", F.col(record_field))
+    return pts.withColumn("__match", F.col(point_col)).join(
+        recs, on=["__lvl", "__c", "__k", "__match"], how="inner"
+    ).drop("__match")
 
 
 # ---------------------------------------------------------------- validity
