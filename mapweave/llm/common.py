@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,7 @@ def stage(df: DataFrame) -> DataFrame:
 def with_package(df: DataFrame) -> DataFrame:
     """Make sure Python workers can import this package before Python runs on ``df``."""
     ship_package(df.sparkSession)
+    bounded_batches(df.sparkSession)
     return df
 
 
@@ -108,7 +110,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def connected_components(edges: DataFrame, nodes_hint: int | None = None) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest reachable node per node of an undirected edge table ``(a, b)``; columns ``node, comp``.
 
     Alternating large-star / small-star rounds, each one shuffle on the node with
@@ -142,3 +144,30 @@ def connected_components(edges: DataFrame, nodes_hint: int | None = None) -> Dat
 def size_band(n: int, share: float) -> int:
     """Sets whose sizes differ by at most the factor ``share`` fall in the same or in neighbouring bands."""
     return int(math.floor(math.log(max(n, 1)) / -math.log(share) + 1e-9))
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of long texts be cut by bytes as well as by rows (unless the session says otherwise)."""
+    for key, value in (("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20)),):
+        if spark.conf.get(key, None) in (None, str(2**31 - 1), str(2**63 - 1), "-1"):
+            spark.conf.set(key, value)
+
+
+SMALL_ROWS = 400_000  # narrow rows (at most 32 bytes each) that may be broadcast
+
+
+def sized(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """``df`` (narrow and staged) marked for broadcast if its counted rows fit the limit."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def staged_table(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], None]]:
+    """Like :func:`stage` for wide intermediates, as compressed columns; the caller releases it once it has been used up."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+
+    def release() -> None:
+        spark.range(0).write.mode("overwrite").parquet(path)
+
+    return spark.read.schema(df.schema).parquet(path), release

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, quality, sharding
+from . import bpe, chat, decontam, jaccard, license, quality, secrets, sharding, toxicity
 from .common import read
 
+VOCABULARY = "word_bpe_49k.json"
+
 QUERIES = {}
 ORACLES: dict[str, str] = {}
 SHARDS, SHARD_SEED = 16, 20240229
@@ -31,6 +33,22 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+@query("op2_ngram_jaccard")
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(read(spark, sf_dir, "documents"))
+
+
+@query("op4_license_scan")
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(read(spark, sf_dir, "documents"))
+
+
 @query("op5_decontamination")
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -46,6 +64,11 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(turns.unionByName(forged)))
 
 
+@query("op7_bpe")
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read(spark, sf_dir, "documents"), vocabulary())
+
+
 @query("op8_quality_rules")
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents")).select(
@@ -53,6 +76,31 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_secret_scan")
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.train(docs)).selectExpr(
+        "doc_id",
+        "n_candidates",
+        "CAST(size(findings) AS bigint) AS n_findings",
+        "array_join(transform(findings, f -> concat(f.start, '-', f.end)), ',') AS spans",
+        "crc32(CAST(redacted AS binary)) AS redacted_crc32",
+    )
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).selectExpr(
+        "doc_id",
+        f"{toxicity.held_out()} AS held_out",
+        "score",
+        "CAST(score >= 0.5 AS int) AS predicted",
+        "CAST(size(spans) AS bigint) AS n_spans",
+    )
+
+
 ORACLES["op5_decontamination"] = rf"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rid, {ALNUM_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {ALNUM_WORDS} AS v FROM benchmark),
