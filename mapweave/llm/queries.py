@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontam, jaccard, license, quality, secrets, sharding, toxicity
+from mapweave.session import checkpoint_dir
+
+from . import bpe, chat, decontam, idcoder, jaccard, license, quality, secrets, sharding, toxicity
 from .common import read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -12,6 +16,7 @@ VOCABULARY = "word_bpe_49k.json"
 QUERIES = {}
 ORACLES: dict[str, str] = {}
 SHARDS, SHARD_SEED = 16, 20240229
+END_ID = 2
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ALNUM_WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -44,6 +49,13 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(read(spark, sf_dir, "documents"))
 
 
+@query("op3_token_files")
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{checkpoint_dir(spark).rstrip('/')}/token-ids-{uuid.uuid4().hex}"
+    idcoder.write_ids(read(spark, sf_dir, "documents"), vocabulary(), path, END_ID)
+    return idcoder.digests(spark, path)
+
+
 @query("op4_license_scan")
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(read(spark, sf_dir, "documents"))
