@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from mapweave.session import checkpoint_dir, ship_package
 
 # text handled at once inside a Python task; bounds the worker's memory, not the work
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 3 << 20
 
 # regular expressions of the two word definitions, as Java and RE2 both read them
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -76,6 +75,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()
 
 
 class WordTable:
@@ -141,11 +141,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return nxt.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(roots)
 
 
-def size_band(n: int, share: float) -> int:
-    """Sets whose sizes differ by at most the factor ``share`` fall in the same or in neighbouring bands."""
-    return int(math.floor(math.log(max(n, 1)) / -math.log(share) + 1e-9))
-
-
 def bounded_batches(spark: SparkSession) -> None:
     """Let Arrow batches of long texts be cut by bytes as well as by rows (unless the session says otherwise)."""
     for key, value in (("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20)),):

@@ -11,18 +11,18 @@ each partner size; who shares a key is linked, without looking at any pair. A
 set is small while its subsets are cheaper than scanning: see :func:`boundary`.
 
 Large sets (heavy): the inverted lists of each set's prefix are scanned. The
-global order puts elements seen often last, so prefixes are made of rare
-elements. A list does not emit its pairs: lists only say which sets
-belong to one candidate group (by links to the list's smallest member, within
-neighbouring size bands). The sets of a candidate group then meet, and the
-exact overlaps are counted there from the inverted lists of the group. Groups over
-``GROUP_SETS`` sets or ``GROUP_ITEMS`` elements are split into blocks, and every
-two blocks meet in a task of their own, so no task holds an unbounded group and
-no link is lost. A task returns a spanning forest of its links, never all pairs.
-
-How often an element is seen is counted over all documents; counts below
-``LOCAL_LEAST`` inside one task are left out, which can only change the order of
-the scan, never the result.
+global order puts elements by the number of documents that have them, rare ones
+first. A set whose prefix has only elements of its own links with nothing; this is
+settled by one count over all elements (:func:`_dealt`, packed arrays, one entry
+for each distinct element of a slice, so frequent elements are combined before
+the shuffle). What is left forms lists. A list does not emit its pairs: sorted by
+size, neighbours whose sizes may link are chained, which tells the candidate groups;
+lists of frequent elements are salted and their heads chained again. The sets
+of a candidate group then meet, and the exact overlaps are counted there from the
+inverted lists of the group. Groups over ``GROUP_SETS`` sets or ``GROUP_ITEMS``
+elements are split into blocks, and every two blocks meet in a task of their
+own, so no task holds an unbounded group and no link is lost. A task returns a
+spanning forest of its links, never all pairs.
 
 Defined cases: NULL or word-free texts have the empty set, size 0, and link with
 nothing; a NULL doc_id takes no part in links and has a NULL component; rows with
@@ -40,14 +40,20 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordTable, connected_components, mix64, size_band, sized, stage, staged_table, text_slices, with_package
+from .common import WordTable, connected_components, mix64, sized, stage, staged_table, text_slices, with_package
 
 SHINGLE, LEAST = 3, 90
-LOCAL_LEAST = 4  # occurrences inside one task from which an element is reported as frequent
-FREQUENT = 200_000  # most elements whose counts order the scan (16 bytes each); rarer ones are ordered by hash
+FREQUENT = 200_000  # most elements whose counts order the scan (16 bytes each); the others are ordered by hash
+SEEN_LEAST = 16  # documents that must have an element for its count to be kept
+HOT_LIST = 4096  # documents that have an element whose list is salted
+SALTS = 64
+KEY_BITS = 48  # of an element, where elements are only counted
+SLICE_ROWS = 50_000
 GROUP_SETS, GROUP_ITEMS = 3000, 1_000_000  # bounds of one verification task
 
 
@@ -115,48 +121,158 @@ def _signature(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-_SEEN = "doc_id bigint, n bigint, sig binary, token bigint, seen bigint"
+# rows between the counting stages: kind 0 has the documents of a slice, 1 elements on the way
+# to their bucket, 2 counts on the way back to their slice, 3 frequent elements
+_COUNTING = "kind int, bucket int, slice bigint, a binary, b binary, c binary, d binary, token bigint, seen bigint"
+_COUNTING_ARROW = pa.schema(
+    [("kind", pa.int32()), ("bucket", pa.int32()), ("slice", pa.int64())]
+    + [(c, pa.binary()) for c in "abcd"]
+    + [("token", pa.int64()), ("seen", pa.int64())]
+)
+_COUNTED = "doc_id bigint, n bigint, sig binary, alone bigint"
 
 
-def _survey(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size and signature of every set; at the end the elements that this task saw often."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("token", pa.int64()), ("seen", pa.int64())])
-    counts_t, counts_n, waiting, held = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
+def _planes(keys: np.ndarray) -> bytes:
+    """The low six bytes of sorted keys, byte plane by byte plane, so that equal high bytes stand together."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8].T.tobytes()
 
-    def count():
-        tokens = np.concatenate([counts_t, *waiting])
-        weights = np.concatenate([counts_n, np.ones(len(tokens) - len(counts_t), np.int64)])
-        order = np.argsort(tokens, kind="stable")
-        tokens, weights = tokens[order], weights[order]
-        first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
-        return tokens[first], np.add.reduceat(weights, first) if len(first) else np.zeros(0, np.int64)
 
+def _from_planes(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(KEY_BITS // 8, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : KEY_BITS // 8] = planes.T
+    return out.view("<u8").ravel()
+
+
+def _counting_rows(rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, schema=_COUNTING_ARROW)
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First index and length of the runs of equal sorted keys."""
+    if not len(keys):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return first, np.diff(np.append(first, len(keys)))
+
+
+def _dealt(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Documents of each slice, and its distinct elements dealt to buckets by value.
+
+    An element that one document of the slice has goes with the document's place, one
+    that several have goes with their number only.
+    """
+    part, number = TaskContext.get().partitionId(), 0
     for batch in batches:
-        for rows in text_slices(batch):
+        for rows in (r.slice(k, SLICE_ROWS) for r in text_slices(batch) for k in range(0, len(r), SLICE_ROWS)):
+            key, number = part << 32 | number, number + 1
             sets = shingle_sets(rows.column("text"))
-            k = len(sets)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column("doc_id"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([_signature(s) for s in sets], pa.binary()),
-                    pa.nulls(k, pa.int64()),
-                    pa.nulls(k, pa.int64()),
-                ],
-                schema=schema,
-            )
-            waiting += sets
-            held += sum(map(len, sets))
-            if held > 2_000_000:  # elements seen once so far are forgotten: this only orders the scan
-                counts_t, counts_n = count()
-                keep = counts_n > 1
-                counts_t, counts_n, waiting, held = counts_t[keep], counts_n[keep], [], 0
-    counts_t, counts_n = count()
-    keep = counts_n >= LOCAL_LEAST
-    t, n = counts_t[keep].view(np.int64), counts_n[keep]
-    yield pa.RecordBatch.from_arrays(
-        [pa.nulls(len(t), pa.int64()), pa.nulls(len(t), pa.int64()), pa.nulls(len(t), pa.binary()), pa.array(t), pa.array(n)], schema=schema
-    )
+            sizes = np.array([len(x) for x in sets], np.int64)
+            ids = rows.column("doc_id")
+            out = [
+                {
+                    "kind": 0, "bucket": key % buckets, "slice": key,
+                    "a": pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype("<i8").tobytes(),
+                    "b": sizes.astype("<i8").tobytes(),
+                    "c": b"".join(_signature(x) for x in sets),
+                    "d": pc.is_null(ids).to_numpy(zero_copy_only=False).astype(np.uint8).tobytes(),
+                }
+            ]
+            keys = np.concatenate(sets) >> np.uint64(64 - KEY_BITS)
+            owner = np.repeat(np.arange(len(sets)), sizes)
+            order = np.argsort(keys)
+            keys, owner = keys[order], owner[order]
+            first, count = _runs(keys)
+            single = count == 1
+            alone, its = keys[first[single]], owner[first[single]]
+            several, times = keys[first[~single]], count[~single]
+            edges = (np.arange(buckets + 1, dtype=object) * (1 << KEY_BITS) // buckets).astype(np.uint64)
+            at, bt = np.searchsorted(alone, edges), np.searchsorted(several, edges)
+            for k in range(buckets):
+                if at[k] < at[k + 1] or bt[k] < bt[k + 1]:
+                    out.append(
+                        {
+                            "kind": 1, "bucket": k, "slice": key,
+                            "a": _planes(alone[at[k] : at[k + 1]]), "b": its[at[k] : at[k + 1]].astype("<u2").tobytes(),
+                            "c": _planes(several[bt[k] : bt[k + 1]]), "d": times[bt[k] : bt[k + 1]].astype("<u4").tobytes(),
+                        }
+                    )
+            yield _counting_rows(out)
+
+
+def _counted_bucket(held: list[tuple]) -> list[dict]:
+    """Per slice, how many elements of each document no other document has; and the frequent elements."""
+    alone = [_from_planes(a) for _, a, _, _, _ in held]
+    several = [_from_planes(c) for _, _, _, c, _ in held]
+    slices = np.repeat(np.arange(len(held)), [len(x) for x in alone])
+    owner = np.concatenate([np.frombuffer(b, "<u2") for _, _, b, _, _ in held])
+    n_alone = len(owner)
+    keys = np.concatenate([*alone, *several])
+    weight = np.concatenate([np.ones(n_alone, np.int64), *(np.frombuffer(d, "<u4").astype(np.int64) for *_, d in held)])
+    order = np.argsort(keys)
+    first, count = _runs(keys[order])
+    if not len(first):
+        return []
+    seen = np.add.reduceat(weight[order], first)
+    mine = order[first[(count == 1) & (seen == 1)]]
+    out = []
+    by_slice = mine[np.argsort(slices[mine], kind="stable")]
+    cuts = np.searchsorted(slices[by_slice], np.arange(len(held) + 1))
+    for k, (key, *_) in enumerate(held):
+        if cuts[k] < cuts[k + 1]:
+            counts = np.minimum(np.bincount(owner[by_slice[cuts[k] : cuts[k + 1]]]), 65535)
+            out.append({"kind": 2, "slice": key, "a": counts.astype("<u2").tobytes()})
+    often = np.flatnonzero(seen >= SEEN_LEAST)
+    tokens = keys[order][first[often]].astype(np.int64)
+    out += [{"kind": 3, "token": t, "seen": n} for t, n in zip(tokens.tolist(), seen[often].tolist(), strict=True)]
+    return out
+
+
+def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Buckets arrive one after the other; one is held at a time. Document rows pass through."""
+    bucket, held = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["kind"] == 0:
+                yield _counting_rows([row])
+                continue
+            if row["bucket"] != bucket and held:
+                yield _counting_rows(_counted_bucket(held))
+                held = []
+            bucket = row["bucket"]
+            held.append((row["slice"], row["a"], row["b"], row["c"], row["d"]))
+    if held:
+        yield _counting_rows(_counted_bucket(held))
+
+
+def _summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one slice stand together, its documents first: one row per document with all its counts."""
+    docs, alone = None, np.zeros(0, np.int64)
+
+    def flush():
+        ids, null = np.frombuffer(docs["a"], "<i8"), np.frombuffer(docs["d"], np.uint8).astype(bool)
+        sigs = [docs["c"][k : k + 16] for k in range(0, len(docs["c"]), 16)]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(ids, pa.int64(), mask=null),
+                pa.array(np.frombuffer(docs["b"], "<i8"), pa.int64()),
+                pa.array(sigs, pa.binary()),
+                pa.array(alone, pa.int64()),
+            ],
+            names=["doc_id", "n", "sig", "alone"],
+        )
+
+    for batch in batches:
+        for row in batch.select(["kind", "slice", "a", "b", "c", "d"]).to_pylist():
+            if row["kind"] == 0:
+                if docs is not None:
+                    yield flush()
+                docs, alone = row, np.zeros(len(row["a"]) // 8, np.int64)
+            else:
+                counts = np.frombuffer(row["a"], "<u2")
+                alone[: len(counts)] += counts
+    if docs is not None:
+        yield flush()
 
 
 def _subset_rows(s: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
@@ -174,30 +290,39 @@ def _subset_rows(s: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
 
 
 def _lists(batches: Iterable[pa.RecordBatch], frequent, least: int, small: int) -> Iterator[pa.RecordBatch]:
-    """Rows of the inverted lists: ``kind`` 0 for subsets of small sets, 1 for prefix elements."""
-    schema = pa.schema([("kind", pa.int32()), ("token", pa.int64()), ("band", pa.int32()), ("n", pa.int32()), ("node", pa.int64())])
+    """Rows of the inverted lists: ``kind`` 0 for subsets of small sets, 1 for prefix elements.
+
+    ``part`` is the smaller size of a subset key, or the salt of a frequent element.
+    """
+    schema = pa.schema([("kind", pa.int32()), ("token", pa.int64()), ("part", pa.int32()), ("n", pa.int32()), ("node", pa.int64())])
     often_t, often_n = frequent.value
     for batch in batches:
         for rows in text_slices(batch):
-            out = {c: [] for c in schema.names}
+            light, heavy = [], []
             for node, s in zip(rows.column("doc_id").to_pylist(), shingle_sets(rows.column("text")), strict=True):
                 n = len(s)
                 if not n:
                     continue
                 if n <= small:
-                    for key, a, size in _subset_rows(s, least):
-                        out["kind"].append(0), out["token"].append(key), out["band"].append(a)
-                        out["n"].append(size), out["node"].append(node)
+                    light += [(0, key, a, size, node) for key, a, size in _subset_rows(s, least)]
                 if n > small or 100 * n >= least * (small + 1):
                     count = np.zeros(n, np.int64)
                     if len(often_t):
-                        at = np.minimum(np.searchsorted(often_t, s), len(often_t) - 1)
-                        count = np.where(often_t[at] == s, often_n[at], 0)
-                    p = prefix_length(n, least)
-                    for token in s[np.lexsort((s, count))[:p]].view(np.int64).tolist():
-                        out["kind"].append(1), out["token"].append(token)
-                        out["band"].append(size_band(n, least / 100)), out["n"].append(n), out["node"].append(node)
-            yield pa.RecordBatch.from_pydict(out, schema=schema)
+                        keys = s >> np.uint64(64 - KEY_BITS)
+                        at = np.minimum(np.searchsorted(often_t, keys), len(often_t) - 1)
+                        count = np.where(often_t[at] == keys, often_n[at], 0)
+                    first = np.lexsort((s, count))[: prefix_length(n, least)]
+                    salt = int(mix64(np.array([node], np.int64).view(np.uint64))[0] % np.uint64(SALTS)) + 1
+                    part = np.where(count[first] >= HOT_LIST, salt, 0)
+                    heavy += [(1, t, p, n, node) for t, p in zip(s[first].view(np.int64).tolist(), part.tolist(), strict=True)]
+            cols = list(zip(*light, *heavy, strict=True)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+
+def _chained(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Neighbours in the order of size within each list, with what stands before each row."""
+    w = Window.partitionBy(*by).orderBy("n", "node")
+    return rows.withColumn("before", F.lag("node").over(w)).withColumn("n_before", F.lag("n").over(w))
 
 
 # ------------------------------------------------------------------ verification of one group
@@ -320,33 +445,42 @@ def link(docs: DataFrame, least: int = LEAST) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     small = boundary(least)
 
-    survey = stage(texts.mapInArrow(_survey, _SEEN))
-    rows = survey.where("sig IS NOT NULL").select("doc_id", "n", "sig")
-    known = rows.where("n > 0 AND doc_id IS NOT NULL")
-    classes = stage(known.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")))
-
-    counts = survey.where("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen"))
-    often = counts.orderBy(F.desc("seen"), "token").limit(FREQUENT).toArrow()
-    tokens = often["token"].to_numpy().astype(np.int64).view(np.uint64)
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = texts.mapInArrow(lambda b: _dealt(b, buckets), _COUNTING).repartition("bucket").sortWithinPartitions("bucket")
+    counting, counting_done = staged_table(dealt.mapInArrow(_counted, _COUNTING), "counts")
+    by_slice = counting.where("kind IN (0, 2)").repartition("slice").sortWithinPartitions("slice", "kind")
+    survey = stage(by_slice.mapInArrow(_summed, _COUNTED))
+    often = counting.where("kind = 3").select("token", "seen").orderBy(F.desc("seen"), "token").limit(FREQUENT).toArrow()
+    counting_done()
+    tokens = often["token"].to_numpy().astype(np.uint64)
     order = np.argsort(tokens)
     frequent = spark.sparkContext.broadcast((tokens[order], often["seen"].to_numpy().astype(np.int64)[order]))
 
-    # only the smallest id of a class goes on; the others are few, or else both sides shuffle
-    reps = classes.select("rep").distinct()
-    others = stage(known.select("doc_id").distinct().join(reps, F.col("doc_id") == F.col("rep"), "left_anti"))
-    own = texts.where("doc_id IS NOT NULL").join(sized(others), "doc_id", "left_anti")
+    rows = survey.select("doc_id", "n", "sig")
+    known = survey.where("n > 0 AND doc_id IS NOT NULL")
+    classes = stage(known.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.max("alone").alias("alone")))
+
+    # sets with a prefix of their own link with nothing; of the others the smallest id of a class goes on
+    prefix = F.expr(f"n - CAST(ceil(n * {least} / 100) AS bigint) + 1")
+    reps = stage(classes.where(F.col("alone") < prefix).select(F.col("rep").alias("doc_id")).distinct())
     lists, release = staged_table(
-        own.mapInArrow(lambda b: _lists(b, frequent, least, small), "kind int, token bigint, band int, n int, node bigint"), "lists"
+        texts.join(sized(reps), "doc_id", "left_semi").mapInArrow(
+            lambda b: _lists(b, frequent, least, small), "kind int, token bigint, part int, n int, node bigint"
+        ),
+        "lists",
     )
     # light: a key with a set of the smaller size links all that have it
     keys = lists.where("kind = 0")
-    heads = keys.where("n = band").groupBy("token").agg(F.min("node").alias("head"))
+    heads = keys.where("n = part").groupBy("token").agg(F.min("node").alias("head"))
     light = stage(keys.join(heads, "token").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")))
 
-    # heavy: sets in one list and in neighbouring size bands may be linked
-    prefix = lists.where("kind = 1").select("token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), "node")
-    entry = prefix.groupBy("token", "band").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last")
-    near = prefix.join(entry, ["token", "band"]).select(F.col("node").alias("a"), F.col("head").alias("b"))
+    # heavy: sets of one list whose sizes may link are chained; heads of salted lists once more
+    linked_sizes = f"before IS NOT NULL AND before <> node AND 100 * n_before >= {least} * n"
+    chain = _chained(lists.where("kind = 1"), ["token", "part"])
+    salted = chain.where("part > 0 AND (n_before IS NULL OR n_before < n)").select("token", "n", "node")
+    again = _chained(salted, ["token"])
+    ends = [F.col("node").alias("a"), F.col("before").alias("b")]
+    near = chain.where(linked_sizes).select(*ends).unionByName(again.where(linked_sizes).select(*ends))
     groups = stage(connected_components(near))
     release()
 
