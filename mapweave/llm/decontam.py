@@ -36,34 +36,35 @@ ITEM_WORDS_BROADCAST = 1_000_000  # words of all items together
 
 
 def _shifted(a: str, by: int, f: str) -> str:
-    """SQL text: ``f`` applied to elements ``by`` apart."""
-    return f"zip_with(slice({a}, 1, size({a}) - {by}), slice({a}, {by + 1}, size({a}) - {by}), (x, y) -> {f})"
+    """SQL text: ``f`` applied to elements ``by`` apart; empty where there are too few."""
+    left = f"greatest(size({a}) - {by}, 0)"
+    return f"zip_with(slice({a}, 1, {left}), slice({a}, {by + 1}, {left}), (x, y) -> {f})"
 
 
 def _grams(k: int, src: DataFrame, keep: list[str]) -> DataFrame:
-    """Column ``g``: 32-bit hash of every ``k`` consecutive words of ``w`` (rows hold at least ``k`` words)."""
+    """Column ``g``: 32-bit hash of every ``k`` consecutive words of ``w`` (none in rows with fewer)."""
     df = src.selectExpr(*keep, "transform(w, x -> hash(x)) AS h").selectExpr(*keep, "h", "h AS g")
     width = 1
     while width < k:
         step = min(width, k - width)
-        df = df.selectExpr(
-            *keep,
-            "h",
-            f"zip_with(slice(g, 1, size(g) - {step}), slice(g, {step + 1}, size(g) - {step}), (x, y) -> hash(x, y)) AS g",
-        )
+        df = df.selectExpr(*keep, "h", f"{_shifted('g', step, 'hash(x, y)')} AS g")
         width += step
     return df.selectExpr(*keep, "g")
 
 
 def _fingerprints(src: DataFrame, keep: list[str], k: int, span: int) -> DataFrame:
-    """Rows of ``src`` (``w`` with at least ``span`` words) with ``fps``: packed (hash, place) of each window's minimum."""
+    """Rows of ``src`` with ``fps``: packed (hash, place) of each window's minimum, none under ``span`` words.
+
+    Staged: a later explode would otherwise push a filter on ``fps`` below, which writes the
+    whole chain of expressions out once more for each time it is used.
+    """
     df = _grams(k, src, keep).selectExpr(*keep, "transform(g, (x, i) -> shiftleft(CAST(x AS bigint), 32) | i) AS m")
     width, need = 1, span - k + 1
     while width < need:
         step = min(width, need - width)
         df = df.selectExpr(*keep, f"{_shifted('m', step, 'least(x, y)')} AS m")
         width += step
-    return df.selectExpr(*keep, "array_distinct(m) AS fps")
+    return stage(df.selectExpr(*keep, "array_distinct(m) AS fps"))
 
 
 def _rows(src: DataFrame, keep: list[str], tag: int) -> DataFrame:
@@ -97,11 +98,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
         return counted.selectExpr(*key, "n_words", "0L AS n_hit", "CAST(array() AS array<string>) AS item_ids")
 
     # fingerprints of all documents, one scan for all spans; kept with the word counts
-    guarded = counted.selectExpr(*key, "n_words", f"CASE WHEN n_words >= {WINDOW} THEN w ELSE array_repeat('', {WINDOW}) END AS w")
-    long_fps = _fingerprints(guarded, [*key, "n_words"], GRAM, WINDOW).selectExpr(
-        *key, "n_words", f"CASE WHEN n_words >= {WINDOW} THEN fps ELSE slice(fps, 1, 0) END AS fps"
-    )
-    seen = stage(long_fps)
+    seen = _fingerprints(counted, [*key, "n_words"], GRAM, WINDOW)
     doc_rows, item_rows = [], []
     for span in spans:
         if span == WINDOW:
@@ -111,7 +108,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
         else:
             part = bench.where(F.size("v") == span).selectExpr("item", "v AS w")
             item_rows.append(_rows(_fingerprints(part, ["item"], span, span), ["item"], span))
-            doc_rows.append(_rows(_fingerprints(counted.where(f"n_words >= {span}"), key, span, span), key, span))
+            doc_rows.append(_rows(_fingerprints(counted, key, span, span), key, span))
     prints = stage(_union(item_rows).withColumnRenamed("at", "item_at"))
     n_prints = prints.count()
     right = F.broadcast(prints) if n_prints <= BROADCAST_ROWS else prints
