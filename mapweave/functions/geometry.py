@@ -276,6 +276,12 @@ def _inside_sql(p: str, segs: str) -> str:
     )
 
 
+def _corners_sql(g: str) -> str:
+    """SQL text: the first vertex of every part."""
+    heads = f"transform({g}.parts, _cp -> try_element_at(try_element_at(_cp, 1), 1))"
+    return f"filter({heads}, _ch -> _ch IS NOT NULL)"
+
+
 def closest_sql(g1: str, g2: str) -> str:
     """SQL of struct(d, x, y): distance of two geometries and the point on g1 nearest g2."""
     from_a = (
@@ -291,17 +297,18 @@ def closest_sql(g1: str, g2: str) -> str:
         f"aggregate(_k.sa, {_NOHIT}, (_x1, _s1) -> aggregate(_k.sb, _x1, (_x2, _s2) -> "
         f"CASE WHEN _x2.d IS NULL AND {proper} THEN named_struct('d', 0D, 'x', {ix}, 'y', {iy}) ELSE _x2 END))"
     )
-    body = (
-        f"CASE WHEN _k.a.kind IN ('Polygon', 'MultiPolygon') AND {_inside_sql('_k.fb', '_k.sa')} "
-        "THEN named_struct('d', 0D, 'x', _k.fb.x, 'y', _k.fb.y) "
-        f"WHEN _k.b.kind IN ('Polygon', 'MultiPolygon') AND {_inside_sql('_k.fa', '_k.sb')} "
-        "THEN named_struct('d', 0D, 'x', _k.fa.x, 'y', _k.fa.y) "
-        f"ELSE {_let(crossing, '_cx', f'CASE WHEN _cx.d IS NOT NULL THEN _cx ELSE least({from_a}, {from_b}) END')} END"
+    # one corner of every part: without a crossing, a part lies inside the other geometry as its corner does
+    in_a = f"CASE WHEN _k.a.kind IN ('Polygon', 'MultiPolygon') THEN try_element_at(filter(_k.hb, _hb -> {_inside_sql('_hb', '_k.sa')}), 1) END"
+    in_b = f"CASE WHEN _k.b.kind IN ('Polygon', 'MultiPolygon') THEN try_element_at(filter(_k.ha, _ha -> {_inside_sql('_ha', '_k.sb')}), 1) END"
+    body = _let(
+        f"coalesce({in_a}, {in_b})",
+        "_in",
+        "CASE WHEN _in IS NOT NULL THEN named_struct('d', 0D, 'x', _in.x, 'y', _in.y) "
+        f"ELSE {_let(crossing, '_cx', f'CASE WHEN _cx.d IS NOT NULL THEN _cx ELSE least({from_a}, {from_b}) END')} END",
     )
     bound = (
         f"named_struct('a', _ga, 'b', _gb, 'sa', {segments_sql('_ga')}, 'sb', {segments_sql('_gb')}, "
-        f"'va', {vertices_sql('_ga')}, 'vb', {vertices_sql('_gb')}, "
-        f"'fa', try_element_at({vertices_sql('_ga')}, 1), 'fb', try_element_at({vertices_sql('_gb')}, 1))"
+        f"'va', {vertices_sql('_ga')}, 'vb', {vertices_sql('_gb')}, 'ha', {_corners_sql('_ga')}, 'hb', {_corners_sql('_gb')})"
     )
     pair = f"named_struct('a', {g1}, 'b', {g2})"
     return _let(

@@ -15,6 +15,8 @@ gives a NULL array (``explode_outer`` then keeps the row with a NULL number).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,75 +32,112 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
+def _digits(s: Column) -> Column:
+    """Digits without leading zeros of an integer literal of any length, else NULL."""
+    bare = F.regexp_replace(F.regexp_replace(s, r"(?U)[\s_+]", ""), r"^0+(?=[0-9])", "")
+    return F.when(s.rlike(INT_PATTERN), bare)
+
+
 def integer_or_null(s) -> Column:
-    """Integer value of a string that is an integer literal, else NULL (never an error).
+    """Value (``decimal(38)``) of a string that is an integer literal, else NULL (never an error).
 
-    Accepts blanks around the digits, a leading ``+`` and ``_`` between digits.
+    Accepts blanks around the digits, a leading ``+`` and ``_`` between digits. Literals
+    that no Spark number can hold give NULL; parity and expansion work on the digits.
     """
-    s = _c(s).cast("string")
-    digits = F.regexp_replace(F.regexp_replace(s, r"(?U)[\s_+]", ""), r"^0+(?=[0-9])", "")
-    return F.when(s.rlike(INT_PATTERN) & (F.length(digits) <= 18), digits.cast("bigint"))
+    return _let(_digits(_c(s).cast("string")), lambda d: F.when(F.length(d) <= 38, d.cast("decimal(38,0)")))
 
 
 def parity(num) -> Column:
-    """0 for even, 1 for odd, -1 when the value is not an integer."""
-    n = integer_or_null(_c(num).cast("string"))
-    return F.when(n.isNull(), F.lit(-1)).otherwise(F.pmod(n, F.lit(2)).cast("int"))
+    """0 for even, 1 for odd, -1 when the value is not an integer; fractional types are truncated first."""
+    c = _c(num)
+    fractional = F.typeof(c).rlike("^(double|float|decimal)")
+    rest = F.floor(F.pmod(F.abs(c.try_cast("double")), F.lit(2.0))).cast("int")
+    text = _let(_digits(c.cast("string")), lambda d: (F.ascii(F.substring(d, -1, 1)) % 2).cast("int"))
+    finite = F.abs(c.try_cast("double")) < F.lit(float("inf"))
+    return F.coalesce(F.when(fractional, F.when(finite, rest)).otherwise(text), F.lit(-1))
 
 
 def normalize_house_number(s) -> Column:
     return F.regexp_replace(F.lower(_c(s)), r"^0+", "")
 
 
-def _letters(prefix: Column, start: Column, stop: Column, whole: Column) -> Column:
-    lo, hi = F.ascii(start), F.ascii(stop)
-    seq = F.transform(F.sequence(lo, hi), lambda c: F.concat(prefix, F.char(c)))
-    return F.when(hi >= lo, F.concat(seq, F.array(whole))).otherwise(F.array(whole))
+def _letters(h: Column, pattern: str, first: int, last: int) -> Column:
+    """Number plus each letter of the range that ``pattern`` finds, plus the string; the string alone where the range is empty."""
+    lo, hi = F.ascii(F.regexp_extract(h, pattern, first)), F.ascii(F.regexp_extract(h, pattern, last))
+    number = F.regexp_extract(h, pattern, 1)
+    named = F.transform(F.sequence(lo, hi), lambda c: F.concat(number, F.char(c)))
+    return F.when(hi >= lo, F.concat(named, F.array(h))).otherwise(F.array(h))
 
 
 def _trim_ws(x: Column) -> Column:
     return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
 
 
+# digits up to which numbers are counted as long and as decimal; longer ones are counted behind an equal head
+_LONG, _DECIMAL = 18, 37
+
+
+def _counted(a: Column, b: Column, step: Column, kind: str) -> Column:
+    """Numbers from ``a`` to ``b`` (digits) as strings."""
+    low, high = a.cast(kind), b.cast(kind)
+    return F.transform(F.sequence(F.lit(0).cast("bigint"), (high - low).cast("bigint"), step), lambda o: (low + o).cast(kind).cast("string"))
+
+
+def _number_range(a: Column, b: Column, h: Column) -> Column:
+    """``a < b``, digits of any length: every number, or every second one where both have one parity, plus the string."""
+    odd = lambda x: F.ascii(F.substring(x, -1, 1)) % 2
+    step = F.when(odd(a) == odd(b), F.lit(2)).otherwise(F.lit(1)).cast("bigint")
+    size = F.length(b)
+    head = lambda x: x.substr(F.lit(1), size - _DECIMAL)
+    tail = lambda x: x.substr(size - _DECIMAL + 1, F.lit(_DECIMAL))
+    behind = F.transform(_counted(tail(a), tail(b), step, "decimal(38,0)"), lambda t: F.concat(head(b), F.lpad(t, _DECIMAL, "0")))
+    numbers = (
+        F.when(size <= _LONG, _counted(a, b, step, "bigint"))
+        .when(size <= _DECIMAL, _counted(a, b, step, "decimal(38,0)"))
+        .when((F.length(a) == size) & (head(a) == head(b)), behind)
+        # a range over a border of 10**37 has no countable form here: both ends stand for it
+        .otherwise(F.array(a, b))
+    )
+    return F.concat(numbers, F.array(h))
+
+
+def _dashed(h: Column) -> Column:
+    """Expansion of a string with a dash: one of the range forms if it has exactly two parts."""
+
+    def ranged(ends: Column) -> Column:
+        a, b = ends.getField("a"), ends.getField("b")
+        longer = (F.length(a) < F.length(b)) | ((F.length(a) == F.length(b)) & (a < b))
+        two_letters = h.rlike(NUM_LETTER_NUM_LETTER_RANGE) & (
+            F.regexp_extract(h, NUM_LETTER_NUM_LETTER_RANGE, 1) == F.regexp_extract(h, NUM_LETTER_NUM_LETTER_RANGE, 3)
+        )
+        return (
+            F.when((a != "0") & (b != "0") & longer, _number_range(a, b, h))
+            .when((a != "0") & (b != "0"), F.array(a, b, h))
+            .when(h.rlike(NUM_LETTER_RANGE), _letters(h, NUM_LETTER_RANGE, 2, 3))
+            .when(two_letters, _letters(h, NUM_LETTER_NUM_LETTER_RANGE, 2, 4))
+            .otherwise(F.array(h))
+        )
+
+    def of_parts(parts: Column) -> Column:
+        ends = F.struct(_digits(parts.getItem(0)).alias("a"), _digits(parts.getItem(1)).alias("b"))
+        return F.when(F.size(parts) == 2, _let(ends, ranged)).otherwise(F.array(h))
+
+    return _let(F.split(h, "-", -1), of_parts)
+
+
 def expand_house_numbers(s) -> Column:
     """array<string> of the numbers a house-number string stands for, plus the string."""
-    h = normalize_house_number(s)
-    parts = F.split(h, "-", -1)
-    a, b = F.element_at(parts, 1), F.element_at(parts, 2)
-    na, nb = integer_or_null(a), integer_or_null(b)
-    both = na.isNotNull() & nb.isNotNull() & (na != 0) & (nb != 0)
-    step = F.when(F.pmod(na, F.lit(2)) == F.pmod(nb, F.lit(2)), F.lit(2)).otherwise(F.lit(1)).cast("bigint")
-    numeric = F.when(
-        na < nb,
-        F.concat(F.transform(F.sequence(na, nb, step), lambda x: x.cast("string")), F.array(h)),
-    ).otherwise(F.array(na.cast("string"), nb.cast("string"), h))
-
-    m1 = h.rlike(NUM_LETTER_RANGE)
-    r1 = _letters(
-        F.regexp_extract(h, NUM_LETTER_RANGE, 1),
-        F.regexp_extract(h, NUM_LETTER_RANGE, 2),
-        F.regexp_extract(h, NUM_LETTER_RANGE, 3),
-        h,
-    )
-    g1 = F.regexp_extract(h, NUM_LETTER_NUM_LETTER_RANGE, 1)
-    g3 = F.regexp_extract(h, NUM_LETTER_NUM_LETTER_RANGE, 3)
-    m2 = h.rlike(NUM_LETTER_NUM_LETTER_RANGE) & (g1 == g3)
-    r2 = _letters(
-        g1,
-        F.regexp_extract(h, NUM_LETTER_NUM_LETTER_RANGE, 2),
-        F.regexp_extract(h, NUM_LETTER_NUM_LETTER_RANGE, 4),
-        h,
-    )
-    dashed = (
-        F.when((F.size(parts) == 2) & both, numeric)
-        .when((F.size(parts) == 2) & m1, r1)
-        .when((F.size(parts) == 2) & m2, r2)
-        .otherwise(F.array(h))
-    )
 
-    result = F.when(h.contains("-"), dashed)
-    for sep in LIST_SEPARATORS:
-        pieces = F.transform(F.split(h, "\\" + sep if sep == "+" else sep, -1), _trim_ws)
-        result = result.when(h.contains(sep), F.concat(pieces, F.array(h)))
-    result = result.otherwise(F.array(h))
-    return F.when(h.isNotNull(), result)
+    def expanded(h: Column) -> Column:
+        result = F.when(h.contains("-"), _dashed(h))
+        for sep in LIST_SEPARATORS:
+            pieces = F.transform(F.split(h, "\\" + sep if sep == "+" else sep, -1), _trim_ws)
+            result = result.when(h.contains(sep), F.concat(pieces, F.array(h)))
+        return F.when(h.isNotNull(), result.otherwise(F.array(h)))
+
+    return _let(normalize_house_number(s), expanded)

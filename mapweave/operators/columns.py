@@ -4,14 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_EXPLODE_POS = "__mw_explode_pos"
-_EXPLODE_VAL = "__mw_explode_val"
-
-
 def _q(name: str) -> Column:
     """Column by exact name (dots and other characters are not parsed)."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -51,21 +47,18 @@ def explode_col(
     if not isinstance(column_type, T.ArrayType):
         raise ValueError(f"Column {column} is not of type array: {column_type}")
 
-    idx = df_in.columns.index(column)
-    exploded = df_in.select("*", F.posexplode(_q(column)).alias(_EXPLODE_POS, _EXPLODE_VAL))
-
-    new_cols: list[Column] = []
-    if position_column_name:
-        new_cols.append(F.col(_EXPLODE_POS).alias(position_column_name))
-    element = column_type.elementType
-    if isinstance(element, T.StructType):
-        new_cols += [F.col(_EXPLODE_VAL).getField(f).alias(f"{explode_prefix}{f}") for f in element.names]
+    where = df_in.columns.index(column)
+    names = [_q(c) for c in df_in.columns]
+    position = position_column_name or "__mw_position"
+    # the generator stands where the array stood; the element keeps the array's name until it is spread
+    rows = df_in.select(*names[:where], F.posexplode(names[where]).alias(position, column), *names[where + 1 :])
+    kind = column_type.elementType
+    if isinstance(kind, T.StructType):
+        parts = [names[where].getField(f).alias(explode_prefix + f) for f in kind.names]
     else:
-        new_cols.append(F.col(_EXPLODE_VAL).alias(explode_prefix))
-
-    before = [_q(c) for c in df_in.columns[:idx]]
-    after = [_q(c) for c in df_in.columns[idx + 1 :]]
-    return exploded.select(*before, *new_cols, *after)
+        parts = [names[where].alias(explode_prefix)]
+    shown = [_q(position)] if position_column_name else []
+    return rows.select(*names[:where], *shown, *parts, *names[where + 1 :])
 
 
 def aggregate_column_to_list(
@@ -77,20 +70,20 @@ def aggregate_column_to_list(
 ) -> DataFrame:
     """Group by ``group_by_columns``; collect ``collect_column`` into ``result_column``.
 
-    Every other column is carried with ``first`` (any value of the group).
+    Every other column is carried from one row of the group.
     With ``sort_list`` the list is sorted ascending (structs by field order).
     Catalyst plans a partial (map-side) and a final aggregate.
     """
-    group_by_columns = list(group_by_columns)
-    carried = [
-        F.first(_q(f.name)).alias(f.name)
-        for f in df_in.schema.fields
-        if f.name not in group_by_columns + [collect_column]
-    ]
-    collected = F.collect_list(_q(collect_column))
-    if sort_list:
-        collected = F.sort_array(collected)
-    return df_in.groupBy(*[_q(c) for c in group_by_columns]).agg(*carried, collected.alias(result_column))
+    keys = [_q(c) for c in group_by_columns]
+    rest = _others(df_in, [*group_by_columns, collect_column])
+    gathered = F.collect_list(_q(collect_column))
+    one_row = [F.any_value(F.struct(*[_q(c) for c in rest])).alias("__mw_rest")] if rest else []
+    grouped = df_in.groupBy(*keys).agg((F.sort_array(gathered) if sort_list else gathered).alias(result_column), *one_row)
+    return grouped.select(*keys, *[F.col("__mw_rest").getField(c).alias(c) for c in rest], _q(result_column))
+
+
+def _others(df: DataFrame, taken: Sequence[str]) -> list[str]:
+    return [c for c in df.columns if c not in set(taken)]
 
 
 def remove_duplicate_rows(
@@ -102,14 +95,47 @@ def remove_duplicate_rows(
 ) -> DataFrame:
     """Keep one row per ``unique_col``: the greatest (or least) ``decision_col``.
 
-    NULL decisions sort last; NULL keys form one group. ``tie_breaker`` columns
-    (ascending) make the choice deterministic among equal decisions.
-    Alias-qualified names such as ``t.id`` are accepted. Spark plans the
-    rank-1 filter as a ``WindowGroupLimit`` so each group is trimmed before
-    the full window sort.
+    NULL decisions lose against all others; NULL keys form one group.
+    ``tie_breaker`` columns (ascending, NULLs last) make the choice deterministic
+    among equal decisions. Alias-qualified names such as ``t.id`` are accepted.
+    Rows are reduced with ``max_by`` / ``min_by``, so each task combines its
+    rows before the shuffle and no group is sorted.
     """
-    order = F.col(decision_col).desc_nulls_last() if decision_max_first else F.col(decision_col).asc_nulls_last()
-    orders = [order] + [F.col(c).asc_nulls_last() for c in (tie_breaker or [])]
-    rn = f'{unique_col.replace(".", "_")}_row_no'
-    w = Window.partitionBy(F.col(unique_col)).orderBy(*orders)
-    return df_input.withColumn(rn, F.row_number().over(w)).where(F.col(rn) == 1).drop(rn)
+    width = len(df_input.columns)
+    ties = list(tie_breaker or [])
+    helpers = [F.col(unique_col), F.col(decision_col), *[F.col(t) for t in ties]]
+    # names by position: the input may hold equal names from both sides of a join
+    flat = df_input.select("*", *helpers).toDF(*[f"c{i}" for i in range(width + len(helpers))])
+    row = F.struct(*[F.col(f"c{i}") for i in range(width)]).alias("row")
+    key, decision = F.col(f"c{width}").alias("key"), F.col(f"c{width + 1}").alias("decision")
+    found = flat.select(key, decision, row, *[F.col(f"c{width + 2 + i}").alias(f"t{i}") for i in range(len(ties))])
+    if ties:
+        order = F.struct(*[x for i in range(len(ties)) for x in (F.col(f"t{i}").isNull().alias(f"n{i}"), F.col(f"t{i}"))])
+        found = found.groupBy("key", "decision").agg(F.min_by("row", order).alias("row"))
+    if decision_max_first:
+        kept = F.max_by("row", F.struct(F.col("decision").isNotNull().alias("known"), F.col("decision")))
+    else:
+        kept = F.min_by("row", F.struct(F.col("decision").isNull().alias("unknown"), F.col("decision")))
+    # a default that is never taken tells the planner that every group has a row, so columns stay non-null
+    sample = [_plain_value(f.dataType) for f in df_input.schema.fields]
+    if all(v is not None or f.nullable for v, f in zip(sample, df_input.schema.fields, strict=True)):
+        kept = F.coalesce(
+            kept,
+            F.struct(
+                *[
+                    (F.lit(None).cast(f.dataType) if f.nullable else F.lit(v).cast(f.dataType)).alias(f"c{i}")
+                    for i, (v, f) in enumerate(zip(sample, df_input.schema.fields, strict=True))
+                ]
+            ),
+        )
+    out = found.groupBy("key").agg(kept.alias("row"))
+    return out.select(*[F.col("row").getField(f"c{i}") for i in range(width)]).toDF(*df_input.columns)
+
+
+def _plain_value(kind: T.DataType):
+    """Some value of an atomic type, None for other types."""
+    if isinstance(kind, T.StringType):
+        return ""
+    if isinstance(kind, T.BooleanType):
+        return False
+    return 0 if isinstance(kind, T.NumericType) else None

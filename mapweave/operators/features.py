@@ -8,43 +8,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mapweave.functions import geometry as G
-from mapweave.operators.columns import (
-    add_column_prefix,
-    aggregate_column_to_list,
-    explode_col,
-    wrap_columns_into_struct,
-)
 from mapweave.sources.entities import MapFrames
 
-NODE_COL_PREFIX = "node_"
+
+def _way_shapes(ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(id, shape) of the ways whose nodes are known; only ids and coordinates are moved."""
+    refs = ways.select("id", F.posexplode("nodes").alias("pos", "node"))
+    places = nodes.select(F.col("id").alias("node"), F.col("longitude").alias("x"), F.col("latitude").alias("y"))
+    corners = F.sort_array(F.collect_list(F.struct("pos", "x", "y")))
+    rows = refs.join(places, "node").groupBy("id").agg(corners.alias("corners"))
+    rows = rows.select("id", F.expr("transform(corners, c -> named_struct('x', c.x, 'y', c.y))").alias("line"))
+    return rows.select("id", G.geometry_from_vertices("line").alias("shape"))
 
 
 def way_geometries(df_way: DataFrame, df_node: DataFrame, output_col: str, way_id_column_name: str = "id") -> DataFrame:
-    """Geometry of every way from its node list.
+    """Ways with their geometry in ``output_col`` instead of ``nodes``.
 
-    Nodes are exploded with their positions, joined to node coordinates (a
-    missing node shortens the way; a way without any known node vanishes),
-    collected per way in position order (bounded by the way's length) and
-    turned into Point / LineString / Polygon. Other way columns are carried
-    with ``first``; ``nodes`` is dropped.
+    A missing node shortens the way; a way without any known node vanishes. The
+    geometry is built from ids and coordinates alone (bounded by the way's
+    length) and meets the way's other columns once, on the id.
     """
-    exploded = explode_col(df_way, "nodes", "way_node_id", position_column_name=f"{NODE_COL_PREFIX}pos")
-    nodes = add_column_prefix(df_node.select("id", "latitude", "longitude"), NODE_COL_PREFIX)
-    joined = exploded.join(nodes, F.col("way_node_id") == F.col(f"{NODE_COL_PREFIX}id")).drop("way_node_id")
-    wrapped = wrap_columns_into_struct(
-        joined,
-        [f"{NODE_COL_PREFIX}pos", f"{NODE_COL_PREFIX}id", f"{NODE_COL_PREFIX}latitude", f"{NODE_COL_PREFIX}longitude"],
-        "node_struct",
-    )
-    lists = aggregate_column_to_list(wrapped, [way_id_column_name], "node_struct", "node_list")
-    verts = F.transform(
-        "node_list", lambda n: G.vertex(n.getField(f"{NODE_COL_PREFIX}longitude"), n.getField(f"{NODE_COL_PREFIX}latitude"))
-    )
-    return (
-        lists.withColumn("__verts", verts)
-        .withColumn(output_col, G.geometry_from_vertices("__verts"))
-        .drop("node_list", "__verts")
-    )
+    id_column = F.col(way_id_column_name)
+    shapes = _way_shapes(df_way.select(id_column.alias("id"), "nodes"), df_node)
+    shapes = shapes.select(F.col("id").alias("__shape_id"), F.col("shape").alias(output_col))
+    return df_way.drop("nodes").join(shapes, id_column == F.col("__shape_id")).drop("__shape_id")
 
 
 def _extra(additional_columns: Mapping[str, str | Column] | None) -> list[Column]:
@@ -69,35 +56,22 @@ def extract_features(
     source-tagged id (``N<id>`` / ``W<id>``). Output columns: extras, id,
     centroid, geometry. Relations are never features.
     """
-    nodes = map_data.nodes.where(feature_filter)
-    ways = map_data.ways.where(feature_filter)
-    id_name = id_column or "__feature_id"
+    shaped = {
+        "N": map_data.nodes.where(feature_filter).withColumn("__shape", G.point("longitude", "latitude")),
+        "W": way_geometries(map_data.ways.where(feature_filter), map_data.nodes, "__shape"),
+    }
+    frames = [_features(df, tag, additional_columns, id_column, geometry_column, centroid_column) for tag, df in shaped.items()]
+    return frames[0].unionByName(frames[1])
+
 
-    node_geom: list[Column] = []
-    way_geom: list[Column] = []
-    geom_names: list[str] = []
+def _features(df: DataFrame, tag: str, extras, id_column, geometry_column, centroid_column) -> DataFrame:
+    """Output columns of the entities of one kind, whose geometry is ``__shape``."""
+    made = {}
+    if id_column:
+        made[id_column] = F.concat(F.lit(tag), F.col("id").cast("string"))
     if centroid_column:
-        node_geom.append(G.point("longitude", "latitude").alias(centroid_column))
-        way_geom.append(G.centroid("__way_geom").alias(centroid_column))
-        geom_names.append(centroid_column)
+        made[centroid_column] = F.col("__shape") if tag == "N" else G.centroid("__shape")
     if geometry_column:
-        node_geom.append(G.point("longitude", "latitude").alias(geometry_column))
-        way_geom.append(F.col("__way_geom").alias(geometry_column))
-        geom_names.append(geometry_column)
-
-    tail = [id_column] if id_column else []
-    node_out = (
-        nodes.withColumn("__src_id", F.col("id"))
-        .drop("id")
-        .withColumn(id_name, F.concat(F.lit("N"), F.col("__src_id").cast("string")))
-        .select("*", *node_geom)
-        .select(*_extra(additional_columns), *tail, *geom_names)
-    )
-    way_in = ways.withColumn("__src_id", F.concat(F.lit("W"), F.col("id").cast("string"))).drop("id")
-    way_out = (
-        way_geometries(way_in, map_data.nodes, "__way_geom", way_id_column_name="__src_id")
-        .withColumnRenamed("__src_id", id_name)
-        .select("*", *way_geom)
-        .select(*_extra(additional_columns), *tail, *geom_names)
-    )
-    return node_out.union(way_out)
+        made[geometry_column] = F.col("__shape")
+    named = df.withColumns(made) if made else df
+    return named.select(*_extra(extras), *made)

@@ -20,18 +20,18 @@ record side is measured small and splits hot cells on the point side.
 
 Nearest geometry
 ----------------
-Both sides are reprojected to a metric CRS, cut into cells of ``max_meter``
-(the smaller side's bbox widened by the radius, so the larger side is never
-replicated; the right side is broadcast only under a proven size bound),
-equi-joined on the cell with a
-reference-cell rule that emits every pair once, measured exactly and reduced
-to the nearest right row per left row with ``min_by`` (partial aggregation,
-no window, no collection of a group).
+Both sides are reprojected to a metric CRS and searched by keys and boxes
+alone. First each left row learns a reach: from the one right box that stands
+for its cell on each of a few levels, so dense places give a short reach. Then it looks
+for right boxes within the reach in cells about as wide as the reach. The few
+pairs left get their geometries back, are measured exactly and reduced with
+``min_by`` (partial aggregation, no window, no collection of a group). Candidates
+per left row follow the distance to its neighbours, not the number of rows in
+a radius.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from mapweave.functions import geometry as G
 from mapweave.schema import check_for_duplicate_columns, is_geometry
-from mapweave.session import BROADCAST_EXPANSION, DEFAULT_BROADCAST_LIMIT, materialize, sized_broadcast, stored_bytes
+from mapweave.session import materialize, sized_broadcast
 
 EDGE_COLS = ["x1", "y1", "x2", "y2"]
 
@@ -325,6 +325,17 @@ def _cell_crossings(local: DataFrame, key: str, cell_of_point) -> DataFrame:
     )
 
 
+def edge_crossings(left: DataFrame, left_key: str, right: DataFrame, right_key: str, cell_size: float) -> DataFrame:
+    """Distinct (left_key, right_key) whose edges cross properly; both keys are structs with an equal ``id``."""
+    a = edge_cells(left, left_key, cell_size).withColumnRenamed("__edge", "s")
+    b = edge_cells(right, right_key, cell_size).withColumnRenamed("__edge", "t")
+    proper, _, _ = G._crossing_sql("s", "t")
+    pairs = a.withColumn("__id", F.col(left_key).getField("id")).join(
+        b.withColumn("__id", F.col(right_key).getField("id")), ["__id", "__c", "__k"]
+    )
+    return pairs.where(F.expr(proper)).select(left_key, right_key).distinct()
+
+
 def self_intersections(
     edges: DataFrame, key: str, cell_size: float = 0.01, max_edges: int = DEFAULT_MAX_EDGES, refine: int = REFINE
 ) -> DataFrame:
@@ -474,32 +485,192 @@ def join_point_in_area(
 def edge_centroids(edges: DataFrame, key: str) -> DataFrame:
     """(key, cx, cy) area-weighted centroid per area from its edge table.
 
-    Shells count positive and holes negative whatever their orientation.
-    Two streaming aggregates (per ring, then per area); nothing is collected.
+    Shells count positive and holes negative whatever their orientation. Sums
+    are taken relative to a corner of the area, so small areas far from the
+    origin keep their precision; areas of size zero take the length-weighted
+    middle of their edges (the corner itself if they have no length). Streaming
+    aggregates only; nothing is collected.
     """
-    per_ring = edges.groupBy(key, "ring").agg(
-        F.first("hole").alias("hole"),
-        F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")).alias("a"),
-        F.sum((F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) * (F.col("x1") + F.col("x2"))).alias("mx"),
-        F.sum((F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) * (F.col("y1") + F.col("y2"))).alias("my"),
-    )
+    corner = edges.groupBy(key).agg(F.min("x1").alias("ox"), F.min("y1").alias("oy"))
+    e = edges.join(corner, key).select(
+        key, "ring", "hole", "ox", "oy",
+        (F.col("x1") - F.col("ox")).alias("x1"), (F.col("y1") - F.col("oy")).alias("y1"),
+        (F.col("x2") - F.col("ox")).alias("x2"), (F.col("y2") - F.col("oy")).alias("y2"),
+    )
+    cross = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")
+    length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    sx, sy = F.col("x1") + F.col("x2"), F.col("y1") + F.col("y2")
+    per_ring = e.groupBy(key, "ring").agg(
+        F.first("hole").alias("hole"), F.first("ox").alias("ox"), F.first("oy").alias("oy"),
+        F.sum(cross).alias("a"), F.sum(cross * sx).alias("mx"), F.sum(cross * sy).alias("my"),
+        F.sum(length).alias("l"), F.sum(length * sx / 2).alias("lx"), F.sum(length * sy / 2).alias("ly"),
+    )
     sign = F.when(F.col("hole"), F.lit(-1.0)).otherwise(F.lit(1.0)) * F.signum("a")
     per_area = per_ring.groupBy(key).agg(
-        F.sum(sign * F.col("a")).alias("a"), F.sum(sign * F.col("mx")).alias("mx"), F.sum(sign * F.col("my")).alias("my")
-    )
+        F.first("ox").alias("ox"), F.first("oy").alias("oy"),
+        F.sum(sign * F.col("a")).alias("a"), F.sum(sign * F.col("mx")).alias("mx"), F.sum(sign * F.col("my")).alias("my"),
+        F.sum("l").alias("l"), F.sum("lx").alias("lx"), F.sum("ly").alias("ly"),
+    )
+
+    def middle(moment: str, along: str) -> Column:
+        by_area = F.try_divide(F.col(moment), 3 * F.col("a"))
+        return F.coalesce(F.when(F.col("a") != 0, by_area), F.try_divide(F.col(along), F.col("l")), F.lit(0.0))
+
     return per_area.select(
-        key, (F.col("mx") / (3 * F.col("a"))).alias("cx"), (F.col("my") / (3 * F.col("a"))).alias("cy")
+        key, (F.col("ox") + middle("mx", "lx")).alias("cx"), (F.col("oy") + middle("my", "ly")).alias("cy")
     )
 
 
 # ---------------------------------------------------------------- nearest
 
+# cell sizes of the search: the radius divided by powers of STEP, LEVELS of them
+STEP, LEVELS = 4, 7
+
+
+def _cells_of_box(box: str, pad: Column | float, size: Column) -> Column:
+    """array<struct<c, k>> of the cells of edge ``size`` that a padded box touches."""
+
+    def span(low: str, high: str) -> Column:
+        first = F.floor((F.col(f"{box}.{low}") - pad) / size).cast("long")
+        last = F.floor((F.col(f"{box}.{high}") + pad) / size).cast("long")
+        return F.sequence(first, last)
+
+    ys = span("miny", "maxy")
+    return F.flatten(
+        F.transform(span("minx", "maxx"), lambda c: F.transform(ys, lambda k: F.struct(c.alias("c"), k.alias("k"))))
+    )
+
+
+def _extent(box: str) -> Column:
+    return F.greatest(F.col(f"{box}.maxx") - F.col(f"{box}.minx"), F.col(f"{box}.maxy") - F.col(f"{box}.miny"))
+
+
+def _box_gap(a: str, b: str) -> Column:
+    """Distance of two boxes: no two points of theirs are nearer."""
+    dx = F.greatest(F.lit(0.0), F.col(f"{b}.minx") - F.col(f"{a}.maxx"), F.col(f"{a}.minx") - F.col(f"{b}.maxx"))
+    dy = F.greatest(F.lit(0.0), F.col(f"{b}.miny") - F.col(f"{a}.maxy"), F.col(f"{a}.miny") - F.col(f"{b}.maxy"))
+    return F.hypot(dx, dy)
+
+
+def _box_reach(a: str, b: str) -> Column:
+    """Greatest distance of any two points of the boxes: the geometries inside are not farther apart."""
+    dx = F.greatest(F.abs(F.col(f"{b}.maxx") - F.col(f"{a}.minx")), F.abs(F.col(f"{a}.maxx") - F.col(f"{b}.minx")))
+    dy = F.greatest(F.abs(F.col(f"{b}.maxy") - F.col(f"{a}.miny")), F.abs(F.col(f"{a}.maxy") - F.col(f"{b}.miny")))
+    return F.hypot(dx, dy)
+
+
+def _level_sizes(base: float) -> list[float]:
+    return [base / STEP**j for j in range(LEVELS)]
+
+
+def _size_of(level: Column, base: float) -> Column:
+    return F.element_at(F.array(*[F.lit(s) for s in _level_sizes(base)]), level + 1)
+
+
+def _finest_level(width: Column, base: float) -> Column:
+    """Finest level whose cells are at least ``width`` wide (level 0 where none is)."""
+    return F.size(F.filter(F.array(*[F.lit(s) for s in _level_sizes(base)[1:]]), lambda s: s >= width))
 
-def _cells_of_box(minx: Column, miny: Column, maxx: Column, maxy: Column, s: float) -> Column:
-    """array<struct<c, k>> of the cells covering a box."""
-    xs = F.sequence(_floor_div(minx, s), _floor_div(maxx, s))
-    ys = F.sequence(_floor_div(miny, s), _floor_div(maxy, s))
-    return F.flatten(F.transform(xs, lambda cx: F.transform(ys, lambda ky: F.struct(cx.alias("c"), ky.alias("k")))))
+
+def _reach_bounds(left: DataFrame, right: DataFrame, radius: float, base: float) -> DataFrame:
+    """Left boxes ``(lk, b1)`` with ``reach``: some right geometry is surely no farther (the radius where none is known).
+
+    One right box stands for each cell of each level, so a left row meets at most
+    one box per level, however dense the right side is.
+    """
+    levels = F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("level")
+
+    def middles(df: DataFrame, box: str, *keep: str) -> DataFrame:
+        size = _size_of(F.col("level"), base)
+        at = [
+            F.floor((F.col(f"{box}.min{a}") + F.col(f"{box}.max{a}")) / 2 / size).cast("long").alias(n) for a, n in (("x", "c"), ("y", "r"))
+        ]
+        return df.select("*", levels).select(*keep, box, "level", *at)
+
+    one = middles(right, "b2").groupBy("level", "c", "r").agg(F.min("b2").alias("b2"))
+    met = middles(left, "b1", "lk").join(one, ["level", "c", "r"])
+    best = met.groupBy("lk").agg(F.min(_box_reach("b1", "b2")).alias("found"))
+    # a little more than the bound, for rounding
+    reach = F.least(F.lit(radius), F.coalesce(F.col("found"), F.lit(radius)) * (1 + 1e-9) + 1e-6)
+    return left.join(best, "lk", "left").select("lk", "b1", reach.alias("reach"))
+
+
+def _candidates(left: DataFrame, right: DataFrame, radius: float, base: float) -> DataFrame:
+    """Pairs ``(lk, rk, b1, b2)`` that may hold the nearest right geometry of a left one within the radius.
+
+    A left row looks into the cells, about as wide as its reach, that its box
+    touches when padded by the reach. Right rows lie in the cells of every level not
+    finer than themselves; those too wide for the left row's level are looked up at their
+    own level. The corner where both boxes begin to overlap names one cell, so a pair
+    comes up once. Work per left row follows the reach, not the density.
+    """
+    bounded = materialize(_reach_bounds(left, right, radius, base), "nearest-bounds")
+    seeking = bounded.withColumn("own", _finest_level(F.greatest("reach", _extent("b1")), base))
+    native = right.withColumn("native", _finest_level(_extent("b2"), base))
+    # what either side uses of the few levels
+    used = [r[0] for r in seeking.select("own").distinct().collect()]
+    wide = [r[0] for r in native.select("native").distinct().collect()]
+    numbers = lambda xs: F.array(*[F.lit(x) for x in sorted(xs)]) if xs else F.array().cast("array<int>")
+
+    def keyed(df: DataFrame, keys: Column, box: str, pad, *keep: str) -> DataFrame:
+        rows = df.select("*", F.explode(keys).alias("key")).withColumn("size", _size_of(F.col("key.level"), base))
+        cells = F.explode(_cells_of_box(box, pad, F.col("size"))).alias("cell")
+        return rows.select(*keep, box, "size", "key", cells).select(*keep, box, "size", "key.kind", "key.level", "cell.c", "cell.k")
+
+    key = lambda kind, level: F.struct(F.lit(kind).alias("kind"), level.alias("level"))
+    ask = F.concat(
+        F.array(key(0, F.col("own"))),
+        F.transform(F.filter(numbers(wide), lambda j: j < F.col("own")), lambda j: key(1, j)),
+    )
+    offer = F.concat(
+        F.transform(F.filter(numbers(used), lambda j: j <= F.col("native")), lambda j: key(0, j)),
+        F.array(key(1, F.col("native"))),
+    )
+    asked = keyed(seeking, ask, "b1", F.col("reach"), "lk", "reach")
+    offered = keyed(native, offer, "b2", F.lit(0.0), "rk").drop("size")
+    pairs = asked.join(offered, ["kind", "level", "c", "k"])
+    begin_x = F.greatest(F.col("b1.minx") - F.col("reach"), F.col("b2.minx"))
+    begin_y = F.greatest(F.col("b1.miny") - F.col("reach"), F.col("b2.miny"))
+    here = (F.floor(begin_x / F.col("size")) == F.col("c")) & (F.floor(begin_y / F.col("size")) == F.col("k"))
+    return pairs.where(here & (_box_gap("b1", "b2") <= F.col("reach"))).select("lk", "rk", "b1", "b2")
+
+
+def _nearest_pairs(left: DataFrame, right: DataFrame, radius: float, base: float, ties: Sequence[str], points: tuple[bool, bool]) -> DataFrame:
+    """(lk, rk, d, x1, y1, x2, y2): the nearest right row within the radius of each left row that has one.
+
+    ``left`` holds ``lk, g1, b1``, ``right`` holds ``rk, g2, b2`` and the tie columns. Keys and boxes
+    alone are searched; geometries join the few pairs that survive. ``points`` asks
+    for the closest point on either side.
+    """
+    # of right rows in one and the same place one stands for all
+    order = F.struct(*[F.col(t) for t in ties], F.col("rk"))
+    spots = right.where(_extent("b2") == 0).groupBy("b2").agg(F.min_by("rk", order).alias("rk"))
+    boxes = right.where(_extent("b2") > 0).select("rk", "b2").unionByName(spots.select("rk", "b2"))
+    near = materialize(_candidates(left.select("lk", "b1"), boxes, radius, base), "nearest-candidates")
+    closest = near.groupBy("lk").agg(F.min(_box_reach("b1", "b2")).alias("bound"))
+    kept = near.join(closest, "lk").where(_box_gap("b1", "b2") <= F.col("bound") * (1 + 1e-9) + 1e-6).select("lk", "rk")
+    pairs = kept.join(left.select("lk", "g1"), "lk").join(right.select("rk", "g2", *ties), "rk")
+
+    both = (G.geom_kind(F.col("g1")) == "Point") & (G.geom_kind(F.col("g2")) == "Point")
+    gap = F.hypot(G.geom_x(F.col("g1")) - G.geom_x(F.col("g2")), G.geom_y(F.col("g1")) - G.geom_y(F.col("g2")))
+
+    def closest_point(g: str, other: str) -> Column:
+        plain = F.struct(gap.alias("d"), G.geom_x(F.col(g)).alias("x"), G.geom_y(F.col(g)).alias("y"))
+        return F.when(both, plain).otherwise(G.closest_on_first(g, other))
+
+    measured = pairs.withColumn("p1", closest_point("g1", "g2"))
+    if points[1]:
+        measured = measured.withColumn("p2", closest_point("g2", "g1"))
+    shown = F.struct("rk", "p1", *(["p2"] if points[1] else []))
+    rank = F.struct(F.col("p1.d").alias("d"), *[F.col(t) for t in ties], F.col("rk"))
+    return measured.where(F.col("p1.d") <= radius).groupBy("lk").agg(F.min_by(shown, rank).alias("best")).select("lk", "best.*")
+
+
+def _numbered(df: DataFrame, key: str, columns: Sequence[str] | None, name: str) -> DataFrame:
+    """``df`` with a row key: the caller's unique columns, or an id on a staged copy (a recomputed task can't renumber it)."""
+    if columns:
+        return materialize(df.withColumn(key, F.struct(*[_q(c) for c in columns])), name)
+    return materialize(df.withColumn(key, F.monotonically_increasing_id()), name)
 
 
 def join_nearest_geometry(
@@ -519,122 +690,57 @@ def join_nearest_geometry(
     cell_size: float | None = None,
     tie_breaker: Sequence[str] | None = None,
     widen: str | None = None,
+    key_columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """For every row of ``df_in_1`` the nearest row of ``df_in_2`` within ``max_meter``.
 
     Distances are planar in ``epsg_meter_based``; touching or overlapping
-    geometries have distance 0. ``join_type`` is ``leftouter`` (unmatched
-    left rows kept with NULLs) or ``inner``. Optional closest points are
-    returned in each side's own CRS. ``tie_breaker`` (right-side columns)
-    makes the choice among equal distances deterministic. ``cell_size``
-    (metres, default ``max_meter``) and ``widen`` (``"left"``/``"right"``:
-    which side's boxes grow by the radius; default the smaller side) only
-    change the work split, never the result.
+    geometries have distance 0. ``join_type`` is ``inner``, ``leftouter`` (unmatched
+    left rows kept with NULLs), ``rightouter`` or ``fullouter`` (all right rows that
+    no left row has within the radius are kept with NULLs). Optional closest points
+    are returned in each side's own CRS. ``tie_breaker`` (right-side columns)
+    makes the choice among equal distances deterministic. ``key_columns`` name
+    left columns that are unique and not NULL; without them left rows are numbered once
+    on a staged copy. ``cell_size`` (metres, the coarsest cells of the search; default
+    ``max_meter``) only changes the work split. ``partition_count`` and ``widen`` are
+    accepted for compatibility and change nothing.
     """
     how = join_type.lower().replace("_", "")
-    if how in ("left", "leftouter"):
-        how = "leftouter"
-    elif how != "inner":
-        raise ValueError(f"join_type must be 'leftouter' or 'inner', got {join_type!r}")
+    how = {"left": "leftouter", "right": "rightouter", "outer": "fullouter", "full": "fullouter"}.get(how, how)
+    if how not in ("inner", "leftouter", "rightouter", "fullouter"):
+        raise ValueError(f"join_type must be 'inner', 'leftouter', 'rightouter' or 'fullouter', got {join_type!r}")
     check_for_duplicate_columns(df_in_1, df_in_2)
-    r = float(max_meter)
-    s = float(cell_size or max_meter)
-    left_cols, right_cols = list(df_in_1.columns), list(df_in_2.columns)
-
-    left = (
-        df_in_1.withColumn("__lk", F.monotonically_increasing_id())
-        .withColumn("__g1", G.reproject(_q(column_name_1), epsg_1, epsg_meter_based))
-        .withColumn("__b1", G.bbox("__g1"))
-    )
-    right = materialize(
-        df_in_2.withColumn("__g2", G.reproject(_q(column_name_2), epsg_2, epsg_meter_based))
-        .withColumn("__b2", G.bbox("__g2"))
-        .where(F.col("__g2").isNotNull()),
-        "nearest-right",
-    )
-    # Widen (by the radius) the smaller side, so the larger one is never replicated: the
-    # right side's size is measured, the left side's is the optimizer's estimate (a cost
-    # choice only). The right side is broadcast only when a proven bound of its copies fits.
-    ext = right.agg(
-        F.max(F.col("__b2.maxx") - F.col("__b2.minx")).alias("ex"), F.max(F.col("__b2.maxy") - F.col("__b2.miny")).alias("ey")
-    ).first()
-    limit = int(right.sparkSession.conf.get("mapweave.broadcast.maxBytes", str(DEFAULT_BROADCAST_LIMIT)))
-    right_bytes = stored_bytes(right) * BROADCAST_EXPANSION
-    size = df_in_1._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    left_estimate = size if isinstance(size, int) else int(size.toString())
-    widen_right = ext.ex is not None and (right_bytes <= left_estimate if widen is None else widen == "right")
-    lr = 0.0 if widen_right else r
-    rr = r if widen_right else 0.0
-    broadcast_right = False
-    if ext.ex is not None:
-        copies = (math.ceil((ext.ex + 2 * rr) / s) + 1) * (math.ceil((ext.ey + 2 * rr) / s) + 1)
-        broadcast_right = right_bytes * copies <= limit
-    left = left.withColumn(
-        "__cell",
-        F.explode_outer(
-            _cells_of_box(
-                F.col("__b1.minx") - lr, F.col("__b1.miny") - lr, F.col("__b1.maxx") + lr, F.col("__b1.maxy") + lr, s
-            )
-        ),
-    )
-    right = right.withColumn(
-        "__rcell",
-        F.explode(
-            _cells_of_box(
-                F.col("__b2.minx") - rr, F.col("__b2.miny") - rr, F.col("__b2.maxx") + rr, F.col("__b2.maxy") + rr, s
-            )
-        ),
-    )
-    right = F.broadcast(right) if broadcast_right else right.hint("shuffle_hash")
-
-    # the lower-left corner of the overlap of both (one widened) boxes lies in exactly one shared cell
-    ref_x = F.greatest(F.col("__b1.minx") - lr, F.col("__b2.minx") - rr)
-    ref_y = F.greatest(F.col("__b1.miny") - lr, F.col("__b2.miny") - rr)
-    cond = (
-        (F.col("__cell.c") == F.col("__rcell.c"))
-        & (F.col("__cell.k") == F.col("__rcell.k"))
-        & (_floor_div(ref_x, s) == F.col("__rcell.c"))
-        & (_floor_div(ref_y, s) == F.col("__rcell.k"))
-    )
-    pairs = left.join(right, cond, "left")
-
-    both_points = (G.geom_kind(F.col("__g1")) == "Point") & (G.geom_kind(F.col("__g2")) == "Point")
-    dx = G.geom_x(F.col("__g1")) - G.geom_x(F.col("__g2"))
-    dy = G.geom_y(F.col("__g1")) - G.geom_y(F.col("__g2"))
-    cp1 = F.when(
-        both_points,
-        F.struct(F.sqrt(dx * dx + dy * dy).alias("d"), G.geom_x(F.col("__g1")).alias("x"), G.geom_y(F.col("__g1")).alias("y")),
-    ).otherwise(G.closest_on_first("__g1", "__g2"))
-    pairs = pairs.withColumn("__cp1", cp1)
-    d = F.col("__cp1.d")
-    valid = F.col("__g2").isNotNull() & (d <= r)
-
-    extra = []
-    if closest_point_column_2:
-        cp2 = F.when(both_points, F.struct(F.lit(0.0).alias("d"), G.geom_x(F.col("__g2")).alias("x"), G.geom_y(F.col("__g2")).alias("y")))
-        cp2 = cp2.otherwise(G.closest_on_first("__g2", "__g1"))
-        extra.append(cp2.alias("__cp2"))
-    pairs = pairs.select("*", *extra)
-
-    payload_cols = right_cols + ["__cp1"] + (["__cp2"] if closest_point_column_2 else [])
-    payload = F.struct(*[_q(c).alias(c) for c in payload_cols])
-    order_fields = [F.when(valid, d).otherwise(F.lit(float("inf"))).alias("d")]
-    order_fields += [_q(c).alias(f"t{i}") for i, c in enumerate(tie_breaker or [])]
-    best = pairs.groupBy("__lk").agg(
-        *[F.first(_q(c)).alias(c) for c in left_cols],
-        F.min_by(payload, F.struct(*order_fields)).alias("__best"),
-        F.min(F.when(valid, d)).alias("__d"),
-    )
-    if how == "inner":
-        best = best.where(F.col("__d").isNotNull())
-    matched = F.col("__d").isNotNull()
-    out = [_q(c) for c in left_cols]
-    out += [F.when(matched, F.col("__best").getField(c)).alias(c) for c in right_cols]
-    out.append(F.col("__d").alias(distance_meter_column))
-    if closest_point_column_1:
-        x, y = G.reproject_xy(F.col("__best.__cp1.x"), F.col("__best.__cp1.y"), epsg_meter_based, epsg_1)
-        out.append(F.when(matched, G.point(x, y)).alias(closest_point_column_1))
-    if closest_point_column_2:
-        x, y = G.reproject_xy(F.col("__best.__cp2.x"), F.col("__best.__cp2.y"), epsg_meter_based, epsg_2)
-        out.append(F.when(matched, G.point(x, y)).alias(closest_point_column_2))
-    return best.select(*out)
+    radius, base = float(max_meter), float(cell_size or max_meter)
+    left_cols, right_cols, ties = list(df_in_1.columns), list(df_in_2.columns), list(tie_breaker or [])
+
+    left_rows = _numbered(df_in_1, "__lk", key_columns, "nearest-left")
+    right_rows = _numbered(df_in_2, "__rk", None, "nearest-right")
+    shape_1 = G.reproject(_q(column_name_1), epsg_1, epsg_meter_based)
+    shape_2 = G.reproject(_q(column_name_2), epsg_2, epsg_meter_based)
+    left = left_rows.select(F.col("__lk").alias("lk"), shape_1.alias("g1")).where("g1 IS NOT NULL").withColumn("b1", G.bbox("g1"))
+    tied = [_q(c).alias(f"__t{i}") for i, c in enumerate(ties)]
+    right = right_rows.select(F.col("__rk").alias("rk"), shape_2.alias("g2"), *tied).where("g2 IS NOT NULL").withColumn("b2", G.bbox("g2"))
+    names = [f"__t{i}" for i in range(len(ties))]
+    wanted = (closest_point_column_1 is not None, closest_point_column_2 is not None)
+    found = _nearest_pairs(left, right, radius, base, names, wanted)
+    found = found.select(F.col("lk").alias("__lk"), F.col("rk").alias("__rk"), *[c for c in ("p1", "p2") if c in found.columns])
+
+    right_side = right_rows.select("__rk", *[_q(c) for c in right_cols])
+    matched = found.join(right_side, "__rk")
+    joined = left_rows.join(matched, "__lk", "left" if how in ("leftouter", "fullouter") else "inner")
+    out = [_q(c) for c in left_cols + right_cols] + [F.col("p1.d").alias(distance_meter_column)]
+    for column, point, crs in ((closest_point_column_1, "p1", epsg_1), (closest_point_column_2, "p2", epsg_2)):
+        if column:
+            x, y = G.reproject_xy(F.col(f"{point}.x"), F.col(f"{point}.y"), epsg_meter_based, crs)
+            out.append(F.when(F.col(f"{point}.d").isNotNull(), G.point(x, y)).alias(column))
+    result = joined.select(*out)
+    if how in ("rightouter", "fullouter"):
+        # the same search from the right side tells which right rows have company
+        flip = _nearest_pairs(
+            right.select(F.col("rk").alias("lk"), F.col("g2").alias("g1"), F.col("b2").alias("b1")),
+            left.select(F.col("lk").alias("rk"), F.col("g1").alias("g2"), F.col("b1").alias("b2")),
+            radius, base, [], (False, False),
+        )
+        alone = right_side.join(flip.select(F.col("lk").alias("__rk")), "__rk", "left_anti").drop("__rk")
+        result = result.unionByName(alone, allowMissingColumns=True)
+    return result

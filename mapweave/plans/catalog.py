@@ -578,3 +578,219 @@ def q_invalid_areas(spark, d):
     shapes = valid.unionByName(_bow_ties(spark, d))
     report = S.invalid_areas(S.area_edges(shapes, "geom", "area_id"), "area_id", cell_size=FIXTURE_CELL)
     return report.select("area_id", "n_crossings", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+# ------------------------------------------------------------------ planar shapes that grow with the tables
+
+# squares of customers and pairs of squares of suppliers, in metres of the metric system itself
+_PLANE = "epsg:25832"
+_PLANE_RADIUS = 4000.0
+_SPOTS_SQL = """spots AS (
+  SELECT CAST(c_custkey AS BIGINT) AS point_id, CAST((c_custkey * 7919) % 100003 AS DOUBLE) AS x,
+         CAST((c_custkey * 104729) % 100019 AS DOUBLE) AS y FROM customer)"""
+_BLOCKS_SQL = """blocks AS (
+  SELECT CAST(s_suppkey AS BIGINT) AS block_id, CAST((s_suppkey * 6101 + 17) % 10007 AS DOUBLE) * 10 AS x,
+         CAST((s_suppkey * 3571 + 29) % 10009 AS DOUBLE) * 10 AS y FROM supplier)"""
+_SMALL, _BIG, _APART = 3.0, 250.0, 1500.0
+
+
+def _spots(spark, d):
+    return FX.table(spark, d, "customer").selectExpr(
+        "CAST(c_custkey AS BIGINT) AS point_id",
+        "CAST((c_custkey * 7919) % 100003 AS DOUBLE) AS x",
+        "CAST((c_custkey * 104729) % 100019 AS DOUBLE) AS y",
+    )
+
+
+def _blocks(spark, d):
+    return FX.table(spark, d, "supplier").selectExpr(
+        "CAST(s_suppkey AS BIGINT) AS block_id",
+        "CAST((s_suppkey * 6101 + 17) % 10007 AS DOUBLE) * 10 AS bx",
+        "CAST((s_suppkey * 3571 + 29) % 10009 AS DOUBLE) * 10 AS by",
+    )
+
+
+def _box_ring(x, y, half: float):
+    corners = [(-half, -half), (half, -half), (half, half), (-half, half), (-half, -half)]
+    return F.array(*[G.vertex(x + dx, y + dy) for dx, dy in corners])
+
+
+def _two_parts(x, y):
+    """MultiPolygon of two squares, the second one to the east."""
+    parts = F.array(F.array(_box_ring(x, y, _BIG)), F.array(_box_ring(x + _APART, y, _BIG)))
+    return F.struct(F.lit("MultiPolygon").alias("kind"), parts.alias("parts"))
+
+
+def _gap_sql(half: float, parts: bool) -> str:
+    """Distance of a square of half width ``half`` around (p.x, p.y) from the block's square(s)."""
+    one = (
+        "sqrt(power(greatest(abs(p.x - {cx}) - {r}, 0), 2) + power(greatest(abs(p.y - b.y) - {r}, 0), 2))".format
+    )
+    r = _BIG + half
+    first = one(cx="b.x", r=r)
+    return f"least({first}, {one(cx=f'(b.x + {_APART})', r=r)})" if parts else first
+
+
+def _plane_sql(half: float, parts: bool, full: bool, extra: str = "") -> str:
+    near = O.with_(
+        _SPOTS_SQL,
+        _BLOCKS_SQL,
+        f"c AS (SELECT p.point_id, b.block_id, p.x AS px, p.y AS py, b.x AS mx, b.y AS my, {_gap_sql(half, parts)} AS d FROM spots p, blocks b)",
+        f"n AS (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY d, block_id) AS rn FROM c WHERE d <= {_PLANE_RADIUS})",
+    )
+    left = f"SELECT p.point_id, n.block_id, ROUND(n.d, 3) AS distance{extra} FROM spots p LEFT JOIN n ON n.point_id = p.point_id AND n.rn = 1"
+    alone = " UNION ALL SELECT NULL, block_id, NULL FROM blocks WHERE block_id NOT IN (SELECT block_id FROM n)"
+    return near + left + (alone if full else "")
+
+
+@query("nearest_multi_part", _plane_sql(0.0, True, False))
+def q_nearest_multi_part(spark, d):
+    """Points to MultiPolygons of two parts."""
+    spots = _spots(spark, d).select("point_id", G.point("x", "y").alias("pt"))
+    blocks = _blocks(spark, d).select("block_id", _two_parts(F.col("bx"), F.col("by")).alias("geom"))
+    out = S.join_nearest_geometry(
+        spots, blocks, "pt", "geom", _PLANE, _PLANE, _PLANE, max_meter=_PLANE_RADIUS, tie_breaker=["block_id"], key_columns=["point_id"]
+    )
+    return out.select("point_id", "block_id", F.round("distance", 3).alias("distance"))
+
+
+def _squares_join(spark, d, how: str, **more):
+    squares = _spots(spark, d).select("point_id", G.polygon(_box_ring(F.col("x"), F.col("y"), _SMALL)).alias("sq"))
+    blocks = _blocks(spark, d).select("block_id", _two_parts(F.col("bx"), F.col("by")).alias("geom"))
+    return S.join_nearest_geometry(
+        squares, blocks, "sq", "geom", _PLANE, _PLANE, _PLANE, max_meter=_PLANE_RADIUS, tie_breaker=["block_id"], join_type=how, **more
+    )
+
+
+@query("nearest_poly_poly", _plane_sql(_SMALL, True, False))
+def q_nearest_poly_poly(spark, d):
+    """Squares to MultiPolygons; a square inside either part has distance 0."""
+    return _squares_join(spark, d, "leftouter").select("point_id", "block_id", F.round("distance", 3).alias("distance"))
+
+
+@query("nearest_full", _plane_sql(_SMALL, True, True))
+def q_nearest_full(spark, d):
+    """Full outer: blocks without any square in the radius are kept."""
+    return _squares_join(spark, d, "fullouter").select("point_id", "block_id", F.round("distance", 3).alias("distance"))
+
+
+@query(
+    "closest_point_left",
+    O.with_(
+        _SPOTS_SQL,
+        _BLOCKS_SQL,
+        f"c AS (SELECT p.point_id, b.block_id, p.x AS px, p.y AS py, b.x AS mx, b.y AS my, {_gap_sql(0.0, False)} AS d FROM spots p, blocks b)",
+        f"n AS (SELECT *, row_number() OVER (PARTITION BY block_id ORDER BY d, point_id) AS rn FROM c WHERE d <= {_PLANE_RADIUS})",
+    )
+    + f"""SELECT block_id, point_id, ROUND(d, 3) AS distance,
+              ROUND(CASE WHEN d = 0 THEN px ELSE least(greatest(px, mx - {_BIG}), mx + {_BIG}) END, 3) AS near_x,
+              ROUND(CASE WHEN d = 0 THEN py ELSE least(greatest(py, my - {_BIG}), my + {_BIG}) END, 3) AS near_y
+       FROM n WHERE rn = 1""",
+)
+def q_closest_point_left(spark, d):
+    """Polygons on the left: the point of the polygon that is nearest to the matched point."""
+    spots = _spots(spark, d).select("point_id", G.point("x", "y").alias("pt"))
+    blocks = _blocks(spark, d).select("block_id", G.polygon(_box_ring(F.col("bx"), F.col("by"), _BIG)).alias("geom"))
+    out = S.join_nearest_geometry(
+        blocks, spots, "geom", "pt", _PLANE, _PLANE, _PLANE, max_meter=_PLANE_RADIUS, tie_breaker=["point_id"],
+        join_type="inner", closest_point_column_1="near",
+    )
+    return out.select(
+        "block_id", "point_id", F.round("distance", 3).alias("distance"),
+        F.round(G.geom_x("near"), 3).alias("near_x"), F.round(G.geom_y("near"), 3).alias("near_y"),
+    )
+
+
+@query(
+    "small_area_centroids",
+    O.with_(O.FX_SITES) + "SELECT site_id, CAST(50 AS DOUBLE) AS dx, CAST(50 AS DOUBLE) AS dy FROM fx_sites",
+)
+def q_small_area_centroids(spark, d):
+    """Squares of 11 metres far from the origin: the middle, in millionths of a degree from the corner."""
+    sites = FX.fx_sites(spark, d)
+    x, y, w = F.col("lon"), F.col("lat"), F.lit(1e-4)
+    ring = F.array(G.vertex(x, y), G.vertex(x + w, y), G.vertex(x + w, y + w), G.vertex(x, y + w), G.vertex(x, y))
+    squares = sites.select("site_id", "lon", "lat", G.polygon(ring).alias("geom"))
+    middles = S.edge_centroids(S.area_edges(squares, "geom", "site_id"), "site_id")
+    return middles.join(sites, "site_id").select(
+        "site_id",
+        F.round((F.col("cx") - F.col("lon")) * 1e6, 3).alias("dx"),
+        F.round((F.col("cy") - F.col("lat")) * 1e6, 3).alias("dy"),
+    )
+
+
+@query(
+    "house_number_parity",
+    """SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(o_orderkey % 2 AS INT) AS key_parity,
+              CAST(CAST(floor(CAST(o_totalprice AS DOUBLE)) AS BIGINT) % 2 AS INT) AS price_parity,
+              CAST(-1 AS INT) AS text_parity
+       FROM orders""",
+)
+def q_house_number_parity(spark, d):
+    from mapweave.functions.housenumber import parity
+
+    orders = FX.table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("price"))
+    return orders.select(
+        F.col("o_orderkey").cast("bigint").alias("id"),
+        parity("o_orderkey").alias("key_parity"),
+        parity("price").alias("price_parity"),
+        parity(F.concat(F.col("o_orderkey").cast("string"), F.lit(".0"))).alias("text_parity"),
+    )
+
+
+@query(
+    "house_numbers_long",
+    """WITH h AS (SELECT CAST(o_orderkey AS BIGINT) AS id, 12345678901234567000::HUGEINT + o_orderkey % 900 AS n, o_orderkey % 2 AS odd FROM orders)
+       SELECT id, CAST(n + k AS VARCHAR) AS number FROM h, (VALUES (0, 0), (2, 0), (4, 0), (0, 1), (1, 1), (2, 1), (3, 1)) v(k, odd) WHERE v.odd = h.odd
+       UNION ALL SELECT id, concat(n, '-', n + CASE odd WHEN 0 THEN 4 ELSE 3 END) FROM h""",
+)
+def q_house_numbers_long(spark, d):
+    """Ranges of numbers of 20 digits."""
+    orders = FX.table(spark, d, "orders").selectExpr(
+        "CAST(o_orderkey AS BIGINT) AS id", "12345678901234567000BD + o_orderkey % 900 AS n", "o_orderkey % 2 AS odd"
+    )
+    text = orders.selectExpr("id", "concat(CAST(n AS string), '-', CAST(n + CASE odd WHEN 0 THEN 4 ELSE 3 END AS string)) AS h")
+    return text.select("id", F.explode(expand_house_numbers("h")).alias("number"))
+
+
+# relations of suppliers: a U-shaped border and one inner ring in an arm, across the notch or outside
+_U_SHAPE = "array(0,0, 9,0, 9,9, 6,9, 6,3, 3,3, 3,9, 0,9, 0,0)"
+
+
+def _u_map(spark, d):
+    """One relation per supplier: two outer ways that close a U, one inner way; node 9 of every third U is unknown."""
+    base = FX.table(spark, d, "supplier").selectExpr("CAST(s_suppkey AS BIGINT) AS s")
+    corners = base.selectExpr("s", f"posexplode(transform(sequence(0, 7), i -> struct({_U_SHAPE}[2 * i] AS x, {_U_SHAPE}[2 * i + 1] AS y))) AS (j, v)")
+    rings = "CASE s % 3 WHEN 0 THEN array(1,4, 2,4, 2,6, 1,6) WHEN 1 THEN array(1,5, 8,5, 8,6, 1,6) ELSE array(4,5, 5,5, 5,8, 4,8) END"
+    inner = base.selectExpr("s", f"{rings} AS c").selectExpr(
+        "s", "posexplode(transform(sequence(0, 3), i -> struct(c[2 * i] AS x, c[2 * i + 1] AS y))) AS (j, v)"
+    )
+    inner = inner.withColumn("j", F.col("j") + 20)
+    nodes = corners.unionByName(inner).selectExpr(
+        "s * 100 + j AS id", "CAST(s % 300 AS DOUBLE) + v.x / 20D AS longitude", "CAST(s DIV 300 AS DOUBLE) + v.y / 20D AS latitude"
+    )
+    ways = base.selectExpr(
+        "s",
+        """inline(array(named_struct('w', 0, 'js', array(0, 1, 2, 3, 4)), named_struct('w', 1, 'js', array(0, 7, 6, 5, 4)),
+                        named_struct('w', 2, 'js', array(20, 21, 22, 23, 20))))""",
+    ).selectExpr("s * 10 + w AS id", "transform(js, j -> s * 100 + j) AS nodes")
+    relations = base.selectExpr(
+        "s AS id",
+        """array(named_struct('id', s * 10, 'relationType', 1Y, 'role', 'outer'),
+                 named_struct('id', s * 10 + 2, 'relationType', 1Y, 'role', 'inner'),
+                 named_struct('id', s * 10 + 1, 'relationType', 1Y, 'role', 'outer')) AS relations""",
+        "map('type', 'boundary') AS tags",
+    )
+    return FX.MapFrames(nodes=FX._pad(nodes, 0), ways=FX._pad(ways, 1), relations=FX._pad(relations, 2))
+
+
+@query(
+    "area_hole_edges",
+    """SELECT CAST(s_suppkey AS BIGINT) AS id, CAST(1 AS INT) AS outer_polygon_count, CAST(1 AS INT) AS inner_polygon_count,
+              CAST(9 AS INT) AS outer_point_count, CAST(CASE s_suppkey % 3 WHEN 0 THEN 5 ELSE 0 END AS INT) AS inner_point_count
+       FROM supplier""",
+)
+def q_area_hole_edges(spark, d):
+    """Only an inner ring that lies wholly in the U is a hole; one from arm to arm across the notch is none."""
+    areas = assemble_areas(_u_map(spark, d), "element_at(tags, 'type') = 'boundary'", {}, add_debug_columns=True, cell_size=0.1).areas
+    return areas.select("id", "outer_polygon_count", "inner_polygon_count", "outer_point_count", "inner_point_count")

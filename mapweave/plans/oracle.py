@@ -7,7 +7,16 @@ geometry answers. They never call the library.
 
 from __future__ import annotations
 
-from mapweave.functions.geometry import Crs
+# Krueger series of GRS80 for UTM zone 32 (rectifying radius, 2 sqrt(n) / (1 + n), the three
+# coefficients forwards, backwards and for the latitude, central meridian, false northing), worked out
+# from a = 6378137 m, 1/f = 298.257222101
+UTM32_A = 6367449.145771048
+UTM32_E = 0.08181919104281579
+UTM32_ALPHA = (0.0008377318229233356, 7.608497033275727e-07, 1.203487805324186e-09)
+UTM32_BETA = (0.0008377321681862306, 5.9061109218734e-08, 1.676991204140259e-10)
+UTM32_DELTA = (0.003356551465100355, 6.571913257672216e-06, 1.7677460222466733e-08)
+UTM32_LON0 = 9.0
+UTM32_N0 = 0.0
 
 FX_POINTS = """fx_points AS (
   SELECT CAST(c_custkey AS BIGINT) AS point_id,
@@ -39,20 +48,19 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def utm_sql(lon: str, lat: str, crs: str = "epsg:25832") -> tuple[str, str]:
-    """(easting, northing) SQL of the Krueger series for a UTM CRS."""
-    c = Crs(crs)
+def utm_sql(lon: str, lat: str) -> tuple[str, str]:
+    """(easting, northing) SQL of the Krueger series for UTM zone 32."""
     phi = f"RADIANS({lat})"
-    dlam = f"RADIANS({lon} - {c.lon0!r})"
-    t = f"SINH(ATANH(SIN({phi})) - {c.e!r} * ATANH({c.e!r} * SIN({phi})))"
+    dlam = f"RADIANS({lon} - {UTM32_LON0!r})"
+    t = f"SINH(ATANH(SIN({phi})) - {UTM32_E!r} * ATANH({UTM32_E!r} * SIN({phi})))"
     xi = f"ATAN2({t}, COS({dlam}))"
     eta = f"ATANH(SIN({dlam}) / SQRT(1 + ({t}) * ({t})))"
     east, north = eta, xi
-    for j, aj in enumerate(c.alpha, start=1):
+    for j, aj in enumerate(UTM32_ALPHA, start=1):
         east += f" + {aj!r} * COS({2 * j} * {xi}) * SINH({2 * j} * {eta})"
         north += f" + {aj!r} * SIN({2 * j} * {xi}) * COSH({2 * j} * {eta})"
-    k = 0.9996 * c.A
-    return f"(500000.0 + {k!r} * ({east}))", f"({c.n0!r} + {k!r} * ({north}))"
+    k = 0.9996 * UTM32_A
+    return f"(500000.0 + {k!r} * ({east}))", f"({UTM32_N0!r} + {k!r} * ({north}))"
 
 
 # Entity fixtures in DuckDB form: tags are spread into the columns the oracles read.
@@ -96,25 +104,24 @@ FX_LEVELS = """fx_levels AS (
   FROM fx_areas)"""
 
 
-def utm_inverse_sql(e: str, n: str, crs: str = "epsg:25832") -> tuple[str, str]:
-    """(lon, lat) SQL of the inverse Krueger series for a UTM CRS."""
-    c = Crs(crs)
-    k = 0.9996 * c.A
-    xi = f"(({n}) - {c.n0!r}) / {k!r}"
+def utm_inverse_sql(e: str, n: str) -> tuple[str, str]:
+    """(lon, lat) SQL of the inverse Krueger series for UTM zone 32."""
+    k = 0.9996 * UTM32_A
+    xi = f"(({n}) - {UTM32_N0!r}) / {k!r}"
     eta = f"(({e}) - 500000.0) / {k!r}"
     xi_p, eta_p = f"({xi}", f"({eta}"
-    for j, bj in enumerate(c.beta, start=1):
+    for j, bj in enumerate(UTM32_BETA, start=1):
         xi_p += f" - {bj!r} * SIN({2 * j} * {xi}) * COSH({2 * j} * {eta})"
         eta_p += f" - {bj!r} * COS({2 * j} * {xi}) * SINH({2 * j} * {eta})"
     xi_p += ")"
     eta_p += ")"
     chi = f"ASIN(SIN({xi_p}) / COSH({eta_p}))"
     phi = f"({chi}"
-    for j, dj in enumerate(c.delta, start=1):
+    for j, dj in enumerate(UTM32_DELTA, start=1):
         phi += f" + {dj!r} * SIN({2 * j} * {chi})"
     phi += ")"
     lam = f"ATAN2(SINH({eta_p}), COS({xi_p}))"
-    return f"(DEGREES({lam}) + {c.lon0!r})", f"DEGREES({phi})"
+    return f"(DEGREES({lam}) + {UTM32_LON0!r})", f"DEGREES({phi})"
 
 
 def diamond_segments_cte(name: str = "fx_area_segs") -> str:

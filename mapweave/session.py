@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "mapweave") -> SparkSession:
@@ -23,6 +27,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("MAPWEAVE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
@@ -59,20 +64,33 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process, so that its own folders serve all of them."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
-    Reads ``spark.checkpoint.dir`` as the cluster names it. Only when it is
-    unset (local tests) a scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` as the cluster names it. Only where it is
+    unset on a local master (tests) a scratch folder is made; elsewhere an unset
+    folder raises, as executors would each write a disk of their own.
     """
-    current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = tempfile.mkdtemp(prefix="mapweave-ckpt-")
-    spark.sparkContext.setCheckpointDir(conf)
-    return spark.sparkContext.getCheckpointDir() or conf
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="mapweave-ckpt-")
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir() or folder
+
+
+# staged tables that nobody has dropped yet, by application
+_STAGED: dict[str, list[str]] = {}
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -80,44 +98,92 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
     Used where an intermediate result is read several times (area edges and
     rows): it is computed once, later plans start from a scan, and a lost
-    executor costs a re-read instead of a recomputation of the lineage.
+    executor costs a re-read instead of a recomputation of the lineage. The table
+    belongs to the innermost open :func:`staging` block, or else to the
+    application, which drops it at its end or on :func:`drop_staged`.
     """
     spark = df.sparkSession
+    app = spark.sparkContext.applicationId
     path = f"{checkpoint_dir(spark).rstrip('/')}/mapweave/{name}-{uuid.uuid4().hex}"
+    if app not in _STAGED:
+        _STAGED[app] = []
+        atexit.register(_drop_at_exit, spark)
+    _STAGED[app].append(path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_tables(spark: SparkSession) -> list[str]:
+    """Paths of the staged tables that are still there."""
+    return list(_STAGED.get(spark.sparkContext.applicationId, []))
+
+
+def drop_staged(spark: SparkSession, since: int = 0) -> None:
+    """Delete the staged tables of this application (those after the first ``since``)."""
+    paths = _STAGED.get(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while len(paths) > since:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+def _drop_at_exit(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        drop_staged(spark)
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside the block are dropped at its end; use results before."""
+    before = len(staged_tables(spark))
+    try:
+        yield
+    finally:
+        drop_staged(spark, before)
 
 
-# stored (compressed) bytes are multiplied by this to estimate the in-memory size of a broadcast
-BROADCAST_EXPANSION = 4
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
-def stored_bytes(df: DataFrame) -> int:
-    """Total size of the files behind a file-scan DataFrame, from the file system."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        total += path.getFileSystem(conf).getFileStatus(path).getLen()
-    return total
+def _width(kind: T.DataType, value: str, depth: int = 0) -> str:
+    """SQL text: bytes that a value takes in Spark's row format (fixed slot and what it points to)."""
+    if isinstance(kind, T.StructType):
+        parts = [_width(f.dataType, f"{value}.`{f.name}`", depth) for f in kind.fields]
+        return f"coalesce({' + '.join(['16', *parts])}, 16)"
+    if isinstance(kind, T.ArrayType):
+        inner = kind.elementType
+        if isinstance(inner, T.StructType) and all(isinstance(f.dataType, T.NumericType) for f in inner.fields):
+            return f"coalesce(24 + size({value}) * {16 + 8 * len(inner.fields)}, 16)"
+        x = f"_w{depth}"
+        each = _width(inner, x, depth + 1)
+        return f"coalesce(24 + aggregate(transform({value}, {x} -> CAST({each} AS bigint)), 0L, (a, b) -> a + b), 16)"
+    if isinstance(kind, T.MapType):
+        keys = _width(T.ArrayType(kind.keyType), f"map_keys({value})", depth)
+        return f"({keys} + {_width(T.ArrayType(kind.valueType), f'map_values({value})', depth)})"
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return f"coalesce(16 + octet_length({value}), 16)"
+    return "16"
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all rows of a staged frame in Spark's row format, from one aggregate over it."""
+    row = " + ".join(["16", *[_width(f.dataType, f"`{f.name}`") for f in df.schema.fields]])
+    return int(df.agg(F.sum(F.expr(f"CAST({row} AS bigint)"))).first()[0] or 0)
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    return int(spark.conf.get("mapweave.broadcast.maxBytes", str(DEFAULT_BROADCAST_LIMIT)))
 
 
 def sized_broadcast(df: DataFrame, name: str, limit_bytes: int | None = None) -> DataFrame:
-    """Materialize ``df`` and mark it for broadcast only if its measured size fits.
+    """Stage ``df`` and mark it for broadcast only if its measured rows fit.
 
-    The side is written once to the checkpoint folder; its stored size times
-    :data:`BROADCAST_EXPANSION` is compared with ``limit_bytes`` (default
+    The rows are measured in the format in which they would be broadcast
+    (:func:`measured_bytes`) against ``limit_bytes`` (default
     ``mapweave.broadcast.maxBytes`` or 64 MiB). Above the limit the frame is
     returned with a ``shuffle_hash`` hint, so no planner estimate can turn it
     into a broadcast.
     """
-    spark = df.sparkSession
-    if limit_bytes is None:
-        limit_bytes = int(spark.conf.get("mapweave.broadcast.maxBytes", str(DEFAULT_BROADCAST_LIMIT)))
     table = materialize(df, name)
-    if stored_bytes(table) * BROADCAST_EXPANSION <= limit_bytes:
-        return F.broadcast(table)
-    return table.hint("shuffle_hash")
+    limit = broadcast_limit(df.sparkSession) if limit_bytes is None else limit_bytes
+    return F.broadcast(table) if measured_bytes(table) <= limit else table.hint("shuffle_hash")

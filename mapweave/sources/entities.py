@@ -7,6 +7,7 @@ kind prunes the other partitions at the scan.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,9 +62,18 @@ def write_entities(raw_df: DataFrame, path: str, mode: str = "overwrite") -> Non
     raw_df.select(*cols).write.mode(mode).partitionBy("type").parquet(path)
 
 
-def write_table(df: DataFrame, path: str, files: int | None = 10, mode: str = "overwrite") -> None:
-    """Parquet sink; ``files`` caps the number of output files without a shuffle."""
-    out = df.coalesce(files) if files else df
+def write_table(
+    df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite", order: Sequence[str] | None = None
+) -> None:
+    """Parquet sink. By default every task of the last stage writes its own file.
+
+    ``files`` asks for that many files: rows are dealt out anew, by ranges of the
+    ``order`` columns where given (each file sorted), so the stage before keeps its
+    parallelism.
+    """
+    out = df
+    if files:
+        out = df.repartitionByRange(files, *order).sortWithinPartitions(*order) if order else df.repartition(files)
     out.write.mode(mode).parquet(path)
 
 

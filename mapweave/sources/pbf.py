@@ -305,22 +305,23 @@ def _inflate(blob: bytes) -> bytes | None:
 
 
 def blob_index(path: str) -> list[tuple[int, int]]:
-    """(offset, size) of every OSMData blob; reads headers only."""
+    """(offset, size) of every OSMData blob; reads headers only. A file that ends inside a blob raises."""
     out = []
+    length = os.path.getsize(path)
     with open(path, "rb") as f:
-        while True:
+        while f.tell() < length:
             head = f.read(4)
-            if len(head) < 4:
-                break
-            (hlen,) = struct.unpack(">I", head)
-            header = f.read(hlen)
-            kind, size = "", 0
+            hlen = struct.unpack(">I", head)[0] if len(head) == 4 else length
+            header = f.read(hlen) if hlen <= length - f.tell() else b""
+            kind, size = "", None
             for num, _wt, val in _fields(header):
                 if num == 1:
                     kind = bytes(val).decode()
                 elif num == 3:
                     size = int(val)
             offset = f.tell()
+            if size is None or offset + size > length:
+                raise ValueError(f"{path} ends inside a blob at byte {offset} of {length}")
             if kind == "OSMData":
                 out.append((offset, size))
             f.seek(size, os.SEEK_CUR)
@@ -339,9 +340,10 @@ class PbfReader(DataSourceReader):
         self.partition_bytes = int(options.get("partitionBytes", DEFAULT_PARTITION_BYTES))
 
     def _files(self) -> list[str]:
-        if os.path.isdir(self.path):
-            return sorted(glob.glob(os.path.join(self.path, "*.pbf")))
-        return sorted(glob.glob(self.path))
+        found = glob.glob(os.path.join(self.path, "*.pbf")) if os.path.isdir(self.path) else glob.glob(self.path)
+        if not found:
+            raise FileNotFoundError(f"no PBF file at {self.path}")
+        return sorted(found)
 
     def partitions(self):
         parts: list[BlobRange] = []

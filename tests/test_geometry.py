@@ -127,3 +127,29 @@ def test_jts_oracle_random_polygons(spark):
         assert r.c.parts[0][0][0].x == pytest.approx(ex, abs=1e-9)
         assert r.c.parts[0][0][0].y == pytest.approx(ey, abs=1e-9)
         assert r.d == pytest.approx(ed, abs=1e-9)
+
+
+def test_published_control_points(spark):
+    """UTM coordinates as published for two well-known towers."""
+    rows = spark.createDataFrame([(2.2945, 48.8582, -79.3871389, 43.6425667)], "a double, b double, c double, d double")
+    e1, n1 = G.reproject_xy("a", "b", "epsg:4326", "epsg:32631")
+    e2, n2 = G.reproject_xy("c", "d", "epsg:4326", "epsg:32617")
+    r = rows.select(e1.alias("e1"), n1.alias("n1"), e2.alias("e2"), n2.alias("n2")).first()
+    assert abs(r.e1 - 448251.8) < 0.5 and abs(r.n1 - 5411932.7) < 0.5
+    assert abs(r.e2 - 630084) < 1.5 and abs(r.n2 - 4833438) < 1.5
+
+
+def test_distance_of_multi_part_geometries(spark):
+    def ring(x, y, h):
+        return F.array(*[G.vertex(F.lit(x + dx), F.lit(y + dy)) for dx, dy in ((-h, -h), (h, -h), (h, h), (-h, h), (-h, -h))])
+
+    def multi(*rings):
+        return F.struct(F.lit("MultiPolygon").alias("kind"), F.array(*[F.array(r) for r in rings]).alias("parts"))
+
+    df = spark.range(1).select(
+        G.polygon(ring(5.0, 5.0, 5.0)).alias("big"), multi(ring(-9.0, 5.0, 1.0), ring(5.0, 5.0, 1.0)).alias("two"), multi(ring(-9.0, 5.0, 1.0)).alias("one")
+    )
+    r = df.select(
+        G.distance("big", "two").alias("a"), G.distance("two", "big").alias("b"), G.distance("big", "one").alias("c"), G.distance("one", "big").alias("d")
+    ).first()
+    assert (r.a, r.b, r.c, r.d) == (0.0, 0.0, 8.0, 8.0)

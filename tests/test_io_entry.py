@@ -34,3 +34,60 @@ def test_entry_flagship(spark):
     assert df.columns == ["street", "plz", "city", "housenumber", "longitude", "latitude"]
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_output_files(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 7).withColumnRenamed("id", "plz")
+    write_table(df, str(tmp_path / "all"))
+    write_table(df, str(tmp_path / "some"), files=3, order=["plz"])
+    parts = lambda name: sorted(p.name for p in (tmp_path / name).glob("part-*"))
+    assert len(parts("all")) == 7 and len(parts("some")) == 3
+    spans = []
+    for p in parts("some"):
+        ids = [r.plz for r in spark.read.parquet(str(tmp_path / "some" / p)).collect()]
+        assert ids == sorted(ids)
+        spans.append((min(ids), max(ids)))
+    spans.sort()
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_staged_tables_have_an_owner(spark):
+    import os
+
+    from mapweave import session
+    from mapweave.plans import catalog
+
+    before = session.staged_tables(spark)
+    with session.staging(spark):
+        rows = catalog.QUERIES["nearest_left"](spark, SF_SMALL).count()
+        made = [p.removeprefix("file:") for p in session.staged_tables(spark)[len(before):]]
+        assert rows and made and all(os.path.isdir(p) for p in made)
+    assert session.staged_tables(spark) == before
+    assert not any(os.path.exists(p) for p in made)
+
+
+def test_no_folder_off_a_local_master_raises():
+    import types
+
+    import pytest
+
+    from mapweave import session
+
+    assert session.is_local("local") and session.is_local("local[4]")
+    assert not session.is_local("local-cluster[3,2,3000]") and not session.is_local("spark://host:7077")
+    context = types.SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    conf = types.SimpleNamespace(get=lambda key, default=None: default)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(types.SimpleNamespace(sparkContext=context, conf=conf))
+
+
+def test_measured_bytes_bound_the_row_format(spark):
+    from pyspark.sql import functions as F
+
+    from mapweave import session
+
+    df = spark.range(50).select(
+        "id", F.repeat(F.lit("x"), 100).alias("s"), F.array_repeat(F.struct(F.lit(1.0).alias("a"), F.lit(2.0).alias("b")), 10).alias("v")
+    )
+    assert 50 * (8 + 100 + 160) <= session.measured_bytes(df) <= 50 * 800
+    assert session.measured_bytes(df.limit(0)) == 0

@@ -48,3 +48,25 @@ def test_pbf_reader_and_ingest(spark):
     ingest_pbf(spark, path, out, partition_bytes=1)  # one blob per partition
     back = read_entities(spark, out)
     assert (back.nodes.count(), back.ways.count(), back.relations.count()) == (4, 1, 1)
+
+
+def test_wrong_paths_and_cut_files_raise(spark, tmp_path):
+    import pytest
+
+    from mapweave.sources.pbf import blob_index
+
+    for bad in (tmp_path / "none.osm.pbf", tmp_path):  # a folder without any *.pbf file as well
+        with pytest.raises(Exception, match="no PBF file"):
+            read_entities(spark, str(bad), fmt="pbf").nodes.count()
+    whole = tmp_path / "tiny.osm.pbf"
+    _write(str(whole))
+    data = whole.read_bytes()
+    assert len(blob_index(str(whole))) == 3
+    for cut in (1, 3, 10):
+        part = tmp_path / f"cut{cut}.osm.pbf"
+        part.write_bytes(data[:-cut])
+        with pytest.raises(ValueError, match="ends inside a blob"):
+            blob_index(str(part))
+        part.write_bytes(data + data[:cut])
+        with pytest.raises(ValueError, match="ends inside a blob"):
+            blob_index(str(part))

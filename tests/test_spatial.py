@@ -203,3 +203,85 @@ def test_border_polygons_frame_and_keyless_join(spark):
 @pytest.mark.parametrize("widen", ["left", "right"])
 def test_nearest_widening_side_does_not_change_result(spark, widen):
     assert _nearest(spark, cell=9000.0, widen=widen) == _nearest(spark, cell=9000.0)
+
+
+PLANE = "epsg:25832"
+
+
+def _plane_points(spark, rows, key, geom):
+    return spark.createDataFrame(rows, f"{key} int, x double, y double").select(key, G.point("x", "y").alias(geom))
+
+
+@pytest.mark.parametrize("how", ["inner", "leftouter", "rightouter", "fullouter"])
+def test_nearest_join_types(spark, how):
+    left = _plane_points(spark, [(1, 0.0, 0.0), (2, 100.0, 0.0), (3, 9000.0, 0.0)], "a", "p")
+    right = _plane_points(spark, [(10, 1.0, 0.0), (11, 60.0, 0.0), (12, 5000.0, 0.0), (13, -20.0, 0.0)], "b", "q")
+    out = S.join_nearest_geometry(left, right, "p", "q", PLANE, PLANE, PLANE, max_meter=50, join_type=how, tie_breaker=["b"])
+    got = sorted(((r.a, r.b) for r in out.collect()), key=str)
+    want = [(1, 10), (2, 11)]
+    if how in ("leftouter", "fullouter"):
+        want.append((3, None))
+    if how in ("rightouter", "fullouter"):
+        want.append((None, 12))  # 13 has a left row in the radius, though not as its nearest
+    assert got == sorted(want, key=str)
+    assert out.columns == ["a", "p", "b", "q", "distance"]
+
+
+def test_nearest_against_brute_force(spark):
+    """Mixed sizes and densities: clusters, lone rows, boxes wider than the cells, equal places."""
+    import math
+    import random
+
+    rng = random.Random(4)
+    left = [(i, rng.choice([0, 500, 2500]) + rng.random() * rng.choice([1, 30, 900]), rng.random() * 900, rng.choice([0.0, 0.0, 40.0])) for i in range(150)]
+    right = [(i, rng.choice([0, 500, 2500]) + rng.random() * rng.choice([1, 30, 900]), rng.random() * 900, rng.choice([0.0, 0.0, 5.0, 300.0])) for i in range(200)]
+    right += [(1000 + i, 700.0, 700.0, 0.0) for i in range(20)]
+
+    def frame(rows, key, geom):
+        df = spark.createDataFrame(rows, f"{key} int, x double, y double, h double")
+        x, y, h = F.col("x"), F.col("y"), F.col("h")
+        ring = F.array(G.vertex(x - h, y - h), G.vertex(x + h, y - h), G.vertex(x + h, y + h), G.vertex(x - h, y + h), G.vertex(x - h, y - h))
+        return df.select(key, F.when(h > 0, G.polygon(ring)).otherwise(G.point("x", "y")).alias(geom))
+
+    radius = 200.0
+    want = {}
+    for i, x, y, h in left:
+        near = []
+        for j, u, v, k in right:
+            gap = math.hypot(max(abs(x - u) - h - k, 0), max(abs(y - v) - h - k, 0))
+            if gap <= radius:
+                near.append((round(gap, 6), j))
+        want[i] = min(near) if near else (None, None)
+    for cell in (None, 37.0, 900.0):
+        out = S.join_nearest_geometry(
+            frame(left, "a", "p"), frame(right, "b", "q"), "p", "q", PLANE, PLANE, PLANE, max_meter=radius, cell_size=cell,
+            tie_breaker=["b"], key_columns=["a"],
+        )
+        got = {r.a: (None if r.distance is None else round(r.distance, 6), r.b) for r in out.collect()}
+        assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+        assert sum(got[k] != want[k] for k in want) <= 2  # rounding may swap ties
+
+
+def test_candidates_stay_flat_when_the_right_side_grows_in_place(spark):
+    import random
+
+    rng = random.Random(9)
+
+    def boxes(n, key):
+        rows = [(i, rng.random() * 1000, rng.random() * 1000) for i in range(n)]
+        df = spark.createDataFrame(rows, f"{key} int, x double, y double")
+        box = F.struct(F.col("x").alias("minx"), F.col("y").alias("miny"), F.col("x").alias("maxx"), F.col("y").alias("maxy"))
+        return df.select(key, box.alias("b1" if key == "lk" else "b2"))
+
+    left = boxes(100, "lk")
+    few = S._candidates(left, boxes(500, "rk"), 1000.0, 1000.0).count()
+    many = S._candidates(left, boxes(5000, "rk"), 1000.0, 1000.0).count()
+    assert many < 2 * few and many < 100 * 150
+
+
+def test_zero_size_areas_have_a_centroid(spark):
+    ring = lambda *pts: F.array(*[G.vertex(F.lit(float(x)), F.lit(float(y))) for x, y in pts])
+    flat = spark.range(1).select(F.lit(1).alias("k"), G.polygon(ring((0, 0), (4, 0), (4, 0), (0, 0))).alias("g"))
+    dot = spark.range(1).select(F.lit(2).alias("k"), G.polygon(ring((7, 8), (7, 8), (7, 8), (7, 8))).alias("g"))
+    got = {r.k: (r.cx, r.cy) for r in S.edge_centroids(S.area_edges(flat.unionByName(dot), "g", "k"), "k").collect()}
+    assert got == {1: (2.0, 0.0), 2: (7.0, 8.0)}
