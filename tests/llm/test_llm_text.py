@@ -1,0 +1,281 @@
+"""BPE, token files, similarity join, licenses, secrets and toxicity against brute force."""
+
+import hashlib
+import os
+import random
+import re
+import zlib
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+pytest.importorskip("mapweave.llm")
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from llm_data import ROWS, documents, labels, sorted_rows
+from mapweave.llm import bpe, idcoder, jaccard, license, secrets, toxicity
+from mapweave.llm.queries import vocabulary
+
+PATH = vocabulary()
+SF_CHECK = "/root/testdata/sf0.01"
+SPACED = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+PIECES = ["a", "b", "the", "ing", "'s", "'", "'re", " ", "\n", "é", "é", "́", "ß", "İ", "漢", "한", "1", "!", "<|endoftext|>", "<|", "😀", "\xa0", "Σ", "zq", "_"]
+
+
+def _library(texts):
+    tok = bpe.tokenizer(PATH)
+    return [e.ids for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=250), st.integers(50, 200))
+def test_tree_equals_the_library(pieces, leaf):
+    text = "".join(pieces)
+    tok = bpe.tokenizer(PATH)
+    want = _library([text])[0]
+    assert bpe.encode_long(tok, text, leaf).tolist() == want
+    assert bpe.encode_texts(tok, pa.array([text, "x", text]))[2].tolist() == want
+    leaves = [text[k : k + leaf] for k in range(0, len(text), leaf)]
+    parts, lo = [], 0
+    for leaf_text, p in zip(leaves, bpe.encode_parts(PATH, leaves) if leaves else [], strict=True):
+        parts.append(bpe.Part(lo, lo + len(leaf_text), p.ids, p.start + lo, p.end + lo, p.word))
+        lo += len(leaf_text)
+    assert bpe.join_tree(tok, text, parts).tolist() == want
+
+
+@pytest.mark.parametrize("leaf", [64, 32768])
+def test_round_trip_of_awkward_rows(spark, leaf):
+    got = sorted_rows(bpe.round_trip(documents(spark), PATH, leaf))
+    tok = bpe.tokenizer(PATH)
+    want = []
+    for (i, _), ids in zip(ROWS, _library([t for _, t in ROWS]), strict=True):
+        text = tok.decode(ids, skip_special_tokens=False)
+        want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+    assert got == sorted(want, key=lambda r: tuple((x is not None, str(type(x)), str(x)) for x in r))
+    texts = {r.doc_id: r.text for r in bpe.decode(bpe.encode(documents(spark), PATH, leaf), PATH).collect()}
+    assert texts[1] == tok.decode(_library([ROWS[0][1]])[0], skip_special_tokens=False)
+    assert bpe.round_trip(documents(spark, []), PATH).count() == 0
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(0, 65535), max_size=300), st.integers(1, 60), st.integers(0, 3))
+def test_blocks_round_trip(head, span, repeats):
+    ids = np.array(head + [k % span for k in range(repeats * 3000)] + head, np.int32)
+    assert (idcoder.decode_blocks(idcoder.encode_blocks(ids)) == ids).all()
+
+
+def test_a_wrong_block_raises():
+    blocks = idcoder.encode_blocks(np.arange(500, dtype=np.int32))
+    n, data, crc = blocks[0]
+    with pytest.raises(ValueError, match="checksum"):
+        idcoder.decode_blocks([(n, data, crc ^ 1)])
+    with pytest.raises(ValueError, match="ids must lie"):
+        idcoder.encode_blocks(np.array([1 << 16]))
+
+
+def test_token_files_of_awkward_rows(spark, tmp_path):
+    path = str(tmp_path / "ids")
+    idcoder.write_ids(documents(spark), PATH, path)
+    got = idcoder.digests(spark, path).collect()
+    lists = {}
+    for (i, t), ids in zip(ROWS, _library([t for _, t in ROWS]), strict=True):
+        lists.setdefault(i, []).append(ids + [2])
+    assert sorted((r.start, r.n_tokens) for r in got) == sorted(
+        (r.start, r.n_tokens) for r in got
+    )
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+        assert (r.n_tokens, r.ids_crc32) in {(len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for x in lists[r.doc_id]}
+    order = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
+    assert order == sorted(order, key=lambda i: (i is not None, i or 0)) and len(got) == len(ROWS)
+    back = {r.doc_id: r.ids for r in idcoder.read_ids(spark, path).collect()}
+    assert back[1] == lists[1][0]
+    empty = str(tmp_path / "none")
+    idcoder.write_ids(documents(spark, []), PATH, empty)
+    assert idcoder.digests(spark, empty).count() == 0
+
+
+# ------------------------------------------------------------------ similarity join
+
+
+def _set(text):
+    w = SPACED.findall((text or "").translate(LOWER))
+    return frozenset(zip(w, w[1:], w[2:], strict=False)) if len(w) >= 3 else frozenset([tuple(w)] if w else [])
+
+
+def _components(rows):
+    sets = [_set(t) for _, t in rows]
+    parent = {i: i for i, _ in rows if i is not None}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for (i, _), (j, _), a, b in ((*p, sets[x], sets[y]) for (x, p0), (y, p1) in combinations(enumerate(rows), 2) for p in [(p0, p1)]):
+        if i is not None and j is not None and a and b and 100 * len(a & b) >= 90 * len(a | b):
+            x, y = root(i), root(j)
+            parent[max(x, y)] = min(x, y)
+    return [(i, len(s), None if i is None else root(i)) for (i, _), s in zip(rows, sets, strict=True)]
+
+
+def _random_corpus(seed):
+    """Families of copies with few changes, of all sizes around the boundary, and unrelated texts."""
+    rng = random.Random(seed)
+    rows = []
+    for family in range(14):
+        n = rng.choice([3, 5, 9, 11, 12, 14, 20, 21, 22, 30, 60, 150])
+        base = [f"f{family}w{k}" for k in range(n)]
+        for _ in range(rng.randint(2, 9)):
+            w = list(base)
+            for _ in range(rng.choice([0, 0, 1, 1, 2])):
+                at = rng.randrange(len(w))
+                w[at : at + rng.choice([0, 1])] = [f"x{rng.randrange(10**6)}"]
+            rows.append((rng.randrange(10**9), " ".join(w)))
+    rows += [(rng.randrange(10**9), " ".join(f"u{rng.randrange(10**6)}" for _ in range(rng.randint(1, 40)))) for _ in range(30)]
+    shared = " ".join(f"s{k}" for k in range(40))
+    rows += [(rng.randrange(10**9), shared + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(rng.choice([0, 2, 4, 60])))) for _ in range(25)]
+    return rows
+
+
+@pytest.mark.parametrize("seed,bounds", [(1, None), (2, (3, 60)), (3, (2, 10**6))])
+def test_links_against_brute_force(spark, monkeypatch, seed, bounds):
+    if bounds:  # groups split into blocks, lists salted: the result stays
+        monkeypatch.setattr(jaccard, "GROUP_SETS", bounds[0])
+        monkeypatch.setattr(jaccard, "GROUP_ITEMS", bounds[1])
+        monkeypatch.setattr(jaccard, "HOT_LIST", 2)
+        monkeypatch.setattr(jaccard, "SEEN_LEAST", 2)
+    rows = _random_corpus(seed)
+    got = sorted_rows(jaccard.link(documents(spark, rows)).select("doc_id", "n_shingles", "component_id"))
+    assert got == sorted(_components(rows), key=lambda r: tuple((x is not None, str(type(x)), str(x)) for x in r))
+
+
+def test_links_of_awkward_rows(spark):
+    got = sorted_rows(jaccard.link(documents(spark)).select("doc_id", "n_shingles", "component_id"))
+    assert got == sorted(_components(ROWS), key=lambda r: tuple((x is not None, str(type(x)), str(x)) for x in r))
+    assert jaccard.link(documents(spark, [])).count() == 0
+    docs = documents(spark)
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    # one of 1, 2; one of 13, 14; one of the two rows 9; rows without words or id stay
+    assert sorted(ids, key=lambda i: (i is not None, i or 0)) == [None, None, 1, 3, 4, 5, 6, 7, 8, 9, 10, 12, 13, 15, 2**40]
+
+
+def test_boundary_is_set_by_cost():
+    b = jaccard.boundary()
+    assert jaccard.subset_keys(b) <= 2 * b * jaccard.prefix_length(b)
+    assert jaccard.subset_keys(b + 1) > 2 * (b + 1) * jaccard.prefix_length(b + 1)
+    for a in range(1, 60):
+        for c in range(a, 60):
+            assert 100 * (jaccard.shared(a, c)) >= 90 * (a + c - jaccard.shared(a, c))
+
+
+# ------------------------------------------------------------------ licenses, secrets, toxicity
+
+
+def test_templates():
+    def labels_of(text, markup):
+        a = license.compile_template("x", markup)
+        w = license.split_words(text)
+        return [k for k in range(len(w)) if a.match(w, k)[0]]
+
+    assert labels_of("under the mit license", "under the mit [open source] license") == [0]
+    assert labels_of("under the mit open source license", "under the mit [open source] license") == [0]
+    assert labels_of("under the mit open license", "under the mit [open source] license") == []
+    assert labels_of("copyright 2020 by them all rights reserved", "copyright <3> all rights reserved") == [0]
+    assert labels_of("copyright a b c d all rights reserved", "copyright <3> all rights reserved") == []
+    assert labels_of("a a b", "a <2> b") == [0, 1]
+    # every phrase and template holds an anchor, so the native test loses nothing
+    for line in [p for p, _ in license.BASE] + [t for _, t in license.TEMPLATES]:
+        assert set(re.sub(r"\[[^\]]*\]|<\d+>", " ", line).split()) & set(license.ANCHORS)
+
+
+def test_licenses_of_awkward_rows(spark):
+    rows = [*ROWS, (30, "Apache License, version 2. under the MIT LICENSE"), (31, "xcc by nc"), (32, "ÀCC by nc CC-BY-NC")]
+    got = sorted_rows(license.scan(documents(spark, rows)).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"))
+    want = []
+    for i, t in rows:
+        w = license.split_words(t or "")
+        at = [(k, label) for p, label in license.BASE for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
+        places = [k for k, _ in at]
+        want.append((i, len(w), len(at), min(places, default=None), max(places, default=None), ",".join(sorted({x for _, x in at}))))
+    assert got == sorted(want, key=lambda r: tuple((x is not None, str(type(x)), str(x)) for x in r))
+    assert all(0 <= r.score <= 1 and set(r.base_labels.split(",")) <= set(r.labels.split(",")) | {""} for r in license.scan(documents(spark, rows)).collect())
+    assert license.scan(documents(spark, [])).count() == 0
+
+
+def test_secrets_held_out_accuracy(spark):
+    drawn = secrets._drawn(secrets.FINDINGS + 1000)
+    x = np.array([secrets.features(v, b, a) for v, b, a, _ in drawn])
+    y = np.array([label for *_, label in drawn], float)
+    forest = secrets.Forest.fit(x[: secrets.FINDINGS], y[: secrets.FINDINGS])
+    assert ((forest.chance(x[secrets.FINDINGS :]) >= 0.5) == y[secrets.FINDINGS :]).mean() > 0.97
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    found = {r.doc_id: r for r in secrets.scan(docs, secrets.train(docs)).collect()}
+    for r in docs.collect():
+        planted = re.findall(r'(?:token = "|password=)([0-9a-f]{16,})', r.text or "")
+        values = [r.text[f.start : f.end] for f in found[r.doc_id].findings]
+        assert sorted(values) == sorted(planted)
+
+
+def test_secrets_of_awkward_rows(spark):
+    docs = documents(spark)
+    forest = secrets.train(docs)
+    kept = secrets.redact(docs, forest)
+    assert kept.columns == docs.columns and kept.count() == len(ROWS)
+    by_id = {r.doc_id: r.text for r in kept.where("doc_id IS NOT NULL").collect()}
+    assert by_id[12] == 'the token = "[SECRET]" stays secret'
+    assert by_id[9] == dict(ROWS)[9] and by_id[4] is None
+    given = spark.createDataFrame([("a" * 20 + "1", "x ", " y", 0)] * 9 + [("4f" * 20, "key=", "", 1)] * 9, "value string, before string, after string, label int")
+    assert secrets.scan(docs, secrets.train(docs, given)).where("size(findings) > 0").count() >= 1
+    assert secrets.scan(documents(spark, []), secrets.train(documents(spark, []))).count() == 0
+
+
+def test_toxicity_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    marks = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    out = toxicity.score(docs, toxicity.train(docs, marks))
+    held = out.join(marks, "doc_id").where(toxicity.held_out()).select("score", "toxic").collect()
+    right = [(r.score >= 0.5) == (r.toxic == 1) for r in held]
+    assert len(held) > 300 and sum(right) / len(right) > 0.98
+
+
+def test_toxicity_of_awkward_rows(spark):
+    docs = documents(spark)
+    for marks in (labels(spark), labels(spark, [])):
+        out = toxicity.score(docs, toxicity.train(docs, marks)).collect()
+        assert len(out) == len(ROWS) and all(0 <= r.score <= 1 for r in out)
+        assert all(r.score == 0 for r in out if r.doc_id in (4, 5, 6))
+    assert toxicity.drop_toxic(docs, labels(spark, [])).count() == len(ROWS)
+    assert toxicity.score(documents(spark, []), toxicity.Model()).count() == 0
+    name = lambda k: "".join(chr(97 + int(c)) for c in str(k))
+    toxic = [(k, f"the dog is {name(k)} vile{'abcdefgh'[k % 8]} {name(3 * k)} beast of lands.") for k in range(300)]
+    clean = [(1000 + k, f"the dog is {name(k)} good {name(3 * k)} beast of lands.") for k in range(300)]
+    both = documents(spark, toxic + clean)
+    model = toxicity.train(both, labels(spark, [(i, 1) for i, _ in toxic] + [(i, 0) for i, _ in clean]))
+    spans = {r.doc_id: r for r in toxicity.score(both, model).collect()}
+    assert all(spans[i].score >= 0.5 for i, _ in toxic) and all(spans[i].score < 0.5 for i, _ in clean)
+    one = spans[7]
+    assert [toxic[7][1][s.start : s.end] for s in one.spans] == ["vileh"]
+
+
+def test_forward_backward_against_all_paths():
+    rng = np.random.default_rng(3)
+    e, pairs, start = rng.normal(size=7), rng.normal(size=4), 0.3
+    fwd, bwd = toxicity.ratios(e, np.array([0, 4]), np.array([4, 3]), start, pairs)
+    for lo, hi in ((0, 4), (4, 7)):
+        weight, ones = 0.0, np.zeros(hi - lo)
+        for path in range(1 << (hi - lo)):
+            y = [(path >> k) & 1 for k in range(hi - lo)]
+            s = start * y[0] + sum(v * e[lo + k] for k, v in enumerate(y)) + sum(pairs[2 * a + b] for a, b in zip(y, y[1:], strict=False))
+            weight += np.exp(s)
+            ones += np.exp(s) * np.array(y)
+        assert np.allclose(1 / (1 + np.exp(-(fwd + bwd)[lo:hi])), ones / weight)
