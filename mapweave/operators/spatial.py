@@ -379,20 +379,91 @@ def self_intersections(
         dense.unpersist()
 
 
+def shared_stretches(edges: DataFrame, key: str, cell_size: float = 0.01) -> DataFrame:
+    """(key, x, y) where two edges of one area run along each other: the beginning of each such stretch.
+
+    Collinear edges that only meet end to end have no stretch in common. Equal edges are
+    found by counting, all others by the equi-join on area and cell; a stretch is
+    reported in the cell of its beginning.
+    """
+    a, b = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
+    twice = (
+        edges.select(_q(key).alias(key), F.least(a, b).alias("p"), F.greatest(a, b).alias("q"))
+        .where("p < q")
+        .groupBy(key, "p", "q")
+        .count()
+        .where("count > 1")
+        .select(key, "p.x", "p.y")
+    )
+    local = edge_cells(edges, key, cell_size)
+    other = local.select(_q(key).alias("__kb"), F.col("__c").alias("__cb"), F.col("__k").alias("__kkb"), F.col("__edge").alias("t"))
+    on = (_q(key) == F.col("__kb")) & (F.col("__c") == F.col("__cb")) & (F.col("__k") == F.col("__kkb")) & (F.col("s") < F.col("t"))
+    pairs = local.withColumnRenamed("__edge", "s").join(other, on)
+
+    def end(e: str, n: int) -> str:
+        return f"named_struct('x', {e}.x{n}, 'y', {e}.y{n})"
+
+    def low(e: str) -> str:
+        return f"least({end(e, 1)}, {end(e, 2)})"
+
+    def high(e: str) -> str:
+        return f"greatest({end(e, 1)}, {end(e, 2)})"
+
+    line = [("s.x1", "s.y1"), ("s.x2", "s.y2")]
+    straight = " AND ".join(f"{G._orient_sql(*line, (f't.x{n}', f't.y{n}'))} = 0" for n in (1, 2))
+    along = pairs.where(F.expr("s.x1 <> s.x2 OR s.y1 <> s.y2")).where(F.expr(straight))
+    spans = along.select(
+        _q(key).alias(key), "__c", "__k",
+        F.expr(f"greatest({low('s')}, {low('t')})").alias("p"), F.expr(f"least({high('s')}, {high('t')})").alias("q"),
+    )
+    c, k = _point_cell(F.col("p.x"), F.col("p.y"), cell_size)
+    found = spans.where((F.col("p") < F.col("q")) & (c == F.col("__c")) & (k == F.col("__k"))).select(key, "p.x", "p.y")
+    return found.unionByName(twice).distinct()
+
+
+def nested_shells(edges: DataFrame, key: str, cell_size: float = 0.01, max_edges: int = DEFAULT_MAX_EDGES) -> DataFrame:
+    """(key, x, y) for every shell that lies inside its own area's other rings, by its smallest vertex.
+
+    A shell in a hole is an island and not reported. Only areas with several shells are looked at.
+    """
+    several = edges.where(~F.col("hole")).groupBy(key).agg(F.count_distinct("ring").alias("n")).where("n > 1").select(key)
+    several = materialize(several, "several-shells")
+    if several.isEmpty():
+        return several.select(key, F.lit(0.0).alias("x"), F.lit(0.0).alias("y")).limit(0)
+    rings = edges.join(several, key, "left_semi").withColumn("__ring", F.struct(_q(key).alias("k"), F.col("ring").alias("r")))
+    index = cell_index(rings, "__ring", cell_size, max_edges=max_edges, name="shell-records")
+    probes = rings.where(~F.col("hole")).groupBy(key, "ring").agg(F.min(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y"))).alias("p"))
+    probes = probes.select(key, F.col("ring").alias("own"), F.col("p.x").alias("px"), F.col("p.y").alias("py"))
+    met = locate(probes, "px", "py", index, match=(key, "__ring.k")).where(F.col("__ring.r") != F.col("own"))
+    inside, on_edge = inside_record_sql("px", "py", "__Y")
+    around = met.where(F.expr(f"{inside} AND NOT {on_edge}")).select(key, "own", "px", "py", "__ring").distinct()
+    odd = around.groupBy(key, "own", "px", "py").count().where("count % 2 = 1")
+    return odd.select(key, F.col("px").alias("x"), F.col("py").alias("y"))
+
+
 def invalid_areas(edges: DataFrame, key: str, cell_size: float = 0.01, max_edges: int = DEFAULT_MAX_EDGES) -> DataFrame:
-    """(key, n_crossings, x, y, invalidity_explain) for areas whose edges cross.
+    """(key, n_crossings, x, y, invalidity_explain) for areas that are not valid.
 
-    ``invalidity_explain`` reads ``Self-intersection[x y]`` for the smallest
-    crossing point (x, then y); valid areas have no row.
+    ``invalidity_explain`` reads ``Self-intersection[x y]`` for the smallest point (x, then y)
+    at which edges cross or begin to run along each other, else ``Nested shells[x y]``.
+    Valid areas have no row. ``n_crossings`` counts proper crossings. Shells are
+    compared when ``edges`` tells rings and holes apart.
     """
-    found = self_intersections(edges, key, cell_size, max_edges=max_edges)
-    per_area = found.groupBy(key).agg(F.count(F.lit(1)).alias("n_crossings"), F.min(F.struct("x", "y")).alias("p"))
+    crossings = self_intersections(edges, key, cell_size, max_edges=max_edges).withColumn("kind", F.lit(0))
+    found = crossings.unionByName(shared_stretches(edges, key, cell_size).withColumn("kind", F.lit(1)))
+    if {"ring", "hole"} <= set(edges.columns):
+        found = found.unionByName(nested_shells(edges, key, cell_size, max_edges).withColumn("kind", F.lit(2)))
+    per_area = found.groupBy(key).agg(
+        F.count_if(F.col("kind") == 0).alias("n_crossings"),
+        F.min(F.struct((F.col("kind") == 2).alias("nested"), "x", "y")).alias("p"),
+    )
+    text = F.when(F.col("p.nested"), F.lit("Nested shells")).otherwise(F.lit("Self-intersection"))
     return per_area.select(
         key,
         "n_crossings",
         F.col("p.x").alias("x"),
         F.col("p.y").alias("y"),
-        F.format_string("Self-intersection[%s %s]", F.col("p.x").cast("string"), F.col("p.y").cast("string")).alias(
+        F.format_string("%s[%s %s]", text, F.col("p.x").cast("string"), F.col("p.y").cast("string")).alias(
             "invalidity_explain"
         ),
     )

@@ -794,3 +794,37 @@ def q_area_hole_edges(spark, d):
     """Only an inner ring that lies wholly in the U is a hole; one from arm to arm across the notch is none."""
     areas = assemble_areas(_u_map(spark, d), "element_at(tags, 'type') = 'boundary'", {}, add_debug_columns=True, cell_size=0.1).areas
     return areas.select("id", "outer_polygon_count", "inner_polygon_count", "outer_point_count", "inner_point_count")
+
+
+@query(
+    "invalid_area_kinds",
+    """WITH s AS (SELECT CAST(s_suppkey AS BIGINT) AS area_id, CAST(s_suppkey % 200 AS DOUBLE) * 100 AS x,
+                         CAST(s_suppkey // 200 AS DOUBLE) * 100 AS y FROM supplier)
+       SELECT area_id,
+              CASE area_id % 5 WHEN 1 THEN concat('Self-intersection[', x + 20, ' ', y, ']')
+                               WHEN 2 THEN concat('Nested shells[', x + 10, ' ', y + 10, ']')
+                               WHEN 3 THEN concat('Self-intersection[', x + 20, ' ', y + 20, ']')
+              END AS invalidity_explain
+       FROM s WHERE area_id % 5 IN (1, 2, 3)""",
+)
+def q_invalid_area_kinds(spark, d):
+    """Squares that share a stretch of border, nested shells, bow ties; islands in holes and neighbours at a corner are valid."""
+    base = FX.table(spark, d, "supplier").selectExpr(
+        "CAST(s_suppkey AS BIGINT) AS area_id", "CAST(s_suppkey % 200 AS DOUBLE) * 100 AS x", "CAST(s_suppkey DIV 200 AS DOUBLE) * 100 AS y"
+    )
+    x, y, kind = F.col("x"), F.col("y"), F.col("area_id") % 5
+
+    def box(dx, dy, w):
+        return F.array(*[G.vertex(x + dx + i, y + dy + j) for i, j in ((0, 0), (w, 0), (w, w), (0, w), (0, 0))])
+
+    tie = F.array(*[G.vertex(x + i, y + j) for i, j in ((0, 0), (40, 40), (40, 0), (0, 40), (0, 0))])
+    parts = (
+        F.when(kind == 1, F.array(F.array(box(0, 0, 40)), F.array(box(20, 0, 40))))
+        .when(kind == 2, F.array(F.array(box(0, 0, 40)), F.array(box(10, 10, 10))))
+        .when(kind == 3, F.array(F.array(tie)))
+        .when(kind == 4, F.array(F.array(box(0, 0, 40), box(10, 10, 20)), F.array(box(15, 15, 5))))
+        .otherwise(F.array(F.array(box(0, 0, 20)), F.array(box(20, 20, 20))))
+    )
+    shapes = base.select("area_id", F.struct(F.lit("MultiPolygon").alias("kind"), parts.alias("parts")).alias("geom"))
+    report = S.invalid_areas(S.area_edges(shapes, "geom", "area_id"), "area_id", cell_size=25.0)
+    return report.select("area_id", "invalidity_explain")
