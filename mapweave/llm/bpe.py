@@ -38,6 +38,9 @@ from .common import WordTable, text_slices, with_package
 
 LEAF = 32768  # characters of a leaf
 FIRST_WINDOW = 64  # characters on each side of a join
+WORD_END = "</w>"  # the vocabulary's mark of a word's last token
+ENCODE_BATCH = 8192  # words handed to the library at once
+LINE = 64  # plain words that make one line of them
 MARGIN = 40  # characters before the end of a part whose tokens may still change
 
 
@@ -52,15 +55,72 @@ def tokenizer(path: str):
     return tok
 
 
+# ids of words seen before by this process, as bytes; forgotten when there are too many
+_KNOWN: dict[int, dict[str, bytes]] = {}
+_PLACES: dict[int, dict[str, tuple]] = {}
+_SHAPES: dict[int, tuple] = {}
+KNOWN_WORDS, KNOWN_PLACES = 250_000, 40_000
+
+
+def _token_shapes(tok) -> tuple[np.ndarray, np.ndarray]:
+    """Characters that a token stands for in ASCII text, and whether it ends a match of the split pattern."""
+    if id(tok) not in _SHAPES:
+        vocab = tok.get_vocab(with_added_tokens=False)
+        length, ends = np.zeros(max(vocab.values()) + 1, np.int64), np.zeros(max(vocab.values()) + 1, bool)
+        for token, i in vocab.items():
+            ends[i] = token.endswith(WORD_END)
+            length[i] = len(token) - len(WORD_END) * ends[i]
+        _SHAPES[id(tok)] = (length, ends)
+    return _SHAPES[id(tok)]
+
+
+def _bytes_of(ids: list[int]) -> bytes:
+    return np.array(ids, "<i4").tobytes()
+
+
+def _split_tail(word: str) -> tuple[str, str]:
+    """``(body, tail)`` whose ids are those of ``word`` one after the other.
+
+    ASCII letters are lower-cased by the vocabulary's normaliser anyway, and a full stop or
+    comma after letters is a match of its own; special tokens are left as they are.
+    """
+    if not word.isascii() or "<|" in word:
+        return word, ""
+    body = word.lower()
+    if body and body[-1] in ".," and body[:-1].isalpha():
+        return body[:-1], body[-1]
+    return body, ""
+
+
 def encode_words(tok, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all words one after the other, and the bounds of each word."""
-    if not len(words):
-        return np.zeros(0, np.int32), np.zeros(1, np.int64)
-    ids = [e.ids for e in tok.encode_batch(words.to_pylist(), add_special_tokens=False)]
-    bounds = np.zeros(len(ids) + 1, np.int64)
-    np.cumsum([len(x) for x in ids], out=bounds[1:])
-    flat = np.fromiter((i for x in ids for i in x), np.int32, count=int(bounds[-1]))
-    return flat, bounds
+    known = _KNOWN.setdefault(id(tok), {})
+    if len(known) > KNOWN_WORDS:
+        known.clear()
+    known[""] = b""
+    split = [_split_tail(w) for w in words.to_pylist()]
+    fresh = list({w for pair in split for w in pair if w and w not in known})
+    # words of ASCII letters are one match each, so they can go to the library by the line and come back by their word ends
+    plain = [w for w in fresh if w.isascii() and w.isalpha()]
+    lines = [plain[k : k + LINE] for k in range(0, len(plain), LINE)]
+    _, ends = _token_shapes(tok)
+    for k in range(0, len(lines), ENCODE_BATCH // LINE):
+        some = lines[k : k + ENCODE_BATCH // LINE]
+        for line, e in zip(some, tok.encode_batch([" ".join(x) for x in some], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<i4")
+            stops = (np.flatnonzero(ends[ids]) + 1).tolist()
+            raw, at = ids.tobytes(), 0
+            for w, stop in zip(line, stops, strict=True):
+                known[w] = raw[4 * at : 4 * stop]
+                at = stop
+    other = [w for w in fresh if w not in known]
+    for k in range(0, len(other), ENCODE_BATCH):
+        some = other[k : k + ENCODE_BATCH]
+        known.update((w, _bytes_of(e.ids)) for w, e in zip(some, tok.encode_batch(some, add_special_tokens=False), strict=True))
+    found = [known[body] + known[tail] if tail else known[body] for body, tail in split]
+    bounds = np.zeros(len(found) + 1, np.int64)
+    np.cumsum([len(x) // 4 for x in found], out=bounds[1:])
+    return np.frombuffer(b"".join(found), "<i4").astype(np.int32), bounds
 
 
 def encode_texts(tok, texts: pa.Array) -> list[np.ndarray]:
@@ -100,6 +160,62 @@ def encode_part(tok, text: str, lo: int) -> Part:
     return Part(lo, lo + len(text), np.array(e.ids, np.int32), at[:, 0], at[:, 1], word)
 
 
+def encode_parts(path: str, texts: list[str]) -> list[Part]:
+    """Like :func:`encode_part` for many leaves, by their distinct white-space words.
+
+    Places inside ASCII words follow from the lengths of the tokens; other words, and words
+    that may hold a special token, take theirs from the library.
+    """
+    tok = tokenizer(path)
+    length, ends = _token_shapes(tok)
+    table = WordTable(pa.array(texts, pa.string()), lower=False)
+    words = table.words.to_pylist()
+    flat, bounds = encode_words(tok, table.words)
+    flat = flat.astype(np.int64)
+    known = flat < len(length)
+    size = np.where(known, length[np.where(known, flat, 0)], 0)
+    stop = np.concatenate([[0], np.cumsum(size)])
+    base = np.repeat(stop[bounds[:-1]], np.diff(bounds))
+    start, end = stop[:-1] - base, stop[1:] - base
+    flag = np.ones(len(flat), np.int8)  # 0: goes on inside a match, 1: begins one, 2: special
+    flag[1:] = np.where(known, ends[np.where(known, flat, 0)], True)[:-1]
+    flag[bounds[:-1][np.diff(bounds) > 0]] = 1
+    total = stop[bounds[1:]] - stop[bounds[:-1]]
+    places = _PLACES.setdefault(id(tok), {})
+    if len(places) > KNOWN_PLACES:
+        places.clear()
+    for k, w in enumerate(words):
+        if (not w.isascii() or "<|" in w or total[k] != len(w)) and bounds[k] < bounds[k + 1]:
+            if w not in places:
+                e = tok.encode(w, add_special_tokens=False)
+                number = np.array([-1 if n is None else n for n in e.word_ids], np.int64)
+                new = np.ones(len(number), np.int8)
+                new[1:] = number[1:] != number[:-1]
+                new[number < 0] = 2
+                places[w] = (np.array(e.offsets, np.int32).reshape(-1, 2), new)
+            at, new = places[w]
+            a, b = bounds[k], bounds[k + 1]
+            start[a:b], end[a:b], flag[a:b] = at[:, 0], at[:, 1], new
+    out = []
+    for k, text in enumerate(texts):
+        codes = table.codes[table.bounds[k] : table.bounds[k + 1]]
+        points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        solid = ~((points == 32) | ((points >= 9) & (points <= 13)))
+        place = np.flatnonzero(solid & np.concatenate([[True], ~solid[:-1]])) if len(solid) else np.zeros(0, np.int64)
+        counts = bounds[codes + 1] - bounds[codes]
+        done = np.cumsum(counts)
+        take = np.repeat(bounds[codes] - (done - counts), counts) + np.arange(int(counts.sum()))
+        shift = np.repeat(place, counts)
+        out.append(Part(0, len(text), flat[take].astype(np.int32), start[take] + shift, end[take] + shift, _word_numbers(flag[take])))
+    return out
+
+
+def _word_numbers(flag: np.ndarray) -> np.ndarray:
+    word = np.cumsum(flag > 0)
+    word[flag == 2] = -1
+    return word
+
+
 def _agree(text: str, done: Part, later: Part, least: int) -> tuple[int, int] | None:
     """Token indexes (in ``done``, in ``later``) from which ``later`` may replace ``done``.
 
@@ -198,15 +314,21 @@ def _leaf_rows(batches: Iterable[pa.RecordBatch], leaf: int) -> Iterator[pa.Reco
 
 
 def _encode_leaves(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    tok = tokenizer(path)
+    """Ids of every leaf and, packed, the places and word starts of its tokens."""
     for batch in batches:
-        for k in range(batch.num_rows):
-            row = batch.slice(k, 1)
-            part = encode_part(tok, row.column("text")[0].as_py(), 0)
-            at = np.stack([part.start, part.end, part.word]).astype("<i4")
+        for rows in text_slices(batch):
+            parts = encode_parts(path, rows.column("text").to_pylist())
+            packed = []
+            for p in parts:
+                flag = np.where(p.word < 0, 2, p.first_word_tokens())
+                packed.append(np.concatenate([p.start, p.end, flag]).astype("<u4" if p.hi > 0xFFFF else "<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [*row.columns, pa.array([part.ids.astype("<i4").tobytes()], pa.binary()), pa.array([at.tobytes()], pa.binary())],
-                names=[*row.schema.names, "ids", "at"],
+                [
+                    *rows.columns,
+                    pa.array([p.ids.astype("<i4").tobytes() for p in parts], pa.binary()),
+                    pa.array(packed, pa.binary()),
+                ],
+                names=[*rows.schema.names, "ids", "at"],
             )
 
 
@@ -218,8 +340,9 @@ def _join_leaves(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.Re
     def flush():
         parts, lo = [], 0
         for text, ids, at in zip(texts, *zip(*raw, strict=True), strict=True):
-            start, end, word = np.frombuffer(at, "<i4").reshape(3, -1).astype(np.int64)
-            parts.append(Part(lo, lo + len(text), np.frombuffer(ids, "<i4").astype(np.int32), start + lo, end + lo, word))
+            start, end, flag = np.frombuffer(at, "<u4" if len(text) > 0xFFFF else "<u2").reshape(3, -1).astype(np.int64)
+            tokens = np.frombuffer(ids, "<i4").astype(np.int32)
+            parts.append(Part(lo, lo + len(text), tokens, start + lo, end + lo, _word_numbers(flag)))
             lo += len(text)
         ids = join_tree(tok, "".join(texts), parts)
         return pa.RecordBatch.from_arrays([pa.array([doc], pa.int64()), pa.array([ids], pa.list_(pa.int32()))], schema=_IDS)
@@ -289,7 +412,7 @@ def _digest_rows(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.Re
         bounds = lists.offsets.to_numpy()
         flat = lists.values.to_numpy(zero_copy_only=False)
         ids = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        decoded = tok.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
+        decoded = (tok.decode(x.tolist(), skip_special_tokens=False) for x in ids)
         yield pa.RecordBatch.from_arrays(
             [
                 docs,
