@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,15 +57,33 @@ def extract_features(
     source-tagged id (``N<id>`` / ``W<id>``). Output columns: extras, id,
     centroid, geometry. Relations are never features.
     """
-    shaped = {
-        "N": map_data.nodes.where(feature_filter).withColumn("__shape", G.point("longitude", "latitude")),
-        "W": way_geometries(map_data.ways.where(feature_filter), map_data.nodes, "__shape"),
-    }
-    frames = [_features(df, tag, additional_columns, id_column, geometry_column, centroid_column) for tag, df in shaped.items()]
+    ways = map_data.ways.where(feature_filter)
+    early, late = _by_need(ways, additional_columns)
+    # what needs no geometry is worked out first, so tags stay out of the joins
+    ways = ways.withColumns(early) if late else ways.select("id", "nodes", *[c.alias(n) for n, c in early.items()])
+    nodes = map_data.nodes.where(feature_filter).withColumns(early)
+    shaped = {"N": nodes.withColumn("__shape", G.point("longitude", "latitude")), "W": way_geometries(ways, map_data.nodes, "__shape")}
+    names = list(additional_columns or {})
+    frames = [_features(df, tag, names, late, id_column, geometry_column, centroid_column) for tag, df in shaped.items()]
     return frames[0].unionByName(frames[1])
 
 
-def _features(df: DataFrame, tag: str, extras, id_column, geometry_column, centroid_column) -> DataFrame:
+_EARLY = "__extra_"
+
+
+def _by_need(df: DataFrame, extras: Mapping[str, str | Column] | None) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Extra columns that follow from the entity alone (under working names), and those that need the features' own columns."""
+    early, late = {}, {}
+    for name, column in zip(extras or {}, _extra(extras), strict=True):
+        try:
+            df.select(column)
+            early[_EARLY + name] = column
+        except AnalysisException:
+            late[name] = column
+    return early, late
+
+
+def _features(df: DataFrame, tag: str, names: list[str], late, id_column, geometry_column, centroid_column) -> DataFrame:
     """Output columns of the entities of one kind, whose geometry is ``__shape``."""
     made = {}
     if id_column:
@@ -74,4 +93,4 @@ def _features(df: DataFrame, tag: str, extras, id_column, geometry_column, centr
     if geometry_column:
         made[geometry_column] = F.col("__shape")
     named = df.withColumns(made) if made else df
-    return named.select(*_extra(extras), *made)
+    return named.select(*[late[n] if n in late else F.col(f"`{_EARLY}{n}`").alias(n) for n in names], *made)

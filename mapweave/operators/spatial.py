@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from mapweave.functions import geometry as G
 from mapweave.schema import check_for_duplicate_columns, is_geometry
-from mapweave.session import materialize, sized_broadcast
+from mapweave.session import broadcast_limit, materialize, measured_bytes, sized_broadcast
 
 EDGE_COLS = ["x1", "y1", "x2", "y2"]
 
@@ -87,6 +87,9 @@ def as_area_set(df_polygon: DataFrame | AreaSet, polygon_column: str | None, are
         return AreaSet(
             areas=keyed, edges=area_edges(keyed, polygon_column, "__area_row"), key="__area_row", hidden_key=True
         )
+    twice = df_polygon.groupBy(_q(area_key)).count().where(F.col("count") > 1)
+    if not twice.isEmpty():
+        raise ValueError(f"'{area_key}' is not unique in data frame df_polygon")
     return AreaSet(areas=df_polygon, edges=area_edges(df_polygon, polygon_column, area_key), key=area_key)
 
 
@@ -130,10 +133,45 @@ def edge_cells(edges: DataFrame, key: str, cell_size: float) -> DataFrame:
     )
 
 
+# every level's cells are REFINE times finer than the last; LEVELS_DOWN of them are enough to tell
+# apart any two edges that doubles can (beyond that, edges meet in one vertex)
 REFINE = 8
+LEVELS_DOWN = 6
 DEFAULT_MAX_EDGES = 512
 
 
+@dataclass(frozen=True)
+class Grid:
+    """Nested square cells. Indices and line heights of all levels derive from the finest one, so they always agree."""
+
+    cell_size: float
+    refine: int = REFINE
+    levels: int = LEVELS_DOWN + 1
+
+    @property
+    def finest(self) -> float:
+        return self.cell_size / self.refine ** (self.levels - 1)
+
+    def blocks(self, level: int) -> int:
+        """Finest cells along one side of a cell of ``level``."""
+        return self.refine ** (self.levels - 1 - level)
+
+    def size(self, level: int) -> float:
+        return self.finest * self.blocks(level)
+
+    def line(self, k: Column, level: int) -> Column:
+        return (k * self.blocks(level)) * self.finest
+
+    def point_cell(self, px: Column, py: Column) -> tuple[Column, Column]:
+        """Finest cell of a point."""
+        k = _floor_div(py, self.finest)
+        return _floor_div(px, self.finest), F.when(k * self.finest > py, k - 1).otherwise(k)
+
+    def at(self, index: Column, level: int) -> Column:
+        """Index of a finest cell's block at ``level``."""
+        return _div(index, self.blocks(level))
+
+
 def _div(v: Column, n: int) -> Column:
     """Integer floor division of a long column."""
     return F.floor(v / F.lit(n)).cast("long")
@@ -165,13 +203,27 @@ _NO_IV = "struct<a:double,b:double>"
 _NO_EDGE = "struct<x1:double,y1:double,x2:double,y2:double>"
 
 
-def _records(local: DataFrame, covered: DataFrame, level: int, line_y) -> DataFrame:
+def _records(local: DataFrame, covered: DataFrame, dense: DataFrame | None, level: int, grid: Grid) -> DataFrame:
+    """Records of one level; a dense (area, cell) only leaves a mark that its finer cells are to be asked."""
     both = local.select("__key", "__c", "__k", "__edge", F.lit(None).cast(_NO_IV).alias("__ivs")).unionByName(
         covered.select("__key", "__c", "__k", F.lit(None).cast(_NO_EDGE).alias("__edge"), "__ivs")
     )
-    return both.groupBy("__c", "__k", "__key").agg(
-        F.collect_list("__edge").alias("__e"), F.collect_list("__ivs").alias("__iv")
-    ).select(F.lit(level).alias("__lvl"), "__c", "__k", line_y(F.col("__k")).alias("__Y"), "__key", "__e", "__iv")
+    cells = ["__key", "__c", "__k"]
+    sparse = both if dense is None else both.join(dense, cells, "left_anti")
+    rows = (
+        sparse.groupBy("__c", "__k", "__key")
+        .agg(F.collect_list("__edge").alias("__e"), F.collect_list("__ivs").alias("__iv"))
+        .withColumn("__deeper", F.lit(False))
+    )
+    columns = [
+        F.lit(level).alias("__lvl"), "__c", "__k", grid.line(F.col("__k"), level).alias("__Y"), "__key", "__e", "__iv", "__deeper",
+    ]
+    if dense is None:
+        return rows.select(*columns)
+    marks = dense.select(
+        "__c", "__k", "__key", F.array().cast(f"array<{_NO_EDGE}>").alias("__e"), F.array().cast(f"array<{_NO_IV}>").alias("__iv")
+    )
+    return rows.unionByName(marks.withColumn("__deeper", F.lit(True))).select(*columns)
 
 
 @dataclass(frozen=True)
@@ -180,9 +232,59 @@ class CellIndex:
 
     records: DataFrame
     key: str
-    cell_size: float
-    refine: int
-    two_level: bool
+    grid: Grid
+    depth: int  # levels in use
+
+
+def _edges_in_cells(e: DataFrame, grid: Grid, level: int, parents: DataFrame | None) -> DataFrame:
+    """Edge cells of one level with ``__above``, the edges of the cell they refine (NULL at level 0).
+
+    Only cells inside the ``parents`` (dense cells of the level above) are kept where given.
+    """
+    if parents is None:
+        return edge_cells(e, "__key", grid.size(level)).withColumn("__above", F.lit(None).cast("bigint"))
+    inside = edge_cells(e.join(parents.select("__key").distinct(), "__key", "left_semi"), "__key", grid.size(level))
+    up = [_div(F.col(c), grid.refine).alias(f"__p{c[2:]}") for c in ("__c", "__k")]
+    above = parents.select("__key", F.col("__c").alias("__pc"), F.col("__k").alias("__pk"), F.col("__n").alias("__above"))
+    return inside.select("*", *up).join(above, ["__key", "__pc", "__pk"]).drop("__pc", "__pk")
+
+
+def _crowded(local: DataFrame, grid: Grid, level: int, max_edges: int) -> DataFrame | None:
+    """(area, cell) with more than ``max_edges`` edges that finer cells can tell apart, and their number ``__n``; None where there is none.
+
+    Finer cells help where several vertices lie in the cell, or where the split that led here
+    helped. They don't where edges meet in one vertex or pass through side by side.
+    """
+    c, k = grid.point_cell(F.col("__edge.x1"), F.col("__edge.y1"))
+    own = (grid.at(c, level) == F.col("__c")) & (grid.at(k, level) == F.col("__k"))
+    x, y = F.when(own, F.col("__edge.x1")), F.when(own, F.col("__edge.y1"))
+    cells = ["__key", "__c", "__k"]
+    counted = local.groupBy(*cells).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.first("__above").alias("__above"),
+        (F.max(x) - F.min(x) + F.max(y) - F.min(y)).alias("__spread"),
+    )
+    helps = (F.coalesce("__spread", F.lit(0.0)) > 0) | F.col("__above").isNull() | (F.col("__n") < F.col("__above"))
+    dense = counted.where((F.col("__n") > max_edges) & helps).select(*cells, "__n")
+    return None if dense.isEmpty() else materialize(dense, "crowded-cells")
+
+
+def _covered_cells(e: DataFrame, grid: Grid, level: int, parents: DataFrame | None) -> DataFrame:
+    """Cells next to the inside intervals of their row's bottom line; intervals are cut to the ``parents`` where given."""
+    size = grid.size(level)
+    if parents is not None:
+        e = e.join(parents.select("__key").distinct(), "__key", "left_semi")
+    rows = F.sequence(_floor_div(F.col("__miny"), size) - 1, _floor_div(F.col("__maxy"), size) + 1)
+    spans = _line_intervals(e, rows, lambda k: grid.line(k, level))
+    first, last = _floor_div(F.col("a"), size) - 1, _floor_div(F.col("b"), size) + 1
+    if parents is not None:
+        spans = spans.withColumn("__pk", _div(F.col("__k"), grid.refine)).join(
+            parents.select("__key", F.col("__k").alias("__pk"), F.col("__c").alias("__pc")), ["__key", "__pk"]
+        )
+        first = F.greatest(first, F.col("__pc") * grid.refine)
+        last = F.least(last, F.col("__pc") * grid.refine + (grid.refine - 1))
+        spans = spans.where(first <= last)
+    return spans.select("__key", "__k", F.explode(F.sequence(first, last)).alias("__c"), F.struct("a", "b").alias("__ivs"))
 
 
 def cell_index(
@@ -193,112 +295,60 @@ def cell_index(
     refine: int = REFINE,
     name: str = "area-cell-records",
 ) -> CellIndex:
-    """Records ``(__lvl, __c, __k, __Y, key, __e, __iv)`` of the areas in ``edges``.
+    """Records ``(__lvl, __c, __k, __Y, key, __e, __iv, __deeper)`` of the areas in ``edges``.
 
     Level 0 uses cells of ``cell_size``. Where one area has more than
-    ``max_edges`` edges inside one cell, that (area, cell) record is replaced
-    by level-1 records on a ``refine`` x finer grid inside that cell only, so
-    the work per point and the size of one record stay bounded however dense a
-    boundary is. Every index derives from the fine grid (a coarse cell is a
-    block of ``refine`` x ``refine`` fine cells, coarse lines are fine lines),
-    so points and records always agree on cells and line heights. The record
-    table is written once and broadcast only if its measured size fits.
+    ``max_edges`` edges inside one cell, that (area, cell) is described by cells
+    ``refine`` times finer, and so on for as many levels as the data needs, so
+    the work per point and the size of one record stay small however dense a
+    boundary is. Only edges that meet in one vertex, or run side by side through a cell,
+    stay together. The record table is written once and broadcast only if its measured rows fit.
     """
-    w = float(cell_size)
-    wf = w / refine
+    grid = Grid(float(cell_size), refine)
     e = edges.select(
         _q(key).alias("__key"), *EDGE_COLS, F.least("y1", "y2").alias("__miny"), F.greatest("y1", "y2").alias("__maxy")
     )
-
-    def coarse_y(k: Column) -> Column:
-        return (k * refine) * wf
-
-    def fine_y(k: Column) -> Column:
-        return k * wf
-
-    local = edge_cells(e, "__key", w)
-    rows = F.sequence(_floor_div(F.col("__miny"), w) - 1, _floor_div(F.col("__maxy"), w) + 1)
-    iv = _line_intervals(e, rows, coarse_y)
-    covered = iv.select(
-        "__key",
-        "__k",
-        F.explode(F.sequence(_floor_div(F.col("a"), w) - 1, _floor_div(F.col("b"), w) + 1)).alias("__c"),
-        F.struct("a", "b").alias("__ivs"),
-    )
-
-    dense = local.groupBy("__key", "__c", "__k").count().where(F.col("count") > max_edges).select("__key", "__c", "__k")
-    dense = dense.persist()
-    two_level = not dense.isEmpty()
-    if not two_level:
-        records = _records(local, covered, 0, coarse_y)
-    else:
-        keep = ["__key", "__c", "__k"]
-        coarse = _records(
-            local.join(dense, keep, "left_anti"), covered.join(dense, keep, "left_anti"), 0, coarse_y
-        )
-        dense_keys = dense.select("__key").distinct()
-        e_d = e.join(dense_keys, "__key", "left_semi")
-        fine_local = edge_cells(e_d, "__key", wf).withColumn("__pc", _div(F.col("__c"), refine)).withColumn(
-            "__pk", _div(F.col("__k"), refine)
-        )
-        fine_local = fine_local.join(
-            dense.select("__key", F.col("__c").alias("__pc"), F.col("__k").alias("__pk")), ["__key", "__pc", "__pk"], "left_semi"
-        )
-        dense_rows = dense.select("__key", F.col("__k").alias("__pk")).distinct()
-        fine_rows = F.sequence(_floor_div(F.col("__miny"), wf) - 1, _floor_div(F.col("__maxy"), wf) + 1)
-        fiv = _line_intervals(e_d, fine_rows, fine_y).withColumn("__pk", _div(F.col("__k"), refine))
-        fiv = fiv.join(dense_rows, ["__key", "__pk"], "left_semi")
-        # clip each interval to the dense cells of its coarse row before spreading it over fine cells
-        cells_in_row = dense.select("__key", F.col("__k").alias("__pk"), F.col("__c").alias("__dc"))
-        fcov = fiv.join(cells_in_row, ["__key", "__pk"]).select(
-            "__key",
-            "__k",
-            F.explode(
-                F.sequence(
-                    F.greatest(_floor_div(F.col("a"), wf) - 1, F.col("__dc") * refine),
-                    F.least(_floor_div(F.col("b"), wf) + 1, F.col("__dc") * refine + (refine - 1)),
-                )
-            ).alias("__c"),
-            F.struct("a", "b").alias("__ivs"),
-        )
-        fine = _records(fine_local.drop("__pc", "__pk"), fcov, 1, fine_y)
-        records = coarse.unionByName(fine)
-    records = sized_broadcast(records.withColumnRenamed("__key", key), name)
-    dense.unpersist()
-    return CellIndex(records=records, key=key, cell_size=w, refine=refine, two_level=two_level)
+    levels, parents, level = [], None, 0
+    while True:
+        local = materialize(_edges_in_cells(e, grid, level, parents), "edge-cells")
+        dense = None if level == grid.levels - 1 else _crowded(local, grid, level, max_edges)
+        levels.append(_records(local, _covered_cells(e, grid, level, parents), dense, level, grid))
+        if dense is None:
+            break
+        parents, level = dense, level + 1
+    records = levels[0]
+    for more in levels[1:]:
+        records = records.unionByName(more)
+    return CellIndex(sized_broadcast(records.withColumnRenamed("__key", key), name), key, grid, len(levels))
 
 
 def locate(points: DataFrame, px: str, py: str, index: CellIndex, match: tuple[str, str] | None = None) -> DataFrame:
-    """Points joined with the records of their cells (one equi-join).
+    """Points joined with the records of their cells (one equi-join for each level in use).
 
     Adds ``__lvl, __c, __k, __Y, key, __e, __iv``; evaluate with
     :func:`inside_record_sql` using ``__Y`` as the line height. ``match``
     ``(point column, record key field)`` adds one more equality to the join
-    keys, e.g. to meet only the areas of the point's own relation.
+    keys, e.g. to meet only the areas of the point's own relation. Only points
+    that meet a dense record go on to the next level, and only with that area.
     """
-    wf = index.cell_size / index.refine
-    cf = _floor_div(F.col(px), wf)
-    k0 = _floor_div(F.col(py), wf)
-    kf = F.when(k0 * wf > F.col(py), k0 - 1).otherwise(k0)
-    coarse = F.struct(F.lit(0).alias("l"), _div(cf, index.refine).alias("c"), _div(kf, index.refine).alias("k"))
-    if index.two_level:
-        keys = F.explode(F.array(coarse, F.struct(F.lit(1).alias("l"), cf.alias("c"), kf.alias("k"))))
-        pts = points.withColumn("__cell", keys)
-    else:
-        pts = points.withColumn("__cell", coarse)
-    pts = (
-        pts.withColumn("__lvl", F.col("__cell.l"))
-        .withColumn("__c", F.col("__cell.c"))
-        .withColumn("__k", F.col("__cell.k"))
-        .drop("__cell")
-    )
-    if match is None:
-        return pts.join(index.records, on=["__lvl", "__c", "__k"], how="inner")
-    point_col, record_field = match
-    recs = index.records.withColumn("__match", F.col(record_field))
-    return pts.withColumn("__match", F.col(point_col)).join(
-        recs, on=["__lvl", "__c", "__k", "__match"], how="inner"
-    ).drop("__match")
+    grid, columns = index.grid, points.columns
+    fine_c, fine_k = grid.point_cell(F.col(px), F.col(py))
+    asked = points.withColumn("__fc", fine_c).withColumn("__fk", fine_k)
+    found = None
+    for level in range(index.depth):
+        cells = asked.withColumn("__c", grid.at(F.col("__fc"), level)).withColumn("__k", grid.at(F.col("__fk"), level))
+        records = index.records.where(F.col("__lvl") == level)
+        if level:
+            joined = cells.join(records, ["__c", "__k", index.key])
+        elif match is None:
+            joined = cells.join(records, ["__c", "__k"])
+        else:
+            own = records.withColumn("__match", F.col(match[1]))
+            joined = cells.withColumn("__match", F.col(match[0])).join(own, ["__c", "__k", "__match"]).drop("__match")
+        here = joined.where(~F.col("__deeper")).select(*columns, "__lvl", "__c", "__k", "__Y", index.key, "__e", "__iv")
+        found = here if found is None else found.unionByName(here)
+        asked = joined.where(F.col("__deeper")).select(*columns, "__fc", "__fk", index.key)
+    return found
 
 
 # ---------------------------------------------------------------- validity
@@ -345,38 +395,29 @@ def self_intersections(
     area and cell); a crossing found in several shared cells is kept only in
     the cell that contains the crossing point. Edges that merely touch at a
     shared vertex are not reported. An (area, cell) with more than
-    ``max_edges`` edges is searched on a ``refine`` x finer grid instead, so
-    the pairs tested per cell stay bounded.
+    ``max_edges`` edges is searched in cells ``refine`` times finer, and so on as
+    in :func:`cell_index`, so the pairs tested per cell stay bounded.
     """
-    w = float(cell_size)
-    wf = w / refine
-
-    def fine_cell(x: Column, y: Column):
-        return _point_cell(x, y, wf)
-
-    def coarse_cell(x: Column, y: Column):
-        c, k = fine_cell(x, y)
-        return _div(c, refine), _div(k, refine)
-
-    local = edge_cells(edges, key, w)
-    cell_cols = [key, "__c", "__k"]
-    dense = local.groupBy(*cell_cols).count().where(F.col("count") > max_edges).select(*cell_cols).persist()
-    try:
-        if dense.isEmpty():
-            return _cell_crossings(local, key, coarse_cell)
-        coarse = _cell_crossings(local.join(dense, cell_cols, "left_anti"), key, coarse_cell)
-        parents = dense.select(key, F.col("__c").alias("__pc"), F.col("__k").alias("__pk"))
-        fine_local = (
-            edge_cells(edges.join(dense.select(key).distinct(), key, "left_semi"), key, wf)
-            .withColumn("__pc", _div(F.col("__c"), refine))
-            .withColumn("__pk", _div(F.col("__k"), refine))
-            .join(parents, [key, "__pc", "__pk"], "left_semi")
-            .drop("__pc", "__pk")
-        )
-        fine = _cell_crossings(fine_local, key, fine_cell)
-        return materialize(coarse.unionByName(fine), "self-intersections")
-    finally:
-        dense.unpersist()
+    grid = Grid(float(cell_size), refine)
+    e = edges.select(_q(key).alias("__key"), *EDGE_COLS)
+    parts, parents, level = [], None, 0
+    while True:
+
+        def cell_of(x: Column, y: Column, level=level):
+            c, k = grid.point_cell(x, y)
+            return grid.at(c, level), grid.at(k, level)
+
+        local = materialize(_edges_in_cells(e, grid, level, parents), "edge-cells")
+        dense = None if level == grid.levels - 1 else _crowded(local, grid, level, max_edges)
+        tested = local if dense is None else local.join(dense, ["__key", "__c", "__k"], "left_anti")
+        parts.append(_cell_crossings(tested, "__key", cell_of))
+        if dense is None:
+            break
+        parents, level = dense, level + 1
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out.withColumnRenamed("__key", key)
 
 
 def shared_stretches(edges: DataFrame, key: str, cell_size: float = 0.01) -> DataFrame:
@@ -545,8 +586,10 @@ def join_point_in_area(
         cell_size,
         max_edges,
     )
+    # many points meet one area: its attributes go to the points if they fit, else AQE splits hot keys
     payload = areas.areas.withColumn(tmp_key, _q(key))
-    joined = payload.join(pairs, on=tmp_key, how="inner")
+    small = measured_bytes(payload) <= broadcast_limit(payload.sparkSession)
+    joined = pairs.join(F.broadcast(payload) if small else payload, on=tmp_key, how="inner")
     return joined.select(*[_q(c) for c in areas.visible_columns], *[_q(c) for c in df_in.columns])
 
 

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mapweave.schema import ENTITY_SCHEMA, NODE, RELATION, WAY
 
@@ -34,10 +35,16 @@ def split_entities(raw_df: DataFrame) -> MapFrames:
     )
 
 
-def read_entities(spark: SparkSession, path: str, fmt: str = "parquet") -> MapFrames:
+def tag_column(tag: str) -> str:
+    """Name of the column that holds a tag written as a column of its own."""
+    return f"tag:{tag}"
+
+
+def read_entities(spark: SparkSession, path: str, fmt: str = "parquet", hot_tags: Sequence[str] = ()) -> MapFrames:
     """Load an entity file or folder once and split it by kind.
 
-    ``fmt="parquet"`` reads with the fixed schema (no inference);
+    ``fmt="parquet"`` reads with the fixed schema (no inference), plus the
+    ``hot_tags`` that :func:`write_entities` wrote as columns;
     ``fmt="pbf"`` decodes PBF extracts with :mod:`mapweave.sources.pbf`; any
     other format name is handed to ``spark.read.format`` so an installed
     connector can be used.
@@ -45,7 +52,8 @@ def read_entities(spark: SparkSession, path: str, fmt: str = "parquet") -> MapFr
     assert spark is not None, "spark cannot be None"
     assert path is not None, "path cannot be None"
     if fmt == "parquet":
-        raw = spark.read.schema(ENTITY_SCHEMA).parquet(path)
+        extra = [T.StructField(tag_column(t), T.StringType()) for t in hot_tags]
+        raw = spark.read.schema(T.StructType([*ENTITY_SCHEMA.fields, *extra])).parquet(path)
     elif fmt == "pbf":
         from mapweave.sources import pbf
 
@@ -56,10 +64,15 @@ def read_entities(spark: SparkSession, path: str, fmt: str = "parquet") -> MapFr
     return split_entities(raw)
 
 
-def write_entities(raw_df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write an entity frame as Parquet partitioned by ``type`` (kind pruning on read)."""
+def write_entities(raw_df: DataFrame, path: str, mode: str = "overwrite", hot_tags: Sequence[str] = ()) -> None:
+    """Write an entity frame as Parquet partitioned by ``type`` (kind pruning on read), sorted by id in each file.
+
+    ``hot_tags`` become columns of their own (:func:`tag_column`), so filters on them reach
+    the scan and skip row groups instead of decoding every tag map.
+    """
     cols = [c for c in ENTITY_SCHEMA.fieldNames() if c in raw_df.columns]
-    raw_df.select(*cols).write.mode(mode).partitionBy("type").parquet(path)
+    hot = [F.try_element_at("tags", F.lit(t)).alias(tag_column(t)) for t in hot_tags]
+    raw_df.select(*cols, *hot).sortWithinPartitions("type", "id").write.mode(mode).partitionBy("type").parquet(path)
 
 
 def write_table(

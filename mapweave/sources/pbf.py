@@ -23,6 +23,7 @@ import glob
 import os
 import struct
 import zlib
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import SparkSession
@@ -391,12 +392,14 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(PbfDataSource)
 
 
-def ingest_pbf(spark: SparkSession, pbf_path: str, out_path: str, partition_bytes: int | None = None) -> None:
-    """Convert a PBF extract (file, folder or glob) into Parquet partitioned by kind."""
+def ingest_pbf(
+    spark: SparkSession, pbf_path: str, out_path: str, partition_bytes: int | None = None, hot_tags: Sequence[str] = ()
+) -> None:
+    """Convert a PBF extract (file, folder or glob) into Parquet partitioned by kind, ``hot_tags`` as columns of their own."""
     from mapweave.sources.entities import write_entities
 
     register(spark)
     reader = spark.read.format(FORMAT_NAME)
     if partition_bytes:
         reader = reader.option("partitionBytes", str(partition_bytes))
-    write_entities(reader.load(pbf_path), out_path)
+    write_entities(reader.load(pbf_path), out_path, hot_tags=hot_tags)

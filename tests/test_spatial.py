@@ -143,7 +143,7 @@ def test_dense_cells_refined_same_result(spark, max_edges):
     expect = sorted((r.point_id, r.area_id) for r in base.collect())
     assert expect and sorted((r.point_id, r.area_id) for r in refined.collect()) == expect
     index = S.cell_index(S.area_edges(areas, "geom", "area_id"), "area_id", 0.5, max_edges=max_edges)
-    assert index.two_level
+    assert index.depth > 1
     coarse_max = index.records.where("__lvl = 0").selectExpr("coalesce(max(size(__e)), 0) AS m").first().m
     assert coarse_max <= max_edges
     assert index.records.where("__lvl = 1").count() > 0
@@ -285,3 +285,28 @@ def test_zero_size_areas_have_a_centroid(spark):
     dot = spark.range(1).select(F.lit(2).alias("k"), G.polygon(ring((7, 8), (7, 8), (7, 8), (7, 8))).alias("g"))
     got = {r.k: (r.cx, r.cy) for r in S.edge_centroids(S.area_edges(flat.unionByName(dot), "g", "k"), "k").collect()}
     assert got == {1: (2.0, 0.0), 2: (7.0, 8.0)}
+
+
+def test_records_stay_small_where_many_edges_crowd(spark):
+    """A tiny ring of 3000 edges far below the cell size needs several levels."""
+    import math
+
+    n, r = 3000, 1e-3
+    pts = [(0.3 + r * math.cos(2 * math.pi * i / n), 0.3 + r * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    rows = [(1, 0, False, *a, *b) for a, b in zip(pts, pts[1:] + pts[:1])]
+    edges = spark.createDataFrame(rows, "k int, ring int, hole boolean, x1 double, y1 double, x2 double, y2 double")
+    index = S.cell_index(edges, "k", 1.0, max_edges=100)
+    assert index.depth > 2
+    assert index.records.selectExpr("max(size(__e)) AS m").first().m <= 100
+    probes = [(i, 0.3 + r * f * math.cos(i), 0.3 + r * f * math.sin(i), f < 1) for i, f in enumerate([0.1, 0.5, 0.99, 1.01, 1.5, 40.0] * 20)]
+    points = spark.createDataFrame(probes, "i int, x double, y double, inside boolean")
+    areas = S.AreaSet(areas=spark.createDataFrame([(1, "a")], "k int, name string"), edges=edges, key="k")
+    got = {r.i for r in S.point_area_pairs(points, F.col("x"), F.col("y"), areas, 1.0, max_edges=100).collect()}
+    assert got == {i for i, _, _, inside in probes if inside}
+
+
+def test_area_keys_must_be_unique(spark):
+    areas = _square_with_hole(spark)
+    pts = spark.createDataFrame([(1, 0.5, 0.5)], "pid int, x double, y double").select("pid", G.point("x", "y").alias("pt"))
+    with pytest.raises(ValueError, match="'region' is not unique"):
+        S.join_point_in_area(pts, "pt", areas.unionByName(areas), "poly", area_key="region")
