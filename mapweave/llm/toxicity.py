@@ -33,10 +33,11 @@ from pyspark.sql import functions as F
 
 from .common import WordTable, text_slices, with_package
 
-TRAIN_DOCS, TRAIN_CHARS, TRAIN_CHAINS = 2000, 50_000, 20_000
+TRAIN_DOCS, TRAIN_CHARS, TRAIN_CHAINS = 1200, 20_000, 15_000
 CHAIN = 256
 FLOOR = 0.05
 STEMS = (4, 5, 6)  # lengths of the first letters that are features of their own
+PRIOR = {4: 4.0, 5: 2.0}  # how much stronger the prior holds short beginnings, which also stand in harmless words
 LEAST_RATIO = 30.0  # log-likelihood ratio from which a unit tells toxicity
 LEAST_ODDS = 50.0  # and how many times more often it must stand in toxic documents
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -244,6 +245,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, steps: int = 100, rate: float = 0.2,
     def emissions(w):
         return w[3][0] + np.bincount(token, weights=w[0][unit], minlength=len(codes)) + w[1][before] + w[2][after]
 
+    held = np.array([PRIOR.get(len(u) - 1, 1.0) if u[0] == "^" else 1.0 for u in names])
     theta = [np.zeros(len(names)), np.zeros(v + 1), np.zeros(v + 1), np.array([-6.0]), np.zeros(1), np.zeros(4)]
     first, second = [np.zeros_like(x) for x in theta], [np.zeros_like(x) for x in theta]
     inner = np.flatnonzero(~is_start)  # second token of every pair
@@ -266,7 +268,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, steps: int = 100, rate: float = 0.2,
             seen - joint.sum(axis=1),
         ]
         for k, g in enumerate(grads):
-            g = g - decay * theta[k]
+            g = g - decay * theta[k] * (held if k == 0 else 1.0)
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.99 * second[k] + 0.01 * g * g
             theta[k] = theta[k] + rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)
