@@ -46,7 +46,7 @@ def vocabulary() -> str:
 
 @query("op2_ngram_jaccard")
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.link(read(spark, sf_dir, "documents"))
+    return jaccard.link(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 @query("op3_token_files")
@@ -188,3 +188,23 @@ FROM c
 
 
 ORACLES["op8_quality_rules"] = _op8_oracle()
+
+
+ORACLES["op2_ngram_jaccard"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, w[j:j + 2] AS shingle FROM d, unnest(range(1, len(w) - 1)) AS u(j) WHERE len(w) >= 3
+  UNION ALL SELECT DISTINCT doc_id, w FROM d WHERE len(w) IN (1, 2)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 90 * (x.n + y.n - o)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, seen) AS (
+  SELECT DISTINCT a, a FROM both_ways UNION SELECT node, b FROM reach JOIN both_ways ON seen = a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least(doc_id, r.first), doc_id) AS component_id,
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node, min(seen) AS first FROM reach GROUP BY node) r ON r.node = doc_id
+"""
