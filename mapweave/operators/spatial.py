@@ -712,6 +712,8 @@ def _reach_bounds(left: DataFrame, right: DataFrame, radius: float, base: float)
 def _candidates(left: DataFrame, right: DataFrame, radius: float, base: float) -> DataFrame:
     """Pairs ``(lk, rk, b1, b2)`` that may hold the nearest right geometry of a left one within the radius.
 
+    Further columns of ``right`` are carried.
+
     A left row looks into the cells, about as wide as its reach, that its box
     touches when padded by the reach. Right rows lie in the cells of every level not
     finer than themselves; those too wide for the left row's level are looked up at their
@@ -740,13 +742,14 @@ def _candidates(left: DataFrame, right: DataFrame, radius: float, base: float) -
         F.transform(F.filter(numbers(used), lambda j: j <= F.col("native")), lambda j: key(0, j)),
         F.array(key(1, F.col("native"))),
     )
+    more = [c for c in right.columns if c not in ("rk", "b2")]
     asked = keyed(seeking, ask, "b1", F.col("reach"), "lk", "reach")
-    offered = keyed(native, offer, "b2", F.lit(0.0), "rk").drop("size")
+    offered = keyed(native, offer, "b2", F.lit(0.0), "rk", *more).drop("size")
     pairs = asked.join(offered, ["kind", "level", "c", "k"])
     begin_x = F.greatest(F.col("b1.minx") - F.col("reach"), F.col("b2.minx"))
     begin_y = F.greatest(F.col("b1.miny") - F.col("reach"), F.col("b2.miny"))
     here = (F.floor(begin_x / F.col("size")) == F.col("c")) & (F.floor(begin_y / F.col("size")) == F.col("k"))
-    return pairs.where(here & (_box_gap("b1", "b2") <= F.col("reach"))).select("lk", "rk", "b1", "b2")
+    return pairs.where(here & (_box_gap("b1", "b2") <= F.col("reach"))).select("lk", "rk", "b1", "b2", *more)
 
 
 def _nearest_pairs(left: DataFrame, right: DataFrame, radius: float, base: float, ties: Sequence[str], points: tuple[bool, bool]) -> DataFrame:
@@ -758,8 +761,16 @@ def _nearest_pairs(left: DataFrame, right: DataFrame, radius: float, base: float
     """
     # of right rows in one and the same place one stands for all
     order = F.struct(*[F.col(t) for t in ties], F.col("rk"))
-    spots = right.where(_extent("b2") == 0).groupBy("b2").agg(F.min_by("rk", order).alias("rk"))
-    boxes = right.where(_extent("b2") > 0).select("rk", "b2").unionByName(spots.select("rk", "b2"))
+    spots = right.where(_extent("b2") == 0).groupBy("b2").agg(F.min_by(F.struct("rk", *ties), order).alias("r")).select("r.*", "b2")
+    boxes = right.where(_extent("b2") > 0).select("rk", *ties, "b2").unionByName(spots)
+    if left.where(_extent("b1") > 0).isEmpty() and right.where(_extent("b2") > 0).isEmpty():
+        # points only: their boxes are all there is to measure
+        gap = _box_gap("b1", "b2")
+        place = [F.struct(gap.alias("d"), F.col(f"{b}.minx").alias("x"), F.col(f"{b}.miny").alias("y")).alias(p) for b, p in (("b1", "p1"), ("b2", "p2"))]
+        rank = F.struct(gap.alias("d"), *[F.col(t) for t in ties], F.col("rk"))
+        met = _candidates(left.select("lk", "b1"), boxes, radius, base).where(gap <= radius)
+        return met.groupBy("lk").agg(F.min_by(F.struct("rk", *place), rank).alias("best")).select("lk", "best.*")
+    boxes = boxes.select("rk", "b2")
     near = materialize(_candidates(left.select("lk", "b1"), boxes, radius, base), "nearest-candidates")
     closest = near.groupBy("lk").agg(F.min(_box_reach("b1", "b2")).alias("bound"))
     kept = near.join(closest, "lk").where(_box_gap("b1", "b2") <= F.col("bound") * (1 + 1e-9) + 1e-6).select("lk", "rk")
@@ -827,13 +838,14 @@ def join_nearest_geometry(
     radius, base = float(max_meter), float(cell_size or max_meter)
     left_cols, right_cols, ties = list(df_in_1.columns), list(df_in_2.columns), list(tie_breaker or [])
 
-    left_rows = _numbered(df_in_1, "__lk", key_columns, "nearest-left")
-    right_rows = _numbered(df_in_2, "__rk", None, "nearest-right")
     shape_1 = G.reproject(_q(column_name_1), epsg_1, epsg_meter_based)
     shape_2 = G.reproject(_q(column_name_2), epsg_2, epsg_meter_based)
-    left = left_rows.select(F.col("__lk").alias("lk"), shape_1.alias("g1")).where("g1 IS NOT NULL").withColumn("b1", G.bbox("g1"))
+    # reprojected and boxed once, on the staged copies
+    left_rows = _numbered(df_in_1.withColumn("__g1", shape_1).withColumn("__b1", G.bbox("__g1")), "__lk", key_columns, "nearest-left")
+    right_rows = _numbered(df_in_2.withColumn("__g2", shape_2).withColumn("__b2", G.bbox("__g2")), "__rk", None, "nearest-right")
+    left = left_rows.where("__g1 IS NOT NULL").select(F.col("__lk").alias("lk"), F.col("__g1").alias("g1"), F.col("__b1").alias("b1"))
     tied = [_q(c).alias(f"__t{i}") for i, c in enumerate(ties)]
-    right = right_rows.select(F.col("__rk").alias("rk"), shape_2.alias("g2"), *tied).where("g2 IS NOT NULL").withColumn("b2", G.bbox("g2"))
+    right = right_rows.where("__g2 IS NOT NULL").select(F.col("__rk").alias("rk"), F.col("__g2").alias("g2"), F.col("__b2").alias("b2"), *tied)
     names = [f"__t{i}" for i in range(len(ties))]
     wanted = (closest_point_column_1 is not None, closest_point_column_2 is not None)
     found = _nearest_pairs(left, right, radius, base, names, wanted)
@@ -841,7 +853,7 @@ def join_nearest_geometry(
 
     right_side = right_rows.select("__rk", *[_q(c) for c in right_cols])
     matched = found.join(right_side, "__rk")
-    joined = left_rows.join(matched, "__lk", "left" if how in ("leftouter", "fullouter") else "inner")
+    joined = left_rows.drop("__g1", "__b1").join(matched, "__lk", "left" if how in ("leftouter", "fullouter") else "inner")
     out = [_q(c) for c in left_cols + right_cols] + [F.col("p1.d").alias(distance_meter_column)]
     for column, point, crs in ((closest_point_column_1, "p1", epsg_1), (closest_point_column_2, "p2", epsg_2)):
         if column:
