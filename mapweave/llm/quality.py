@@ -25,7 +25,7 @@ RULES: tuple[tuple[str, str, float | None, float | None], ...] = (
     ("word_length", "word_chars / greatest(n_words, 1)", 2.0, 15.0),
     ("symbols", "n_symbols / greatest(n_words, 1)", None, 0.1),
     ("stop_words", "n_stop / greatest(n_words, 1)", 0.01, None),
-    ("dup_lines", "n_dup_lines / greatest(n_lines, 1)", None, 0.3),
+    ("dup_lines", "n_dup_lines / greatest(n_lines, 1)", None, 0.5),
     ("repeated_words", "n_repeat_words / greatest(n_words, 1)", None, 0.5),
 )
 
