@@ -3,8 +3,8 @@
 Model of a block (reset at its start). The two ids before the current one point
 at the id that followed last time (order 2), the id before it likewise (order 1);
 both come with a confidence. Whether a prediction holds is coded as a binary
-decision whose chance is a logistic mix of what is known for the confidence, for
-the agreement of both orders and overall; the weights are learned as the
+decision whose chance is a logistic mix of what is known for either confidence and for
+both with their agreement; the weights are learned as the
 block goes on. An id that neither order foretold is coded as four symbols of
 four bits with order-0 chances, adapted after each symbol. All arithmetic is on
 integers, so any machine decodes what another has coded.
@@ -33,13 +33,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import LEAF, encode_long, encode_texts, tokenizer
+from .bpe import encode_texts, tokenizer
 from .common import text_slices, with_package
 
 BITS = 16  # of an id
 BLOCK = 4096  # ids of a block
-LANES = 1024  # blocks worked on at once
-CHUNK_BYTES = 10 << 20  # text of a chunk
+LANES = 1536  # blocks worked on at once
+CHUNK_BYTES = 14 << 20  # text of a chunk
 ORDER1, ORDER2 = 12, 13  # bits of the tables of predicted ids
 FINE = 14  # bits of a symbol's chances
 RATE = 4  # shift of their adaptation
@@ -194,35 +194,38 @@ def _run(lengths: np.ndarray, ids: np.ndarray | None, data: list[bytes] | None):
     """Code the columns of ``ids`` (steps x lanes, lanes by falling length), or decode ``data``."""
     n, steps = len(lengths), int(lengths.max(initial=0))
     coder = _Lanes(n, data, steps + 64)
-    out = np.zeros((steps, n), np.int64) if ids is None else ids
+    out = np.zeros((steps, n), np.uint16) if ids is None else ids
     zero = [np.tile(EVEN, (n << b, 1)) for b in CONTEXT_BITS]
-    first = np.zeros(n << ORDER1, np.int64)
-    second = np.zeros(n << ORDER2, np.int64)
+    first = np.zeros(n << ORDER1, np.int32)
+    second = np.zeros(n << ORDER2, np.int32)
     base1, base2 = (np.arange(n, dtype=np.int64) << b for b in (ORDER1, ORDER2))
-    by_two, by_one = _Flag(n, (8, 128, 1)), _Flag(n, (8, 16, 1))
+    by_two, by_one = _Flag(n, (8, 128, 8)), _Flag(n, (8, 128, 8))
     before, earlier = np.zeros(n, np.int64), np.zeros(n, np.int64)
     active = n - np.searchsorted(lengths[::-1], np.arange(steps), side="right")
     every = np.arange(n)
     for t in range(steps):
         k = int(active[t])
         lanes = every[:k]
-        cur = None if ids is None else ids[t, :k]
+        cur = None if ids is None else ids[t, :k].astype(np.int64)
         at1 = base1[:k] + ((before[:k] ^ (before[:k] >> 7)) & ((1 << ORDER1) - 1))
         at2 = base2[:k] + (((before[:k] * 40503 + earlier[:k] * 30011) >> 3) & ((1 << ORDER2) - 1))
         e1, e2 = first[at1], second[at2]
         p1, p2, c1, c2 = e1 >> 3, e2 >> 3, e1 & 7, e2 & 7
         agree = (p1 == p2).astype(np.int64)
-        regs = coder.take(lanes)
-        hit2 = by_two.code(coder, regs, (c2, c2 * 16 + c1 * 2 + agree, 0), None if cur is None else p2 == cur)
-        coder.put(regs)
-        got = np.where(hit2, p2, 0)
-        left = np.flatnonzero(~hit2)
-        if len(left):
-            regs = coder.take(left)
-            hit1 = by_one.code(coder, regs, (c1[left], c1[left] * 2 + agree[left], 0), None if cur is None else p1[left] == cur[left])
-            coder.put(regs)
-            got[left] = np.where(hit1, p1[left], 0)
-            left = left[~hit1]
+        got = np.zeros(k, np.int64)
+        open_ = np.ones(k, bool)
+        # only lanes that have a prediction are asked whether it holds
+        for flag, guess, asked in ((by_two, p2, c2 > 0), (by_one, p1, (c1 > 0) & ((agree == 0) | (c2 == 0)))):
+            some = np.flatnonzero(open_ & asked)
+            if len(some):
+                regs = coder.take(some)
+                told = guess[some]
+                hit = flag.code(coder, regs, (c2[some], c2[some] * 16 + c1[some] * 2 + agree[some], c1[some]), None if cur is None else told == cur[some])
+                coder.put(regs)
+                found = some[hit]
+                got[found] = told[hit]
+                open_[found] = False
+        left = np.flatnonzero(open_)
         if len(left):
             regs = coder.take(left)
             want = None if cur is None else cur[left]
@@ -255,7 +258,7 @@ def encode_blocks(ids: np.ndarray) -> list[tuple[int, bytes, int]]:
     for g in range(0, len(cuts), LANES):
         group = cuts[g : g + LANES]
         lengths = np.array([len(c) for c in group])  # only the last block of all can be shorter
-        columns = np.zeros((int(lengths.max()), len(group)), np.int64)
+        columns = np.zeros((int(lengths.max()), len(group)), np.uint16)
         for k, c in enumerate(group):
             columns[: len(c), k] = c
         for c, payload in zip(group, _run(lengths, columns, None), strict=True):
@@ -294,10 +297,7 @@ def _chunks(batches: Iterable[pa.RecordBatch], path: str, end_id: int) -> Iterat
     for batch in batches:
         for rows in text_slices(batch, limit=CHUNK_BYTES):
             texts = rows.column("text")
-            if len(rows) == 1 and len(texts[0].as_py() or "") > LEAF:
-                ids = [encode_long(tok, texts[0].as_py())]
-            else:
-                ids = encode_texts(tok, texts)
+            ids = encode_texts(tok, texts)
             flat = np.concatenate([x for i in ids for x in (i, [end_id])]).astype(np.int32)
             blocks = encode_blocks(flat)
             yield pa.RecordBatch.from_arrays(
