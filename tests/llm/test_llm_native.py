@@ -152,3 +152,9 @@ def test_quality_counts_of_awkward_rows(spark):
 def test_rules_run_without_python(spark):
     plan = quality.judge(documents(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_native_operators_run_without_python(spark):
+    for df in (sharding.shard_rows(documents(spark)), decontam.contamination(documents(spark), benchmark(spark))):
+        plan = df._jdf.queryExecution().toString()
+        assert not any(word in plan for word in ("Python", "Pandas", "InArrow"))

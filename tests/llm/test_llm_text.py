@@ -1,7 +1,6 @@
 """BPE, token files, similarity join, licenses, secrets and toxicity against brute force."""
 
 import hashlib
-import os
 import random
 import re
 import zlib
