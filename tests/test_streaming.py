@@ -1,7 +1,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from mapweave.functions import geometry as G
 from mapweave.operators import spatial as S
