@@ -6,7 +6,7 @@ log-likelihood ratio are labelled 1 in toxic documents, every other token is 0.
 The CRF over the two labels has the word, its first letters and both neighbours as
 features and one chain per sentence (at most ``CHAIN`` tokens; longer ones
 go on as a new chain). It is fitted by full-batch gradients on a bounded sample
-(``TRAIN_DOCS`` documents of each label, of up to ``TRAIN_CHARS`` characters, and
+(``TRAIN_TOXIC`` and ``TRAIN_CLEAN`` documents of up to ``TRAIN_CHARS`` characters, and
 ``TRAIN_CHAINS`` sentences), chosen by hash.
 
 Scoring runs the forward and backward pass over every token of every text. A
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import WordTable, text_slices, with_package
 
-TRAIN_DOCS, TRAIN_CHARS, TRAIN_CHAINS = 1200, 20_000, 15_000
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS, TRAIN_CHAINS = 1200, 2200, 20_000, 15_000
 CHAIN = 256
 FLOOR = 0.05
 STEMS = (4, 5, 6)  # lengths of the first letters that are features of their own
@@ -290,11 +290,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     marked = labels.where(f"doc_id IS NOT NULL AND toxic IN (0, 1) AND NOT {held_out()}").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     fitting = docs.where(f"doc_id IS NOT NULL AND char_length(text) <= {TRAIN_CHARS}").select("doc_id", "text")
     parts = []
-    for toxic in (0, 1):
+    for toxic, most in ((0, TRAIN_CLEAN), (1, TRAIN_TOXIC)):
         # twice the number, as some labelled documents may be absent or too long
-        picked = marked.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * TRAIN_DOCS)
+        picked = marked.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * most)
         rows = fitting.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-        parts.append(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS).toArrow())
+        parts.append(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).toArrow())
     both = pa.concat_tables(parts)
     toxic = both["toxic"].to_numpy().astype(bool)
     if not toxic.any() or toxic.all():
