@@ -1,7 +1,8 @@
 """Corpus pipeline: five stages over ``documents``, each written as Parquet and read again.
 
 Every stage gets ``(spark, docs, sf_dir)`` and works on all that its predecessor
-kept: toxic documents go, one document of each group of near copies stays,
+kept: toxic documents go, one document of each group of near copies (five-word shingles,
+similarity of 0.8 or more) stays,
 documents that hold benchmark passages go, secrets are masked, and the rest is
 encoded and decoded.
 """
@@ -24,7 +25,7 @@ def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.keep_one(docs)
+    return jaccard.keep_one(docs, least=80, shingle=5)
 
 
 def _decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """N-gram Jaccard join: size-aware, heavy-light.
 
-A document's set are its distinct 3-word shingles as 64-bit hashes (fewer words:
-the whole sequence as one). Two documents link when their Jaccard similarity is
-at least ``LEAST`` / 100. Documents with equal sets are one class; only one
+A document's set are its distinct shingles of ``SHINGLE`` words as 64-bit hashes (fewer
+words: the whole sequence as one). Two documents link when their Jaccard similarity is
+at least ``LEAST`` / 100; callers can hand in other values of both. Documents with equal sets are one class; only one
 document of a class goes on.
 
 Small sets (light): two sets of sizes a <= b link exactly when they share
@@ -91,7 +91,7 @@ def boundary(least: int = LEAST) -> int:
 # ------------------------------------------------------------------ sets of one slice of texts
 
 
-def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of every text."""
     table = WordTable(texts, lower=True)
     if not len(table.words):
@@ -100,13 +100,14 @@ def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     h = hashed[table.codes]
     out = []
     with np.errstate(over="ignore"):
-        grams = np.zeros(len(h), np.uint64)
-        if len(h) >= 3:
-            two = mix64(h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[1:-1])
-            grams[:-2] = mix64(two * np.uint64(0xD6E8FEB86659FD93) + h[2:])
+        starts = max(0, len(h) - shingle + 1)
+        grams = h[:starts]
+        for k in range(1, shingle):
+            factor = np.uint64(0x9E3779B97F4A7C15 if k == 1 else 0xD6E8FEB86659FD93)
+            grams = mix64(grams * factor + h[k : k + starts])
         for a, b in zip(table.bounds[:-1], table.bounds[1:], strict=True):
-            if b - a >= SHINGLE:
-                out.append(np.unique(grams[a : b - 2]))
+            if b - a >= shingle:
+                out.append(np.unique(grams[a : b - shingle + 1]))
             elif b > a:
                 whole = np.uint64(b - a)
                 for x in h[a:b]:
@@ -156,7 +157,7 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(keys)))
 
 
-def _dealt(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+def _dealt(batches: Iterable[pa.RecordBatch], buckets: int, shingle: int) -> Iterator[pa.RecordBatch]:
     """Documents of each slice, and its distinct elements dealt to buckets by value.
 
     An element that one document of the slice has goes with the document's place, one
@@ -166,7 +167,7 @@ def _dealt(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
     for batch in batches:
         for rows in (r.slice(k, SLICE_ROWS) for r in text_slices(batch) for k in range(0, len(r), SLICE_ROWS)):
             key, number = part << 32 | number, number + 1
-            sets = shingle_sets(rows.column("text"))
+            sets = shingle_sets(rows.column("text"), shingle)
             sizes = np.array([len(x) for x in sets], np.int64)
             ids = rows.column("doc_id")
             out = [
@@ -289,7 +290,7 @@ def _subset_rows(s: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
             yield int.from_bytes(digest, "little", signed=True), a, n
 
 
-def _lists(batches: Iterable[pa.RecordBatch], frequent, least: int, small: int) -> Iterator[pa.RecordBatch]:
+def _lists(batches: Iterable[pa.RecordBatch], frequent, least: int, small: int, shingle: int) -> Iterator[pa.RecordBatch]:
     """Rows of the inverted lists: ``kind`` 0 for subsets of small sets, 1 for prefix elements.
 
     ``part`` is the smaller size of a subset key, or the salt of a frequent element.
@@ -299,7 +300,7 @@ def _lists(batches: Iterable[pa.RecordBatch], frequent, least: int, small: int)
     for batch in batches:
         for rows in text_slices(batch):
             light, heavy = [], []
-            for node, s in zip(rows.column("doc_id").to_pylist(), shingle_sets(rows.column("text")), strict=True):
+            for node, s in zip(rows.column("doc_id").to_pylist(), shingle_sets(rows.column("text"), shingle), strict=True):
                 n = len(s)
                 if not n:
                     continue
@@ -415,7 +416,7 @@ def _verify(batches: Iterable[pa.RecordBatch], least: int, small: int) -> Iterat
         yield flush()
 
 
-def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterable[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     """Sets of the documents of candidate groups, once for every block pair they belong to."""
     schema = pa.schema(
         [("comp", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()), ("node", pa.int64()), ("blob", pa.binary())]
@@ -424,7 +425,7 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in text_slices(batch):
             out = {c: [] for c in schema.names}
             cols = [rows.column(c).to_pylist() for c in ("comp", "blocks", "doc_id")]
-            for comp, blocks, node, s in zip(*cols, shingle_sets(rows.column("text")), strict=True):
+            for comp, blocks, node, s in zip(*cols, shingle_sets(rows.column("text"), shingle), strict=True):
                 if not len(s):
                     continue
                 mine = int(mix64(np.array([node], np.int64).view(np.uint64))[0] % np.uint64(blocks))
@@ -438,7 +439,7 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ------------------------------------------------------------------ the join
 
 
-def link(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def link(docs: DataFrame, least: int = LEAST, shingle: int = SHINGLE) -> DataFrame:
     """Per row: ``doc_id, n_shingles, component_id, class_id``."""
     with_package(docs)
     spark = docs.sparkSession
@@ -446,7 +447,7 @@ def link(docs: DataFrame, least: int = LEAST) -> DataFrame:
     small = boundary(least)
 
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = texts.mapInArrow(lambda b: _dealt(b, buckets), _COUNTING).repartition("bucket").sortWithinPartitions("bucket")
+    dealt = texts.mapInArrow(lambda b: _dealt(b, buckets, shingle), _COUNTING).repartition("bucket").sortWithinPartitions("bucket")
     counting, counting_done = staged_table(dealt.mapInArrow(_counted, _COUNTING), "counts")
     by_slice = counting.where("kind IN (0, 2)").repartition("slice").sortWithinPartitions("slice", "kind")
     survey = stage(by_slice.mapInArrow(_summed, _COUNTED))
@@ -465,7 +466,7 @@ def link(docs: DataFrame, least: int = LEAST) -> DataFrame:
     reps = stage(classes.where(F.col("alone") < prefix).select(F.col("rep").alias("doc_id")).distinct())
     lists, release = staged_table(
         texts.join(sized(reps), "doc_id", "left_semi").mapInArrow(
-            lambda b: _lists(b, frequent, least, small), "kind int, token bigint, part int, n int, node bigint"
+            lambda b: _lists(b, frequent, least, small, shingle), "kind int, token bigint, part int, n int, node bigint"
         ),
         "lists",
     )
@@ -488,7 +489,9 @@ def link(docs: DataFrame, least: int = LEAST) -> DataFrame:
     bounds = weighed.groupBy("comp").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("items"))
     blocks = F.expr(f"CAST(ceil(greatest(sets / {GROUP_SETS}, items / {GROUP_ITEMS})) AS int)")
     member = groups.join(bounds.select("comp", blocks.alias("blocks")), "comp").select(F.col("node").alias("doc_id"), "comp", "blocks")
-    sets = texts.join(sized(stage(member)), "doc_id").mapInArrow(_sets, "comp bigint, i int, j int, side int, node bigint, blob binary")
+    sets = texts.join(sized(stage(member)), "doc_id").mapInArrow(
+        lambda b: _sets(b, shingle), "comp bigint, i int, j int, side int, node bigint, blob binary"
+    )
     met = sets.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
     heavy = met.mapInArrow(lambda b: _verify(b, least, small), "a bigint, b bigint")
 
@@ -512,9 +515,9 @@ def link(docs: DataFrame, least: int = LEAST) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def keep_one(docs: DataFrame, least: int = LEAST, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with one document of each component (the smallest doc_id); rows without a set or id stay."""
-    found = stage(link(docs, least).where("n_shingles > 0 AND doc_id IS NOT NULL"))
+    found = stage(link(docs, least, shingle).where("n_shingles > 0 AND doc_id IS NOT NULL"))
     away = stage(found.where("doc_id <> component_id").select("doc_id").distinct())
     left = docs.join(sized(away), "doc_id", "left_anti").select(*docs.columns)
     # of rows that share the kept id one stays; texts are moved only for such ids

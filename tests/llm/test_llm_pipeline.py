@@ -1,6 +1,8 @@
 """The pipeline's stages against what each may do, and its end against the library."""
 
 import hashlib
+import random
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -9,7 +11,7 @@ pytest.importorskip("mapweave.llm")
 
 import corpus_pipeline
 from llm_data import ROWS, benchmark, documents, labels
-from mapweave.llm import bpe
+from mapweave.llm import bpe, jaccard
 from mapweave.llm.queries import vocabulary
 
 
@@ -40,3 +42,26 @@ def test_stages_keep_columns_and_clean_rows(spark, tmp_path):
         if r.doc_id is not None:
             assert got[r.doc_id] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
     assert next(r.text for r in last if r.doc_id == 12) == 'the token = "[SECRET]" stays secret'
+
+
+def test_near_copies_of_five_word_shingles_at_080_go(spark):
+    rng = random.Random(4)
+    rows = {}
+    for family in range(12):
+        base = [f"f{family}w{k}" for k in range(rng.choice([4, 6, 9, 14, 24, 30, 50, 120]))]
+        for _ in range(6):
+            w = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2])):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+            rows[len(rows)] = " ".join(w[: len(w) - rng.choice([0, 1])])
+    words = {i: t.split() for i, t in rows.items()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in words.items()}
+    first = {i: i for i in rows}
+    for i, j in combinations(rows, 2):  # all pairs, smallest ids handed on
+        if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]):
+            a, b = sorted((first[i], first[j]))
+            first = {k: a if v == b else v for k, v in first.items()}
+    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard"]
+    kept = sorted(r.doc_id for r in stage(spark, documents(spark, list(rows.items())), "").collect())
+    assert kept == sorted(set(first.values()))
+    assert len(kept) < jaccard.keep_one(documents(spark, list(rows.items()))).count()
