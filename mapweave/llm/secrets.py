@@ -1,9 +1,11 @@
 """Secret scans: broad candidates, then a random forest that removes false positives.
 
 Candidates are runs of 12 or more key characters that hold a digit or stand
-after an assignment. A candidate's features are its length, the share of
-character-class transitions, dictionary coverage, digit and upper-case share, distinct
-characters, whether it is part of a path, and the kind of the words around it.
+after an assignment, and whole values of 8 or more characters of any kind, quoted
+or up to the next space, after an assignment or a secret word (:func:`announced`). A
+candidate's features are its length, the share of character-class transitions,
+dictionary coverage, digit, upper-case, sign and space share, distinct characters,
+whether it is part of a path, and the kind of the words around it.
 
 The forest is trained from labelled findings: a table ``value, before, after,
 label`` handed in by the caller, or :func:`labelled_findings`, which draws a bounded
@@ -12,8 +14,8 @@ number (``FINDINGS``) by rule and adds prose words of the documents themselves
 Gini impurity over random feature subsets, and stored as flat arrays, so a task
 scores all candidates of a slice at once.
 
-Defined cases: NULL and empty texts have no findings; overlapping candidates do not
-occur; repeated rows get equal results; an empty table gives no rows. Every column
+Defined cases: NULL and empty texts have no findings; candidates may overlap, findings that
+do are one; repeated rows get equal results; an empty table gives no rows. Every column
 of the input is kept by :func:`redact`; only ``text`` is read.
 """
 
@@ -35,8 +37,6 @@ MASK = "[SECRET]"
 AROUND = 48  # characters looked at on each side
 
 CANDIDATE = re.compile(r"[A-Za-z0-9_+/=\-]{12,}")
-# a text without such a run has no candidate (the same rule as is_candidate, read by Spark)
-PREFILTER = r"[A-Za-z0-9_+/=\\-]{12,}"
 ASSIGNED = re.compile(r"[A-Za-z]\"?\s*[:=]\s*[\"']?$")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -49,7 +49,21 @@ DICTIONARY = tuple(
     "the and ing ent ion her for hat his ere you are not ver ter all ith der die und ein ich sch den ung gen cht "
     "que les des est ait eur con ado los las por para una com pro pre res ous eau oir ais tre".split()
 )
-NAMES = ("length", "transitions", "coverage", "digits", "uppers", "distinct", "path", "secret_word", "plain_word", "assigned", "hexadecimal")
+# what announces a value, and the value: quoted on one line, or the first 8 characters up to the next space.
+# Python (ASCII) and Java read both alike
+ANNOUNCE = (
+    r"(?:[A-Za-z0-9_][\"']?\s*[:=]{1,2}>?\s*|(?<![A-Za-z])(?i:" + "|".join(sorted(SECRET_WORDS, key=lambda w: (-len(w), w)))
+    + r")[\"']?(?=[\s\"'])(?:\s+(?i:is|was|ist|es|est)(?=\s))?\s*(?![:=]))"
+)
+VALUE = r"""(?:"([^"\n]{8,})"|'([^'\n]{8,})'|(?:"(?![^"\n]*")|'(?![^'\n]*'))?([^\s"']\S{7}))"""
+ANNOUNCED = re.compile(f"{ANNOUNCE}(?={VALUE})", re.ASCII)
+# inside a value up to the next space: the next name of a list of assignments
+SPACE = re.compile(r"\s|\Z", re.ASCII)
+NEXT_NAME = re.compile(r"[&;,?|](?=[\"'{\[(]*[A-Za-z_][\w.\-]*[\"']?[:=])", re.ASCII)
+NAMED = re.compile(r"[A-Za-z0-9_][\w.\-]*\Z", re.ASCII)
+# a text without any of these has no candidate (read by Spark)
+PREFILTER = rf"[A-Za-z0-9_+/=\-]{{12,}}|{ANNOUNCE}{VALUE}"
+NAMES = ("length", "transitions", "coverage", "digits", "uppers", "distinct", "path", "secret_word", "plain_word", "assigned", "hexadecimal", "signs", "spaces", "named")
 
 
 def is_candidate(value: str, before: str) -> bool:
@@ -71,6 +85,7 @@ def features(value: str, before: str, after: str) -> list[float]:
         while at >= 0:
             covered[at : at + len(part)] = True
             at = low.find(part, at + 1)
+    last = (WORD.findall(before)[-1:] or [""])[0].lower()
     around = {w.lower() for w in WORD.findall(before)[-4:]} | {w.lower() for w in WORD.findall(after)[:2]}
     return [
         float(n),
@@ -84,10 +99,61 @@ def features(value: str, before: str, after: str) -> list[float]:
         float(bool(around & PLAIN_WORDS)),
         float(ASSIGNED.search(before) is not None),
         float(all(c in "0123456789abcdefABCDEF" for c in value)),
+        sum(not c.isalnum() and not c.isspace() for c in value) / n,
+        sum(c.isspace() for c in value) / n,
+        float((last in SECRET_WORDS) - (last in PLAIN_WORDS)),
     ]
 
 
+def _trimmed(text: str, a: int, b: int) -> int:
+    """End of ``text[a:b]`` without the marks of the sentence or list it stands in."""
+    while b > a and (text[b - 1] in ",;.\"'" or text[b - 1] in ")]}>" and "([{<"[")]}>".index(text[b - 1])] not in text[a:b]):
+        b -= 1
+    return b
+
+
+def announced(text: str) -> Iterator[tuple[int, int]]:
+    """Whole values after an assignment or a secret word.
+
+    Of a run without spaces that holds several assignments, the first one has the whole
+    run; besides, each part up to the next name is a value, so a secret in a list or
+    an address is looked at alone, too. All parts of a run together are no longer than the run.
+    """
+    run, parts = (0, 0), []
+
+    def cut():
+        ends = [a - (text[a - 1] in "&;,?|") for a, _ in parts[1:]] + [run[1]] * bool(parts)
+        for (a, start), end in zip(parts, ends, strict=True):
+            name = NEXT_NAME.search(text, start, end)
+            yield start, _trimmed(text, start, name.start() if name else end)
+
+    for m in ANNOUNCED.finditer(text):
+        if m.group(3) is None:
+            yield m.span(1) if m.group(1) is not None else m.span(2)
+            continue
+        a = m.start(3)
+        if text.startswith("//", a) and text[m.start() + 1 : a] == ":":
+            continue  # the scheme of an address
+        if a >= run[1]:
+            yield from cut()
+            run, parts = (a, SPACE.search(text, a).start()), [(m.start(), a)]
+            yield a, _trimmed(text, *run)
+        else:
+            name = NAMED.search(text, max(0, m.start() - AROUND), m.start() + 1)
+            word = (WORD.findall(text[max(0, m.start() - AROUND) : a])[-1:] or [""])[0].lower()
+            if name and (word in SECRET_WORDS or text[name.start() - 1 : name.start()] in tuple("&;,?|")):
+                parts.append((name.start(), a))
+    yield from cut()
+
+
 def candidates(text: str) -> Iterator[tuple[int, int, list[float]]]:
+    spans = {(a, b) for a, b in announced(text) if b - a >= 8} | set(runs(text))
+    for a, b in sorted(spans):
+        yield a, b, features(text[a:b], text[max(0, a - AROUND) : a], text[b : b + AROUND])
+
+
+def runs(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of key characters that hold a digit or stand after an assignment."""
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
         value = m.group()
@@ -102,7 +168,7 @@ def candidates(text: str) -> Iterator[tuple[int, int, list[float]]]:
         b = a + len(value)
         before = text[max(0, a - AROUND) : a]
         if len(value) >= 8 and is_candidate(value, before):
-            yield a, b, features(value, before, text[b : b + AROUND])
+            yield a, b
 
 
 # ------------------------------------------------------------------ random forest
@@ -145,7 +211,9 @@ def _grow(x, y, rows, rng, tries) -> tuple[np.ndarray, ...]:
         if depth == DEPTH or len(rows) < 2 * LEAST_LEAF or p in (0.0, 1.0):
             return me
         best = (2 * p * (1 - p), -1, 0.0)
-        for f in rng.choice(x.shape[1], tries, replace=False):
+        for tried, f in enumerate(rng.permutation(x.shape[1])):
+            if tried >= tries and best[1] >= 0:  # further features only while none splits
+                break
             order = np.argsort(x[rows, f], kind="stable")
             v, t = x[rows, f][order], y[rows][order]
             ones = np.cumsum(t)
@@ -183,9 +251,14 @@ def _drawn(n: int) -> list[tuple[str, str, str, int]]:
     prose = lambda k: " ".join("".join(one(parts) for _ in range(int(rng.integers(1, 4)))) for _ in range(k))
     wordy = lambda k: "".join(one(parts) for _ in range(k))
     quote = lambda: one(['"', "'", ""])
+    # words that the dictionary covers, and words that it hardly does
+    word = lambda k: one([wordy(k), "".join(one("bcdfghklmnprstvwz") + one("aeiou") + one(["", "", "n", "s", "l"]) for _ in range(k))])
+    signs = "@!#$%.~&*^?"
+    mixed = lambda k: pick(alnum, 2) + pick(alnum + signs * 2, k - 3) + pick(signs, 1)
+    spoken = lambda: one([wordy(2).title(), wordy(2), wordy(1).title()]).replace("a", one("a@")).replace("o", one("o0"))
     out = []
     for k in range(n):
-        shape = int(rng.integers(0, 6))
+        shape = int(rng.integers(0, 10))
         if k % 2 == 0:
             value = [
                 lambda: pick(hexa, int(one([16, 18, 24, 32, 40, 64]))),
@@ -194,9 +267,13 @@ def _drawn(n: int) -> list[tuple[str, str, str, int]]:
                 lambda: one(["sk", "ghp", "AKIA", "pk"]) + one(["_", "-", ""]) + pick(alnum, int(rng.integers(16, 36))),
                 lambda: pick(hexa, 40),
                 lambda: pick(alnum, 12) + pick("0123456789", 3),
+                lambda: mixed(int(rng.integers(8, 24))),
+                lambda: spoken() + one(signs) + pick("0123456789", int(rng.integers(2, 6))) + one(["", "!"]),
+                lambda: pick(hexa[10:] + hexa[:10], 6) + pick("0123456789", int(rng.integers(2, 6))),
+                lambda: " ".join(mixed(int(rng.integers(4, 8))) for _ in range(2)),
             ][shape]()
-            q = quote()
-            before = f"{prose(2)} {one(secret)}{one([' = ', '=', ': ', ':', ' '])}{q}"
+            q = '"' if " " in value else quote()
+            before = f"{prose(2)} {one(secret)}{one([' = ', '=', ': ', ':', ' ', ' is '])}{q}"
             out.append((value, before, f"{q} {prose(2)}", 1))
         else:
             value, before, after = [
@@ -206,6 +283,13 @@ def _drawn(n: int) -> list[tuple[str, str, str, int]]:
                 lambda: (pick("0123456789", int(rng.integers(12, 20))), f"{prose(2)} ", f" {prose(2)}"),
                 lambda: (f"{wordy(3)}_{wordy(2)}-{pick('0123456789', 4)}", f"{prose(1)} {one(plain)}{one([' = ', ': '])}", f" {prose(2)}"),
                 lambda: (wordy(int(rng.integers(4, 9))), f"{prose(2)} {wordy(1)}{one([': ', ' = '])}", f" {prose(2)}"),
+                lambda: (one([str, str.title, str.upper])(word(int(rng.integers(3, 7)))) + one(["", "", "!!", "###", "?", "!"]), f"{prose(2)} {one([wordy(1), one(secret)])}{one([': ', ' = ', ' '])}", f" {prose(2)}"),
+                lambda: (" ".join(word(2) for _ in range(int(rng.integers(2, 9)))) + one(["", ".", "!"]), f"{prose(2)} {one([wordy(1), one(secret)])}{one([': ', ' = ', '='])}\"", f"\" {prose(2)}"),
+                lambda: (
+                    one([f"20{pick('012', 2)}-0{pick('123456789', 1)}-1{pick(hexa[:10], 1)}", f"{wordy(2)}.{wordy(1)}@{wordy(2)}.com", f"1.{pick(hexa[:10], 1)}.{pick(hexa[:10], 2)}-{wordy(1)}"]),
+                    f"{prose(2)} {wordy(1)}{one([': ', ' = ', '=', ':'])}", f" {prose(2)}",
+                ),
+                lambda: (f"{wordy(2)}.{wordy(1)}/{wordy(2)}?{wordy(1)}={pick('0123456789', 3)}", f"{prose(2)} {one([wordy(1), one(plain)])}{one([': ', '='])}", f" {prose(2)}"),
             ][shape]()
             out.append((value, before, after, 0))
     return out
@@ -259,6 +343,9 @@ def find(texts: list[str | None], forest: Forest) -> tuple[list[list[tuple[int,
     if rows and forest.trees:
         for (k, a, b), p in zip(where, forest.chance(np.array(rows)).tolist(), strict=True):
             if p >= 0.5:
+                if out[k] and a < out[k][-1][1]:
+                    first, end, q = out[k].pop()
+                    a, b, p = first, max(end, b), max(q, p)
                 out[k].append((a, b, p))
     return out, counts
 
@@ -292,7 +379,7 @@ def scan(docs: DataFrame, forest: Forest) -> DataFrame:
                     names=["doc_id", "n_candidates", "findings", "redacted"],
                 )
 
-    ready = docs.selectExpr("doc_id", f"CASE WHEN text RLIKE '{PREFILTER}' THEN text END AS text")
+    ready = docs.select("doc_id", F.when(F.col("text").rlike(PREFILTER), F.col("text")).alias("text"))
     return ready.mapInArrow(
         run, "doc_id bigint, n_candidates bigint, findings array<struct<start:int,end:int,p:double>>, redacted string"
     )

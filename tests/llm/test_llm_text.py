@@ -278,3 +278,33 @@ def test_forward_backward_against_all_paths():
             weight += np.exp(s)
             ones += np.exp(s) * np.array(y)
         assert np.allclose(1 / (1 + np.exp(-(fwd + bwd)[lo:hi])), ones / weight)
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ('the password = "P@ssw0rd!2024" stays', 'the password = "[SECRET]" stays'),
+        ("pwd: a1b2c3d4", "pwd: [SECRET]"),
+        ("pwd=a1b2c3d4", "pwd=[SECRET]"),
+        ("my password is Tr0ub4dor&3, she said", "my password is [SECRET], she said"),
+        ('{"pwd":"abc","password":"x!Y7$zz#1q"}', '{"pwd":"abc","password":"[SECRET]"}'),
+        ("config:{db:{pwd:a1b2c3d4}}", "config:{db:{pwd:[SECRET]}}"),
+        ("password:\n  P@ssw0rd!2024\n", "password:\n  [SECRET]\n"),
+        ('a secret "unclosed!99x of us', 'a secret "[SECRET] of us'),
+        ("Note: something wonderful. The key: important things", None),
+        ("private individuals and access control!!", None),
+        ("date: 2024-01-02 mail: foo.bar@baz.com", None),
+    ],
+)
+def test_short_and_broken_secrets_are_found(spark, text, want):
+    docs = documents(spark, [(1, text)])
+    forest = secrets.train(docs)
+    assert secrets.scan(docs, forest).collect()[0].redacted == want
+    assert secrets.redact(docs, forest).collect()[0].text == (want or text)
+
+
+def test_values_of_a_run_cost_no_more_than_the_run():
+    for text in ("a:b=" * 3000, "token:" * 3000, "key=12345678&" * 3000):
+        spans = list(secrets.announced(text))
+        assert sum(b - a for a, b in spans) <= 2 * len(text)
+    assert "12345678" in {text[a:b] for a, b in spans}
