@@ -42,7 +42,7 @@ WORD = re.compile(r"[^\W\d_]+")
 
 # fixed values: words that announce a secret, words that announce a harmless digest or name
 SECRET_WORDS = frozenset("token secret password passwd pwd key apikey api auth bearer credential credentials private access session".split())
-PLAIN_WORDS = frozenset("commit sha md5 checksum digest hash revision version uuid guid id href src url path file isbn doi build".split())
+PLAIN_WORDS = frozenset("commit sha md checksum digest hash revision version uuid guid id href src url path file isbn doi build".split())
 # fixed values: frequent letter groups of the languages of the corpus, the dictionary of the coverage feature
 DICTIONARY = tuple(
     "tion ment heit keit lich ción ando ient ough ight ther here that with from have ding ring sion able ible ance ence "
@@ -63,7 +63,7 @@ NEXT_NAME = re.compile(r"[&;,?|](?=[\"'{\[(]*[A-Za-z_][\w.\-]*[\"']?[:=])", re.A
 NAMED = re.compile(r"[A-Za-z0-9_][\w.\-]*\Z", re.ASCII)
 # a text without any of these has no candidate (read by Spark)
 PREFILTER = rf"[A-Za-z0-9_+/=\-]{{12,}}|{ANNOUNCE}{VALUE}"
-NAMES = ("length", "transitions", "coverage", "digits", "uppers", "distinct", "path", "secret_word", "plain_word", "assigned", "hexadecimal", "signs", "spaces", "named")
+NAMES = ("length", "transitions", "coverage", "digits", "uppers", "distinct", "path", "secret_word", "plain_word", "assigned", "hexadecimal", "signs", "spaces", "named", "marks")
 
 
 def is_candidate(value: str, before: str) -> bool:
@@ -102,6 +102,7 @@ def features(value: str, before: str, after: str) -> list[float]:
         sum(not c.isalnum() and not c.isspace() for c in value) / n,
         sum(c.isspace() for c in value) / n,
         float((last in SECRET_WORDS) - (last in PLAIN_WORDS)),
+        sum(not c.isalnum() and c not in " _-./:=+,(){}[]<>\"'" for c in value.rstrip("!?#$%&*.,;:")) / n,  # signs that names do not have, inside
     ]
 
 
@@ -254,11 +255,15 @@ def _drawn(n: int) -> list[tuple[str, str, str, int]]:
     # words that the dictionary covers, and words that it hardly does
     word = lambda k: one([wordy(k), "".join(one("bcdfghklmnprstvwz") + one("aeiou") + one(["", "", "n", "s", "l"]) for _ in range(k))])
     signs = "@!#$%.~&*^?"
-    mixed = lambda k: pick(alnum, 2) + pick(alnum + signs * 2, k - 3) + pick(signs, 1)
-    spoken = lambda: one([wordy(2).title(), wordy(2), wordy(1).title()]).replace("a", one("a@")).replace("o", one("o0"))
+    mixed = lambda k: (lambda of: pick(of, 2) + pick(of + signs * 2, k - 4) + one(signs) + pick(of, 1))(one([alnum, alnum[26:]]))
+    spoken = lambda: one([word(3).title(), word(3), word(2).title()]).replace("a", one("a@")).replace("o", one("o0"))
+    unannounced = lambda: one(
+        ["AKIA" + pick(alnum[:26] + hexa[:10], 16), one(["ghp_", "sk-", "sk_live_", "xoxb-", "glpat-"]) + pick(alnum, int(rng.integers(20, 40))), pick(alnum, int(rng.integers(24, 48)))]
+    )
+    low_name = lambda: one(["_", "-", "."]).join(word(int(rng.integers(1, 3))) for _ in range(int(rng.integers(2, 4))))
     out = []
     for k in range(n):
-        shape = int(rng.integers(0, 10))
+        shape = int(rng.integers(0, 13))
         if k % 2 == 0:
             value = [
                 lambda: pick(hexa, int(one([16, 18, 24, 32, 40, 64]))),
@@ -268,12 +273,15 @@ def _drawn(n: int) -> list[tuple[str, str, str, int]]:
                 lambda: pick(hexa, 40),
                 lambda: pick(alnum, 12) + pick("0123456789", 3),
                 lambda: mixed(int(rng.integers(8, 24))),
-                lambda: spoken() + one(signs) + pick("0123456789", int(rng.integers(2, 6))) + one(["", "!"]),
+                lambda: spoken() + one(signs) + pick("0123456789", int(rng.integers(2, 6))) + one(["", "!", one(alnum[26:52])]),
                 lambda: pick(hexa[10:] + hexa[:10], 6) + pick("0123456789", int(rng.integers(2, 6))),
                 lambda: " ".join(mixed(int(rng.integers(4, 8))) for _ in range(2)),
+                *[unannounced] * 3,
             ][shape]()
             q = '"' if " " in value else quote()
             before = f"{prose(2)} {one(secret)}{one([' = ', '=', ': ', ':', ' ', ' is '])}{q}"
+            if shape >= 10:  # keys that no word announces
+                q, before = "", f"{prose(3)}{one([' ', ' ', ': ', ' = '])}"
             out.append((value, before, f"{q} {prose(2)}", 1))
         else:
             value, before, after = [
@@ -290,6 +298,13 @@ def _drawn(n: int) -> list[tuple[str, str, str, int]]:
                     f"{prose(2)} {wordy(1)}{one([': ', ' = ', '=', ':'])}", f" {prose(2)}",
                 ),
                 lambda: (f"{wordy(2)}.{wordy(1)}/{wordy(2)}?{wordy(1)}={pick('0123456789', 3)}", f"{prose(2)} {one([wordy(1), one(plain)])}{one([': ', '='])}", f" {prose(2)}"),
+                # harmless values after a word that announces a secret
+                lambda: (low_name() + one(["_", "-", ""]) + pick("0123456789", int(rng.integers(1, 5))), f"{prose(2)} {one(secret)}{one([' = ', '=', ': ', ' '])}", f" {prose(2)}"),
+                lambda: (pick("0123456789", int(rng.integers(8, 20))), f"{prose(2)} {one(['session', 'access', 'auth', 'token'])} {one(['id', 'version', 'build', 'revision'])}{one([' = ', ': ', ' '])}", f" {prose(2)}"),
+                lambda: (
+                    one([pick(hexa, int(one([32, 40, 64]))), "-".join(pick(hexa, j) for j in (8, 4, 4, 4, 12))]),
+                    f"{prose(2)} {one(secret)}{one([' ', ' = ', ': '])}{one(plain)}{one([' ', ': ', ':', ' = '])}", f" {prose(2)}",
+                ),
             ][shape]()
             out.append((value, before, after, 0))
     return out
