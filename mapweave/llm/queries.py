@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mapweave.session import checkpoint_dir
 
-from . import bpe, chat, decontam, idcoder, jaccard, license, quality, secrets, sharding, toxicity
+from . import bpe, chat, collocations, decontam, idcoder, jaccard, license, quality, secrets, sharding, simhash, toxicity, whitening
 from .common import read
 
 VOCABULARY = "word_bpe_49k.json"
@@ -113,6 +114,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("CAST(deviation AS bigint)"))
+
+
+@query("op12_simhash")
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents")).selectExpr(
+        "doc_id", "lower(lpad(hex(fp), 16, '0')) AS fingerprint", "component_id"
+    )
+
+
+@query("op13_collocations")
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 ORACLES["op5_decontamination"] = rf"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rid, {ALNUM_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {ALNUM_WORDS} AS v FROM benchmark),
@@ -208,3 +227,29 @@ reach(node, seen) AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(least(doc_id, r.first), doc_id) AS component_id,
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node, min(seen) AS first FROM reach GROUP BY node) r ON r.node = doc_id
 """
+
+
+ORACLES["op13_collocations"] = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+  FROM documents),
+g AS (
+  SELECT lang, m, array_to_string(w[j:j + m - 1], ' ') AS phrase, count(*) AS f
+  FROM p, unnest(range(1, 6)) AS u(m), unnest(range(1, len(w) - m + 2)) AS v(j) GROUP BY ALL HAVING count(*) >= 100),
+t AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+cuts AS (
+  SELECT lang, m, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS tail
+  FROM g, unnest(range(1, m)) AS u(k) WHERE m > 1),
+scored AS (
+  SELECT c.*, x.f AS l, y.f AS r, n, 1000 * CAST(a AS HUGEINT) * CAST(n AS HUGEINT) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cuts c JOIN g x ON x.lang = c.lang AND x.phrase = head JOIN g y ON y.lang = c.lang AND y.phrase = tail
+  JOIN t ON t.lang = c.lang),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (
+  SELECT DISTINCT s.lang, s.phrase FROM g s JOIN g b
+  ON s.lang = b.lang AND s.m > 1 AND b.m > s.m AND 100 * b.f >= 100 * s.f AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' '))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM worst ANTI JOIN held USING (lang, phrase) QUALIFY rank <= 2000
+"""
