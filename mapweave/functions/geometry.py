@@ -433,8 +433,23 @@ def reproject(g, src: str, dst: str) -> Column:
 
 
 def as_text(g, digits: int | None = None) -> Column:
-    """WKT-like text of a point geometry, e.g. ``POINT (1.49 42.47)``."""
-    x, y = geom_x(g), geom_y(g)
-    if digits is not None:
-        x, y = F.round(x, digits), F.round(y, digits)
-    return F.when(_c(g).isNotNull(), F.format_string("POINT (%s %s)", x.cast("string"), y.cast("string")))
+    """Well-known text of a geometry, e.g. ``POINT (1.49 42.47)`` or ``POLYGON ((0.0 0.0, ...))``.
+
+    ``digits`` rounds the coordinates. A geometry without vertices is ``EMPTY``.
+    """
+    number = (lambda v: F.round(v, digits).cast("string")) if digits is not None else (lambda v: v.cast("string"))
+
+    def ring(r: Column) -> Column:
+        return F.array_join(F.transform(r, lambda v: F.concat(number(v.getField("x")), F.lit(" "), number(v.getField("y")))), ", ")
+
+    def listed(items: Column, text) -> Column:
+        return F.array_join(F.transform(items, lambda i: F.concat(F.lit("("), text(i), F.lit(")"))), ", ")
+
+    def build(geom: Column) -> Column:
+        kind, parts = geom.getField("kind"), geom.getField("parts")
+        flat = F.when(kind == "MultiPolygon", listed(parts, lambda p: listed(p, ring)))
+        flat = flat.when(kind == "Polygon", listed(F.flatten(parts), ring)).otherwise(ring(F.flatten(F.flatten(parts))))
+        body = F.when(F.size(F.flatten(F.flatten(parts))) > 0, F.concat(F.lit("("), flat, F.lit(")"))).otherwise(F.lit("EMPTY"))
+        return F.when(geom.isNotNull(), F.concat(F.upper(kind), F.lit(" "), body))
+
+    return let(_c(g), build)

@@ -78,32 +78,55 @@ def _trim_ws(x: Column) -> Column:
     return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
 
 
-# digits up to which numbers are counted as long and as decimal; longer ones are counted behind an equal head
-_LONG, _DECIMAL = 18, 37
+# digits of the tail that is counted as a number; what stands before it is a string
+_TAIL = 18
+_BORDER = 10**_TAIL
 
 
-def _counted(a: Column, b: Column, step: Column, kind: str) -> Column:
-    """Numbers from ``a`` to ``b`` (digits) as strings."""
-    low, high = a.cast(kind), b.cast(kind)
-    return F.transform(F.sequence(F.lit(0).cast("bigint"), (high - low).cast("bigint"), step), lambda o: (low + o).cast(kind).cast("string"))
+def _increment(s: Column) -> Column:
+    """The digit string of the next number: the nines at the end turn to zeros and the digit before them takes the carry."""
+    parts = r"^([0-9]*?)([0-8]?)(9*)$"
+    digit = F.regexp_extract(s, parts, 2)
+    carried = F.when(digit == "", F.lit("1")).otherwise(F.char(F.ascii(digit) + 1))
+    return F.concat(F.regexp_extract(s, parts, 1), carried, F.repeat(F.lit("0"), F.length(F.regexp_extract(s, parts, 3))))
 
 
 def _number_range(a: Column, b: Column, h: Column) -> Column:
-    """``a < b``, digits of any length: every number, or every second one where both have one parity, plus the string."""
-    odd = lambda x: F.ascii(F.substring(x, -1, 1)) % 2
-    step = F.when(odd(a) == odd(b), F.lit(2)).otherwise(F.lit(1)).cast("bigint")
-    size = F.length(b)
-    head = lambda x: x.substr(F.lit(1), size - _DECIMAL)
-    tail = lambda x: x.substr(size - _DECIMAL + 1, F.lit(_DECIMAL))
-    behind = F.transform(_counted(tail(a), tail(b), step, "decimal(38,0)"), lambda t: F.concat(head(b), F.lpad(t, _DECIMAL, "0")))
-    numbers = (
-        F.when(size <= _LONG, _counted(a, b, step, "bigint"))
-        .when(size <= _DECIMAL, _counted(a, b, step, "decimal(38,0)"))
-        .when((F.length(a) == size) & (head(a) == head(b)), behind)
-        # a range over a border of 10**37 has no countable form here: both ends stand for it
-        .otherwise(F.array(a, b))
-    )
-    return F.concat(numbers, F.array(h))
+    """``a < b``, digits of any length: every number, or every second one where both have one parity, plus the string.
+
+    Numbers are counted on their last digits, behind a head that both ends share, or, where the range
+    crosses a border of the counted digits, behind the head of each end in turn. A range of more
+    numbers than an array holds raises, as ``sequence`` does.
+    """
+
+    def part(x: Column) -> Column:
+        long = F.length(x) > _TAIL
+        return F.struct(
+            F.when(long, x.substr(F.lit(1), F.length(x) - _TAIL)).otherwise(F.lit("")).alias("head"),
+            F.when(long, x.substr(F.length(x) - _TAIL + 1, F.lit(_TAIL))).otherwise(x).cast("bigint").alias("tail"),
+        )
+
+    def counted(ends: Column) -> Column:
+        low, high = ends.getField("low"), ends.getField("high")
+        odd = low["tail"] % 2
+        step = F.when(odd == high["tail"] % 2, F.lit(2)).otherwise(F.lit(1)).cast("bigint")
+
+        def run(head: Column, first: Column, last: Column) -> Column:
+            padded = lambda t: F.concat(head, F.lpad(t.cast("string"), _TAIL, "0"))
+            return F.transform(F.sequence(first, last, step), lambda t: F.when(head == "", t.cast("string")).otherwise(padded(t)))
+
+        up = F.concat(
+            run(low["head"], low["tail"], F.lit(_BORDER - 1).cast("bigint")),
+            # the border is even, so counting by two goes on at the same parity
+            run(high["head"], F.when(step == 2, odd).otherwise(F.lit(0)).cast("bigint"), high["tail"]),
+        )
+        return (
+            F.when(low["head"] == high["head"], run(low["head"], low["tail"], high["tail"]))
+            .when(_increment(low["head"]) == high["head"], up)
+            .otherwise(F.raise_error(F.lit("a house-number range holds more numbers than an array")).cast("array<string>"))
+        )
+
+    return F.concat(_let(F.struct(part(a).alias("low"), part(b).alias("high")), counted), F.array(h))
 
 
 def _dashed(h: Column) -> Column:

@@ -386,21 +386,16 @@ def edge_crossings(left: DataFrame, left_key: str, right: DataFrame, right_key:
     return pairs.where(F.expr(proper)).select(left_key, right_key).distinct()
 
 
-def self_intersections(
-    edges: DataFrame, key: str, cell_size: float = 0.01, max_edges: int = DEFAULT_MAX_EDGES, refine: int = REFINE
-) -> DataFrame:
-    """(key, x, y) for every proper crossing of two edges of the same area.
+def bounded_cells(edges: DataFrame, key: str, cell_size: float, max_edges: int = DEFAULT_MAX_EDGES, refine: int = REFINE):
+    """Levels of ``(edges in cells, cell of a point)`` in which edges of one area can be paired.
 
-    Edges meet only the edges that share a cell with them (equi-join on
-    area and cell); a crossing found in several shared cells is kept only in
-    the cell that contains the crossing point. Edges that merely touch at a
-    shared vertex are not reported. An (area, cell) with more than
-    ``max_edges`` edges is searched in cells ``refine`` times finer, and so on as
-    in :func:`cell_index`, so the pairs tested per cell stay bounded.
+    An (area, cell) with more than ``max_edges`` edges is left out of its level and comes
+    again in cells ``refine`` times finer, as in :func:`cell_index`, so the pairs of a cell stay
+    bounded. The rows are ``__key, __c, __k, __edge``; the key is ``__key``.
     """
     grid = Grid(float(cell_size), refine)
     e = edges.select(_q(key).alias("__key"), *EDGE_COLS)
-    parts, parents, level = [], None, 0
+    parents, level = None, 0
     while True:
 
         def cell_of(x: Column, y: Column, level=level):
@@ -409,26 +404,41 @@ def self_intersections(
 
         local = materialize(_edges_in_cells(e, grid, level, parents), "edge-cells")
         dense = None if level == grid.levels - 1 else _crowded(local, grid, level, max_edges)
-        tested = local if dense is None else local.join(dense, ["__key", "__c", "__k"], "left_anti")
-        parts.append(_cell_crossings(tested, "__key", cell_of))
+        yield (local if dense is None else local.join(dense, ["__key", "__c", "__k"], "left_anti")), cell_of
         if dense is None:
-            break
+            return
         parents, level = dense, level + 1
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
+
+
+def self_intersections(
+    edges: DataFrame, key: str, cell_size: float = 0.01, max_edges: int = DEFAULT_MAX_EDGES, refine: int = REFINE, levels: list | None = None
+) -> DataFrame:
+    """(key, x, y) for every proper crossing of two edges of the same area.
+
+    Edges meet only the edges that share a cell with them (equi-join on
+    area and cell); a crossing found in several shared cells is kept only in
+    the cell that contains the crossing point. Edges that merely touch at a
+    shared vertex are not reported. Crowded cells are searched in finer ones
+    (``levels`` of :func:`bounded_cells`, where a caller has them).
+    """
+    out = None
+    for local, cell_of in levels or bounded_cells(edges, key, cell_size, max_edges, refine):
+        found = _cell_crossings(local, "__key", cell_of)
+        out = found if out is None else out.unionByName(found)
     return out.withColumnRenamed("__key", key)
 
 
-def shared_stretches(edges: DataFrame, key: str, cell_size: float = 0.01) -> DataFrame:
+def shared_stretches(
+    edges: DataFrame, key: str, cell_size: float = 0.01, max_edges: int = DEFAULT_MAX_EDGES, levels: list | None = None
+) -> DataFrame:
     """(key, x, y) where two edges of one area run along each other: the beginning of each such stretch.
 
     Collinear edges that only meet end to end have no stretch in common. Equal edges are
-    found by counting, all others by the equi-join on area and cell; a stretch is
+    found by counting, all others by the equi-join on area and cell, crowded cells in finer ones; a stretch is
     reported in the cell of its beginning.
     """
     a, b = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
-    twice = (
+    out = (
         edges.select(_q(key).alias(key), F.least(a, b).alias("p"), F.greatest(a, b).alias("q"))
         .where("p < q")
         .groupBy(key, "p", "q")
@@ -436,10 +446,6 @@ def shared_stretches(edges: DataFrame, key: str, cell_size: float = 0.01) -> Dat
         .where("count > 1")
         .select(key, "p.x", "p.y")
     )
-    local = edge_cells(edges, key, cell_size)
-    other = local.select(_q(key).alias("__kb"), F.col("__c").alias("__cb"), F.col("__k").alias("__kkb"), F.col("__edge").alias("t"))
-    on = (_q(key) == F.col("__kb")) & (F.col("__c") == F.col("__cb")) & (F.col("__k") == F.col("__kkb")) & (F.col("s") < F.col("t"))
-    pairs = local.withColumnRenamed("__edge", "s").join(other, on)
 
     def end(e: str, n: int) -> str:
         return f"named_struct('x', {e}.x{n}, 'y', {e}.y{n})"
@@ -452,14 +458,48 @@ def shared_stretches(edges: DataFrame, key: str, cell_size: float = 0.01) -> Dat
 
     line = [("s.x1", "s.y1"), ("s.x2", "s.y2")]
     straight = " AND ".join(f"{G._orient_sql(*line, (f't.x{n}', f't.y{n}'))} = 0" for n in (1, 2))
-    along = pairs.where(F.expr("s.x1 <> s.x2 OR s.y1 <> s.y2")).where(F.expr(straight))
-    spans = along.select(
-        _q(key).alias(key), "__c", "__k",
-        F.expr(f"greatest({low('s')}, {low('t')})").alias("p"), F.expr(f"least({high('s')}, {high('t')})").alias("q"),
-    )
-    c, k = _point_cell(F.col("p.x"), F.col("p.y"), cell_size)
-    found = spans.where((F.col("p") < F.col("q")) & (c == F.col("__c")) & (k == F.col("__k"))).select(key, "p.x", "p.y")
-    return found.unionByName(twice).distinct()
+    for local, cell_of in levels or bounded_cells(edges, key, cell_size, max_edges):
+        one = local.select("__key", "__c", "__k", F.col("__edge").alias("s"))
+        pairs = one.join(local.select("__key", "__c", "__k", F.col("__edge").alias("t")), ["__key", "__c", "__k"]).where("s < t")
+        along = pairs.where(F.expr("s.x1 <> s.x2 OR s.y1 <> s.y2")).where(F.expr(straight))
+        spans = along.select(
+            F.col("__key").alias(key), "__c", "__k",
+            F.expr(f"greatest({low('s')}, {low('t')})").alias("p"), F.expr(f"least({high('s')}, {high('t')})").alias("q"),
+        )
+        c, k = cell_of(F.col("p.x"), F.col("p.y"))
+        out = out.unionByName(spans.where((F.col("p") < F.col("q")) & (c == F.col("__c")) & (k == F.col("__k"))).select(key, "p.x", "p.y"))
+    return out.distinct()
+
+
+def vertex_touches(edges: DataFrame, key: str) -> DataFrame:
+    """(key, x, y, crossing) of the vertices in which a ring meets itself, or in which two rings cross.
+
+    A ring that has four or more edges at one vertex touches itself there (``crossing`` false). Two
+    rings cross in a common vertex (true) if their edges alternate in the order around it;
+    rings that only touch are not reported, nor are vertices where edges run along each other.
+    """
+    ends = edges.where("x1 <> x2 OR y1 <> y2").select(
+        _q(key).alias(key), "ring", F.expr("inline(array(named_struct('x', x1, 'y', y1, 'a', atan2(y2 - y1, x2 - x1)), named_struct('x', x2, 'y', y2, 'a', atan2(y1 - y2, x1 - x2))))")
+    )
+    per_ring = ends.groupBy(key, "x", "y", "ring").agg(F.collect_list("a").alias("angles"))
+    met = per_ring.groupBy(key, "x", "y").agg(
+        F.max(F.size("angles")).alias("most"), F.flatten(F.collect_list(F.transform("angles", lambda a: F.struct(a.alias("a"), F.col("ring"))))).alias("es")
+    )
+    busy = met.where("size(es) > 2").withColumn("es", F.sort_array("es"))
+    apart = "size(array_distinct(transform(es, _e -> _e.a))) = size(es)"
+    # between the two edges of one ring an odd number of another ring's
+    alternate = """exists(array_distinct(transform(es, _e -> _e.ring)), _r -> exists(array_distinct(transform(es, _e -> _e.ring)), _o -> _o <> _r
+        AND size(filter(slice(es, array_position(transform(es, _e -> _e.ring), _r), size(es)
+            - array_position(reverse(transform(es, _e -> _e.ring)), _r) + 2 - array_position(transform(es, _e -> _e.ring), _r)), _m -> _m.ring = _o)) % 2 = 1))"""
+    told = busy.withColumn("crossing", F.expr(f"most = 2 AND {apart} AND {alternate}"))
+    return told.where(F.expr(f"crossing OR (most > 2 AND {apart})")).select(key, "x", "y", "crossing")
+
+
+def degenerate_rings(edges: DataFrame, key: str) -> DataFrame:
+    """(key, x, y) of the rings with fewer than three different vertices, by their smallest one."""
+    ends = edges.select(_q(key).alias(key), "ring", F.expr("inline(array(named_struct('x', x1, 'y', y1), named_struct('x', x2, 'y', y2)))"))
+    rings = ends.groupBy(key, "ring").agg(F.count_distinct("x", "y").alias("n"), F.min(F.struct("x", "y")).alias("p"))
+    return rings.where("n < 3").select(key, "p.x", "p.y")
 
 
 def nested_shells(edges: DataFrame, key: str, cell_size: float = 0.01, max_edges: int = DEFAULT_MAX_EDGES) -> DataFrame:
@@ -482,23 +522,32 @@ def nested_shells(edges: DataFrame, key: str, cell_size: float = 0.01, max_edges
     return odd.select(key, F.col("px").alias("x"), F.col("py").alias("y"))
 
 
+# what makes an area invalid, in the order in which it is reported; fixed values: the texts
+INVALID = ("Too few points in geometry component", "Self-intersection", "Ring Self-intersection", "Nested shells")
+
+
 def invalid_areas(edges: DataFrame, key: str, cell_size: float = 0.01, max_edges: int = DEFAULT_MAX_EDGES) -> DataFrame:
     """(key, n_crossings, x, y, invalidity_explain) for areas that are not valid.
 
-    ``invalidity_explain`` reads ``Self-intersection[x y]`` for the smallest point (x, then y)
-    at which edges cross or begin to run along each other, else ``Nested shells[x y]``.
-    Valid areas have no row. ``n_crossings`` counts proper crossings. Shells are
-    compared when ``edges`` tells rings and holes apart.
+    ``invalidity_explain`` reads ``reason[x y]`` for the first reason of ``INVALID`` that holds, at the
+    smallest point (x, then y): a ring of fewer than three vertices; edges that cross, begin to run along each
+    other, or rings that cross in a vertex; a ring that touches itself in a vertex; a shell in
+    another. Valid areas have no row. ``n_crossings`` counts proper crossings. Rings are compared when
+    ``edges`` tells rings and holes apart.
     """
-    crossings = self_intersections(edges, key, cell_size, max_edges=max_edges).withColumn("kind", F.lit(0))
-    found = crossings.unionByName(shared_stretches(edges, key, cell_size).withColumn("kind", F.lit(1)))
+    levels = list(bounded_cells(edges, key, cell_size, max_edges))
+    reason = lambda df, n, counts=0: df.select(_q(key).alias(key), "x", "y", F.lit(n).alias("reason"), F.lit(counts).alias("counts"))
+    found = reason(self_intersections(edges, key, levels=levels), 1, 1).unionByName(reason(shared_stretches(edges, key, levels=levels), 1))
     if {"ring", "hole"} <= set(edges.columns):
-        found = found.unionByName(nested_shells(edges, key, cell_size, max_edges).withColumn("kind", F.lit(2)))
-    per_area = found.groupBy(key).agg(
-        F.count_if(F.col("kind") == 0).alias("n_crossings"),
-        F.min(F.struct((F.col("kind") == 2).alias("nested"), "x", "y")).alias("p"),
-    )
-    text = F.when(F.col("p.nested"), F.lit("Nested shells")).otherwise(F.lit("Self-intersection"))
+        touches = vertex_touches(edges, key)
+        found = (
+            found.unionByName(reason(touches.where("crossing"), 1))
+            .unionByName(reason(touches.where("NOT crossing"), 2))
+            .unionByName(reason(nested_shells(edges, key, cell_size, max_edges), 3))
+            .unionByName(reason(degenerate_rings(edges, key), 0))
+        )
+    per_area = found.groupBy(key).agg(F.sum("counts").cast("bigint").alias("n_crossings"), F.min(F.struct("reason", "x", "y")).alias("p"))
+    text = F.element_at(F.array(*[F.lit(t) for t in INVALID]), F.col("p.reason") + 1)
     return per_area.select(
         key,
         "n_crossings",

@@ -16,6 +16,7 @@ from mapweave.functions import geometry as G
 from mapweave.functions.housenumber import expand_house_numbers
 from mapweave.operators import columns as C
 from mapweave.operators import spatial as S
+from mapweave.operators.repair import make_valid
 from mapweave.plans import fixtures as FX
 from mapweave.plans import oracle as O
 
@@ -753,6 +754,24 @@ def q_house_numbers_long(spark, d):
     return text.select("id", F.explode(expand_house_numbers("h")).alias("number"))
 
 
+@query(
+    "house_numbers_border",
+    """WITH h AS (SELECT CAST(o_orderkey AS BIGINT) AS id, o_orderkey % 5 AS k, o_orderkey % 2 AS odd,
+                         CASE WHEN o_orderkey % 3 = 0 THEN CAST(repeat('9', 37) AS HUGEINT) ELSE CAST(repeat('9', 38) AS HUGEINT) END AS top FROM orders),
+            r AS (SELECT id, odd, top - k AS n, CASE odd WHEN 0 THEN 8 ELSE 7 END AS d FROM h)
+       SELECT id, CAST(n + o.o AS VARCHAR) AS number FROM r, range(0, 9) o(o) WHERE o.o <= d AND (odd = 1 OR o.o % 2 = 0)
+       UNION ALL SELECT id, concat(n, '-', n + d) FROM r""",
+)
+def q_house_numbers_border(spark, d):
+    """Ranges that cross 10**37 and 10**38."""
+    orders = FX.table(spark, d, "orders").selectExpr(
+        "CAST(o_orderkey AS BIGINT) AS id", "o_orderkey % 5 AS k", "CASE o_orderkey % 2 WHEN 0 THEN 8 ELSE 7 END AS d",
+        "CASE WHEN o_orderkey % 3 = 0 THEN 37 ELSE 38 END AS digits",
+    )
+    text = orders.selectExpr("id", "concat(repeat('9', digits - 1), 9 - k, '-1', repeat('0', digits - 1), d - 1 - k) AS h")
+    return text.select("id", F.explode(expand_house_numbers("h")).alias("number"))
+
+
 # relations of suppliers: a U-shaped border and one inner ring in an arm, across the notch or outside
 _U_SHAPE = "array(0,0, 9,0, 9,9, 6,9, 6,3, 3,3, 3,9, 0,9, 0,0)"
 
@@ -828,3 +847,95 @@ def q_invalid_area_kinds(spark, d):
     shapes = base.select("area_id", F.struct(F.lit("MultiPolygon").alias("kind"), parts.alias("parts")).alias("geom"))
     report = S.invalid_areas(S.area_edges(shapes, "geom", "area_id"), "area_id", cell_size=25.0)
     return report.select("area_id", "invalidity_explain")
+
+
+# invalid shapes of suppliers, seven kinds of a width that changes with the key
+_BROKEN = [
+    "CAST(s_suppkey AS BIGINT) AS area_id", "s_suppkey % 7 AS kind", "CAST(8 + 4 * (s_suppkey % 5) AS DOUBLE) AS w",
+    "CAST(s_suppkey % 200 AS DOUBLE) * 100 AS x", "CAST(floor(s_suppkey / 200) AS DOUBLE) * 100 AS y",
+]
+
+
+def _broken_shapes(spark, d):
+    """Bow ties, overlaps, holes that touch or cross the border, neighbours, twins and rings that touch themselves."""
+    base = FX.table(spark, d, "supplier").selectExpr(*_BROKEN)
+    x, y, w, kind = F.col("x"), F.col("y"), F.col("w"), F.col("kind")
+
+    def ring(*corners):
+        return F.array(*[G.vertex(x + w * i + a, y + w * j + b) for i, j, a, b in [*corners, corners[0]]])
+
+    def box(i, j, u, v, a=0, b=0):
+        return ring((i, j, a, b), (u, j, a, b), (u, v, a, b), (i, v, a, b))
+
+    square = box(0, 0, 1, 1)
+    parts = (
+        F.when(kind == 0, F.array(F.array(ring((0, 0, 0, 0), (1, 1, 0, 0), (1, 0, 0, 0), (0, 1, 0, 0)))))
+        .when(kind == 1, F.array(F.array(square), F.array(box(0, 0, 1, 1, 4, 4))))
+        .when(kind == 2, F.array(F.array(square, ring((0, 0, 0, 0), (0.5, 0.25, 0, 0), (0.25, 0.5, 0, 0)))))
+        .when(kind == 3, F.array(F.array(square), F.array(box(1, 0, 2, 1))))
+        .when(kind == 4, F.array(F.array(square), F.array(square)))
+        .when(kind == 5, F.array(F.array(square, box(0.5, 0.25, 1.5, 0.75))))
+        .otherwise(F.array(F.array(ring((0, 0, 0, 0), (0.5, 0.5, 0, 0), (1, 0, 0, 0), (1, 1, 0, 0), (0.5, 0.5, 0, 0), (0, 1, 0, 0)))))
+    )
+    return base.select("area_id", F.struct(F.lit("MultiPolygon").alias("kind"), parts.alias("parts")).alias("geom"))
+
+
+@query(
+    "repaired_areas",
+    f"""WITH s AS (SELECT {', '.join(_BROKEN)} FROM supplier)
+       SELECT area_id, CAST([2, 2, 1, 1, NULL, 2, 2][kind + 1] AS INT) AS n_parts, CAST([2, 2, 2, 1, NULL, 2, 2][kind + 1] AS INT) AS n_rings,
+              CAST([8, 14, 9, 7, NULL, 14, 8][kind + 1] AS INT) AS n_points,
+              round([w * w / 2, 2 * w * w - 2 * (w - 4) * (w - 4), w * w - 3 * w * w / 32, 2 * w * w, NULL, w * w, w * w / 2][kind + 1], 6) AS area
+       FROM s""",
+)
+def q_repaired_areas(spark, d):
+    """Invalid areas made valid, against closed forms of their parts, vertices and areas."""
+    valid = make_valid(_broken_shapes(spark, d), "geom", "area_id", cell_size=25.0)
+    doubled = """aggregate(flatten(transform(geom.parts, _p -> transform(_p, (_r, _i) -> CASE WHEN _i > 0 THEN -1D ELSE 1D END * abs(aggregate(
+        sequence(1, size(_r) - 1), 0D, (_s, _k) -> _s + (_r[_k - 1].x - _r[0].x) * (_r[_k].y - _r[0].y) - (_r[_k].x - _r[0].x) * (_r[_k - 1].y - _r[0].y)))))),
+        0D, (_a, _b) -> _a + _b)"""
+    return valid.select(
+        "area_id",
+        F.size("geom.parts").alias("n_parts"),
+        F.expr("size(flatten(geom.parts))").alias("n_rings"),
+        F.expr("size(flatten(flatten(geom.parts)))").alias("n_points"),
+        F.round(F.expr(f"{doubled} / 2"), 6).alias("area"),
+    )
+
+
+@query(
+    "invalid_ring_kinds",
+    f"""WITH s AS (SELECT {', '.join(_BROKEN)} FROM supplier)
+       SELECT area_id, CASE kind WHEN 0 THEN concat('Self-intersection[', x + w / 2, ' ', y + w / 2, ']')
+                                 WHEN 1 THEN concat('Self-intersection[', x + 4, ' ', y + w, ']')
+                                 WHEN 3 THEN concat('Self-intersection[', x + w, ' ', y, ']')
+                                 WHEN 4 THEN concat('Self-intersection[', x, ' ', y, ']')
+                                 WHEN 5 THEN concat('Self-intersection[', x + w, ' ', y + w / 4, ']')
+                                 ELSE concat('Ring Self-intersection[', x + w / 2, ' ', y + w / 2, ']') END AS invalidity_explain
+       FROM s WHERE kind <> 2""",
+)
+def q_invalid_ring_kinds(spark, d):
+    """Why each of the broken shapes is invalid; a hole that touches its shell in one vertex is no fault."""
+    edges = S.area_edges(_broken_shapes(spark, d), "geom", "area_id")
+    return S.invalid_areas(edges, "area_id", cell_size=25.0).select("area_id", "invalidity_explain")
+
+
+@query(
+    "geometry_text",
+    """WITH s AS (SELECT CAST(s_suppkey AS BIGINT) AS id, s_suppkey % 3 AS kind, CAST(s_suppkey % 10 AS DOUBLE) + 0.25 AS x,
+                         CAST(s_suppkey % 7 AS DOUBLE) - 0.5 AS y FROM supplier)
+       SELECT id, CASE kind WHEN 0 THEN concat('POINT (', x, ' ', y, ')')
+                            WHEN 1 THEN concat('LINESTRING (', x, ' ', y, ', ', x + 1, ' ', y + 2, ')')
+                            ELSE concat('POLYGON ((', x, ' ', y, ', ', x + 1, ' ', y, ', ', x, ' ', y + 1, ', ', x, ' ', y, '))') END AS wkt
+       FROM s""",
+)
+def q_geometry_text(spark, d):
+    """Text of points, lines and polygons of suppliers."""
+    base = FX.table(spark, d, "supplier").selectExpr(
+        "CAST(s_suppkey AS BIGINT) AS id", "s_suppkey % 3 AS kind", "CAST(s_suppkey % 10 AS DOUBLE) + 0.25D AS x", "CAST(s_suppkey % 7 AS DOUBLE) - 0.5D AS y"
+    )
+    x, y, kind = F.col("x"), F.col("y"), F.col("kind")
+    line = F.array(G.vertex(x, y), G.vertex(x + 1, y + 2))
+    corner = F.array(G.vertex(x, y), G.vertex(x + 1, y), G.vertex(x, y + 1), G.vertex(x, y))
+    vertices = F.when(kind == 0, F.array(G.vertex(x, y))).when(kind == 1, line).otherwise(corner)
+    return base.withColumn("vs", vertices).select("id", G.as_text(G.geometry_from_vertices("vs"), 6).alias("wkt"))
