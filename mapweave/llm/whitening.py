@@ -126,12 +126,13 @@ def above(matrix: np.ndarray, shift: float) -> int:
     a = np.array(matrix, float)
     a[np.diag_indices_from(a)] -= shift
     bound = (1 + 17**0.5) / 8
+    nothing = 1e-20 * np.abs(a).max(initial=0.0)  # far below rounding: a pivot of zero
     k, n, positive = 0, len(a), 0
     while k < n:
         size = 1
         column = np.abs(a[k + 1 :, k])
         most = column.max(initial=0.0)
-        if max(abs(a[k, k]), most) == 0.0:
+        if max(abs(a[k, k]), most) <= nothing:
             k += 1
             continue
         if abs(a[k, k]) < bound * most:
@@ -150,7 +151,10 @@ def above(matrix: np.ndarray, shift: float) -> int:
             a[k + 1 :, k + 1 :] -= np.outer(rest[:, 0], rest[:, 0] / a[k, k])
         else:
             positive += 1
-            a[k + 2 :, k + 2 :] -= rest @ np.linalg.solve(a[k : k + 2, k : k + 2], rest.T)
+            p, q, r = a[k, k], a[k + 1, k], a[k + 1, k + 1]
+            inverse = np.array([[r, -q], [-q, p]]) / (p * r - q * q)
+            taken = rest @ inverse @ rest.T
+            a[k + 2 :, k + 2 :] -= (taken + taken.T) / 2
         k += size
     return int(positive)
 
@@ -180,9 +184,11 @@ class Spectrum:
         """Halve the interval of the k-th eigenvalue until it stands alone, or until doubles end."""
         while True:
             low, high = self.interval(k)
-            if (self.above(low) == k and self.above(high) == k - 1) or high - low <= self.tolerance:
+            middle = low + (high - low) / 2
+            alone = self.above(low) == k and self.above(high) == k - 1
+            if alone or high - low <= self.tolerance or middle in (low, high):
                 return low, high
-            self.above((low + high) / 2)
+            self.above(middle)
 
     def certain(self, k: int, value: float) -> bool:
         """Whether ``value`` is the k-th eigenvalue: fewer than k stand above it, k or more above what lies just below."""
@@ -192,25 +198,30 @@ class Spectrum:
 
 def _solve(matrix: np.ndarray, shift: float, right: np.ndarray, nudge: float) -> np.ndarray:
     """``(matrix - shift I)⁻¹ right``; a shift that is an eigenvalue to the last bit is moved by ``nudge``."""
-    while True:
+    for _ in range(60):
         try:
             out = np.linalg.solve(matrix - shift * np.eye(len(matrix)), right)
             if np.isfinite(out).all():
                 return out
         except np.linalg.LinAlgError:
             pass
-        shift += nudge
+        shift, nudge = shift + nudge, 2 * nudge
+    raise ArithmeticError("no shift near the eigenvalue can be solved for")
 
 
 def _rayleigh(matrix: np.ndarray, start: float, near: np.ndarray, nudge: float, seed: int) -> tuple[float, np.ndarray]:
     """Rayleigh quotient iteration from a shift; ``near`` are the vectors of close eigenvalues found before."""
 
+    draw = np.random.default_rng(seed)
+
     def unit(v):
+        v = v / (np.abs(v).max() or 1.0)  # no overflow in the norm
         for _ in range(2):
             v = v - near @ (near.T @ v)
-        return v / np.linalg.norm(v)
+        size = np.linalg.norm(v)
+        return v / size if size > 0 and np.isfinite(size) else unit(draw.standard_normal(len(matrix)))
 
-    v = unit(np.random.default_rng(seed).standard_normal(len(matrix)))
+    v = unit(draw.standard_normal(len(matrix)))
     for _ in range(2):  # towards the eigenvalue next to the shift
         v = unit(_solve(matrix, start, v, nudge))
     best = (np.inf, start, v)
@@ -230,8 +241,12 @@ def leading(matrix: np.ndarray, components: int) -> tuple[np.ndarray, np.ndarray
     Eigenvalues that are zero to the precision of doubles are left out.
     """
     dim = len(matrix)
-    spectrum = Spectrum(matrix)
     values, vectors = [], np.zeros((dim, 0))
+    size = np.abs(matrix).max(initial=0.0)
+    if size == 0:
+        return np.array(values), vectors
+    matrix = matrix / size
+    spectrum = Spectrum(matrix)
     while len(values) < min(components, dim):
         k = len(values) + 1
         low, high = spectrum.isolate(k)
@@ -242,8 +257,9 @@ def leading(matrix: np.ndarray, components: int) -> tuple[np.ndarray, np.ndarray
             # vectors of close values stay orthogonal
             near = vectors[:, np.abs(np.array(values) - (low + high) / 2) <= (high - low) + 1e-3 * spectrum.size] if k > 1 else vectors
             value, vector = _rayleigh(matrix, (low + high) / 2, near, spectrum.tolerance / dim, k)
-            if high - low > spectrum.tolerance and not spectrum.certain(k, value):
-                spectrum.above((low + high) / 2)
+            middle = low + (high - low) / 2
+            if high - low > spectrum.tolerance and middle not in (low, high) and not spectrum.certain(k, value):
+                spectrum.above(middle)
                 continue
             found, block = [value], vector[:, None]
         else:
@@ -261,7 +277,7 @@ def leading(matrix: np.ndarray, components: int) -> tuple[np.ndarray, np.ndarray
     for k, value in enumerate(values.tolist(), 1):
         if not spectrum.certain(k, value):
             raise ArithmeticError(f"component {k} does not stand at its place of the spectrum")
-    return values, vectors
+    return values * size, vectors
 
 
 # ------------------------------------------------------------------ the operator
