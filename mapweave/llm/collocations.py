@@ -13,11 +13,11 @@ the range of their own prefix, form an automaton there, and its paths are follow
 side by side with those of the count transducer. The transitions' weights are the counts, and
 a phrase's parts are at least as frequent as itself, so each is found.
 
-Most n-grams of a corpus are rare. Two passes before tell which can be frequent at all:
-they count hashed words and then hashed pairs of words, and keep a bitmap of fixed size
-(``BITS``) of those that reach ``LEAST``. An n-gram is counted exactly only if all its words and
-pairs are in the bitmaps. Hashes that meet can only let more through, so nothing is lost, and
-the bitmaps never grow.
+Most n-grams of a corpus are rare. Passes before tell which can be frequent at all: they
+count hashed words, then pairs, then triples (``SIEVES``) whose parts passed before, and keep a
+bitmap of fixed size (``BITS``) of those that reach ``LEAST``. An n-gram is counted exactly
+only if all its parts are in the bitmaps. Hashes that meet can only let more through, so
+nothing is lost, and the bitmaps never grow.
 
 Defined cases: a NULL text is empty; a NULL language is ``und``; repeated rows count
 each time; ids are not read, so NULL and repeated ones don't matter; long texts are cut between
@@ -41,7 +41,9 @@ from pyspark.sql import functions as F
 from .common import mix64, stage, staged_table, text_slices, with_package
 
 WORDS, LEAST, TOP = 5, 100, 2000
-BITS = 1 << 26  # of each bitmap
+HELD_KEYS = 2_000_000  # hashes that a task holds before they go out
+SIEVES = 3  # sizes of n-grams that are counted by hash before
+BITS, HASH_BITS = 1 << 26, 40  # of each bitmap; of the hashes that are counted for it
 SHARD_BYTES = 8 << 20  # text of one shard; a longer piece of one text is one shard
 RANGE_WORDS = 4_000_000  # words of the corpus for each prefix range
 FOLD = 64  # automata of one range that are held before they are united
@@ -60,17 +62,17 @@ class Shard:
     """Words of a run of texts of one language as codes; ``linked[i]``: word i + 1 stands in the same piece."""
 
     lang: str
-    names: list[bytes]  # distinct words in byte order
+    names: pa.Array  # distinct words
     codes: np.ndarray
     linked: np.ndarray
 
     def hashes(self) -> np.ndarray:
         """64-bit hashes of the distinct words, language included."""
-        if not self.names:
+        if not len(self.names):
             return np.zeros(0, np.uint64)
-        words = pd.util.hash_array(np.array([w.decode("utf-8", "surrogatepass") for w in self.names], object), categorize=False)
+        words = pd.util.hash_array(self.names.cast(pa.large_string()).to_numpy(zero_copy_only=False), categorize=False)
         with np.errstate(over="ignore"):
-            return mix64(words.astype(np.uint64) ^ np.uint64(crc32(self.lang.encode("utf-8", "surrogatepass")) * 0x9E3779B97F4A7C15 % 2**64))
+            return mix64(words.astype(np.uint64) ^ np.uint64(crc32(self.lang.encode("utf-8")) * 0x9E3779B97F4A7C15 % 2**64))
 
 
 def _shard(lang: str, data: bytes, starts: np.ndarray) -> Shard:
@@ -90,14 +92,10 @@ def _shard(lang: str, data: bytes, starts: np.ndarray) -> Shard:
         pa.large_binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw[~gap].tobytes())]
     )
     coded = words.dictionary_encode()
-    names = coded.dictionary.to_pylist()
-    order = sorted(range(len(names)), key=names.__getitem__)
-    rank = np.empty(len(names), np.int64)
-    rank[order] = np.arange(len(names))
     piece = np.cumsum(ends_piece | heads[:-1])[first]
     linked = np.zeros(len(first), bool)
     linked[:-1] = piece[1:] == piece[:-1]
-    return Shard(lang, [names[k] for k in order], rank[coded.indices.to_numpy()] if names else np.zeros(0, np.int64), linked)
+    return Shard(lang, coded.dictionary, coded.indices.to_numpy().astype(np.int64), linked)
 
 
 def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[Shard]:
@@ -123,13 +121,7 @@ def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[Shard]:
 
 
 def _bit(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(16)) & np.uint64(BITS - 1)
-
-
-def _pairs(hashes: np.ndarray, shard: Shard, at: np.ndarray) -> np.ndarray:
-    """Hashes of the pairs of words that begin at ``at``."""
-    with np.errstate(over="ignore"):
-        return mix64(hashes[shard.codes[at]] * np.uint64(0xD6E8FEB86659FD93) + hashes[shard.codes[at + 1]])
+    return (hashes >> np.uint64(64 - HASH_BITS)) & np.uint64(BITS - 1)
 
 
 def _in(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -137,34 +129,114 @@ def _in(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1
 
 
-HASHED = "lang string, h bigint, n bigint"
+def _hash_counts(hashes: np.ndarray, counts: np.ndarray, lang: str | None = None) -> pa.RecordBatch:
+    """Counted hashes, cut to ``HASH_BITS``, as rows ``lang, h, n`` or ``h, n``."""
+    cols = [pa.array((hashes >> np.uint64(64 - HASH_BITS)).astype(np.int64)), pa.array(counts, pa.int64())]
+    if lang is None:
+        return pa.RecordBatch.from_arrays(cols, names=["h", "n"])
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(hashes), pa.string()), *cols], names=["lang", "h", "n"])
 
 
-def _hash_counts(lang: str, hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(hashes), pa.string()), pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())], names=["lang", "h", "n"]
-    )
+def _grams(s: Shard, bitmaps: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For sizes from 1 to ``most``, where n-grams begin that may be frequent, and their hashes.
+
+    An n-gram may be frequent if both of its parts of one word less may, and if it is in the bitmap
+    of its size where there is one.
+    """
+    hashes = s.hashes()
+    words = hashes[s.codes]
+    may, grams = np.ones(len(words), bool), words
+    for size in range(1, most + 1):
+        if size > 1:
+            may = may[:-1] & may[1:] & s.linked[size - 2 : -1] if len(may) else may
+            at = np.flatnonzero(may)
+            with np.errstate(over="ignore"):
+                found = mix64(grams[at] * np.uint64(0xD6E8FEB86659FD93) + words[at + size - 1])
+            grams = np.zeros(len(may), np.uint64)
+            grams[at] = found
+        if size <= len(bitmaps):
+            may = _in(bitmaps[0], hashes)[s.codes] if size == 1 else may & _in(bitmaps[size - 1], grams)
+        at = np.flatnonzero(may)
+        yield at, grams[at]
 
 
 def _words_hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for s in _shards(batches):
-        yield _hash_counts(s.lang, s.hashes(), np.bincount(s.codes, minlength=len(s.names)))
+        yield _hash_counts(s.hashes(), np.bincount(s.codes, minlength=len(s.names)), s.lang)
+
+
+PACKED = "bucket int, keys binary, counts binary"
+
+
+def _packed(keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Rising keys dealt to buckets by value, byte plane by byte plane, so that equal high bytes stand together."""
+    edges = (np.arange(buckets + 1, dtype=object) * (1 << HASH_BITS) // buckets).astype(np.uint64)
+    cuts = np.searchsorted(keys, edges)
+    planes = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : HASH_BITS // 8]
+    rows = [(k, a, b) for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if a < b]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([k for k, _, _ in rows], pa.int32()),
+            pa.array([planes[a:b].T.tobytes() for _, a, b in rows], pa.binary()),
+            pa.array([counts[a:b].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for _, a, b in rows], pa.binary()),
+        ],
+        names=["bucket", "keys", "counts"],
+    )
 
 
-def _pairs_hashed(batches: Iterable[pa.RecordBatch], words) -> Iterator[pa.RecordBatch]:
+def _unpacked(data: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, rising, with the sums of their counts."""
+    found, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return found, np.bincount(at, weights=np.concatenate(counts), minlength=len(found)).astype(np.int64)
+
+
+def _grams_hashed(batches: Iterable[pa.RecordBatch], bitmaps, buckets: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Counts of the n-grams of one word more than there are bitmaps, packed; a count from ``least`` on says no more."""
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for s in _shards(batches):
-        hashes = s.hashes()
-        good = _in(words.value, hashes)[s.codes] if len(hashes) else np.zeros(0, bool)
-        at = np.flatnonzero(s.linked[:-1] & good[:-1] & good[1:]) if len(good) else np.zeros(0, np.int64)
-        found, counts = np.unique(_pairs(hashes, s, at), return_counts=True)
-        yield _hash_counts(s.lang, found, counts)
-
-
-def _bitmap(counted: DataFrame, least: int) -> np.ndarray:
-    """Bitmap of the hashes whose count is at least ``least``: ``BITS`` bits, whatever the corpus."""
-    bit = F.expr(f"shiftright(h, 16) & {BITS - 1}L")
-    often = counted.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select(bit.alias("b"))
-    chunks = often.groupBy(F.expr(f"b div {CHUNK}").alias("chunk")).agg(F.expr(f"bitmap_construct_agg(b % {CHUNK})").alias("bits"))
+        *_, (_, hashes) = _grams(s, bitmaps.value, len(bitmaps.value) + 1)
+        found, n = np.unique(hashes >> np.uint64(64 - HASH_BITS), return_counts=True)
+        keys.append(found)
+        counts.append(n)
+        if sum(map(len, keys)) > HELD_KEYS:
+            found, n = _summed(keys, counts)
+            yield _packed(found, np.minimum(n, least), buckets)
+            keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    found, n = _summed(keys, counts)
+    yield _packed(found, np.minimum(n, least), buckets)
+
+
+def _often(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Keys that reach ``least``; buckets arrive one after the other, one is held at a time."""
+    bucket, keys, counts = None, [], []
+
+    def flush() -> pa.RecordBatch:
+        found, n = _summed(keys, counts)
+        return pa.RecordBatch.from_arrays([pa.array(found[n >= least].astype(np.int64))], names=["h"])
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["bucket"] != bucket and keys:
+                yield flush()
+                keys, counts = [], []
+            bucket = row["bucket"]
+            keys.append(_unpacked(row["keys"], HASH_BITS // 8))
+            counts.append(_unpacked(row["counts"], 4).astype(np.int64))
+    if keys:
+        yield flush()
+
+
+def _bitmap(often: DataFrame) -> np.ndarray:
+    """Bitmap of hashes ``h``: ``BITS`` bits, whatever the corpus."""
+    bits = often.select(F.expr(f"h & {BITS - 1}L").alias("b"))
+    chunks = bits.groupBy(F.expr(f"b div {CHUNK}").alias("chunk")).agg(F.expr(f"bitmap_construct_agg(b % {CHUNK})").alias("bits"))
     out = np.zeros(BITS // 8, np.uint8)
     for row in chunks.toLocalIterator():
         part = np.frombuffer(bytes(row.bits), np.uint8)
@@ -179,6 +251,7 @@ class Automaton:
     """Minimal acyclic automaton over words; a transition ``(word, weight, state)`` ends a phrase of that weight (0: none).
 
     State 0 has no transitions. States are tuples of transitions in word order; ``root`` is the first state.
+    Words are bytes, or codes in the order of the words (a shard's own automata).
     """
 
     def __init__(self):
@@ -194,23 +267,26 @@ class Automaton:
         return self.register[arcs]
 
     @classmethod
-    def build(cls, phrases: Iterable[tuple[tuple[bytes, ...], int]]) -> Automaton:
+    def build(cls, phrases: Iterable[tuple[tuple, int]]) -> Automaton:
         """From phrases in rising order (tuples of words) with their weights; only the last path is open."""
         self = cls()
-        path: list[bytes] = []  # words of the open path; arcs[k] has the finished transitions of its k-th state
+        path: list = []  # words of the open path; arcs[k] has the finished transitions of its k-th state
         arcs: list[list] = [[]]
         weights: list[int] = []
 
         def close(depth: int) -> None:
             while len(path) > depth:
-                state = self.frozen(tuple(arcs.pop()))
-                arcs[-1].append((path.pop(), weights.pop(), state))
+                done = arcs.pop()
+                arcs[-1].append((path.pop(), weights.pop(), self.frozen(tuple(done)) if done else 0))
 
         for phrase, weight in phrases:
             same = 0
-            while same < len(path) and same < len(phrase) and path[same] == phrase[same]:
+            for mine, theirs in zip(path, phrase, strict=False):
+                if mine != theirs:
+                    break
                 same += 1
-            close(same)
+            if len(path) > same:
+                close(same)
             for word in phrase[same:]:
                 path.append(word)
                 weights.append(0)
@@ -278,14 +354,15 @@ class Automaton:
 
         yield from walk(self.root, other.root, ())
 
-    def to_bytes(self) -> bytes:
-        """Sizes, transitions state by state, words. Words have no blanks."""
+    def to_bytes(self, names: list[bytes] | None = None) -> bytes:
+        """Sizes, transitions state by state, words (``names`` of the codes, where words are codes). Words have no blanks."""
         words = sorted({word for arcs in self.states for word, _, _ in arcs})
         code = {w: k for k, w in enumerate(words)}
-        flat = [(code[w], weight, target) for arcs in self.states for w, weight, target in arcs]
-        head = np.array([len(self.states), len(flat), self.root], "<i8")
+        flat = [x for arcs in self.states for w, weight, target in arcs for x in (code[w], weight, target)]
+        head = np.array([len(self.states), len(flat) // 3, self.root], "<i8")
         sizes = np.array([len(arcs) for arcs in self.states], "<i4")
-        return head.tobytes() + sizes.tobytes() + np.array(flat, "<i8").tobytes() + BLANK.join(words)
+        named = words if names is None else [names[w] for w in words]
+        return head.tobytes() + sizes.tobytes() + np.array(flat, "<i8").tobytes() + BLANK.join(named)
 
     @classmethod
     def from_bytes(cls, data: bytes) -> Automaton:
@@ -304,32 +381,32 @@ class Automaton:
 # ------------------------------------------------------------------ counting
 
 
-def _ngrams(shard: Shard, words: np.ndarray, pairs: np.ndarray, most: int) -> list[tuple[tuple[bytes, ...], int]]:
-    """Distinct n-grams of a shard that may be frequent, with their counts, in rising order."""
-    if not shard.names:
-        return []
-    hashes, codes, n = shard.hashes(), shard.codes, len(shard.codes)
-    good = _in(words, hashes)[codes]
-    step = np.zeros(n, bool)  # the pair that begins here may be frequent
-    at = np.flatnonzero(shard.linked[:-1] & good[:-1] & good[1:])
-    step[at] = _in(pairs, _pairs(hashes, shard, at))
-    names, out = shard.names, []
-    at = np.flatnonzero(good)
-    ids = codes[at]
-    phrases: list[tuple] = []
-    for size in range(1, most + 1):
-        if size > 1:  # those of the size before that go on, by the number of their phrase and the next word
-            on = step[at + size - 2]
-            at, ids = at[on], ids[on]
-            ids = ids * len(names) + codes[at + size - 1]
+def _ngrams(s: Shard, bitmaps: list[np.ndarray], most: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words in byte order, and of the n-grams that may be frequent the rows of codes into them (-1: shorter) and the counts."""
+    names, codes, ids = [], s.codes, np.zeros(0, np.int64)
+    rows, out, counted = np.zeros((1, 0), np.int32), [np.zeros((0, most), np.int32)], [np.zeros(0, np.int64)]
+    for size, (at, _) in enumerate(_grams(s, bitmaps, most), 1):
         if not len(at):
             break
-        found, ids, counts = np.unique(ids, return_inverse=True, return_counts=True)
-        heads, tails = (found, found) if size == 1 else np.divmod(found, len(names))
-        phrases = [(names[w],) for w in tails.tolist()] if size == 1 else [(*phrases[h], names[w]) for h, w in zip(heads.tolist(), tails.tolist(), strict=True)]
-        out += zip(phrases, counts.tolist(), strict=True)
-    out.sort()
-    return out
+        if size == 1:
+            used = np.unique(s.codes[at])
+            words = s.names.take(pa.array(used)).to_pylist()
+            order = sorted(range(len(words)), key=words.__getitem__)
+            names = [words[k] for k in order]
+            codes = np.zeros(len(s.names), np.int64)
+            codes[used[order]] = np.arange(len(names))
+            codes = codes[s.codes]
+            mine = codes[at]
+        else:  # by the number of the phrase without its last word
+            mine = ids[at] * len(names) + codes[at + size - 1]
+        found, mine, counts = np.unique(mine, return_inverse=True, return_counts=True)
+        ids = np.zeros(len(codes), np.int64)
+        ids[at] = mine
+        heads, tails = np.divmod(found, len(names))
+        rows = np.concatenate([rows[heads], tails[:, None].astype(np.int32)], axis=1)
+        out.append(np.pad(rows, ((0, 0), (0, most - size)), constant_values=-1))
+        counted.append(counts)
+    return names, np.concatenate(out), np.concatenate(counted)
 
 
 def prefix_range(phrase: tuple[bytes, ...], ranges: int) -> int:
@@ -337,6 +414,15 @@ def prefix_range(phrase: tuple[bytes, ...], ranges: int) -> int:
     return crc32(BLANK.join(phrase[:2])) % ranges
 
 
+def _ranges(rows: np.ndarray, names: list[bytes], ranges: int) -> np.ndarray:
+    """Range of every n-gram; each pair of first words is looked at once."""
+    second = rows[:, 1].astype(np.int64) if rows.shape[1] > 1 else np.full(len(rows), -1)
+    heads, of = np.unique(rows[:, 0].astype(np.int64) * (len(names) + 1) + second + 1, return_inverse=True)
+    first, then = np.divmod(heads, len(names) + 1)
+    pairs = zip(first.tolist(), (then - 1).tolist(), strict=True)
+    return np.array([prefix_range((names[a], names[b]) if b >= 0 else (names[a],), ranges) for a, b in pairs], np.int64)[of]
+
+
 COUNTED = "lang string, part int, automaton binary"
 
 
@@ -347,13 +433,23 @@ def _parts_out(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
     )
 
 
-def _counted(batches: Iterable[pa.RecordBatch], words, pairs, ranges: int, most: int) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterable[pa.RecordBatch], bitmaps, ranges: int, most: int) -> Iterator[pa.RecordBatch]:
     """Count transducers of every shard, by prefix range."""
     for s in _shards(batches):
-        dealt: dict[int, list] = {}
-        for phrase, n in _ngrams(s, words.value, pairs.value, most):
-            dealt.setdefault(prefix_range(phrase, ranges), []).append((phrase, n))
-        yield _parts_out([(s.lang, part, Automaton.build(rows).to_bytes()) for part, rows in dealt.items()])
+        names, rows, counts = _ngrams(s, bitmaps.value, most)
+        if not len(rows):
+            continue
+        part = _ranges(rows, names, ranges)
+        order = np.lexsort((*rows.T[::-1], part))
+        rows, counts, part = rows[order], counts[order], part[order]
+        sizes = (rows >= 0).sum(axis=1)
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist()
+        out = []
+        for a, b in zip(first, [*first[1:], len(part)], strict=True):
+            of_range = zip(rows[a:b].tolist(), sizes[a:b].tolist(), counts[a:b].tolist(), strict=True)
+            automaton = Automaton.build((tuple(phrase[:size]), n) for phrase, size, n in of_range)
+            out.append((s.lang, int(part[a]), automaton.to_bytes(names)))
+        yield _parts_out(out)
 
 
 def _by_range(batches: Iterable[pa.RecordBatch], fold=None) -> Iterator[tuple[tuple[str, int], list[dict]]]:
@@ -426,15 +522,20 @@ def collocations(docs: DataFrame, words: int = WORDS, least: int = LEAST, top: i
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
 
-    counted, release = staged_table(texts.mapInArrow(_words_hashed, HASHED).groupBy("lang", "h").agg(F.sum("n").alias("n")), "words")
+    counted, release = staged_table(texts.mapInArrow(_words_hashed, "lang string, h bigint, n bigint").groupBy("lang", "h").agg(F.sum("n").alias("n")), "words")
     totals = stage(counted.groupBy("lang").agg(F.sum("n").alias("n")))
-    frequent = spark.sparkContext.broadcast(_bitmap(counted, least))
+    sieves = [_bitmap(counted.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least))]
     release()
-    pairs = spark.sparkContext.broadcast(_bitmap(texts.mapInArrow(lambda b: _pairs_hashed(b, frequent), HASHED), least))
-
     total = int(totals.agg(F.sum("n")).first()[0] or 0)
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_WORDS))
-    shards = texts.mapInArrow(lambda b: _counted(b, frequent, pairs, ranges, words), COUNTED)
+    for _ in range(1, min(SIEVES, words)):
+        sent = spark.sparkContext.broadcast(sieves)
+        packed = texts.mapInArrow(lambda b, sent=sent: _grams_hashed(b, sent, ranges, least), PACKED)
+        met = packed.repartition("bucket").sortWithinPartitions("bucket")
+        sieves = [*sieves, _bitmap(met.mapInArrow(lambda b: _often(b, least), "h bigint"))]
+    sieves = spark.sparkContext.broadcast(sieves)
+
+    shards = texts.mapInArrow(lambda b: _counted(b, sieves, ranges, words), COUNTED)
     met = shards.repartition("lang", "part").sortWithinPartitions("lang", "part")
     counts = stage(met.mapInArrow(lambda b: _united(b, least), COUNTED))
 

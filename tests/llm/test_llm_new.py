@@ -299,12 +299,12 @@ def _collocations(spark, docs, least, top, shard):
         want = Counter()
         for s in shards:
             for k, c in enumerate(np.bincount(s.codes, minlength=len(s.names)).tolist()):
-                want[s.lang, s.names[k]] += c
+                want[s.lang, s.names[k].as_py()] += c
         module.SHARD_BYTES = 1 << 23
         whole = Counter()
         for s in module._shards(docs.select("text", "lang").fillna({"text": "", "lang": "und"}).toArrow().to_batches()):
             for k, c in enumerate(np.bincount(s.codes, minlength=len(s.names)).tolist()):
-                whole[s.lang, s.names[k]] += c
+                whole[s.lang, s.names[k].as_py()] += c
         assert +want == +whole
     finally:
         module.SHARD_BYTES = kept
