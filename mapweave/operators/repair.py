@@ -216,14 +216,10 @@ def repaired_geometries(edges: DataFrame, key: str, cell_size: float = 0.01, sna
     return parts.select(key, F.struct(kind.alias("kind"), "parts").alias("geom"))
 
 
-def make_valid(
-    df: DataFrame, geometry_column: str, key: str, cell_size: float = 0.01, snap: float = SNAP, max_edges: int = DEFAULT_MAX_EDGES
+def with_repaired(
+    df: DataFrame, geometry_column: str, edges: DataFrame, key: str, cell_size: float = 0.01, snap: float = SNAP, max_edges: int = DEFAULT_MAX_EDGES
 ) -> DataFrame:
-    """``df`` with invalid areas in ``geometry_column`` replaced by their repaired form; all else stays as it is.
-
-    ``key`` names a unique column. An invalid area without any inside becomes NULL.
-    """
-    edges = materialize(area_edges(df, geometry_column, key), "repair-edges")
+    """``df`` with the geometry of the areas that ``edges`` shows to be invalid replaced by their repaired form."""
     bad = materialize(invalid_areas(edges, key, cell_size, max_edges).select(_q(key)), "invalid-keys")
     if bad.isEmpty():
         return df
@@ -231,3 +227,14 @@ def make_valid(
     mended = bad.join(mended, key, "left").select(_q(key), F.col("geom").alias("__mended"), F.lit(True).alias("__bad"))
     new = F.when(F.col("__bad"), F.col("__mended")).otherwise(_q(geometry_column))
     return df.join(mended, key, "left").withColumn(geometry_column, new).select(*[_q(c) for c in df.columns])
+
+
+def make_valid(
+    df: DataFrame, geometry_column: str, key: str, cell_size: float = 0.01, snap: float = SNAP, max_edges: int = DEFAULT_MAX_EDGES
+) -> DataFrame:
+    """``df`` with invalid areas in ``geometry_column`` replaced by their repaired form; all else stays as it is.
+
+    ``key`` names a unique column. An invalid area without any inside becomes NULL.
+    """
+    edges = materialize(area_edges(df, geometry_column, key), "repair-edges")
+    return with_repaired(df, geometry_column, edges, key, cell_size, snap, max_edges)

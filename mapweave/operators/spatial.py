@@ -12,9 +12,11 @@ Areas are decomposed into an edge table. Space is cut into square cells of
 A point (px, py) in cell (c, k) is inside an area when the parity of the path
 P -> (px, k*cell) -> (+inf, k*cell) is odd: the horizontal part is one
 interval lookup, the vertical part counts crossings with the local edges.
-Points on an edge are not contained (boundary does not match). Replication
-is one row per edge-cell plus one per covered cell, independent of how many
-points arrive, and each point meets only the records of its own cell.
+Points on an edge are not contained (boundary does not match). Large areas
+begin with coarse cells, a few across the area; only those that the border passes
+through are split, down to ``cell_size``, so whole inner parts are one record each and
+the number of records follows the length of the border, not the area. Nothing depends on how many
+points arrive, and each point meets only the records of its own cells.
 Points join records with one equi-join on (c, k); AQE picks broadcast when the
 record side is measured small and splits hot cells on the point side.
 
@@ -32,6 +34,7 @@ a radius.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -228,12 +231,40 @@ def _records(local: DataFrame, covered: DataFrame, dense: DataFrame | None, leve
 
 @dataclass(frozen=True)
 class CellIndex:
-    """Area records keyed by (level, cell x, cell row) for point lookups."""
+    """Area records keyed by (first level, level, cell x, cell row) for point lookups."""
 
     records: DataFrame
     key: str
     grid: Grid
-    depth: int  # levels in use
+    levels: dict[int, int]  # first level of some areas -> the last one they use
+
+    @property
+    def depth(self) -> int:
+        """Number of levels in use."""
+        return max(self.levels.values()) - min(self.levels) + 1
+
+
+CELLS_ACROSS = 4  # an area begins at the coarsest level with so many cells across it
+EDGES_PER_CELL = 8  # about so many edges of a border in one cell, where no cell size is given
+
+
+def measured_cell_size(edges: DataFrame) -> float:
+    """Cell size for these edges: a power of two of about ``EDGES_PER_CELL`` times their mean length."""
+    mean = edges.agg(F.avg(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1"))))).first()[0]
+    return 2.0 ** math.ceil(math.log2(EDGES_PER_CELL * mean)) if mean else 1.0
+
+
+def _first_levels(e: DataFrame, cell_size: float, refine: int) -> tuple[int, DataFrame | None]:
+    """How many levels stand above ``cell_size``, and the first level of every area (None: one level for all)."""
+    extents = e.groupBy("__key").agg(
+        F.greatest(F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2")), F.max("__maxy") - F.min("__miny")).alias("__extent")
+    )
+    widest = extents.agg(F.max("__extent")).first()[0] or 0.0
+    above = max(0, math.floor(math.log(max(widest, 1e-300) / CELLS_ACROSS / cell_size, refine) + 1e-9)) if widest > 0 else 0
+    if not above:
+        return 0, None
+    own = F.floor(F.log(float(refine), F.greatest("__extent", F.lit(1e-300)) / (CELLS_ACROSS * cell_size)) + 1e-9).cast("int")
+    return above, extents.select("__key", (above - F.greatest(F.lit(0), F.least(F.lit(above), own))).alias("__first"))
 
 
 def _edges_in_cells(e: DataFrame, grid: Grid, level: int, parents: DataFrame | None) -> DataFrame:
@@ -290,36 +321,50 @@ def _covered_cells(e: DataFrame, grid: Grid, level: int, parents: DataFrame | No
 def cell_index(
     edges: DataFrame,
     key: str,
-    cell_size: float,
+    cell_size: float | None = None,
     max_edges: int = DEFAULT_MAX_EDGES,
     refine: int = REFINE,
     name: str = "area-cell-records",
 ) -> CellIndex:
-    """Records ``(__lvl, __c, __k, __Y, key, __e, __iv, __deeper)`` of the areas in ``edges``.
+    """Records ``(__first, __lvl, __c, __k, __Y, key, __e, __iv, __deeper)`` of the areas in ``edges``.
 
-    Level 0 uses cells of ``cell_size``. Where one area has more than
-    ``max_edges`` edges inside one cell, that (area, cell) is described by cells
+    Cells of ``cell_size`` (measured from the edges if None) describe the borders. A large area begins
+    with cells some powers of ``refine`` coarser; those that its border passes through
+    become marks and are described by finer ones. Where one area has more than
+    ``max_edges`` edges inside one cell of ``cell_size``, that (area, cell) is described by cells
     ``refine`` times finer, and so on for as many levels as the data needs, so
-    the work per point and the size of one record stay small however dense a
-    boundary is. Only edges that meet in one vertex, or run side by side through a cell,
+    the work per point and the size of one record stay small however large an area or dense a
+    border is. Only edges that meet in one vertex, or run side by side through a cell,
     stay together. The record table is written once and broadcast only if its measured rows fit.
     """
-    grid = Grid(float(cell_size), refine)
+    cell_size = float(cell_size) if cell_size else measured_cell_size(edges)
     e = edges.select(
         _q(key).alias("__key"), *EDGE_COLS, F.least("y1", "y2").alias("__miny"), F.greatest("y1", "y2").alias("__maxy")
     )
-    levels, parents, level = [], None, 0
-    while True:
-        local = materialize(_edges_in_cells(e, grid, level, parents), "edge-cells")
-        dense = None if level == grid.levels - 1 else _crowded(local, grid, level, max_edges)
-        levels.append(_records(local, _covered_cells(e, grid, level, parents), dense, level, grid))
-        if dense is None:
-            break
-        parents, level = dense, level + 1
-    records = levels[0]
-    for more in levels[1:]:
-        records = records.unionByName(more)
-    return CellIndex(sized_broadcast(records.withColumnRenamed("__key", key), name), key, grid, len(levels))
+    base, first_levels = _first_levels(e, cell_size, refine)
+    grid = Grid(cell_size * refine**base, refine, base + LEVELS_DOWN + 1)
+    if first_levels is None:
+        groups = {0: e}
+    else:
+        first_levels = materialize(first_levels, "first-levels")
+        used = sorted(r[0] for r in first_levels.select("__first").distinct().collect())  # at most one for each level
+        groups = {n: e.join(first_levels.where(F.col("__first") == n).select("__key"), "__key", "left_semi") for n in used}
+    records, last = None, {}
+    for first, own in groups.items():
+        parents, level = None, first
+        while True:
+            local = materialize(_edges_in_cells(own, grid, level, parents), "edge-cells")
+            if level < base:  # every cell that the border passes through is split
+                dense = materialize(local.groupBy("__key", "__c", "__k").agg(F.count(F.lit(1)).alias("__n")), "border-cells")
+            else:
+                dense = None if level == grid.levels - 1 else _crowded(local, grid, level, max_edges)
+            rows = _records(local, _covered_cells(own, grid, level, parents), dense, level, grid).withColumn("__first", F.lit(first))
+            records = rows if records is None else records.unionByName(rows)
+            if dense is None:
+                break
+            parents, level = dense, level + 1
+        last[first] = level
+    return CellIndex(sized_broadcast(records.withColumnRenamed("__key", key), name), key, grid, last)
 
 
 def locate(points: DataFrame, px: str, py: str, index: CellIndex, match: tuple[str, str] | None = None) -> DataFrame:
@@ -329,25 +374,27 @@ def locate(points: DataFrame, px: str, py: str, index: CellIndex, match: tuple[s
     :func:`inside_record_sql` using ``__Y`` as the line height. ``match``
     ``(point column, record key field)`` adds one more equality to the join
     keys, e.g. to meet only the areas of the point's own relation. Only points
-    that meet a dense record go on to the next level, and only with that area.
+    that meet a mark go on to the next level, and only with that area.
     """
     grid, columns = index.grid, points.columns
     fine_c, fine_k = grid.point_cell(F.col(px), F.col(py))
-    asked = points.withColumn("__fc", fine_c).withColumn("__fk", fine_k)
+    placed = points.withColumn("__fc", fine_c).withColumn("__fk", fine_k)
     found = None
-    for level in range(index.depth):
-        cells = asked.withColumn("__c", grid.at(F.col("__fc"), level)).withColumn("__k", grid.at(F.col("__fk"), level))
-        records = index.records.where(F.col("__lvl") == level)
-        if level:
-            joined = cells.join(records, ["__c", "__k", index.key])
-        elif match is None:
-            joined = cells.join(records, ["__c", "__k"])
-        else:
-            own = records.withColumn("__match", F.col(match[1]))
-            joined = cells.withColumn("__match", F.col(match[0])).join(own, ["__c", "__k", "__match"]).drop("__match")
-        here = joined.where(~F.col("__deeper")).select(*columns, "__lvl", "__c", "__k", "__Y", index.key, "__e", "__iv")
-        found = here if found is None else found.unionByName(here)
-        asked = joined.where(F.col("__deeper")).select(*columns, "__fc", "__fk", index.key)
+    for first, last in index.levels.items():
+        asked = placed
+        for level in range(first, last + 1):
+            cells = asked.withColumn("__c", grid.at(F.col("__fc"), level)).withColumn("__k", grid.at(F.col("__fk"), level))
+            records = index.records.where((F.col("__first") == first) & (F.col("__lvl") == level)).drop("__first")
+            if level > first:
+                joined = cells.join(records, ["__c", "__k", index.key])
+            elif match is None:
+                joined = cells.join(records, ["__c", "__k"])
+            else:
+                own = records.withColumn("__match", F.col(match[1]))
+                joined = cells.withColumn("__match", F.col(match[0])).join(own, ["__c", "__k", "__match"]).drop("__match")
+            here = joined.where(~F.col("__deeper")).select(*columns, "__lvl", "__c", "__k", "__Y", index.key, "__e", "__iv")
+            found = here if found is None else found.unionByName(here)
+            asked = joined.where(F.col("__deeper")).select(*columns, "__fc", "__fk", index.key)
     return found
 
 
@@ -583,7 +630,7 @@ def inside_record_sql(px: str, py: str, Y: str, e: str = "__e", iv: str = "__iv"
 
 
 def point_area_pairs(
-    points: DataFrame, x: Column, y: Column, areas: AreaSet, cell_size: float = 0.01, max_edges: int = DEFAULT_MAX_EDGES
+    points: DataFrame, x: Column, y: Column, areas: AreaSet, cell_size: float | None = None, max_edges: int = DEFAULT_MAX_EDGES
 ) -> DataFrame:
     """Point rows extended with ``areas.key`` for every area that contains them."""
     index = cell_index(areas.edges, areas.key, cell_size, max_edges=max_edges)
@@ -602,7 +649,7 @@ def join_point_in_area(
     polygon_column: str | None = None,
     *,
     area_key: str | None = None,
-    cell_size: float = 0.01,
+    cell_size: float | None = None,
     partition_count: int | None = None,
     max_edges: int = DEFAULT_MAX_EDGES,
 ) -> DataFrame:
@@ -612,7 +659,7 @@ def join_point_in_area(
     side's then the point side's. ``df_polygon`` is a frame with a geometry
     column (``area_key`` may name a unique key column; without one, rows are
     numbered once and the numbered frame is written to the checkpoint folder)
-    or an :class:`AreaSet`. ``partition_count`` is accepted for compatibility; AQE
+    or an :class:`AreaSet`. ``cell_size`` is measured from the borders if not given. ``partition_count`` is accepted for compatibility; AQE
     sizes partitions at runtime.
     """
     assert point_column in df_in.schema.fieldNames(), f"'{point_column}' not in data frame df_in"

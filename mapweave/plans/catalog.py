@@ -60,19 +60,20 @@ def _areas_geom(df: DataFrame) -> DataFrame:
 
 @query(
     "prefix_columns",
-    "SELECT n_nationkey AS nat_n_nationkey, n_name AS nat_n_name, n_regionkey AS nat_n_regionkey FROM nation",
+    "SELECT c_custkey AS cus_c_custkey, c_name AS cus_c_name, c_nationkey AS cus_c_nationkey FROM customer",
 )
 def q_prefix_columns(spark, d):
-    return C.add_column_prefix(FX.table(spark, d, "nation"), "nat_")
+    return C.add_column_prefix(FX.table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey"), "cus_")
 
 
 @query(
     "wrap_struct",
-    "SELECT n_nationkey, n_name AS info_n_name, n_regionkey AS info_n_regionkey FROM nation",
+    "SELECT c_custkey, c_name AS info_c_name, c_nationkey AS info_c_nationkey FROM customer",
 )
 def q_wrap_struct(spark, d):
-    wrapped = C.wrap_columns_into_struct(FX.table(spark, d, "nation"), ["n_name", "n_regionkey"], "info")
-    return wrapped.select("n_nationkey", F.col("info.n_name").alias("info_n_name"), F.col("info.n_regionkey").alias("info_n_regionkey"))
+    customers = FX.table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    wrapped = C.wrap_columns_into_struct(customers, ["c_name", "c_nationkey"], "info")
+    return wrapped.select("c_custkey", F.col("info.c_name").alias("info_c_name"), F.col("info.c_nationkey").alias("info_c_nationkey"))
 
 
 @query(
@@ -195,12 +196,21 @@ def q_point_in_area_multi(spark, d):
     return joined.select("point_id", "area_id")
 
 
-@query(
-    "area_centroids",
-    O.with_(O.FX_AREAS) + "SELECT area_id, ROUND(cx, 6) AS cx, ROUND(cy, 6) AS cy FROM fx_areas",
-)
+_GRID_SQL = """SELECT CAST(s_suppkey AS INT) AS area_id, CAST(2 * (s_suppkey % 100) + 1 AS DOUBLE) AS cx,
+       CAST(46 + 2 * CAST(floor(s_suppkey / 100) AS INT) AS DOUBLE) AS cy FROM supplier"""
+
+
+def _grid(spark, d):
+    """A place of its own for every supplier."""
+    return FX.table(spark, d, "supplier").selectExpr(
+        "CAST(s_suppkey AS INT) AS area_id", "CAST(2 * (s_suppkey % 100) + 1 AS DOUBLE) AS cx",
+        "CAST(46 + 2 * CAST(floor(s_suppkey / 100) AS INT) AS DOUBLE) AS cy", "0.9D AS r", "0.3D AS h",
+    )
+
+
+@query("area_centroids", f"SELECT area_id, ROUND(cx, 6) AS cx, ROUND(cy, 6) AS cy FROM ({_GRID_SQL})")
 def q_area_centroids(spark, d):
-    areas = _areas_geom(FX.fx_areas(spark, d)).select("area_id", "geom")
+    areas = _areas_geom(_grid(spark, d)).select("area_id", "geom")
     cents = S.edge_centroids(S.area_edges(areas, "geom", "area_id"), "area_id")
     return cents.select("area_id", F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"))
 
@@ -554,29 +564,18 @@ def q_closest_point(spark, d):
 # ------------------------------------------------------------------ validity
 
 
-def _bow_ties(spark, d):
-    """One self-crossing ring per region, centred at (2 * r + 1, 50)."""
-    reg = FX.table(spark, d, "region").select(
-        (F.lit(100) + F.col("r_regionkey")).cast("int").alias("area_id"),
-        (2 * F.col("r_regionkey") + 1).cast("double").alias("cx"),
-        F.lit(50.0).alias("cy"),
-    )
-    x, y = F.col("cx"), F.col("cy")
-    ring = F.array(
-        G.vertex(x - 1, y - 1), G.vertex(x + 1, y + 1), G.vertex(x + 1, y - 1), G.vertex(x - 1, y + 1), G.vertex(x - 1, y - 1)
-    )
-    return reg.select("area_id", G.polygon(ring).alias("geom"))
-
-
 @query(
     "invalid_areas",
-    """SELECT CAST(100 + r_regionkey AS INT) AS area_id, CAST(1 AS BIGINT) AS n_crossings,
-              ROUND(CAST(2 * r_regionkey + 1 AS DOUBLE), 6) AS x, ROUND(CAST(50 AS DOUBLE), 6) AS y
-       FROM region""",
+    f"""SELECT area_id, CAST(1 AS BIGINT) AS n_crossings, ROUND(cx, 6) AS x, ROUND(cy, 6) AS y FROM ({_GRID_SQL}) WHERE area_id % 3 = 0""",
 )
 def q_invalid_areas(spark, d):
-    valid = _areas_geom(FX.fx_areas(spark, d)).select("area_id", "geom")
-    shapes = valid.unionByName(_bow_ties(spark, d))
+    """Diamonds with holes, and a self-crossing ring in every third place."""
+    x, y = F.col("cx"), F.col("cy")
+    ring = F.array(
+        G.vertex(x - 1, y - 1), G.vertex(x + 1, y + 1), G.vertex(x + 1, y - 1), G.vertex(x - 1, y + 1), G.vertex(x - 1, y - 1)
+    )
+    grid = _areas_geom(_grid(spark, d))
+    shapes = grid.select("area_id", F.when(F.col("area_id") % 3 == 0, G.polygon(ring)).otherwise(F.col("geom")).alias("geom"))
     report = S.invalid_areas(S.area_edges(shapes, "geom", "area_id"), "area_id", cell_size=FIXTURE_CELL)
     return report.select("area_id", "n_crossings", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
