@@ -105,7 +105,7 @@ def face_cycles(pieces: DataFrame, key: str) -> DataFrame:
     links = turned.select(
         key, F.struct(F.col("v").alias("u"), F.col("u").alias("v")).alias("node"), F.struct(F.col("u"), F.col("on").alias("v")).alias("next")
     )
-    return ranked_cycles(links, [key]).select(key, "node.u", "node.v", "cycle", "rank", "length")
+    return ranked_cycles(materialize(links, "half-edges"), [key]).select(key, "node.u", "node.v", "cycle", "rank", "length")
 
 
 def _signed_areas(cycles: DataFrame, by: list[str]) -> DataFrame:
@@ -155,7 +155,7 @@ def _cut_at_vertices(cycles: DataFrame, key: str) -> DataFrame:
         key, "face", F.struct(F.col("other").alias("u"), F.col("at").alias("v")).alias("node"),
         F.struct(F.col("at").alias("u"), F.col("on").alias("v")).alias("next"),
     )
-    rings = ranked_cycles(links, [key, "face"]).select(key, "face", "node.u", "node.v", F.col("cycle").alias("ring"), "rank")
+    rings = ranked_cycles(materialize(links, "touching-half-edges"), [key, "face"]).select(key, "face", "node.u", "node.v", F.col("cycle").alias("ring"), "rank")
     return plain.join(twice, [key, "face"], "left_anti").select(*rings.columns).unionByName(rings)
 
 

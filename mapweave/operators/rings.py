@@ -25,19 +25,17 @@ def ranked_cycles(links: DataFrame, keys: list[str], longest: int | None = None)
         longest = links.groupBy(*keys).count().agg(F.max("count")).first()[0] or 1
     # smallest node of the span that begins here, and the steps to it
     start = F.struct(F.col("node").alias("low"), F.lit(0).cast("bigint").alias("steps"))
-    cur = materialize(links.select(*keys, "node", F.col("next").alias("far"), start.alias("best")), "cycle-links")
-    span = 1
-    while span < longest:
+    cur = links.select(*keys, "node", F.col("next").alias("far"), start.alias("best"))
+    rounds = max(0, int(longest) - 1).bit_length()
+    for n in range(rounds):
         ahead = cur.select(*keys, F.col("node").alias("far"), F.col("far").alias("farther"), F.col("best").alias("then"))
-        beyond = F.struct(F.col("then.low").alias("low"), (F.col("then.steps") + span).alias("steps"))
-        cur = materialize(
-            cur.join(ahead, [*keys, "far"]).select(
-                *keys, "node", F.col("farther").alias("far"),
-                F.when(F.col("then.low") < F.col("best.low"), beyond).otherwise(F.col("best")).alias("best"),
-            ),
-            "cycle-links",
-        )
-        span *= 2
+        beyond = F.struct(F.col("then.low").alias("low"), (F.col("then.steps") + 2**n).alias("steps"))
+        cur = cur.join(ahead, [*keys, "far"]).select(
+            *keys, "node", F.col("farther").alias("far"),
+            F.when(F.col("then.low") < F.col("best.low"), beyond).otherwise(F.col("best")).alias("best"),
+        )
+        if n % 2 or n == rounds - 1:  # two rounds for each table that is written
+            cur = materialize(cur, "cycle-links")
     lengths = cur.groupBy(*keys, F.col("best.low").alias("cycle")).agg(F.count(F.lit(1)).alias("length"))
     named = cur.select(*keys, "node", F.col("best.low").alias("cycle"), "best.steps").join(lengths, [*keys, "cycle"])
     return named.select(*keys, "node", "cycle", F.expr("(length - steps) % length").alias("rank"), "length")
