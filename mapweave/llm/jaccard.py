@@ -516,14 +516,32 @@ def link(docs: DataFrame, least: int = LEAST, shingle: int = SHINGLE) -> DataFra
 
 
 def keep_one(docs: DataFrame, least: int = LEAST, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with one document of each component (the smallest doc_id); rows without a set or id stay."""
-    found = stage(link(docs, least, shingle).where("n_shingles > 0 AND doc_id IS NOT NULL"))
-    away = stage(found.where("doc_id <> component_id").select("doc_id").distinct())
-    left = docs.join(sized(away), "doc_id", "left_anti").select(*docs.columns)
-    # of rows that share the kept id one stays; texts are moved only for such ids
-    twice = stage(found.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    """``docs`` with one document of each component (the smallest doc_id); rows without a set or id stay.
+
+    Rows that share a doc_id but not their text are documents of their own here: they stay unless
+    they link. Of equal rows one stays.
+    """
+    hashed = docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    several = stage(hashed.groupBy("doc_id").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("doc_id"))
+    if several.isEmpty():
+        return _smallest(docs, "doc_id", least, shingle)
+    # ids of their own for the texts of such an id, above all others so that plain ids are kept first
+    marked = sized(several.withColumn("__several", F.lit(True)))
+    own = F.expr("CASE WHEN __several THEN (xxhash64(doc_id, coalesce(text, '')) & 2305843009213693951) | 4611686018427387904 ELSE doc_id END")
+    named = docs.join(marked, "doc_id", "left").withColumn("__node", own).select(*docs.columns, "__node")
+    return _smallest(named, "__node", least, shingle).select(*docs.columns)
+
+
+def _smallest(docs: DataFrame, node: str, least: int, shingle: int) -> DataFrame:
+    """``docs`` with the row of the smallest ``node`` of each component."""
+    nodes = docs.select(F.col(node).alias("doc_id"), "text")
+    found = stage(link(nodes, least, shingle).where("n_shingles > 0 AND doc_id IS NOT NULL"))
+    away = stage(found.where("doc_id <> component_id").select(F.col("doc_id").alias(node)).distinct())
+    left = docs.join(sized(away), node, "left_anti").select(*docs.columns)
+    # of equal rows that are kept one stays; texts are moved only for such ids
+    twice = stage(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(node)))
     marked = sized(twice)
     words = F.expr("coalesce(text, '') RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
-    once = left.join(marked, "doc_id", "left_anti").select(*docs.columns)
-    shared_ids = left.join(marked, "doc_id", "left_semi").select(*docs.columns)
-    return once.unionByName(shared_ids.where(~words)).unionByName(shared_ids.where(words).dropDuplicates(["doc_id"]))
+    once = left.join(marked, node, "left_anti").select(*docs.columns)
+    shared_ids = left.join(marked, node, "left_semi").select(*docs.columns)
+    return once.unionByName(shared_ids.where(~words)).unionByName(shared_ids.where(words).dropDuplicates([node]))

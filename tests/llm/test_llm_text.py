@@ -247,6 +247,51 @@ def test_toxicity_held_out_accuracy(spark):
     assert len(held) > 300 and sum(right) / len(right) > 0.98
 
 
+def test_document_scores_against_brute_force():
+    rng = np.random.default_rng(8)
+    words = ["bad", "worse", "fine", "good", "dog", "tree"]
+    model = toxicity.Model(
+        units={"=" + w: float(x) for w, x in zip(words, rng.normal(size=6), strict=True)}, before={"dog": 0.7}, after={"good": -0.4},
+        bias=-1.0, start=0.2, pairs=(0.5, -0.3, 0.1, 0.9), head=(0.3, 1.1, 0.4),
+    )
+    texts = ["bad dog good. Worse tree", "", None, "42 --", "fine", " ".join(rng.choice(words, 9)) + "."]
+    tokens = toxicity.Tokens(pa.array(texts))
+    got = toxicity.document_scores(model, toxicity.log_odds(model, tokens), tokens.bounds)
+    for text, score in zip(texts, got.tolist(), strict=True):
+        p = []
+        for sentence in re.split(r"(?<=[.!?])\s", text or ""):
+            w = re.findall(r"[a-z]+", sentence.lower())
+            e = [
+                model.bias + model.units.get("=" + x, 0) + model.before.get(w[k - 1] if k else None, 0) + model.after.get(w[k + 1] if k + 1 < len(w) else None, 0)
+                for k, x in enumerate(w)
+            ]
+            total, on = 0.0, np.zeros(len(w))
+            for path in range(1 << len(w)):  # every labelling of the sentence
+                y = [path >> k & 1 for k in range(len(w))]
+                weight = np.exp(sum(a * b for a, b in zip(e, y, strict=True)) + (model.start * y[0] if y else 0) + sum(model.pairs[2 * a + b] for a, b in zip(y, y[1:])))
+                total, on = total + weight, on + weight * np.array(y)
+            p += (on / total).tolist()
+        want = 1 / (1 + np.exp(-(0.3 + 1.1 * np.log(sum(p)) + 0.4 * np.log(max(p) / (1 - max(p)))))) if p else 0.0
+        assert score == pytest.approx(want, rel=1e-9)
+
+
+def test_long_sentences_are_one_chain():
+    model = toxicity.Model(units={"=bad": 40.0}, bias=0.0, start=-30.0, pairs=(6.0, -6.0, -6.0, 6.0), head=(0.0, 1.0, 0.0))
+    tokens = toxicity.Tokens(pa.array(["word " * 3000 + "bad " + "word " * 3000]))
+    assert len(tokens.starts) == 1
+    odds = toxicity.log_odds(model, tokens)
+    # labels hold on to their neighbours, so the one toxic word is felt more than 256 words away
+    assert odds[3000] > 0 and odds[3000 + 400] > odds[5900] and odds[3000 - 400] > odds[10]
+
+
+def test_most_texts_have_a_score_of_their_own(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").dropDuplicates(["text"]).where("length(text) > 20")
+    marks = spark.read.parquet(f"{SF_CHECK}/labels.parquet")
+    scores = [r.score for r in toxicity.score(docs, toxicity.train(docs, marks)).collect()]
+    # texts of unknown words in sentences of the same lengths are alike to the model
+    assert len(set(scores)) > 0.95 * len(scores) and all(0 < s < 1 for s in scores)
+
+
 def test_toxicity_of_awkward_rows(spark):
     docs = documents(spark)
     for marks in (labels(spark), labels(spark, [])):
