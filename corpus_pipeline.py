@@ -9,7 +9,6 @@ encoded and decoded.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from mapweave.llm import bpe, decontam, jaccard, secrets, toxicity
 from mapweave.llm.common import read
 from mapweave.llm.queries import vocabulary
-from mapweave.session import checkpoint_dir
+from mapweave.session import materialize
 
 
 def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,10 +52,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the last stage. Stage tables lie in the shared checkpoint folder, one folder for each run."""
-    base = f"{checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    """Rows of the last stage. Each stage's table is staged in the shared checkpoint folder.
+
+    The tables go with the innermost open ``session.staging`` block, or else with the application.
+    """
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
-        docs = spark.read.parquet(f"{base}/{name}")
+        docs = materialize(stage(spark, docs, sf_dir), f"corpus-{name}")
     return docs
