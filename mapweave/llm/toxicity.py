@@ -27,6 +27,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import asdict, dataclass, field
+from math import exp, log
 
 import numpy as np
 import pandas as pd
@@ -105,9 +106,11 @@ def ratios(emission: np.ndarray, starts: np.ndarray, lengths: np.ndarray, start:
     s, ln = starts[order], lengths[order]
     steps = int(ln[0]) if len(ln) else 0
     active = len(ln) - np.searchsorted(ln[::-1], np.arange(steps), side="right")  # chains longer than t
-    e00, e01, e10, e11 = np.exp(pairs)
+    e00, e01, e10, e11 = np.exp(pairs).tolist()
+    # from the step on at which one chain is left, plain numbers are quicker than arrays of one
+    alone = max(1, int(np.searchsorted(-active, -1)))
     r = np.zeros(0)
-    for t in range(steps):
+    for t in range(min(steps, alone)):
         at = s[: active[t]] + t
         if t == 0:
             r = start + emission[at]
@@ -117,7 +120,21 @@ def ratios(emission: np.ndarray, starts: np.ndarray, lengths: np.ndarray, start:
         fwd[at] = r
     last = s + ln - 1
     bwd[last] = 0.0
-    for t in range(steps - 2, -1, -1):
+    if alone < steps:
+        first, z = int(s[0]), float(r[0])
+        own, ahead = emission[first : first + steps].tolist(), []
+        for t in range(alone, steps):
+            x = exp(min(60.0, max(-60.0, z)))
+            z = own[t] + log((e01 + x * e11) / (e00 + x * e10))
+            ahead.append(z)
+        fwd[first + alone : first + steps] = ahead
+        z, back = 0.0, []
+        for t in range(steps - 2, alone - 2, -1):
+            x = exp(min(60.0, max(-60.0, z + own[t + 1])))
+            z = log((e10 + x * e11) / (e00 + x * e01))
+            back.append(z)
+        bwd[first + alone - 1 : first + steps - 1] = back[::-1]
+    for t in range(min(steps, alone) - 2, -1, -1):
         at = s[: active[t + 1]] + t
         x = np.exp(np.clip(bwd[at + 1] + emission[at + 1], -60, 60))
         bwd[at] = np.log((e10 + x * e11) / (e00 + x * e01))
