@@ -735,6 +735,7 @@ def edge_centroids(edges: DataFrame, key: str) -> DataFrame:
 
 # cell sizes of the search: the radius divided by powers of STEP, LEVELS of them
 STEP, LEVELS = 4, 7
+PAIR_EDGES = 4096  # vertex pairs up to which two geometries are measured in one row
 
 
 def _cells_of_box(box: str, pad: Column | float, size: Column) -> Column:
@@ -810,13 +811,20 @@ def _candidates(left: DataFrame, right: DataFrame, radius: float, base: float) -
 
     Further columns of ``right`` are carried.
 
+    Work per left row follows the reach, not the density.
+    """
+    return _box_pairs(materialize(_reach_bounds(left, right, radius, base), "nearest-bounds"), right, base)
+
+
+def _box_pairs(bounded: DataFrame, right: DataFrame, base: float) -> DataFrame:
+    """Pairs ``(lk, rk, b1, b2)`` of boxes that are no farther apart than the left row's ``reach``.
+
     A left row looks into the cells, about as wide as its reach, that its box
     touches when padded by the reach. Right rows lie in the cells of every level not
     finer than themselves; those too wide for the left row's level are looked up at their
     own level. The corner where both boxes begin to overlap names one cell, so a pair
-    comes up once. Work per left row follows the reach, not the density.
+    comes up once.
     """
-    bounded = materialize(_reach_bounds(left, right, radius, base), "nearest-bounds")
     seeking = bounded.withColumn("own", _finest_level(F.greatest("reach", _extent("b1")), base))
     native = right.withColumn("native", _finest_level(_extent("b2"), base))
     # what either side uses of the few levels
@@ -851,8 +859,9 @@ def _candidates(left: DataFrame, right: DataFrame, radius: float, base: float) -
 def _nearest_pairs(left: DataFrame, right: DataFrame, radius: float, base: float, ties: Sequence[str], points: tuple[bool, bool]) -> DataFrame:
     """(lk, rk, d, x1, y1, x2, y2): the nearest right row within the radius of each left row that has one.
 
-    ``left`` holds ``lk, g1, b1``, ``right`` holds ``rk, g2, b2`` and the tie columns. Keys and boxes
-    alone are searched; geometries join the few pairs that survive. ``points`` asks
+    ``left`` holds ``lk, g1, b1, n1``, ``right`` holds ``rk, g2, b2, n2`` (vertices) and the tie columns. Keys and boxes
+    alone are searched; geometries join the few pairs that survive. Pairs of more than
+    ``PAIR_EDGES`` vertex pairs are measured piece by piece. ``points`` asks
     for the closest point on either side.
     """
     # of right rows in one and the same place one stands for all
@@ -870,6 +879,12 @@ def _nearest_pairs(left: DataFrame, right: DataFrame, radius: float, base: float
     near = materialize(_candidates(left.select("lk", "b1"), boxes, radius, base), "nearest-candidates")
     closest = near.groupBy("lk").agg(F.min(_box_reach("b1", "b2")).alias("bound"))
     kept = near.join(closest, "lk").where(_box_gap("b1", "b2") <= F.col("bound") * (1 + 1e-9) + 1e-6).select("lk", "rk")
+    n_edges = [df.agg(F.max(n)).first()[0] or 0 for df, n in ((left, "n1"), (right, "n2"))]
+    wide = None
+    if n_edges[0] * n_edges[1] > PAIR_EDGES:
+        sized = kept.join(left.select("lk", "n1"), "lk").join(right.select("rk", "n2"), "rk")
+        sized = materialize(sized.select("lk", "rk", (F.col("n1") * F.col("n2") > PAIR_EDGES).alias("wide")), "nearest-sized")
+        wide, kept = sized.where("wide").select("lk", "rk"), sized.where("NOT wide").select("lk", "rk")
     pairs = kept.join(left.select("lk", "g1"), "lk").join(right.select("rk", "g2", *ties), "rk")
 
     both = (G.geom_kind(F.col("g1")) == "Point") & (G.geom_kind(F.col("g2")) == "Point")
@@ -882,6 +897,12 @@ def _nearest_pairs(left: DataFrame, right: DataFrame, radius: float, base: float
     measured = pairs.withColumn("p1", closest_point("g1", "g2"))
     if points[1]:
         measured = measured.withColumn("p2", closest_point("g2", "g1"))
+    if wide is not None:
+        from mapweave.operators.pieces import pair_distances
+
+        far = pair_distances(wide, left.select("lk", "g1"), right.select("rk", "g2"), radius, nearest_only=True)
+        far = far if points[1] else far.drop("p2")
+        measured = measured.select(*far.columns, *ties).unionByName(far.join(right.select("rk", *ties), "rk"))
     shown = F.struct("rk", "p1", *(["p2"] if points[1] else []))
     rank = F.struct(F.col("p1.d").alias("d"), *[F.col(t) for t in ties], F.col("rk"))
     return measured.where(F.col("p1.d") <= radius).groupBy("lk").agg(F.min_by(shown, rank).alias("best")).select("lk", "best.*")
@@ -936,12 +957,13 @@ def join_nearest_geometry(
 
     shape_1 = G.reproject(_q(column_name_1), epsg_1, epsg_meter_based)
     shape_2 = G.reproject(_q(column_name_2), epsg_2, epsg_meter_based)
+    vertex_count = lambda g: F.size(G.vertices(g)).cast("long")
     # reprojected and boxed once, on the staged copies
-    left_rows = _numbered(df_in_1.withColumn("__g1", shape_1).withColumn("__b1", G.bbox("__g1")), "__lk", key_columns, "nearest-left")
-    right_rows = _numbered(df_in_2.withColumn("__g2", shape_2).withColumn("__b2", G.bbox("__g2")), "__rk", None, "nearest-right")
-    left = left_rows.where("__g1 IS NOT NULL").select(F.col("__lk").alias("lk"), F.col("__g1").alias("g1"), F.col("__b1").alias("b1"))
+    left_rows = _numbered(df_in_1.withColumn("__g1", shape_1).withColumn("__b1", G.bbox("__g1")).withColumn("__n1", vertex_count("__g1")), "__lk", key_columns, "nearest-left")
+    right_rows = _numbered(df_in_2.withColumn("__g2", shape_2).withColumn("__b2", G.bbox("__g2")).withColumn("__n2", vertex_count("__g2")), "__rk", None, "nearest-right")
+    left = left_rows.where("__g1 IS NOT NULL").select(F.col("__lk").alias("lk"), F.col("__g1").alias("g1"), F.col("__b1").alias("b1"), F.col("__n1").alias("n1"))
     tied = [_q(c).alias(f"__t{i}") for i, c in enumerate(ties)]
-    right = right_rows.where("__g2 IS NOT NULL").select(F.col("__rk").alias("rk"), F.col("__g2").alias("g2"), F.col("__b2").alias("b2"), *tied)
+    right = right_rows.where("__g2 IS NOT NULL").select(F.col("__rk").alias("rk"), F.col("__g2").alias("g2"), F.col("__b2").alias("b2"), F.col("__n2").alias("n2"), *tied)
     names = [f"__t{i}" for i in range(len(ties))]
     wanted = (closest_point_column_1 is not None, closest_point_column_2 is not None)
     found = _nearest_pairs(left, right, radius, base, names, wanted)
@@ -949,7 +971,7 @@ def join_nearest_geometry(
 
     right_side = right_rows.select("__rk", *[_q(c) for c in right_cols])
     matched = found.join(right_side, "__rk")
-    joined = left_rows.drop("__g1", "__b1").join(matched, "__lk", "left" if how in ("leftouter", "fullouter") else "inner")
+    joined = left_rows.drop("__g1", "__b1", "__n1").join(matched, "__lk", "left" if how in ("leftouter", "fullouter") else "inner")
     out = [_q(c) for c in left_cols + right_cols] + [F.col("p1.d").alias(distance_meter_column)]
     for column, point, crs in ((closest_point_column_1, "p1", epsg_1), (closest_point_column_2, "p2", epsg_2)):
         if column:
@@ -959,8 +981,8 @@ def join_nearest_geometry(
     if how in ("rightouter", "fullouter"):
         # the same search from the right side tells which right rows have company
         flip = _nearest_pairs(
-            right.select(F.col("rk").alias("lk"), F.col("g2").alias("g1"), F.col("b2").alias("b1")),
-            left.select(F.col("lk").alias("rk"), F.col("g1").alias("g2"), F.col("b1").alias("b2")),
+            right.select(F.col("rk").alias("lk"), F.col("g2").alias("g1"), F.col("b2").alias("b1"), F.col("n2").alias("n1")),
+            left.select(F.col("lk").alias("rk"), F.col("g1").alias("g2"), F.col("b1").alias("b2"), F.col("n1").alias("n2")),
             radius, base, [], (False, False),
         )
         alone = right_side.join(flip.select(F.col("lk").alias("__rk")), "__rk", "left_anti").drop("__rk")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from mapweave.functions import geometry as G
 from mapweave.functions.housenumber import expand_house_numbers
 from mapweave.operators import columns as C
+from mapweave.operators import pieces as P
 from mapweave.operators import spatial as S
 from mapweave.operators.repair import make_valid
 from mapweave.plans import fixtures as FX
@@ -674,6 +675,54 @@ def q_nearest_full(spark, d):
     return _squares_join(spark, d, "fullouter").select("point_id", "block_id", F.round("distance", 3).alias("distance"))
 
 
+_STEPS = 32  # edges on each side of a square whose border is drawn finely
+
+
+def _fine_ring(x, y, half: float):
+    """Border of a square in edges of equal length, closed."""
+    at = [half * (2 * i / _STEPS - 1) for i in range(_STEPS)]
+    border = [(a, -half) for a in at] + [(half, a) for a in at] + [(-a, half) for a in at] + [(-half, -a) for a in at] + [(-half, -half)]
+    offsets = F.array(*[F.struct(F.lit(dx).alias("x"), F.lit(dy).alias("y")) for dx, dy in border])
+    return F.transform(offsets, lambda o: G.vertex(x + o.getField("x"), y + o.getField("y")))
+
+
+@query("nearest_large_areas", _plane_sql(_BIG, False, False))
+def q_nearest_large_areas(spark, d):
+    """Areas of many edges on both sides, measured piece by piece."""
+    squares = _spots(spark, d).select("point_id", G.polygon(_fine_ring(F.col("x"), F.col("y"), _BIG)).alias("sq"))
+    blocks = _blocks(spark, d).select("block_id", G.polygon(_fine_ring(F.col("bx"), F.col("by"), _BIG)).alias("geom"))
+    out = S.join_nearest_geometry(
+        squares, blocks, "sq", "geom", _PLANE, _PLANE, _PLANE, max_meter=_PLANE_RADIUS, tie_breaker=["block_id"], key_columns=["point_id"]
+    )
+    return out.select("point_id", "block_id", F.round("distance", 3).alias("distance"))
+
+
+_HOLLOW, _WALL, _REACH = 700.0, 1500.0, 300.0
+
+
+@query(
+    "intersecting_shapes",
+    O.with_(
+        _SPOTS_SQL,
+        _BLOCKS_SQL,
+        f"""s AS (SELECT point_id, x, y, CASE WHEN point_id % 3 < 2 THEN {_REACH} ELSE 0 END AS hx,
+                       CASE WHEN point_id % 3 = 0 THEN {_REACH} ELSE 0 END AS hy FROM spots)""",
+    )
+    + f"""SELECT point_id, block_id FROM s, blocks b
+          WHERE abs(s.x - b.x) <= {_WALL} + hx AND abs(s.y - b.y) <= {_WALL} + hy
+            AND NOT (abs(s.x - b.x) + hx < {_HOLLOW} AND abs(s.y - b.y) + hy < {_HOLLOW})""",
+)
+def q_intersecting_shapes(spark, d):
+    """Squares, lines and points that meet squares with a hole."""
+    x, y = F.col("x"), F.col("y")
+    line = F.struct(F.lit("LineString").alias("kind"), F.array(F.array(F.array(G.vertex(x - _REACH, y), G.vertex(x + _REACH, y)))).alias("parts"))
+    kind = F.col("point_id") % 3
+    shape = F.when(kind == 0, G.polygon(_box_ring(x, y, _REACH))).when(kind == 1, line).otherwise(G.point("x", "y"))
+    walls = G.polygon(_box_ring(F.col("bx"), F.col("by"), _WALL), F.array(_box_ring(F.col("bx"), F.col("by"), _HOLLOW)))
+    shapes, blocks = _spots(spark, d).select("point_id", shape.alias("shape")), _blocks(spark, d).select("block_id", walls.alias("geom"))
+    return P.join_intersecting(shapes, blocks, "shape", "geom").select("point_id", "block_id")
+
+
 @query(
     "closest_point_left",
     O.with_(
