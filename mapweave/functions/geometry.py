@@ -335,21 +335,29 @@ def distance(g1: str, g2: str) -> Column:
 
 # ---------------------------------------------------------------- reprojection
 #
-# Transverse Mercator by the Krueger series (third order), used for the UTM
-# family of metric reference systems. GRS80 and WGS84 ellipsoid
-# constants, UTM scale 0.9996, false easting 500000 m, false northing 0 m
-# (north) / 10000000 m (south).
+# Transverse Mercator by the Krueger series (third order) for the UTM family and the
+# Gauss-Krueger zones, Lambert azimuthal equal-area, spherical Mercator. UTM
+# scale 0.9996, false easting 500000 m, false northing 0 m (north) / 10000000 m (south).
 
+# fixed values: semi-major axis and flattening of the ellipsoids
 _ELLIPSOIDS = {
     "GRS80": (6378137.0, 1 / 298.257222101),
     "WGS84": (6378137.0, 1 / 298.257223563),
+    "Bessel": (6377397.155, 1 / 299.1528128),
 }
+# fixed values: position-vector shift of the German main triangle net to WGS84 (m, arc seconds, parts per million)
+DHDN_TO_WGS84 = (598.1, 73.7, 418.2, 0.202, 0.045, -2.455, 6.7)
 _K0 = 0.9996
 _E0 = 500000.0
 
 
 class Crs:
-    """A coordinate reference system understood by :func:`reproject`."""
+    """A coordinate reference system understood by :func:`reproject`.
+
+    ``kind`` is ``geographic`` (4326), ``transverse`` (UTM: 258xx, 326xx, 327xx; Gauss-Krueger zones 2 to 5:
+    31466 to 31469, whose datum takes a seven-parameter shift), ``equal-area`` (European
+    Lambert azimuthal: 3035) or ``web`` (Web Mercator: 3857).
+    """
 
     def __init__(self, code: str):
         self.code = code.lower().strip()
@@ -357,27 +365,135 @@ class Crs:
         if not m:
             raise ValueError(f"unsupported CRS: {code}")
         num = int(m.group(1))
-        self.geographic = num == 4326
-        if self.geographic:
-            return
-        if 25828 <= num <= 25838:
-            self.ellipsoid, self.zone, self.south = "GRS80", num - 25800, False
+        self.kind, self.shift, self.ellipsoid = "transverse", None, "WGS84"
+        self.k0, self.n0 = _K0, 0.0
+        if num == 4326:
+            self.kind = "geographic"
+        elif num == 3857:
+            self.kind = "web"
+        elif num == 3035:
+            self.kind, self.ellipsoid = "equal-area", "GRS80"
+        elif 25828 <= num <= 25838:
+            self._utm("GRS80", num - 25800)
         elif 32601 <= num <= 32660:
-            self.ellipsoid, self.zone, self.south = "WGS84", num - 32600, False
+            self._utm("WGS84", num - 32600)
         elif 32701 <= num <= 32760:
-            self.ellipsoid, self.zone, self.south = "WGS84", num - 32700, True
+            self._utm("WGS84", num - 32700)
+            self.n0 = 10000000.0
+        elif 31466 <= num <= 31469:
+            zone = num - 31464
+            self.ellipsoid, self.shift, self.k0 = "Bessel", DHDN_TO_WGS84, 1.0
+            self.lon0, self.e0 = 3.0 * zone, zone * 1e6 + 500000.0
         else:
             raise ValueError(f"unsupported CRS: {code}")
-        a, f = _ELLIPSOIDS[self.ellipsoid]
+        self.geographic = self.kind == "geographic"
+        self.a, f = _ELLIPSOIDS[self.ellipsoid]
+        self.e2 = f * (2 - f)
         n = f / (2 - f)
         self.n = n
-        self.A = a / (1 + n) * (1 + n * n / 4 + n**4 / 64)
+        self.A = self.a / (1 + n) * (1 + n * n / 4 + n**4 / 64)
         self.e = 2 * math.sqrt(n) / (1 + n)
         self.alpha = (n / 2 - 2 * n * n / 3 + 5 * n**3 / 16, 13 * n * n / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
         self.beta = (n / 2 - 2 * n * n / 3 + 37 * n**3 / 96, n * n / 48 + n**3 / 15, 17 * n**3 / 480)
         self.delta = (2 * n - 2 * n * n / 3 - 2 * n**3, 7 * n * n / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
-        self.lon0 = 6.0 * self.zone - 183.0
-        self.n0 = 10000000.0 if self.south else 0.0
+
+    def _utm(self, ellipsoid: str, zone: int) -> None:
+        self.ellipsoid, self.lon0, self.e0 = ellipsoid, 6.0 * zone - 183.0, _E0
+
+
+# fixed values: origin of the European equal-area projection (degrees, metres)
+_LAEA_LON0, _LAEA_LAT0, _LAEA_E0, _LAEA_N0 = 10.0, 52.0, 4321000.0, 3210000.0
+
+
+def _authalic(crs: Crs) -> tuple[float, float, float, float, float]:
+    """Of the equal-area projection: q at the pole, authalic radius, sine and cosine of the origin's authalic latitude, scale d."""
+    e, e2 = math.sqrt(crs.e2), crs.e2
+    q = lambda s: (1 - e2) * (s / (1 - e2 * s * s) + math.atanh(e * s) / e)
+    s0 = math.sin(math.radians(_LAEA_LAT0))
+    qp, radius = q(1.0), crs.a * math.sqrt(q(1.0) / 2)
+    beta = math.asin(q(s0) / qp)
+    d = crs.a * math.cos(math.radians(_LAEA_LAT0)) / math.sqrt(1 - e2 * s0 * s0) / (radius * math.cos(beta))
+    return qp, radius, math.sin(beta), math.cos(beta), d
+
+
+def _to_laea(lon: Column, lat: Column, crs: Crs):
+    qp, radius, sin0, cos0, d = _authalic(crs)
+    e = math.sqrt(crs.e2)
+    s, lam = F.sin(F.radians(lat)), F.radians(lon - _dbl(_LAEA_LON0))
+    q = _dbl(1 - crs.e2) * (s / (1 - _dbl(crs.e2) * s * s) + F.atanh(_dbl(e) * s) / _dbl(e))
+    beta = F.asin(F.least(F.greatest(q / _dbl(qp), _dbl(-1)), _dbl(1)))
+    b = _dbl(radius) * F.sqrt(2 / (1 + _dbl(sin0) * F.sin(beta) + _dbl(cos0) * F.cos(beta) * F.cos(lam)))
+    north = _dbl(cos0) * F.sin(beta) - _dbl(sin0) * F.cos(beta) * F.cos(lam)
+    return _dbl(_LAEA_E0) + b * _dbl(d) * F.cos(beta) * F.sin(lam), _dbl(_LAEA_N0) + b / _dbl(d) * north
+
+
+def _from_laea(east: Column, north: Column, crs: Crs):
+    qp, radius, sin0, cos0, d = _authalic(crs)
+    x, y = (east - _dbl(_LAEA_E0)) / _dbl(d), (north - _dbl(_LAEA_N0)) * _dbl(d)
+    rho = F.hypot(x, y)
+    c = 2 * F.asin(rho / _dbl(2 * radius))
+    # sin(c) / rho without a division by zero at the origin
+    ratio = F.when(rho > 0, F.try_divide(F.sin(c), rho)).otherwise(_dbl(1 / radius))
+    beta = F.asin(F.cos(c) * _dbl(sin0) + y * ratio * _dbl(cos0))
+    e2 = crs.e2
+    lat = beta
+    for k, w in ((2, e2 / 3 + 31 * e2**2 / 180 + 517 * e2**3 / 5040), (4, 23 * e2**2 / 360 + 251 * e2**3 / 3780), (6, 761 * e2**3 / 45360)):
+        lat = lat + _dbl(w) * F.sin(k * beta)
+    lam = F.atan2(x * ratio, F.cos(c) * _dbl(cos0) - y * ratio * _dbl(sin0))
+    return F.degrees(lam) + _dbl(_LAEA_LON0), F.degrees(lat)
+
+
+def _to_web(lon: Column, lat: Column, crs: Crs):
+    return _dbl(crs.a) * F.radians(lon), _dbl(crs.a) * F.atanh(F.sin(F.radians(lat)))
+
+
+def _from_web(east: Column, north: Column, crs: Crs):
+    return F.degrees(east / _dbl(crs.a)), F.degrees(F.asin(F.tanh(north / _dbl(crs.a))))
+
+
+def shifted_datum(lon: Column, lat: Column, source: str, target: str, shift: tuple[float, ...], back: bool = False):
+    """(lon, lat) at height 0 on ellipsoid ``source`` moved to ellipsoid ``target`` by a seven-parameter position-vector shift.
+
+    ``back`` applies the inverse of ``shift``.
+    """
+    a, f = _ELLIPSOIDS[source]
+    e2 = f * (2 - f)
+    phi, lam = F.radians(lat), F.radians(lon)
+    r = _dbl(a) / F.sqrt(1 - _dbl(e2) * F.sin(phi) * F.sin(phi))
+    xyz = F.struct((r * F.cos(phi) * F.cos(lam)).alias("x"), (r * F.cos(phi) * F.sin(lam)).alias("y"), (r * _dbl(1 - e2) * F.sin(phi)).alias("z"))
+    dx, dy, dz = shift[:3]
+    rx, ry, rz = (math.radians(v / 3600) for v in shift[3:6])
+    m = 1 + shift[6] * 1e-6
+    rows = ((1.0, -rz, ry), (rz, 1.0, -rx), (-ry, rx, 1.0))
+    if back:
+        det = 1 + rx * rx + ry * ry + rz * rz
+        v = (rx, ry, rz)
+        # inverse of I + [v]x, exactly: (I - [v]x + v v') / det
+        rows = tuple(tuple((((i == j) - (rows[i][j] - (i == j))) + v[i] * v[j]) / det for j in range(3)) for i in range(3))
+
+    def moved(p: Column) -> Column:
+        at = [p.getField(n) for n in "xyz"]
+        if back:
+            at = [(c - _dbl(t)) / _dbl(m) for c, t in zip(at, (dx, dy, dz), strict=True)]
+        out = [_dbl(row[0]) * at[0] + _dbl(row[1]) * at[1] + _dbl(row[2]) * at[2] for row in rows]
+        if not back:
+            out = [_dbl(m) * c + _dbl(t) for c, t in zip(out, (dx, dy, dz), strict=True)]
+        return F.struct(*[c.alias(n) for c, n in zip(out, "xyz", strict=True)])
+
+    b, g = _ELLIPSOIDS[target]
+    ee = g * (2 - g)
+
+    def geodetic(p: Column) -> Column:
+        """Bowring's closed form; near the surface its error is below a micrometre."""
+        x, y, z = (p.getField(n) for n in "xyz")
+        flat = F.hypot(x, y)
+        u = F.atan2(z, _dbl(1 - g) * flat)
+        up = z + _dbl(ee / (1 - ee) * b * (1 - g)) * F.pow(F.sin(u), 3)
+        out = flat - _dbl(ee * b) * F.pow(F.cos(u), 3)
+        return F.struct(F.degrees(F.atan2(y, x)).alias("lon"), F.degrees(F.atan2(up, out)).alias("lat"))
+
+    at = let(let(xyz, moved), geodetic)
+    return at.getField("lon"), at.getField("lat")
 
 
 def _to_utm(lon: Column, lat: Column, crs: Crs):
@@ -392,14 +508,14 @@ def _to_utm(lon: Column, lat: Column, crs: Crs):
     for j, aj in enumerate(crs.alpha, start=1):
         east = east + _dbl(aj) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         north = north + _dbl(aj) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    k = _dbl(_K0 * crs.A)
-    return _dbl(_E0) + k * east, _dbl(crs.n0) + k * north
+    k = _dbl(crs.k0 * crs.A)
+    return _dbl(crs.e0) + k * east, _dbl(crs.n0) + k * north
 
 
 def _from_utm(east: Column, north: Column, crs: Crs):
-    k = _dbl(_K0 * crs.A)
+    k = _dbl(crs.k0 * crs.A)
     xi = (north - _dbl(crs.n0)) / k
-    eta = (east - _dbl(_E0)) / k
+    eta = (east - _dbl(crs.e0)) / k
     xi_p, eta_p = xi, eta
     for j, bj in enumerate(crs.beta, start=1):
         xi_p = xi_p - _dbl(bj) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
@@ -412,6 +528,10 @@ def _from_utm(east: Column, north: Column, crs: Crs):
     return F.degrees(lam) + F.lit(crs.lon0), F.degrees(phi)
 
 
+_FORWARD = {"transverse": _to_utm, "equal-area": _to_laea, "web": _to_web}
+_INVERSE = {"transverse": _from_utm, "equal-area": _from_laea, "web": _from_web}
+
+
 def reproject_xy(x, y, src: str, dst: str):
     """(x', y') Column pair: coordinates moved from CRS ``src`` to ``dst``."""
     s, d = Crs(src), Crs(dst)
@@ -419,9 +539,13 @@ def reproject_xy(x, y, src: str, dst: str):
     if s.code == d.code:
         return x, y
     if not s.geographic:
-        x, y = _from_utm(x, y, s)
+        x, y = _INVERSE[s.kind](x, y, s)
+        if s.shift:
+            x, y = shifted_datum(x, y, s.ellipsoid, "WGS84", s.shift)
     if not d.geographic:
-        x, y = _to_utm(x, y, d)
+        if d.shift:
+            x, y = shifted_datum(x, y, "WGS84", d.ellipsoid, d.shift, back=True)
+        x, y = _FORWARD[d.kind](x, y, d)
     return x, y
 
 

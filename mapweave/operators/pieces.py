@@ -17,8 +17,9 @@ from mapweave.operators import spatial as S
 from mapweave.schema import check_for_duplicate_columns, is_geometry
 from mapweave.session import materialize
 
-PIECE = 16
+PIECE = 4
 FAN = 8
+TASK_PAIRS = 4096  # pairs of pieces measured in one task
 
 
 def pieces(df: DataFrame, key: str, geom: str) -> DataFrame:
@@ -42,12 +43,12 @@ def corners(df: DataFrame, key: str, geom: str) -> DataFrame:
 
 
 def _tree(parts: DataFrame, key: str, depth: int) -> DataFrame:
-    """(key, level, n, box): boxes of runs of ``FAN ** level`` pieces."""
+    """(key, level, n, box, v): boxes of runs of ``FAN ** level`` pieces, each with one of its vertices."""
     level = F.explode(F.sequence(F.lit(0), F.lit(max(depth - 1, 0)))).alias("level")
-    at = parts.select(key, "n", "box", level).withColumn("n", F.floor(F.col("n") / F.pow(F.lit(float(FAN)), "level")).cast("int"))
+    at = parts.select(key, "n", "box", G._first_vertex("piece").alias("v"), level).withColumn("n", F.floor(F.col("n") / F.pow(F.lit(float(FAN)), "level")).cast("int"))
     sides = [f"{f}(box.{f}{a}) AS {f}{a}" for f in ("min", "max") for a in "xy"]
-    flat = at.groupBy(key, "level", "n").agg(*[F.expr(s) for s in sides])
-    return flat.select(key, "level", "n", F.struct("minx", "miny", "maxx", "maxy").alias("box"))
+    flat = at.groupBy(key, "level", "n").agg(*[F.expr(s) for s in sides], F.min("v").alias("v"))
+    return flat.select(key, "level", "n", F.struct("minx", "miny", "maxx", "maxy").alias("box"), "v")
 
 
 def _contained(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
@@ -74,23 +75,24 @@ def _contained(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame
 
 
 def pair_distances(
-    pairs: DataFrame, left: DataFrame, right: DataFrame, radius: float = float("inf"), nearest_only: bool = False
+    pairs: DataFrame, left: DataFrame, right: DataFrame, radius: float = float("inf"), nearest_only: bool = False, second: bool = True
 ) -> DataFrame:
     """(lk, rk, p1, p2): exact planar distance ``p.d`` and the closest point ``p.x, p.y`` on either geometry.
 
-    ``pairs`` holds distinct ``lk, rk``, ``left`` ``lk, g1``, ``right`` ``rk, g2``. Pairs farther apart than
+    ``p2`` is left out unless ``second``. ``pairs`` holds distinct ``lk, rk``, ``left`` ``lk, g1``, ``right`` ``rk, g2``. Pairs farther apart than
     ``radius`` have no row; with ``nearest_only`` those may go too that are surely not
     the nearest of their ``lk`` (all equally near ones stay). Crossing, touching and contained geometries have
     distance 0. Rows without a geometry have no result.
 
     Branch and bound: each round opens the nodes of both trees that are left, one equi-join each, learns per
-    group the least distance that some pair of boxes guarantees, and drops the pairs of boxes that
+    group the least distance that some pair of nodes has between one vertex of each, and drops the pairs of boxes that
     are farther apart. What is left after the last round follows the stretch on which the borders are about
     nearest, not the product of their lengths.
     """
     contained = materialize(_contained(pairs, left, right), "contained-pairs")
     zero = F.struct(F.lit(0.0).alias("d"), "x", "y")
-    inside = contained.select("lk", "rk", zero.alias("p1"), zero.alias("p2"))
+    ends = ["p1", "p2"] if second else ["p1"]
+    inside = contained.select("lk", "rk", *[zero.alias(p) for p in ends])
     apart = pairs.join(contained, ["lk", "rk"], "left_anti")
     sides = []
     for df, key, geom in ((left, "lk", "g1"), (right, "rk", "g2")):
@@ -106,9 +108,9 @@ def pair_distances(
     for level in reversed(range(depth)):
         for tree, key, k in zip(trees, ("lk", "rk"), "12", strict=True):
             up = F.floor(F.col("n") / FAN).cast("int").alias(f"up{k}")
-            nodes = tree.where(F.col("level") == level).select(key, up, F.col("n").alias(f"n{k}"), F.col("box").alias(f"b{k}"))
+            nodes = tree.where(F.col("level") == level).select(key, up, F.col("n").alias(f"n{k}"), F.col("box").alias(f"b{k}"), F.col("v").alias(f"v{k}"))
             front = front.join(nodes, [key, f"up{k}"])
-        gap, reach = S._box_gap("b1", "b2").alias("gap"), S._box_reach("b1", "b2").alias("reach")
+        gap, reach = S._box_gap("b1", "b2").alias("gap"), F.expr("hypot(v1.x - v2.x, v1.y - v2.y)").alias("reach")
         opened = materialize(front.select("lk", "rk", "n1", "n2", gap, reach).where(F.col("gap") <= radius), "open-boxes")
         bound = opened.groupBy(*by).agg(F.min("reach").alias("bound"))
         # a little more than the bound, for rounding
@@ -116,8 +118,11 @@ def pair_distances(
         front = near.select("lk", "rk", F.col("n1").alias("up1"), F.col("n2").alias("up2"))
     a = sides[0].select("lk", F.col("n").alias("up1"), F.col("piece").alias("s1"))
     b = sides[1].select("rk", F.col("n").alias("up2"), F.col("piece").alias("s2"))
-    met = front.join(a, ["lk", "up1"]).join(b, ["rk", "up2"])
-    best = met.select("lk", "rk", F.struct(G.closest_on_first("s1", "s2").alias("p1"), G.closest_on_first("s2", "s1").alias("p2")).alias("p"))
+    # few bytes, much arithmetic: spread by the number of rows
+    front = front.repartition(front.count() // TASK_PAIRS + 1, "lk", "rk", "up1")
+    met = front.join(a, ["lk", "up1"]).join(b, ["rk", "up2"]).select("lk", "rk", "up1", "s1", "s2")
+    found = [G.closest_on_first("s1", "s2").alias("p1"), G.closest_on_first("s2", "s1").alias("p2")]
+    best = met.select("lk", "rk", F.struct(*found[: len(ends)]).alias("p"))
     best = best.groupBy("lk", "rk").agg(F.min("p").alias("p")).select("lk", "rk", "p.*")
     return best.where(F.col("p1.d") <= radius).unionByName(inside)
 

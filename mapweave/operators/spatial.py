@@ -900,8 +900,7 @@ def _nearest_pairs(left: DataFrame, right: DataFrame, radius: float, base: float
     if wide is not None:
         from mapweave.operators.pieces import pair_distances
 
-        far = pair_distances(wide, left.select("lk", "g1"), right.select("rk", "g2"), radius, nearest_only=True)
-        far = far if points[1] else far.drop("p2")
+        far = pair_distances(wide, left.select("lk", "g1"), right.select("rk", "g2"), radius, nearest_only=True, second=points[1])
         measured = measured.select(*far.columns, *ties).unionByName(far.join(right.select("rk", *ties), "rk"))
     shown = F.struct("rk", "p1", *(["p2"] if points[1] else []))
     rank = F.struct(F.col("p1.d").alias("d"), *[F.col(t) for t in ties], F.col("rk"))

@@ -231,6 +231,43 @@ def q_reproject_utm(spark, d):
     return pts.select("point_id", F.round(e, 3).alias("easting"), F.round(n, 3).alias("northing"))
 
 
+# Lambert azimuthal and Web Mercator in their textbook form
+_E2 = "0.006694380022900787"
+_ECC = f"sqrt({_E2})"
+
+
+def _q_sql(s: str) -> str:
+    return f"(1 - {_E2}) * ({s} / (1 - {_E2} * {s} * {s}) - ln((1 - {_ECC} * {s}) / (1 + {_ECC} * {s})) / (2 * {_ECC}))"
+
+
+@query(
+    "reproject_systems",
+    O.with_(
+        O.FX_POINTS,
+        f"k AS (SELECT {_q_sql('1.0')} AS qp, {_q_sql('sin(radians(52.0))')} AS q0, sin(radians(52.0)) AS s0, cos(radians(52.0)) AS c0)",
+        "o AS (SELECT qp, 6378137.0 * sqrt(qp / 2) AS rq, asin(q0 / qp) AS b0, s0, c0 FROM k)",
+        f"d AS (SELECT *, 6378137.0 * c0 / sqrt(1 - {_E2} * s0 * s0) / (rq * cos(b0)) AS d FROM o)",
+        f"p AS (SELECT point_id, lon, lat, radians(lon - 10) AS lam, asin(({_q_sql('sin(radians(lat))')}) / qp) AS b, rq, b0, d FROM fx_points, d)",
+        "r AS (SELECT *, rq * sqrt(2 / (1 + sin(b0) * sin(b) + cos(b0) * cos(b) * cos(lam))) AS w FROM p)",
+    )
+    + """SELECT point_id, ROUND(4321000 + w * d * cos(b) * sin(lam), 3) AS easting,
+                ROUND(3210000 + w / d * (cos(b0) * sin(b) - sin(b0) * cos(b) * cos(lam)), 3) AS northing,
+                ROUND(6378137.0 * radians(lon), 3) AS web_x, ROUND(6378137.0 * ln(tan(pi() / 4 + radians(lat) / 2)), 3) AS web_y,
+                CAST(0 AS BIGINT) AS moved FROM r""",
+)
+def q_reproject_systems(spark, d):
+    """Equal-area and Web Mercator coordinates; ``moved`` counts steps of 5 mm lost by way of a Gauss-Krueger zone."""
+    pts = FX.fx_points(spark, d)
+    e, n = G.reproject_xy("lon", "lat", "epsg:4326", "epsg:3035")
+    x, y = G.reproject_xy("lon", "lat", "epsg:4326", "epsg:3857")
+    gk = pts.select("point_id", e.alias("e"), n.alias("n"), x.alias("x"), y.alias("y"), *[
+        c.alias(a) for c, a in zip(G.reproject_xy("lon", "lat", "epsg:4326", "epsg:31468"), ("gx", "gy"), strict=True)
+    ])
+    bx, by = G.reproject_xy("gx", "gy", "epsg:31468", "epsg:3857")
+    moved = F.floor(F.hypot(bx - F.col("x"), by - F.col("y")) / 0.005).cast("long").alias("moved")
+    return gk.select("point_id", F.round("e", 3).alias("easting"), F.round("n", 3).alias("northing"), F.round("x", 3).alias("web_x"), F.round("y", 3).alias("web_y"), moved)
+
+
 def _nearest_sql(outer: bool, radius: float) -> str:
     join = "LEFT JOIN" if outer else "JOIN"
     return O.with_(

@@ -90,7 +90,7 @@ def test_utm_forward_and_back(spark):
 
 def test_unknown_crs():
     with pytest.raises(ValueError):
-        G.Crs("epsg:3857")
+        G.Crs("epsg:3395")
 
 
 def test_jts_oracle_random_polygons(spark):
