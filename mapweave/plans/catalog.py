@@ -719,7 +719,7 @@ def _fine_ring(x, y, half: float):
     """Border of a square in edges of equal length, closed."""
     at = [half * (2 * i / _STEPS - 1) for i in range(_STEPS)]
     border = [(a, -half) for a in at] + [(half, a) for a in at] + [(-a, half) for a in at] + [(-half, -a) for a in at] + [(-half, -half)]
-    offsets = F.array(*[F.struct(F.lit(dx).alias("x"), F.lit(dy).alias("y")) for dx, dy in border])
+    offsets = F.expr(f"array({', '.join(f"named_struct('x', {dx}D, 'y', {dy}D)" for dx, dy in border)})")
     return F.transform(offsets, lambda o: G.vertex(x + o.getField("x"), y + o.getField("y")))
 
 
