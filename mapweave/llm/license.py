@@ -1,14 +1,18 @@
 """License scans with template markup compiled to token automata.
 
 A template is a line of words with two kinds of regions: ``[...]`` is optional,
-``<n>`` is replaceable by up to ``n`` words (none at all included). The rest is
-mandatory wording and must stand there exactly, word for word. A template is
+``<n>`` is replaceable by up to ``n`` words (none at all included) and may stand in an optional
+region too. The rest is mandatory wording and must stand there exactly, word for word, so a
+license text with a changed condition matches no more. A template is
 compiled into states, one per word or replaceable region; reading a text keeps the
 set of states alive, so every way to skip or fill a region is followed at once.
 
 Words are the runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after lower-casing A-Z.
-Texts without any anchor word of the templates cannot match and are settled by
-one native expression; only the others reach Python, whole.
+The anchor of a template is the longest of its first ``ANCHOR_WORDS`` mandatory words (of
+equal ones the first). A template counts, for its label and for the score, only in texts that hold its anchor; texts without any
+anchor are settled by one native expression, and only the others reach Python, whole.
+``score`` is the largest share of a template's mandatory words that can be read in order from
+some place on, 1 where a template or base phrase stands.
 
 Defined cases: NULL and word-free texts have no words, no places and score 0;
 places may overlap and all count; repeated rows get equal results; an empty table
@@ -19,7 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,12 +37,53 @@ BASE = (
     ("cc by nc", "cc-by-nc"),
 )
 
+# fixed values: public license texts, with regions for what their users fill in
+MIT_TEXT = """
+permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation
+files the software to deal in the software without restriction including without limitation the rights to use copy modify
+merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished
+to do so subject to the following conditions the above copyright notice and this permission notice
+[including the next paragraph] shall be included in all copies or substantial portions of the software
+the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of
+merchantability fitness for a particular purpose and noninfringement in no event shall <12> be liable for any claim damages or
+other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or
+the use or other dealings in the software
+"""
+ISC_TEXT = """
+permission to use copy modify and [or] distribute this software for any purpose with or without fee is hereby granted provided
+that the above copyright notice and this permission notice appear in all copies the software is provided as is and <12>
+disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no
+event shall <12> be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from
+loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in
+connection with the use or performance of this software
+"""
+BSD_TERMS = """
+redistribution and use in source and binary forms with or without modification are permitted provided that the following
+conditions are met [1] redistributions of source code must retain the above copyright notice this list of conditions and the
+following disclaimer [2] redistributions in binary form must reproduce the above copyright notice this list of conditions and
+the following disclaimer in the documentation and or other materials provided with the distribution
+"""
+BSD_NAMES = """
+[3] neither the name of <20> nor the names of <8> contributors may be used to endorse or promote products derived from this
+software without specific prior written permission
+"""
+BSD_DISCLAIMER = """
+this software is provided by <20> as is and any express or implied warranties including but not limited to the implied
+warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <20> be liable for any
+direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute
+goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether
+in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even
+if advised of the possibility of such damage
+"""
+
 # label, template
 TEMPLATES = (
     ("mit", "under the mit [open source] license"),
-    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this <3> software"),
+    ("mit-text", MIT_TEXT),
     ("apache-2", "licensed under the apache [software] license [version] <1> 2 [0]"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd-2", f"{BSD_TERMS} {BSD_DISCLAIMER}"),
+    ("bsd-3", f"{BSD_TERMS} {BSD_NAMES} {BSD_DISCLAIMER}"),
+    ("isc", ISC_TEXT),
     ("gpl", "licensed under the gnu [lesser] general public license [as published by the free software foundation] [either] version <1>"),
     ("cc-by", "licensed under [a] [the] creative commons attribution [noncommercial] [sharealike] <2> [international] license"),
     ("cc-by-nc", "licensed under [a] [the] cc by nc [sa] <2>"),
@@ -46,8 +91,7 @@ TEMPLATES = (
     ("spdx", "spdx license identifier <1>"),
 )
 
-# a text without any of these words matches no phrase and no template (tested against both lists)
-ANCHORS = ("license", "permission", "redistribution", "copyright", "cc")
+ANCHOR_WORDS = 8
 
 
 @dataclass(frozen=True)
@@ -63,6 +107,11 @@ class Automaton:
     label: str
     states: tuple[State, ...]
     mandatory: int
+    anchor: str
+
+    def starts(self) -> set[str]:
+        """Words with which the template can begin; a filled region before them needs no word of its own."""
+        return {self.states[k].word for k, _ in self.closure({(0, 0): 0}) if k < len(self.states)} - {None}
 
     def closure(self, alive: dict[tuple[int, int], int]) -> dict[tuple[int, int], int]:
         """States reachable without reading a word; the value is the number of mandatory words read."""
@@ -108,19 +157,36 @@ class Automaton:
         return False, best / self.mandatory
 
 
+def anchor_of(mandatory: list[str]) -> str:
+    return max(mandatory[:ANCHOR_WORDS], key=len)
+
+
+_MARKUP = re.compile(r"\[([^\[\]]+)\]|<(\d+)>|([^\s\[\]<>]+)|(\S)")
+
+
 def compile_template(label: str, text: str) -> Automaton:
-    """States of one template line; regions do not nest."""
+    """States of one template line. Optional regions do not nest.
+
+    Broken markup, words that no text can hold and templates without mandatory words raise ``ValueError``.
+    """
     states: list[State] = []
-    for optional, fill, word in re.findall(r"\[([^\]]*)\]|<(\d+)>|([^\s\[\]<>]+)", text):
-        if optional:
-            inner = optional.split()
-            after = len(states) + len(inner)
-            states += [State(w, 0, after if k == 0 else None, False) for k, w in enumerate(inner)]
-        elif fill:
-            states.append(State(None, int(fill), None, False))
-        else:
-            states.append(State(word, 0, None, True))
-    return Automaton(label, tuple(states), sum(s.mandatory for s in states))
+
+    def add(part: str, mandatory: bool) -> None:
+        for optional, fill, word, wrong in _MARKUP.findall(part):
+            if wrong or (optional and not mandatory) or (word and split_words(word) != [word]):
+                raise ValueError(f"template {label!r}: cannot read {wrong or optional or word!r}")
+            if optional:
+                begin = len(states)
+                add(optional, False)
+                states[begin] = replace(states[begin], skip_to=len(states))
+            else:
+                states.append(State(word or None, int(fill or 0), None, mandatory and bool(word)))
+
+    add(text, True)
+    words = [s.word for s in states if s.mandatory]
+    if not words:
+        raise ValueError(f"template {label!r} has no mandatory words")
+    return Automaton(label, tuple(states), len(words), anchor_of(words))
 
 
 _SPLIT = re.compile(NON_ALNUM_RUN)
@@ -134,7 +200,10 @@ def split_words(text: str) -> list[str]:
 def scan_words(words: list[str], automata: list[Automaton], base=BASE) -> dict:
     """Base places, labels and score of one text."""
     at: dict[str, list[int]] = {}
-    firsts = {a.states[0].word for a in automata} | {p.split()[0] for p, _ in base}
+    present = set(words)
+    automata = [a for a in automata if a.anchor in present]
+    starts = [a.starts() for a in automata]
+    firsts = set().union(*starts, (p.split()[0] for p, _ in base))
     for k, w in enumerate(words):
         if w in firsts:
             at.setdefault(w, []).append(k)
@@ -146,8 +215,8 @@ def scan_words(words: list[str], automata: list[Automaton], base=BASE) -> dict:
         if found:
             base_labels.add(label)
     labels, score = set(base_labels), 1.0 if base_labels else 0.0
-    for a in automata:
-        for k in at.get(a.states[0].word, ()):
+    for a, begins in zip(automata, starts, strict=True):
+        for k in sorted(k for w in begins for k in at.get(w, ())):
             ok, share = a.match(words, k)
             score = max(score, share)
             if ok:
@@ -180,9 +249,10 @@ def _scan(batches: Iterable[pa.RecordBatch], templates) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_pylist(rows, schema=_OUT)
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, anchors=ANCHORS) -> DataFrame:
-    """Digest columns per row of ``docs``."""
+def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
+    """Digest columns per row of ``docs``. Bad templates raise ``ValueError`` before any row is read."""
     with_package(docs)
+    anchors = sorted({compile_template(*t).anchor for t in templates} | {anchor_of(p.split()) for p, _ in BASE})
     # A-Z count as word characters here, so texts split alike before lower-casing
     letters = NON_ALNUM_RUN.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")
     edge = letters.rstrip("+").replace("\\", "\\\\")

@@ -192,9 +192,77 @@ def test_templates():
     assert labels_of("copyright 2020 by them all rights reserved", "copyright <3> all rights reserved") == [0]
     assert labels_of("copyright a b c d all rights reserved", "copyright <3> all rights reserved") == []
     assert labels_of("a a b", "a <2> b") == [0, 1]
-    # every phrase and template holds an anchor, so the native test loses nothing
-    for line in [p for p, _ in license.BASE] + [t for _, t in license.TEMPLATES]:
-        assert set(re.sub(r"\[[^\]]*\]|<\d+>", " ", line).split()) & set(license.ANCHORS)
+
+
+def _stated_scan(text, templates):
+    """Labels and score by regular expressions and plain recursion over the markup."""
+    w = license.split_words(text or "")
+    line = "".join(f"{x} " for x in w)
+    labels = {label for p, label in license.BASE if re.search(r"(?<!\S)" + p + " ", line)}
+    score = float(bool(labels))
+    for label, markup in templates:
+        tokens = [t for t in re.split(r"\s+|(\[[^\]]*\])", markup) if t]
+        bare = [t for t in tokens if t[0] not in "[<"]
+        if max(bare[:8], key=len) not in w:
+            continue
+        one = lambda t: rf"(?:\S+ ){{0,{t[1:-1]}}}" if t[0] == "<" else t + " "
+        pattern = "".join(f"(?:{''.join(one(x) for x in t[1:-1].split())})?" if t[0] == "[" else one(t) for t in tokens)
+        if re.search(r"(?<!\S)" + pattern, line):
+            labels.add(label)
+            score = 1.0
+
+        def read(todo, k):
+            """Most mandatory words that can be read from place k on."""
+            if not todo:
+                return 0
+            t, rest = todo[0], todo[1:]
+            if isinstance(t, tuple):  # a word of an optional region
+                return read(rest, k + 1) if k < len(w) and w[k] == t[0] else 0
+            if t[0] == "[":
+                inner = [x if x[0] == "<" else (x,) for x in t[1:-1].split()]
+                return max(read(rest, k), read(inner + rest, k))
+            if t[0] == "<":
+                return max(read(rest, k + n) for n in range(min(int(t[1:-1]), len(w) - k) + 1))
+            return 1 + read(rest, k + 1) if k < len(w) and w[k] == t else 0
+
+        score = max([score, *(read(tokens, k) / len(bare) for k in range(len(w)))])
+    return ",".join(sorted(labels)), score
+
+
+def test_license_labels_and_scores_by_brute_force(spark):
+    """Regions at either end and in each other's way; texts drawn from the words of the templates."""
+    templates = (
+        ("opt-first", "[the] small license of <2> friends"),
+        ("fill-first", "<2> granted license [or <1> leave]"),
+        ("opt-row", "[a b] [c] license [d <2>] end"),
+        ("plain", "small license"),
+    )
+    rng = random.Random(5)
+    words = "the small license of friends granted or leave a b c d end under mit x".split()
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(14)))) for i in range(400)]
+    rows += [(900, "the small license of friends"), (901, "granted license"), (902, "a b c license d x end"), (903, "c license end"), (904, None), (905, "")]
+    got = {r.doc_id: (r.labels, r.score) for r in license.scan(documents(spark, rows), templates).collect()}
+    want = {i: _stated_scan(t, templates) for i, t in rows}
+    assert {i for i in want if got[i][0] != want[i][0] or abs(got[i][1] - want[i][1]) > 1e-12} == set()
+    assert got[900][0] == "opt-first,plain" and got[901][0] == "fill-first" and got[902][0] == "opt-row"
+
+
+def test_a_changed_condition_loses_the_label(spark):
+    fill = lambda t: " ".join(re.sub(r"\[[^\]]*\]", "", re.sub(r"<\d+>", "the authors", t)).split())
+    rows, want = [], {}
+    for n, (label, text) in enumerate([("mit-text", license.MIT_TEXT), ("isc", license.ISC_TEXT), *[t for t in license.TEMPLATES if t[0].startswith("bsd")]]):
+        whole = fill(text)
+        rows += [(10 * n, f"Head.\n{whole.upper()}!"), (10 * n + 1, whole.replace(" software", " hardware", 1)), (10 * n + 2, whole.rsplit(" ", 1)[0])]
+        want[10 * n] = label
+    got = {r.doc_id: (r.labels, r.score) for r in license.scan(documents(spark, rows)).collect()}
+    for i, (labels, score) in got.items():
+        assert labels == want.get(i, "") and (score == 1) == (i in want)
+
+
+def test_bad_license_templates_raise():
+    for markup in ("[all] <3>", "", "a [b [c] d]", "a [ b", "Upper case", "dash-ed word", "a <x>"):
+        with pytest.raises(ValueError):
+            license.compile_template("x", markup)
 
 
 def test_licenses_of_awkward_rows(spark):
