@@ -23,7 +23,7 @@ record side is measured small and splits hot cells on the point side.
 Nearest geometry
 ----------------
 Both sides are reprojected to a metric CRS and searched by keys and boxes
-alone. First each left row learns a reach: from the one right box that stands
+alone. First each left row learns a reach: from its distance to the one right vertex that stands
 for its cell on each of a few levels, so dense places give a short reach. Then it looks
 for right boxes within the reach in cells about as wide as the reach. The few
 pairs left get their geometries back, are measured exactly and reduced with
@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mapweave.functions import geometry as G
+from mapweave.operators import measure as M
 from mapweave.schema import check_for_duplicate_columns, is_geometry
 from mapweave.session import broadcast_limit, materialize, measured_bytes, sized_broadcast
 
@@ -248,10 +249,21 @@ CELLS_ACROSS = 4  # an area begins at the coarsest level with so many cells acro
 EDGES_PER_CELL = 8  # about so many edges of a border in one cell, where no cell size is given
 
 
-def measured_cell_size(edges: DataFrame) -> float:
-    """Cell size for these edges: a power of two of about ``EDGES_PER_CELL`` times their mean length."""
+def measured_cell_size(edges: DataFrame, key: str | None = None) -> float:
+    """Cell size for these edges: a power of two of about ``EDGES_PER_CELL`` times their mean length.
+
+    With the areas' ``key``, cells are at most about as wide as a ``CELLS_ACROSS``-th of the mean area: where
+    borders have few edges, a point should not meet all the areas of a wide cell.
+    """
     mean = edges.agg(F.avg(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1"))))).first()[0]
-    return 2.0 ** math.ceil(math.log2(EDGES_PER_CELL * mean)) if mean else 1.0
+    if not mean:
+        return 1.0
+    size = EDGES_PER_CELL * mean
+    if key is not None:
+        low, high = (lambda a: F.min(F.least(f"{a}1", f"{a}2"))), (lambda a: F.max(F.greatest(f"{a}1", f"{a}2")))
+        extents = edges.groupBy(_q(key)).agg(F.greatest(high("x") - low("x"), high("y") - low("y")).alias("__extent"))
+        size = min(size, extents.agg(F.avg("__extent")).first()[0] / CELLS_ACROSS)
+    return 2.0 ** math.ceil(math.log2(size))
 
 
 def _first_levels(e: DataFrame, cell_size: float, refine: int) -> tuple[int, DataFrame | None]:
@@ -337,7 +349,7 @@ def cell_index(
     border is. Only edges that meet in one vertex, or run side by side through a cell,
     stay together. The record table is written once and broadcast only if its measured rows fit.
     """
-    cell_size = float(cell_size) if cell_size else measured_cell_size(edges)
+    cell_size = float(cell_size) if cell_size else measured_cell_size(edges, key)
     e = edges.select(
         _q(key).alias("__key"), *EDGE_COLS, F.least("y1", "y2").alias("__miny"), F.greatest("y1", "y2").alias("__maxy")
     )
@@ -736,6 +748,21 @@ def edge_centroids(edges: DataFrame, key: str) -> DataFrame:
 # cell sizes of the search: the radius divided by powers of STEP, LEVELS of them
 STEP, LEVELS = 4, 7
 PAIR_EDGES = 4096  # vertex pairs up to which two geometries are measured in one row
+TASK_ROWS = 5000  # rows whose neighbours one task looks for, or pairs measured in one task
+SAMPLES = 8  # vertices that stand for a geometry where its reach is learned
+
+
+def _spread(df: DataFrame, *by: str) -> DataFrame:
+    """A staged ``df`` dealt by its number of rows: few bytes, but much work and memory for each."""
+    return df.repartition(df.count() // TASK_ROWS + 1, *by)
+
+
+def _samples(geom: str) -> Column:
+    """Up to ``SAMPLES`` vertices of a geometry, evenly spaced; NULL where it has none."""
+    return G.let(G.vertices(F.col(geom)), lambda v: F.when(F.size(v) > 0, F.transform(
+        F.sequence(F.lit(0), F.least(F.size(v), F.lit(SAMPLES)) - 1),
+        lambda i: F.get(v, F.floor(i * F.size(v) / F.least(F.size(v), F.lit(SAMPLES))).cast("int")),
+    )))
 
 
 def _cells_of_box(box: str, pad: Column | float, size: Column) -> Column:
@@ -756,6 +783,11 @@ def _extent(box: str) -> Column:
     return F.greatest(F.col(f"{box}.maxx") - F.col(f"{box}.minx"), F.col(f"{box}.maxy") - F.col(f"{box}.miny"))
 
 
+def _place(box: str) -> Column:
+    """The one vertex of a box without extent, as samples (NULL for other boxes)."""
+    return F.when(_extent(box) == 0, F.array(F.struct(F.col(f"{box}.minx").alias("x"), F.col(f"{box}.miny").alias("y"))))
+
+
 def _box_gap(a: str, b: str) -> Column:
     """Distance of two boxes: no two points of theirs are nearer."""
     dx = F.greatest(F.lit(0.0), F.col(f"{b}.minx") - F.col(f"{a}.maxx"), F.col(f"{a}.minx") - F.col(f"{b}.maxx"))
@@ -786,38 +818,41 @@ def _finest_level(width: Column, base: float) -> Column:
 def _reach_bounds(left: DataFrame, right: DataFrame, radius: float, base: float) -> DataFrame:
     """Left boxes ``(lk, b1)`` with ``reach``: some right geometry is surely no farther (the radius where none is known).
 
-    One right box stands for each cell of each level, so a left row meets at most
-    one box per level, however dense the right side is.
+    ``left`` holds ``lk, b1, v1`` and ``right`` ``v2``, a few vertices of either geometry. One right vertex
+    stands for each cell of each level, so a left vertex meets at most
+    one per level, however dense the right side is.
     """
     levels = F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("level")
 
-    def middles(df: DataFrame, box: str, *keep: str) -> DataFrame:
+    def placed(df: DataFrame, vertices: str, x: str, y: str, *keep: str) -> DataFrame:
         size = _size_of(F.col("level"), base)
-        at = [
-            F.floor((F.col(f"{box}.min{a}") + F.col(f"{box}.max{a}")) / 2 / size).cast("long").alias(n) for a, n in (("x", "c"), ("y", "r"))
-        ]
-        return df.select("*", levels).select(*keep, box, "level", *at)
-
-    one = middles(right, "b2").groupBy("level", "c", "r").agg(F.min("b2").alias("b2"))
-    met = middles(left, "b1", "lk").join(one, ["level", "c", "r"])
-    best = met.groupBy("lk").agg(F.min(_box_reach("b1", "b2")).alias("found"))
+        at = df.select(*keep, F.explode(vertices).alias("v")).select(*keep, F.col("v.x").alias(x), F.col("v.y").alias(y), levels)
+        return at.withColumn("c", F.floor(F.col(x) / size).cast("long")).withColumn("r", F.floor(F.col(y) / size).cast("long"))
+
+    # both coordinates of one row: any vertex of the cell will do, and plain numbers are aggregated by hash
+    one = placed(right, "v2", "x2", "y2").groupBy("level", "c", "r").agg(F.first("x2").alias("x2"), F.first("y2").alias("y2"))
+    met = placed(left, "v1", "x1", "y1", "lk").join(one, ["level", "c", "r"])
+    best = met.groupBy("lk").agg(F.min(F.hypot(F.col("x1") - F.col("x2"), F.col("y1") - F.col("y2"))).alias("found"))
     # a little more than the bound, for rounding
     reach = F.least(F.lit(radius), F.coalesce(F.col("found"), F.lit(radius)) * (1 + 1e-9) + 1e-6)
     return left.join(best, "lk", "left").select("lk", "b1", reach.alias("reach"))
 
 
 def _candidates(left: DataFrame, right: DataFrame, radius: float, base: float) -> DataFrame:
-    """Pairs ``(lk, rk, b1, b2)`` that may hold the nearest right geometry of a left one within the radius.
+    """Pairs ``(lk, rk, b1, b2, reach)`` that may hold the nearest right geometry of a left one within the radius.
 
     Further columns of ``right`` are carried.
 
     Work per left row follows the reach, not the density.
     """
-    return _box_pairs(materialize(_reach_bounds(left, right, radius, base), "nearest-bounds"), right, base)
+    left = left if "v1" in left.columns else left.withColumn("v1", _place("b1"))
+    right = right if "v2" in right.columns else right.withColumn("v2", _place("b2"))
+    bounds = materialize(_reach_bounds(_spread(left, "lk"), right, radius, base), "nearest-bounds")
+    return _box_pairs(_spread(bounds, "lk"), right.drop("v2"), base)
 
 
 def _box_pairs(bounded: DataFrame, right: DataFrame, base: float) -> DataFrame:
-    """Pairs ``(lk, rk, b1, b2)`` of boxes that are no farther apart than the left row's ``reach``.
+    """Pairs ``(lk, rk, b1, b2, reach)`` of boxes that are no farther apart than the left row's ``reach``; other columns are carried.
 
     A left row looks into the cells, about as wide as its reach, that its box
     touches when padded by the reach. Right rows lie in the cells of every level not
@@ -847,19 +882,20 @@ def _box_pairs(bounded: DataFrame, right: DataFrame, base: float) -> DataFrame:
         F.array(key(1, F.col("native"))),
     )
     more = [c for c in right.columns if c not in ("rk", "b2")]
-    asked = keyed(seeking, ask, "b1", F.col("reach"), "lk", "reach")
+    own = [c for c in bounded.columns if c not in ("lk", "b1", "reach")]
+    asked = keyed(seeking, ask, "b1", F.col("reach"), "lk", "reach", *own)
     offered = keyed(native, offer, "b2", F.lit(0.0), "rk", *more).drop("size")
     pairs = asked.join(offered, ["kind", "level", "c", "k"])
     begin_x = F.greatest(F.col("b1.minx") - F.col("reach"), F.col("b2.minx"))
     begin_y = F.greatest(F.col("b1.miny") - F.col("reach"), F.col("b2.miny"))
     here = (F.floor(begin_x / F.col("size")) == F.col("c")) & (F.floor(begin_y / F.col("size")) == F.col("k"))
-    return pairs.where(here & (_box_gap("b1", "b2") <= F.col("reach"))).select("lk", "rk", "b1", "b2", *more)
+    return pairs.where(here & (_box_gap("b1", "b2") <= F.col("reach"))).select("lk", "rk", "b1", "b2", "reach", *own, *more)
 
 
 def _nearest_pairs(left: DataFrame, right: DataFrame, radius: float, base: float, ties: Sequence[str], points: tuple[bool, bool]) -> DataFrame:
     """(lk, rk, d, x1, y1, x2, y2): the nearest right row within the radius of each left row that has one.
 
-    ``left`` holds ``lk, g1, b1, n1``, ``right`` holds ``rk, g2, b2, n2`` (vertices) and the tie columns. Keys and boxes
+    ``left`` holds ``lk, g1, b1, n1, v1``, ``right`` holds ``rk, g2, b2, n2, v2`` (number of vertices, samples) and the tie columns. Keys and boxes
     alone are searched; geometries join the few pairs that survive. Pairs of more than
     ``PAIR_EDGES`` vertex pairs are measured piece by piece. ``points`` asks
     for the closest point on either side.
@@ -867,36 +903,29 @@ def _nearest_pairs(left: DataFrame, right: DataFrame, radius: float, base: float
     # of right rows in one and the same place one stands for all
     order = F.struct(*[F.col(t) for t in ties], F.col("rk"))
     spots = right.where(_extent("b2") == 0).groupBy("b2").agg(F.min_by(F.struct("rk", *ties), order).alias("r")).select("r.*", "b2")
-    boxes = right.where(_extent("b2") > 0).select("rk", *ties, "b2").unionByName(spots)
+    shapes = right.where(_extent("b2") > 0).select("rk", *ties, "b2", "v2")
+    boxes = shapes.unionByName(spots.withColumn("v2", _place("b2")))
     if left.where(_extent("b1") > 0).isEmpty() and right.where(_extent("b2") > 0).isEmpty():
         # points only: their boxes are all there is to measure
         gap = _box_gap("b1", "b2")
         place = [F.struct(gap.alias("d"), F.col(f"{b}.minx").alias("x"), F.col(f"{b}.miny").alias("y")).alias(p) for b, p in (("b1", "p1"), ("b2", "p2"))]
         rank = F.struct(gap.alias("d"), *[F.col(t) for t in ties], F.col("rk"))
-        met = _candidates(left.select("lk", "b1"), boxes, radius, base).where(gap <= radius)
+        met = _candidates(left.select("lk", "b1", "v1"), boxes, radius, base).where(gap <= radius)
         return met.groupBy("lk").agg(F.min_by(F.struct("rk", *place), rank).alias("best")).select("lk", "best.*")
-    boxes = boxes.select("rk", "b2")
-    near = materialize(_candidates(left.select("lk", "b1"), boxes, radius, base), "nearest-candidates")
+    boxes = boxes.select("rk", "b2", "v2")
+    near = materialize(_candidates(left.select("lk", "b1", "v1"), boxes, radius, base), "nearest-candidates")
     closest = near.groupBy("lk").agg(F.min(_box_reach("b1", "b2")).alias("bound"))
-    kept = near.join(closest, "lk").where(_box_gap("b1", "b2") <= F.col("bound") * (1 + 1e-9) + 1e-6).select("lk", "rk")
+    kept = near.join(closest, "lk").where(_box_gap("b1", "b2") <= F.col("bound") * (1 + 1e-9) + 1e-6).select("lk", "rk", "reach")
     n_edges = [df.agg(F.max(n)).first()[0] or 0 for df, n in ((left, "n1"), (right, "n2"))]
-    wide = None
+    wide, tasks = None, near.count() // TASK_ROWS + 1
     if n_edges[0] * n_edges[1] > PAIR_EDGES:
         sized = kept.join(left.select("lk", "n1"), "lk").join(right.select("rk", "n2"), "rk")
-        sized = materialize(sized.select("lk", "rk", (F.col("n1") * F.col("n2") > PAIR_EDGES).alias("wide")), "nearest-sized")
-        wide, kept = sized.where("wide").select("lk", "rk"), sized.where("NOT wide").select("lk", "rk")
-    pairs = kept.join(left.select("lk", "g1"), "lk").join(right.select("rk", "g2", *ties), "rk")
-
-    both = (G.geom_kind(F.col("g1")) == "Point") & (G.geom_kind(F.col("g2")) == "Point")
-    gap = F.hypot(G.geom_x(F.col("g1")) - G.geom_x(F.col("g2")), G.geom_y(F.col("g1")) - G.geom_y(F.col("g2")))
-
-    def closest_point(g: str, other: str) -> Column:
-        plain = F.struct(gap.alias("d"), G.geom_x(F.col(g)).alias("x"), G.geom_y(F.col(g)).alias("y"))
-        return F.when(both, plain).otherwise(G.closest_on_first(g, other))
+        sized = materialize(sized.select("lk", "rk", "reach", (F.col("n1") * F.col("n2") > PAIR_EDGES).alias("wide")), "nearest-sized")
+        wide, kept = sized.where("wide").select("lk", "rk", "reach"), sized.where("NOT wide").select("lk", "rk")
+    # the right geometry comes first, so that the left row's own shuffle is the last one before its pairs are measured
+    pairs = kept.select("lk", "rk").join(right.select("rk", "g2", *ties), "rk").repartition(tasks, "lk").join(left.select("lk", "g1"), "lk")
 
-    measured = pairs.withColumn("p1", closest_point("g1", "g2"))
-    if points[1]:
-        measured = measured.withColumn("p2", closest_point("g2", "g1"))
+    measured = M.measured(pairs, "g1", "g2", points[1])
     if wide is not None:
         from mapweave.operators.pieces import pair_distances
 
@@ -957,12 +986,19 @@ def join_nearest_geometry(
     shape_1 = G.reproject(_q(column_name_1), epsg_1, epsg_meter_based)
     shape_2 = G.reproject(_q(column_name_2), epsg_2, epsg_meter_based)
     vertex_count = lambda g: F.size(G.vertices(g)).cast("long")
-    # reprojected and boxed once, on the staged copies
-    left_rows = _numbered(df_in_1.withColumn("__g1", shape_1).withColumn("__b1", G.bbox("__g1")).withColumn("__n1", vertex_count("__g1")), "__lk", key_columns, "nearest-left")
-    right_rows = _numbered(df_in_2.withColumn("__g2", shape_2).withColumn("__b2", G.bbox("__g2")).withColumn("__n2", vertex_count("__g2")), "__rk", None, "nearest-right")
-    left = left_rows.where("__g1 IS NOT NULL").select(F.col("__lk").alias("lk"), F.col("__g1").alias("g1"), F.col("__b1").alias("b1"), F.col("__n1").alias("n1"))
+    left_rows = _numbered(df_in_1, "__lk", key_columns, "nearest-left")
+    right_rows = _numbered(df_in_2, "__rk", None, "nearest-right")
     tied = [_q(c).alias(f"__t{i}") for i, c in enumerate(ties)]
-    right = right_rows.where("__g2 IS NOT NULL").select(F.col("__rk").alias("rk"), F.col("__g2").alias("g2"), F.col("__b2").alias("b2"), F.col("__n2").alias("n2"), *tied)
+
+    def shapes(rows: DataFrame, key: str, shape: Column, k: str, *more: Column) -> DataFrame:
+        """Key, geometry, box, number of vertices and samples, reprojected and boxed once, in tasks of few rows."""
+        g = f"g{k}"
+        dealt = _spread(rows).select(_q(f"__{key}").alias(key), shape.alias(g), *more).where(f"{g} IS NOT NULL")
+        columns = [G.bbox(g).alias(f"b{k}"), vertex_count(g).alias(f"n{k}"), _samples(g).alias(f"v{k}")]
+        return materialize(dealt.select("*", *columns), "nearest-shapes")
+
+    left = shapes(left_rows, "lk", shape_1, "1")
+    right = shapes(right_rows, "rk", shape_2, "2", *tied)
     names = [f"__t{i}" for i in range(len(ties))]
     wanted = (closest_point_column_1 is not None, closest_point_column_2 is not None)
     found = _nearest_pairs(left, right, radius, base, names, wanted)
@@ -970,7 +1006,7 @@ def join_nearest_geometry(
 
     right_side = right_rows.select("__rk", *[_q(c) for c in right_cols])
     matched = found.join(right_side, "__rk")
-    joined = left_rows.drop("__g1", "__b1", "__n1").join(matched, "__lk", "left" if how in ("leftouter", "fullouter") else "inner")
+    joined = left_rows.join(matched, "__lk", "left" if how in ("leftouter", "fullouter") else "inner")
     out = [_q(c) for c in left_cols + right_cols] + [F.col("p1.d").alias(distance_meter_column)]
     for column, point, crs in ((closest_point_column_1, "p1", epsg_1), (closest_point_column_2, "p2", epsg_2)):
         if column:
@@ -978,12 +1014,13 @@ def join_nearest_geometry(
             out.append(F.when(F.col(f"{point}.d").isNotNull(), G.point(x, y)).alias(column))
     result = joined.select(*out)
     if how in ("rightouter", "fullouter"):
-        # the same search from the right side tells which right rows have company
-        flip = _nearest_pairs(
-            right.select(F.col("rk").alias("lk"), F.col("g2").alias("g1"), F.col("b2").alias("b1"), F.col("n2").alias("n1")),
-            left.select(F.col("lk").alias("rk"), F.col("g1").alias("g2"), F.col("b1").alias("b2"), F.col("n1").alias("n2")),
-            radius, base, [], (False, False),
-        )
+        # the same search from the right side tells which right rows have company; a reach below the radius tells it at once
+        asking = right.select(F.col("rk").alias("lk"), *[F.col(f"{c}2").alias(f"{c}1") for c in "gbnv"])
+        company = left.select(F.col("lk").alias("rk"), *[F.col(f"{c}1").alias(f"{c}2") for c in "gbnv"])
+        known = materialize(_reach_bounds(_spread(asking.select("lk", "b1", "v1"), "lk"), company, radius, base), "company")
+        known = known.where(F.col("reach") < radius).select("lk")
+        flip = _nearest_pairs(materialize(asking.join(known, "lk", "left_anti"), "no-company-yet"), company, radius, base, [], (False, False))
+        flip = flip.select("lk").unionByName(known)
         alone = right_side.join(flip.select(F.col("lk").alias("__rk")), "__rk", "left_anti").drop("__rk")
         result = result.unionByName(alone, allowMissingColumns=True)
     return result
