@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mapweave.functions import geometry as G
+from mapweave.operators import measure as M
 from mapweave.operators import spatial as S
 from mapweave.schema import check_for_duplicate_columns, is_geometry
 from mapweave.session import materialize
@@ -20,6 +21,9 @@ from mapweave.session import materialize
 PIECE = 4
 FAN = 8
 TASK_PAIRS = 4096  # pairs of pieces measured in one task
+OPEN_ROWS = 8 * TASK_PAIRS  # pairs of nodes opened in one task
+MARGIN = 1e-6  # metres by which bounds are kept wider, for rounding
+FEW_EDGES = 4096  # vertices of an area whose edges are tested one after the other for a point
 
 
 def pieces(df: DataFrame, key: str, geom: str) -> DataFrame:
@@ -62,10 +66,19 @@ def _contained(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame
         probes = materialize(probes.where(within).select("lk", "rk", "px", "py"), "corner-probes")
         if probes.isEmpty():
             continue
-        asked = areal.join(probes.select(other).distinct(), other, "left_semi").withColumn("__area", F.col(other))
-        index = S.cell_index(S.area_edges(asked, area, "__area"), "__area", None, name="corner-records")
-        inside, on_edge = S.inside_record_sql("px", "py", "__Y")
-        met = S.locate(probes, "px", "py", index, match=(other, "__area")).where(F.expr(f"{inside} AND NOT {on_edge}"))
+        asked = areal.join(probes.select(other).distinct(), other, "left_semi")
+        # an area of few edges is tested as it is; one of many is described by the records of its cells
+        simple = F.size(G.vertices(F.col(area))) <= FEW_EDGES
+        few = probes.join(asked.where(simple).select(other, G.segments(area).alias("__e")), other)
+        _, on_edge = S.inside_record_sql("px", "py", "0D")
+        p = "named_struct('x', px, 'y', py)"
+        met = few.where(F.expr(f"{G._inside_sql(p, '__e')} AND NOT {on_edge}")).select("lk", "rk", "px", "py")
+        if not asked.where(~simple).isEmpty():
+            many = asked.where(~simple).withColumn("__area", F.col(other))
+            index = S.cell_index(S.area_edges(many, area, "__area"), "__area", None, name="corner-records")
+            inside, on_edge = S.inside_record_sql("px", "py", "__Y")
+            located = S.locate(probes, "px", "py", index, match=(other, "__area")).where(F.expr(f"{inside} AND NOT {on_edge}"))
+            met = met.unionByName(located.select("lk", "rk", "px", "py"))
         # a corner of the second geometry comes before one of the first
         here = met.select("lk", "rk", F.struct(F.lit(own == "lk").alias("late"), F.col("px").alias("x"), F.col("py").alias("y")).alias("p"))
         found = here if found is None else found.unionByName(here)
@@ -81,7 +94,7 @@ def pair_distances(
 
     ``p2`` is left out unless ``second``. ``pairs`` holds distinct ``lk, rk``, ``left`` ``lk, g1``, ``right`` ``rk, g2``. Pairs farther apart than
     ``radius`` have no row; with ``nearest_only`` those may go too that are surely not
-    the nearest of their ``lk`` (all equally near ones stay). Crossing, touching and contained geometries have
+    the nearest of their ``lk`` (all equally near ones stay); a column ``reach`` of ``pairs`` tells how far that is at most. Crossing, touching and contained geometries have
     distance 0. Rows without a geometry have no result.
 
     Branch and bound: each round opens the nodes of both trees that are left, one equi-join each, learns per
@@ -104,25 +117,33 @@ def pair_distances(
         depth += 1
     trees = [materialize(_tree(p, key, depth), "piece-tree") for p, key in zip(sides, ("lk", "rk"), strict=True)]
     by = ["lk"] if nearest_only else ["lk", "rk"]
-    front = apart.select("lk", "rk", F.lit(0).alias("up1"), F.lit(0).alias("up2"))
+    limit = F.least(F.col("reach"), F.lit(float(radius))) if "reach" in pairs.columns else F.lit(float(radius))
+    front = apart.select("lk", "rk", F.lit(0).alias("up1"), F.lit(0).alias("up2"), limit.alias("limit"), F.lit(None).cast("struct<minx:double,miny:double,maxx:double,maxy:double>").alias("q2"))
+    if nearest_only:  # beside a pair of distance 0 only others of that distance count
+        settled = contained.select("lk").distinct().withColumn("settled", F.lit(MARGIN))
+        front = front.join(settled, "lk", "left").withColumn("limit", F.least("limit", "settled")).drop("settled")
     for level in reversed(range(depth)):
-        for tree, key, k in zip(trees, ("lk", "rk"), "12", strict=True):
-            up = F.floor(F.col("n") / FAN).cast("int").alias(f"up{k}")
-            nodes = tree.where(F.col("level") == level).select(key, up, F.col("n").alias(f"n{k}"), F.col("box").alias(f"b{k}"), F.col("v").alias(f"v{k}"))
-            front = front.join(nodes, [key, f"up{k}"])
+        first, second_nodes = (
+            tree.where(F.col("level") == level).select(key, F.floor(F.col("n") / FAN).cast("int").alias(f"up{k}"), F.col("n").alias(f"n{k}"), F.col("box").alias(f"b{k}"), F.col("v").alias(f"v{k}"))
+            for tree, key, k in zip(trees, ("lk", "rk"), "12", strict=True)
+        )
+        # one side's nodes are held against the other's parent first, so that few of their products are made
+        opening = front.join(first, ["lk", "up1"]).where(F.col("q2").isNull() | (S._box_gap("b1", "q2") <= F.col("limit")))
+        opening = opening.join(second_nodes, ["rk", "up2"])
         gap, reach = S._box_gap("b1", "b2").alias("gap"), F.expr("hypot(v1.x - v2.x, v1.y - v2.y)").alias("reach")
-        opened = materialize(front.select("lk", "rk", "n1", "n2", gap, reach).where(F.col("gap") <= radius), "open-boxes")
+        opened = materialize(opening.select("lk", "rk", "n1", "n2", gap, reach, "limit", F.col("b2").alias("q2")).where(F.col("gap") <= F.col("limit")), "open-boxes")
         bound = opened.groupBy(*by).agg(F.min("reach").alias("bound"))
         # a little more than the bound, for rounding
-        near = opened.join(bound, by).where("gap <= bound * (1 + 1e-9) + 1e-6")
-        front = near.select("lk", "rk", F.col("n1").alias("up1"), F.col("n2").alias("up2"))
+        near = opened.join(bound, by).withColumn("limit", F.least(F.col("limit"), F.col("bound") * (1 + 1e-9) + MARGIN)).where("gap <= limit")
+        front = near.select("lk", "rk", F.col("n1").alias("up1"), F.col("n2").alias("up2"), "limit", "q2")
+        front = front.repartition(opened.count() // OPEN_ROWS + 1, "lk", "up1")
     a = sides[0].select("lk", F.col("n").alias("up1"), F.col("piece").alias("s1"))
     b = sides[1].select("rk", F.col("n").alias("up2"), F.col("piece").alias("s2"))
     # few bytes, much arithmetic: spread by the number of rows
+    front = front.select("lk", "rk", "up1", "up2")
     front = front.repartition(front.count() // TASK_PAIRS + 1, "lk", "rk", "up1")
-    met = front.join(a, ["lk", "up1"]).join(b, ["rk", "up2"]).select("lk", "rk", "up1", "s1", "s2")
-    found = [G.closest_on_first("s1", "s2").alias("p1"), G.closest_on_first("s2", "s1").alias("p2")]
-    best = met.select("lk", "rk", F.struct(*found[: len(ends)]).alias("p"))
+    met = front.join(a, ["lk", "up1"]).join(b, ["rk", "up2"]).select("lk", "rk", "s1", "s2")
+    best = M.measured(met, "s1", "s2", second).select("lk", "rk", F.struct(*ends).alias("p"))
     best = best.groupBy("lk", "rk").agg(F.min("p").alias("p")).select("lk", "rk", "p.*")
     return best.where(F.col("p1.d") <= radius).unionByName(inside)
 
@@ -138,11 +159,11 @@ def intersecting_pairs(left: DataFrame, right: DataFrame, tolerance: float = 0.0
     a = materialize(pieces(left, "lk", "g1").withColumnsRenamed({"piece": "s1", "box": "b1"}), "pieces")
     b = materialize(pieces(right, "rk", "g2").withColumnsRenamed({"piece": "s2", "box": "b2"}), "pieces")
     widest = max(p.agg(F.max(S._extent(box))).first()[0] or 0.0 for p, box in ((a, "b1"), (b, "b2")))
-    asked = a.select(F.struct("lk", "n").alias("lk"), "b1", F.lit(float(tolerance)).alias("reach"))
-    met = S._box_pairs(asked, b.select(F.struct("rk", "n").alias("rk"), "b2"), widest or 1.0)
-    met = met.select(F.col("lk.lk").alias("lk"), F.col("lk.n").alias("m1"), F.col("rk.rk").alias("rk"), F.col("rk.n").alias("m2"))
-    tested = met.join(a.select("lk", F.col("n").alias("m1"), "s1"), ["lk", "m1"]).join(b.select("rk", F.col("n").alias("m2"), "s2"), ["rk", "m2"])
-    touching = tested.where(G.distance("s1", "s2") <= tolerance).select("lk", "rk")
+    # pieces go with their boxes: there are far more pairs than pieces
+    asked = S._spread(a).select(F.struct("lk", "n").alias("lk"), "b1", F.lit(float(tolerance)).alias("reach"), "s1")
+    met = S._box_pairs(asked, b.select(F.struct("rk", "n").alias("rk"), "b2", "s2"), widest or 1.0)
+    tested = met.select(F.col("lk.lk").alias("lk"), F.col("rk.rk").alias("rk"), "s1", "s2")
+    touching = M.measured(tested, "s1", "s2").where(F.col("p1.d") <= tolerance).select("lk", "rk")
 
     def holding(areas: DataFrame, key: str, geom: str, others: DataFrame, own: str, g: str) -> DataFrame:
         areal = areas.where(G.geom_kind(geom).isin("Polygon", "MultiPolygon")).select(key, geom)
