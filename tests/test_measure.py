@@ -2,10 +2,12 @@
 
 import random
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mapweave.functions import geometry as G
 from mapweave.operators import measure as M
+from mapweave.operators import spatial as S
 from mapweave.schema import GEOM_TYPE
 
 
@@ -45,3 +47,14 @@ def test_arrays_measure_what_the_expression_measures(spark):
         assert sorted(M.measured(pairs, "a", "b").collect()) == sorted(want.drop("p2").collect())
     finally:
         M.STEP_TESTS = small
+
+
+def test_cells_are_no_wider_than_areas_of_few_edges(spark):
+    ring = F.array(*[G.vertex(F.lit(float(x)), F.lit(float(y))) for x, y in ((0, 0), (3000, 0), (3000, 3000), (0, 3000), (0, 0))])
+    edges = S.area_edges(spark.range(1).select(F.lit(1).alias("k"), G.polygon(ring).alias("g")), "g", "k")
+    assert S.cell_index(edges, "k").grid.cell_size <= 1024
+
+
+def test_search_is_dealt_by_rows(spark):
+    # one file of many rows used to be one task, whose memory grew with the rows
+    assert S._spread(spark.range(4 * S.TASK_ROWS + 1, numPartitions=1)).rdd.getNumPartitions() == 5
