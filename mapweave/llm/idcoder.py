@@ -336,7 +336,7 @@ def _documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(row["doc_ids"], pa.int64()),
-                    pa.array(bounds[:-1] + row["start"], pa.int64()),
+                    pa.array(bounds[:-1].astype(np.int64) + row["start"], pa.int64()),  # starts pass 31 bits
                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())),
                 ],
                 names=["doc_id", "start", "ids"],

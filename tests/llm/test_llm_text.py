@@ -14,6 +14,7 @@ pytest.importorskip("mapweave.llm")
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from llm_data import ROWS, documents, labels, sorted_rows
 from mapweave.llm import bpe, idcoder, jaccard, license, secrets, toxicity
@@ -101,6 +102,16 @@ def test_token_files_of_awkward_rows(spark, tmp_path):
     assert idcoder.digests(spark, empty).count() == 0
 
 
+def test_token_files_start_beyond_31_bits(spark, tmp_path, monkeypatch):
+    path, before = str(tmp_path / "ids"), 3 * 2**31
+    idcoder.write_ids(documents(spark), PATH, path)
+    plain = {(r.start + before, r.n_tokens, r.ids_crc32) for r in idcoder.digests(spark, path).collect()}
+    with_starts = idcoder._with_starts
+    monkeypatch.setattr(idcoder, "_with_starts", lambda *a: with_starts(*a).withColumn("start", F.col("start") + before))
+    assert {(r.start, r.n_tokens, r.ids_crc32) for r in idcoder.digests(spark, path).collect()} == plain
+    assert min(r.start for r in idcoder.read_ids(spark, path).collect()) == before
+
+
 # ------------------------------------------------------------------ similarity join
 
 
