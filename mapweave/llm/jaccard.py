@@ -15,9 +15,13 @@ global order puts elements by the number of documents that have them, rare ones
 first. A set whose prefix has only elements of its own links with nothing; this is
 settled by one count over all elements (:func:`_dealt`, packed arrays, one entry
 for each distinct element of a slice, so frequent elements are combined before
-the shuffle). What is left forms lists. A list does not emit its pairs: sorted by
+the shuffle). What is left forms lists and parts. A set's parts are its elements in ranges of
+values, more ranges than two linked sets can differ in elements, so linked sets have equal
+parts (:func:`part_keys`); sets that are joined by equal parts form a sieve, and only sets
+of one piece of it meet in a list. A list does not emit its pairs: sorted by
 size, neighbours whose sizes may link are chained, which tells the candidate groups;
-lists of frequent elements are salted and their heads chained again. The sets
+lists of frequent elements are salted and their heads chained again. Without the sieve, elements that unrelated
+texts share by chance would join more and more of them as the table grows. The sets
 of a candidate group then meet, and the exact overlaps are counted there from the
 inverted lists of the group. Groups over ``GROUP_SETS`` sets or ``GROUP_ITEMS``
 elements are split into blocks, and every two blocks meet in a task of their
@@ -33,7 +37,9 @@ gives no rows. Extra columns are not read.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import combinations
 from math import comb
 
@@ -88,6 +94,53 @@ def boundary(least: int = LEAST) -> int:
     return n
 
 
+# ------------------------------------------------------------------ equal parts of linked sets
+
+
+@lru_cache(maxsize=64)
+def size_classes(top: int, least: int = LEAST) -> tuple[int, ...]:
+    """First sizes of the classes up to that of ``top`` and of the two after it; linked sets are of one class or of neighbours."""
+    firsts = [1]
+    while firsts[-1] <= top:
+        firsts.append(100 * firsts[-1] // least + 1)
+    return (*firsts, 100 * firsts[-1] // least + 1)
+
+
+@lru_cache(maxsize=1024)
+def part_bounds(last: int, least: int = LEAST) -> tuple[np.ndarray, int]:
+    """Lower bounds of the parts for a class that ends at size ``last``, and how many of them may be left out.
+
+    Linked sets, the smaller of that class, differ in ``differ`` elements at most, so of
+    ``differ + 1 + spare`` parts at least ``spare + 1`` are equal.
+    """
+    differ = (last + 100 * last // least) * (100 - least) // (100 + least)
+    spare = differ // 8 + 1
+    parts = differ + 1 + spare
+    return np.array([(k << 64) // parts for k in range(parts)], np.uint64), spare
+
+
+def part_keys(s: np.ndarray, least: int = LEAST) -> np.ndarray:
+    """Hashes of the parts of a sorted set; linked sets have one in common.
+
+    Once with the parts of its size class, once with those of the class before. The smallest parts tell least and
+    are left out: fewer than any linked set has in common with this one, so the largest
+    equal part is kept on both sides.
+    """
+    firsts = size_classes(1 << len(s).bit_length(), least)
+    own = bisect_right(firsts, len(s)) - 1
+    out = []
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(s ^ np.uint64(0x9E3779B97F4A7C15)))])
+        for c in range(max(0, own - 1), own + 1):
+            bounds, spare = part_bounds(firsts[c + 1] - 1, least)
+            at = np.append(np.searchsorted(s, bounds), len(s))
+            size = np.diff(at)
+            kept = np.flatnonzero(size >= np.partition(size, spare)[spare])
+            place = (np.uint64(c) << np.uint64(40)) + kept.astype(np.uint64)
+            out.append(mix64((sums[at[kept + 1]] - sums[at[kept]]) ^ mix64(place + np.uint64(1))))
+    return np.concatenate(out)
+
+
 # ------------------------------------------------------------------ sets of one slice of texts
 
 
@@ -291,7 +344,7 @@ def _subset_rows(s: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
 
 
 def _lists(batches: Iterable[pa.RecordBatch], frequent, least: int, small: int, shingle: int) -> Iterator[pa.RecordBatch]:
-    """Rows of the inverted lists: ``kind`` 0 for subsets of small sets, 1 for prefix elements.
+    """Rows of the inverted lists: ``kind`` 0 for subsets of small sets, 1 for prefix elements, 2 for parts.
 
     ``part`` is the smaller size of a subset key, or the salt of a frequent element.
     """
@@ -299,7 +352,7 @@ def _lists(batches: Iterable[pa.RecordBatch], frequent, least: int, small: int,
     often_t, often_n = frequent.value
     for batch in batches:
         for rows in text_slices(batch):
-            light, heavy = [], []
+            light, heavy, parts = [], [], []
             for node, s in zip(rows.column("doc_id").to_pylist(), shingle_sets(rows.column("text"), shingle), strict=True):
                 n = len(s)
                 if not n:
@@ -316,8 +369,15 @@ def _lists(batches: Iterable[pa.RecordBatch], frequent, least: int, small: int,
                     salt = int(mix64(np.array([node], np.int64).view(np.uint64))[0] % np.uint64(SALTS)) + 1
                     part = np.where(count[first] >= HOT_LIST, salt, 0)
                     heavy += [(1, t, p, n, node) for t, p in zip(s[first].view(np.int64).tolist(), part.tolist(), strict=True)]
+                    parts.append((node, n, part_keys(s, least).view(np.int64)))
             cols = list(zip(*light, *heavy, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+            if parts:
+                times = [len(keys) for *_, keys in parts]
+                token = np.concatenate([keys for *_, keys in parts])
+                node, n = (np.repeat([p[k] for p in parts], times) for k in (0, 1))
+                cols = (np.full(len(token), 2), token, np.zeros(len(token), int), n, node)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
 
 def _chained(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -475,11 +535,17 @@ def link(docs: DataFrame, least: int = LEAST, shingle: int = SHINGLE) -> DataFra
     heads = keys.where("n = part").groupBy("token").agg(F.min("node").alias("head"))
     light = stage(keys.join(heads, "token").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")))
 
+    # sieve: what equal parts join; linked sets stay together
+    parts = lists.where("kind = 2").select("token", "node")
+    firsts = parts.groupBy("token").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b < last")
+    sieve = stage(connected_components(parts.join(firsts, "token").select(F.col("node").alias("a"), "b")))
+
     # heavy: sets of one list whose sizes may link are chained; heads of salted lists once more
     linked_sizes = f"before IS NOT NULL AND before <> node AND 100 * n_before >= {least} * n"
-    chain = _chained(lists.where("kind = 1"), ["token", "part"])
-    salted = chain.where("part > 0 AND (n_before IS NULL OR n_before < n)").select("token", "n", "node")
-    again = _chained(salted, ["token"])
+    sieved = lists.where("kind = 1").join(sized(sieve.withColumnRenamed("comp", "piece")), "node")
+    chain = _chained(sieved, ["token", "piece", "part"])
+    salted = chain.where("part > 0 AND (n_before IS NULL OR n_before < n)").select("token", "piece", "n", "node")
+    again = _chained(salted, ["token", "piece"])
     ends = [F.col("node").alias("a"), F.col("before").alias("b")]
     near = chain.where(linked_sizes).select(*ends).unionByName(again.where(linked_sizes).select(*ends))
     groups = stage(connected_components(near))

@@ -167,6 +167,38 @@ def test_links_against_brute_force(spark, monkeypatch, seed, bounds):
     assert got == sorted(_components(rows), key=lambda r: tuple((x is not None, str(type(x)), str(x)) for x in r))
 
 
+@pytest.mark.parametrize("least", [80, 90, 100])
+def test_linked_sets_have_an_equal_part(least):
+    rng = np.random.default_rng(least)
+    for n in [*range(1, 70), 150, 400, 1000, 3001]:
+        pool = np.unique(rng.integers(0, 2**64, 3 * n + 20, dtype=np.uint64))
+        base, others = np.sort(pool[rng.permutation(len(pool))[:n]]), rng.permutation(len(pool))
+        fresh = np.setdiff1d(pool[others], base, assume_unique=True)
+        for b in {n, 100 * n // least, (n + 100 * n // least) // 2}:
+            gone = n - jaccard.shared(n, b, least)  # as many changes as a link allows
+            for lost in (rng.permutation(n)[:gone], np.linspace(0, n - 1, gone).astype(int) if gone else []):
+                other = np.sort(np.concatenate([np.delete(base, lost), fresh[: b - (n - len(set(lost)))]]))
+                assert np.intersect1d(jaccard.part_keys(base, least), jaccard.part_keys(other, least)).size, (n, b)
+
+
+def test_elements_shared_by_chance_join_no_group(spark, monkeypatch):
+    words = [f"w{k}" for k in range(40 * 90 + 30)]
+    texts = [" ".join(words[90 * k : 90 * k + 120]) for k in range(40)]  # each shares 30 words with the next
+    rows = [(2 * k + twin, t) for k, t in enumerate(texts) for twin in (0, 1)]  # twins: none has elements of its own
+    rows += [(200, texts[7] + " one"), (201, texts[7].replace("w640 ", ""))]
+    met, stage = [], jaccard.stage
+
+    def watched(df):
+        out = stage(df)
+        met.extend(r.doc_id for r in out.collect() if "blocks" in out.columns)
+        return out
+
+    monkeypatch.setattr(jaccard, "stage", watched)
+    got = {r.doc_id: r.component_id for r in jaccard.link(documents(spark, rows)).collect()}
+    assert got == {i: 14 if i >= 200 else i - i % 2 for i, _ in rows}
+    assert sorted(met) == [14, 200, 201]  # before, nearly all texts met in one group
+
+
 def test_links_of_awkward_rows(spark):
     got = sorted_rows(jaccard.link(documents(spark)).select("doc_id", "n_shingles", "component_id"))
     assert got == sorted(_components(ROWS), key=lambda r: tuple((x is not None, str(type(x)), str(x)) for x in r))
