@@ -15,13 +15,13 @@ global order puts elements by the number of documents that have them, rare ones
 first. A set whose prefix has only elements of its own links with nothing; this is
 settled by one count over all elements (:func:`_dealt`, packed arrays, one entry
 for each distinct element of a slice, so frequent elements are combined before
-the shuffle). What is left forms lists and parts. A set's parts are its elements in ranges of
-values, more ranges than two linked sets can differ in elements, so linked sets have equal
-parts (:func:`part_keys`); sets that are joined by equal parts form a sieve, and only sets
-of one piece of it meet in a list. A list does not emit its pairs: sorted by
+the shuffle). What is left forms lists. A list does not emit its pairs: sorted by
 size, neighbours whose sizes may link are chained, which tells the candidate groups;
-lists of frequent elements are salted and their heads chained again. Without the sieve, elements that unrelated
-texts share by chance would join more and more of them as the table grows. The sets
+lists of frequent elements are salted and their heads chained again. Elements that unrelated
+texts share by chance join more and more of them as the table grows, so a group too large for one task is
+sieved: a set's parts are its elements in ranges of values, more ranges than two linked
+sets can differ in elements, so linked sets have equal parts (:func:`part_keys`), and
+what equal parts join is a group of its own. The sets
 of a candidate group then meet, and the exact overlaps are counted there from the
 inverted lists of the group. Groups over ``GROUP_SETS`` sets or ``GROUP_ITEMS``
 elements are split into blocks, and every two blocks meet in a task of their
@@ -344,7 +344,7 @@ def _subset_rows(s: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
 
 
 def _lists(batches: Iterable[pa.RecordBatch], frequent, least: int, small: int, shingle: int) -> Iterator[pa.RecordBatch]:
-    """Rows of the inverted lists: ``kind`` 0 for subsets of small sets, 1 for prefix elements, 2 for parts.
+    """Rows of the inverted lists: ``kind`` 0 for subsets of small sets, 1 for prefix elements.
 
     ``part`` is the smaller size of a subset key, or the salt of a frequent element.
     """
@@ -352,7 +352,7 @@ def _lists(batches: Iterable[pa.RecordBatch], frequent, least: int, small: int,
     often_t, often_n = frequent.value
     for batch in batches:
         for rows in text_slices(batch):
-            light, heavy, parts = [], [], []
+            light, heavy = [], []
             for node, s in zip(rows.column("doc_id").to_pylist(), shingle_sets(rows.column("text"), shingle), strict=True):
                 n = len(s)
                 if not n:
@@ -369,15 +369,20 @@ def _lists(batches: Iterable[pa.RecordBatch], frequent, least: int, small: int,
                     salt = int(mix64(np.array([node], np.int64).view(np.uint64))[0] % np.uint64(SALTS)) + 1
                     part = np.where(count[first] >= HOT_LIST, salt, 0)
                     heavy += [(1, t, p, n, node) for t, p in zip(s[first].view(np.int64).tolist(), part.tolist(), strict=True)]
-                    parts.append((node, n, part_keys(s, least).view(np.int64)))
             cols = list(zip(*light, *heavy, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
-            if parts:
-                times = [len(keys) for *_, keys in parts]
-                token = np.concatenate([keys for *_, keys in parts])
-                node, n = (np.repeat([p[k] for p in parts], times) for k in (0, 1))
-                cols = (np.full(len(token), 2), token, np.zeros(len(token), int), n, node)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+
+def _parts(batches: Iterable[pa.RecordBatch], least: int, shingle: int) -> Iterator[pa.RecordBatch]:
+    """Part keys of the sets of groups."""
+    for batch in batches:
+        for rows in text_slices(batch):
+            keys = [part_keys(s, least) if len(s) else s for s in shingle_sets(rows.column("text"), shingle)]
+            owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+            token = pa.array(np.concatenate(keys).view(np.int64), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("comp").take(pa.array(owner)), token, rows.column("doc_id").take(pa.array(owner))], names=["comp", "token", "node"]
+            )
 
 
 def _chained(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -386,6 +391,13 @@ def _chained(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.withColumn("before", F.lag("node").over(w)).withColumn("n_before", F.lag("n").over(w))
 
 
+def _in_blocks(groups: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``doc_id, comp, blocks``: the members of groups ``node, comp`` and how many blocks their group is split into."""
+    bounds = groups.join(sizes, "node").groupBy("comp").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("items"))
+    blocks = F.expr(f"CAST(ceil(greatest(sets / {GROUP_SETS}, items / {GROUP_ITEMS})) AS int)")
+    return groups.join(bounds.select("comp", blocks.alias("blocks")), "comp").select(F.col("node").alias("doc_id"), "comp", "blocks")
+
+
 # ------------------------------------------------------------------ verification of one group
 
 
@@ -535,27 +547,29 @@ def link(docs: DataFrame, least: int = LEAST, shingle: int = SHINGLE) -> DataFra
     heads = keys.where("n = part").groupBy("token").agg(F.min("node").alias("head"))
     light = stage(keys.join(heads, "token").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")))
 
-    # sieve: what equal parts join; linked sets stay together
-    parts = lists.where("kind = 2").select("token", "node")
-    firsts = parts.groupBy("token").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b < last")
-    sieve = stage(connected_components(parts.join(firsts, "token").select(F.col("node").alias("a"), "b")))
-
     # heavy: sets of one list whose sizes may link are chained; heads of salted lists once more
     linked_sizes = f"before IS NOT NULL AND before <> node AND 100 * n_before >= {least} * n"
-    sieved = lists.where("kind = 1").join(sized(sieve.withColumnRenamed("comp", "piece")), "node")
-    chain = _chained(sieved, ["token", "piece", "part"])
-    salted = chain.where("part > 0 AND (n_before IS NULL OR n_before < n)").select("token", "piece", "n", "node")
-    again = _chained(salted, ["token", "piece"])
+    chain = _chained(lists.where("kind = 1"), ["token", "part"])
+    salted = chain.where("part > 0 AND (n_before IS NULL OR n_before < n)").select("token", "n", "node")
+    again = _chained(salted, ["token"])
     ends = [F.col("node").alias("a"), F.col("before").alias("b")]
     near = chain.where(linked_sizes).select(*ends).unionByName(again.where(linked_sizes).select(*ends))
     groups = stage(connected_components(near))
     release()
 
-    weighed = groups.join(classes.groupBy(F.col("rep").alias("node")).agg(F.sum("n").alias("n")), "node")
-    bounds = weighed.groupBy("comp").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("items"))
-    blocks = F.expr(f"CAST(ceil(greatest(sets / {GROUP_SETS}, items / {GROUP_ITEMS})) AS int)")
-    member = groups.join(bounds.select("comp", blocks.alias("blocks")), "comp").select(F.col("node").alias("doc_id"), "comp", "blocks")
-    sets = texts.join(sized(stage(member)), "doc_id").mapInArrow(
+    sizes = classes.groupBy(F.col("rep").alias("node")).agg(F.sum("n").alias("n"))
+    member = stage(_in_blocks(groups, sizes))
+    large = stage(member.where("blocks > 1").select("doc_id", "comp"))
+    if not large.isEmpty():
+        # sieve: sets of a large group that equal parts join; linked sets stay together
+        parts, release = staged_table(
+            texts.join(sized(large), "doc_id").mapInArrow(lambda b: _parts(b, least, shingle), "comp bigint, token bigint, node bigint"), "parts"
+        )
+        firsts = parts.groupBy("comp", "token").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b < last")
+        pieces = stage(connected_components(parts.join(firsts, ["comp", "token"]).select(F.col("node").alias("a"), "b")))
+        release()
+        member = stage(member.where("blocks = 1").unionByName(_in_blocks(pieces, sizes)))
+    sets = texts.join(sized(member), "doc_id").mapInArrow(
         lambda b: _sets(b, shingle), "comp bigint, i int, j int, side int, node bigint, blob binary"
     )
     met = sets.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")

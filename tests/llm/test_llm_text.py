@@ -190,13 +190,17 @@ def test_elements_shared_by_chance_join_no_group(spark, monkeypatch):
 
     def watched(df):
         out = stage(df)
-        met.extend(r.doc_id for r in out.collect() if "blocks" in out.columns)
+        if "blocks" in out.columns:
+            met.append({r.doc_id: (r.comp, r.blocks) for r in out.collect()})
         return out
 
     monkeypatch.setattr(jaccard, "stage", watched)
+    monkeypatch.setattr(jaccard, "GROUP_SETS", 5)
     got = {r.doc_id: r.component_id for r in jaccard.link(documents(spark, rows)).collect()}
     assert got == {i: 14 if i >= 200 else i - i % 2 for i, _ in rows}
-    assert sorted(met) == [14, 200, 201]  # before, nearly all texts met in one group
+    assert max(blocks for _, blocks in met[0].values()) > 1  # chained by chance
+    assert {blocks for _, blocks in met[-1].values()} == {1}
+    assert len({met[-1][i][0] for i in (14, 200, 201)}) == 1
 
 
 def test_links_of_awkward_rows(spark):
