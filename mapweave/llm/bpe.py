@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -55,7 +56,10 @@ def tokenizer(path: str):
     return tok
 
 
-# ids of words seen before by this process, as bytes; forgotten when there are too many
+# letters that stay single letters when lower-cased and composed; words of them are one match of the split pattern
+PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
+
+# ids of words seen before by this process, as bytes; when there are too many, those not in use are forgotten
 _KNOWN: dict[int, dict[str, bytes]] = {}
 _PLACES: dict[int, dict[str, tuple]] = {}
 _SHAPES: dict[int, tuple] = {}
@@ -81,32 +85,34 @@ def _bytes_of(ids: list[int]) -> bytes:
 def _split_tail(word: str) -> tuple[str, str]:
     """``(body, tail)`` whose ids are those of ``word`` one after the other.
 
-    ASCII letters are lower-cased by the vocabulary's normaliser anyway, and a full stop or
-    comma after letters is a match of its own; special tokens are left as they are.
+    Plain and ASCII letters are lower-cased by the vocabulary's normaliser anyway, and a full stop
+    or comma after plain letters is a match of its own; special tokens are left as they are.
     """
-    if not word.isascii() or "<|" in word:
-        return word, ""
-    body = word.lower()
-    if body and body[-1] in ".," and body[:-1].isalpha():
-        return body[:-1], body[-1]
-    return body, ""
+    if word.endswith((".", ",")) and PLAIN.fullmatch(word, 0, len(word) - 1):
+        return word[:-1].lower(), word[-1]
+    if PLAIN.fullmatch(word) or (word.isascii() and "<|" not in word):
+        return word.lower(), ""
+    return word, ""
 
 
 def encode_words(tok, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all words one after the other, and the bounds of each word."""
     known = _KNOWN.setdefault(id(tok), {})
+    split = [_split_tail(w) for w in words.to_pylist()]
+    used = {w for pair in split for w in pair}
     if len(known) > KNOWN_WORDS:
+        kept = {w: known[w] for w in used if w in known}
         known.clear()
+        known.update(kept)
     known[""] = b""
-    split = [_split_tail(w) for w in words.to_pylist()]
-    fresh = list({w for pair in split for w in pair if w and w not in known})
-    # words of ASCII letters are one match each, so they can go to the library by the line and come back by their word ends
-    plain = [w for w in fresh if w.isascii() and w.isalpha()]
+    fresh = [w for w in used if w not in known]
+    # plain words are one match each, so they can go to the library by the line and come back by their word ends
+    plain = [w for w in fresh if PLAIN.fullmatch(w)]
     lines = [plain[k : k + LINE] for k in range(0, len(plain), LINE)]
     _, ends = _token_shapes(tok)
     for k in range(0, len(lines), ENCODE_BATCH // LINE):
         some = lines[k : k + ENCODE_BATCH // LINE]
-        for line, e in zip(some, tok.encode_batch([" ".join(x) for x in some], add_special_tokens=False), strict=True):
+        for line, e in zip(some, tok.encode_batch_fast([" ".join(x) for x in some], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, "<i4")
             stops = (np.flatnonzero(ends[ids]) + 1).tolist()
             raw, at = ids.tobytes(), 0
@@ -116,7 +122,7 @@ def encode_words(tok, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     other = [w for w in fresh if w not in known]
     for k in range(0, len(other), ENCODE_BATCH):
         some = other[k : k + ENCODE_BATCH]
-        known.update((w, _bytes_of(e.ids)) for w, e in zip(some, tok.encode_batch(some, add_special_tokens=False), strict=True))
+        known.update((w, _bytes_of(e.ids)) for w, e in zip(some, tok.encode_batch_fast(some, add_special_tokens=False), strict=True))
     found = [known[body] + known[tail] if tail else known[body] for body, tail in split]
     bounds = np.zeros(len(found) + 1, np.int64)
     np.cumsum([len(x) // 4 for x in found], out=bounds[1:])

@@ -10,7 +10,8 @@ four bits with order-0 chances, adapted after each symbol. All arithmetic is on
 integers, so any machine decodes what another has coded.
 
 Blocks are independent, so a task codes all blocks of a chunk side by side, as
-lanes of numpy arrays.
+lanes of numpy arrays. The rows of chances are read and written whole, as entries of 32 bytes;
+the writer, which knows its ids, adapts the four rows of an id at once.
 
 File format: Parquet rows, one per chunk, which holds whole documents in
 ascending order: ``part, chunk, doc_ids, lengths, blocks (n, bytes, crc32),
@@ -65,162 +66,230 @@ STRETCH = _stretch_table(SQUASH)
 
 
 class _Lanes:
-    """Range coder for many blocks at once, 48-bit registers, 16-bit words; ``data`` is given for decoding.
+    """Range coder for many blocks at once, 48-bit registers, 24-bit words; ``data`` is given for decoding.
 
-    A lane moves a word out when its range has become small and the leading words of
-    both ends agree; should they still differ when the range is about to run out, the
-    range is cut at the border between them.
+    A lane moves a word out when its range is below 24 bits. A carry stays in the word it
+    reaches and is passed on when the blocks are finished, so reading needs no low end.
     """
 
     def __init__(self, n: int, data: list[bytes] | None, room: int):
-        self.low, self.range = np.zeros(n, np.int64), np.full(n, (1 << 48) - 1, np.int64)
-        self.decoding = data is not None
-        self.ahead = np.zeros(n, np.int64)  # decoding: distance of the code from the low end
+        self.range, self.decoding = np.full(n, 1 << 48, np.int64), data is not None
+        # the low end, or when decoding the distance of the code from it
+        self.low = np.zeros(n, np.int64)
+        if self.decoding:
+            room = max((len(d) // 3 for d in data), default=0) + 2
+        self._hold(np.zeros((n, room), np.int32))
+        self.at = self.start.copy()
         if self.decoding:
-            width = max((len(d) // 2 for d in data), default=0) + 8
-            self.words = np.zeros((n, width), np.int64)
             for k, d in enumerate(data):
-                self.words[k, : len(d) // 2] = np.frombuffer(d, "<u2")
-            self.ahead = (self.words[:, 0] << 32) | (self.words[:, 1] << 16) | self.words[:, 2]
-            self.at = np.full(n, 3, np.int64)
-        else:
-            self.words = np.zeros((n, room), np.uint16)
-            self.at = np.zeros(n, np.int64)
+                octets = np.frombuffer(d, np.uint8, len(d) // 3 * 3).reshape(-1, 3).astype(np.int32)
+                self.words[k, : len(octets)] = octets[:, 0] | (octets[:, 1] << 8) | (octets[:, 2] << 16)
+            self.low = (self.words[:, 0].astype(np.int64) << 24) | self.words[:, 1]
+            self.at += 2
+
+    def _hold(self, words: np.ndarray) -> None:
+        self.words, self.flat = words, words.reshape(-1)
+        self.start = np.arange(len(words), dtype=np.int64) * words.shape[1]
+
+    def reserve(self, codings: int) -> None:
+        """Make room for the words that so many codings on a lane can move out, and for the last two."""
+        used = self.at - self.start
+        if int(used.max(initial=0)) + codings + 2 > self.words.shape[1]:
+            self._hold(np.concatenate([self.words, np.zeros((len(used), self.words.shape[1] + codings), np.int32)], axis=1))
+            self.at = self.start + used
 
     def take(self, lanes: np.ndarray) -> list:
         """Local registers of some lanes, to be given back by :meth:`put`."""
-        return [self.low[lanes], self.range[lanes], self.ahead[lanes], lanes]
+        return [self.low.take(lanes), self.range.take(lanes), lanes]
 
     def put(self, regs: list) -> None:
-        low, width, ahead, lanes = regs
-        self.low[lanes], self.range[lanes], self.ahead[lanes] = low, width, ahead
+        low, width, lanes = regs
+        self.low[lanes] = low
+        self.range[lanes] = width
 
     def flag(self, regs: list, chance: np.ndarray, y: np.ndarray | None) -> np.ndarray:
         """One yes-or-no decision on every lane; ``chance`` of yes in 12 bits."""
-        low, width, ahead, _ = regs
+        low, width, _ = regs
         yes = (width >> 12) * chance
         if y is None:
-            y = ahead < yes
-        rest = np.where(y, 0, yes)
-        low += rest
-        ahead -= rest
-        np.copyto(width, np.where(y, yes, width - yes))
+            y = low < yes
+            low -= yes * ~y
+        else:
+            low += yes * ~y
+        regs[1] = np.where(y, yes, width - yes)
         self._move(regs)
         return y
 
-    def symbol(self, regs: list, cdf: np.ndarray, sym: np.ndarray | None) -> np.ndarray:
-        """One symbol of 16 on every lane; ``cdf`` holds the lower bounds in ``FINE`` bits."""
-        low, width, ahead, _ = regs
-        unit = width >> FINE
-        if sym is None:
-            target = np.minimum(ahead // unit, (1 << FINE) - 1).astype(np.int16)
-            sym = (cdf <= target[:, None]).sum(axis=1) - 1
-        row = np.arange(len(sym))
-        bottom = cdf[row, sym].astype(np.int64)
-        top = np.where(sym == 15, 1 << FINE, cdf[row, np.minimum(sym + 1, 15)])
-        step = unit * bottom
-        low += step
-        ahead -= step
-        np.copyto(width, unit * (top - bottom))
+    def known(self, regs: list, bottom: np.ndarray, size: np.ndarray) -> None:
+        """Write one symbol on every lane, its bounds in ``FINE`` bits."""
+        unit = regs[1] >> FINE
+        regs[0] += unit * bottom
+        regs[1] = unit * size
+        self._move(regs)
+
+    def symbol(self, regs: list, cdf: np.ndarray) -> np.ndarray:
+        """Read one symbol of 16 on every lane; ``cdf`` holds the lower bounds in ``FINE`` bits."""
+        unit = regs[1] >> FINE
+        sym = _rank(cdf, np.minimum(regs[0] // unit, (1 << FINE) - 1).astype(np.int16))
+        bottom, size = _bounds(cdf, sym)
+        regs[0] -= unit * bottom
+        regs[1] = unit * size
         self._move(regs)
         return sym
 
     def _move(self, regs: list) -> None:
-        low, width, ahead, lanes = regs
-        need = np.flatnonzero(width < 1 << 24)
-        while len(need):
-            lo, wide = low[need], width[need]
-            agree = (lo >> 32) == ((lo + wide - 1) >> 32)
-            if not agree.all():
-                cut = ~agree & (wide < 1 << 17)
-                wide = np.where(cut, (1 << 32) - (lo & 0xFFFFFFFF), wide)
-                go = agree | cut
-                need, lo, wide = need[go], lo[go], wide[go]
-            out = lanes[need]
-            at = self.at[out]
-            if self.decoding:
-                ahead[need] = (ahead[need] << 16) | self.words[out, np.minimum(at, self.words.shape[1] - 1)]
-            else:
-                if len(at) and at.max() + 8 >= self.words.shape[1]:
-                    self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
-                self.words[out, at] = lo >> 32
-            self.at[out] = at + 1
-            low[need] = (lo & 0xFFFFFFFF) << 16
-            width[need] = wide << 16
-            need = need[width[need] < 1 << 24]
+        low, width, lanes = regs
+        need = np.flatnonzero(width < 1 << 24)  # after one word a range is wide again: no chance is below 2^-14
+        if not len(need):
+            return
+        out, old = lanes.take(need), low.take(need)
+        at = self.at.take(out)
+        if self.decoding:
+            low[need] = ((old << 24) | self.flat.take(at, mode="clip")) & ((1 << 48) - 1)
+        else:
+            self.flat[at] = old >> 24
+            low[need] = (old & 0xFFFFFF) << 24
+        self.at[out] = at + 1
+        width[need] = width.take(need) << 24
 
     def finish(self) -> list[bytes]:
-        """Bytes of every lane; the last three words name the low end."""
-        out = []
-        for k, low in enumerate(self.low.tolist()):
-            last = [(low >> s) & 0xFFFF for s in (32, 16, 0)]
-            out.append(np.concatenate([self.words[k, : self.at[k]], last]).astype("<u2").tobytes())
-        return out
+        """Bytes of every lane; the last two words name the low end."""
+        self.flat[self.at] = self.low >> 24
+        self.flat[self.at + 1] = self.low & 0xFFFFFF
+        used = self.at + 2 - self.start
+        words = self.words[:, : int(used.max(initial=0))]
+        while (words >> 24).any():
+            over = words >> 24
+            words &= 0xFFFFFF
+            words[:, :-1] += over[:, 1:]
+        octets = words.astype("<u4").view(np.uint8).reshape(*words.shape, 4)[:, :, :3]
+        return [octets[k, :m].tobytes() for k, m in enumerate(used.tolist())]
+
+
+def _rank(cdf: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The last of the 16 rising bounds of each row that does not pass its target; the first bound is 0."""
+    below = np.bitwise_count((cdf <= target[:, None]).view(np.uint64))  # eight truth values to a word
+    return below[:, 0].astype(np.int64) + below[:, 1] - 1
+
+
+def _bounds(cdf: np.ndarray, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower bound and size of each row's symbol."""
+    flat, at = cdf.reshape(-1), np.arange(0, len(sym) * 16, 16) + sym
+    bottom = flat.take(at).astype(np.int64)
+    top = flat.take(at + 1, mode="clip").astype(np.int64)
+    top[sym == 15] = 1 << FINE
+    return bottom, top - bottom
 
 
 class _Flag:
-    """A binary decision whose chance is mixed from three adaptive tables by learned weights."""
-
-    def __init__(self, n: int, sizes: tuple[int, int, int]):
-        self.sizes = sizes
-        self.tables = [np.full(n * s, 1 << 13, np.int64) for s in sizes]
-        self.base = [np.arange(n) * s for s in sizes]
-        self.weights = np.full((3, n), 22000, np.int64)
-
-    def code(self, coder: _Lanes, regs, contexts, y):
-        lanes = regs[3]
-        at = [self.base[k][lanes] + contexts[k] for k in range(3)]
-        p = [self.tables[k][at[k]] for k in range(3)]
-        s = np.stack([STRETCH[x >> 4] for x in p])
-        w = self.weights[:, lanes]
-        chance = SQUASH[np.clip((w[0] * s[0] + w[1] * s[1] + w[2] * s[2]) >> 16, -2047, 2047) + 2047]
+    """A binary decision whose chance is mixed from three adaptive tables by learned weights.
+
+    The tables of a lane stand one after the other (``TABLES`` entries), and so do the three
+    weights of all lanes, so each step reads and writes them at once.
+    """
+
+    TABLES = 8 + 128 + 8
+
+    def __init__(self, n: int):
+        self.tables = np.full(n * self.TABLES, 1 << 13, np.int32)
+        self.weights = np.full(3 * n, 22000, np.int64)
+        self.rows = np.arange(3)[:, None] * n
+
+    def code(self, coder: _Lanes, regs, at: np.ndarray, y: np.ndarray | None) -> np.ndarray:
+        """``at``: the place of each lane's three chances in the tables."""
+        p, weight = self.tables.take(at), self.rows + regs[2]
+        s, w = STRETCH.take(p >> 4), self.weights.take(weight)
+        mix = w * s
+        chance = SQUASH.take(((mix[0] + mix[1] + mix[2]) >> 16) + 2047, mode="clip")
         y = coder.flag(regs, chance, y)
-        hit = y.astype(np.int64)
-        self.weights[:, lanes] = w + ((s * (((hit << 12) - chance) * 6) + 512) >> 10)
-        for k in range(3):
-            self.tables[k][at[k]] = p[k] + ((((hit << 16) - hit) - p[k]) >> 5)
+        self.weights[weight] = w + ((s * (((y.astype(np.int64) << 12) - chance) * 6) + 512) >> 10)
+        self.tables[at] = p + ((y * np.int32((1 << 16) - 1) - p) >> 5)
         return y
 
 
-def _follow(table: np.ndarray, at: np.ndarray, entry: np.ndarray, cur: np.ndarray) -> None:
-    """Update predicted ids: a kept prediction gains confidence, a wrong one loses it and then gives way."""
-    sure = entry & 7
-    same = (entry >> 3) == cur
-    kept = np.where(same, (entry & ~7) | np.minimum(sure + 1, 7), np.where(sure > 1, (entry & ~7) | (sure >> 1), (cur << 3) | 1))
-    table[at] = kept
+class _Symbols:
+    """Order-0 chances of the four symbols of an id, one row of 16 lower bounds to a context."""
+
+    ROWS = sum(1 << b for b in CONTEXT_BITS)
+    FIRST = np.cumsum([0, *(1 << b for b in CONTEXT_BITS[:-1])])
+
+    def __init__(self, n: int):
+        self.table = np.tile(EVEN, (n * self.ROWS, 1))
+        self.whole = self.table.view("V32").reshape(-1)  # a row as one entry
+
+    def _learn(self, at: np.ndarray, cdf: np.ndarray, sym: np.ndarray) -> None:
+        new = TOWARDS.take(sym, axis=0)
+        new -= cdf
+        new >>= RATE
+        new += cdf
+        self.whole.put(at, new.view("V32").reshape(-1), mode="clip")
+
+    def write(self, coder: _Lanes, regs, ids: np.ndarray) -> None:
+        """All symbols of known ids; their rows are read and adapted at once."""
+        nodes = ids >> np.array([[16], [12], [8], [4]])
+        nodes[3] = (nodes[3] ^ (nodes[3] >> 2)) & ((1 << CONTEXT_BITS[3]) - 1)
+        at = (nodes + self.FIRST[:, None] + regs[2] * self.ROWS).reshape(-1)
+        sym = ((ids >> np.array([[12], [8], [4], [0]])) & 15).reshape(-1)
+        cdf = self.table.take(at, axis=0, mode="clip")
+        bottom, size = (x.reshape(4, -1) for x in _bounds(cdf, sym))
+        self._learn(at, cdf, sym)
+        for level in range(4):
+            coder.known(regs, bottom[level], size[level])
+
+    def read(self, coder: _Lanes, regs) -> np.ndarray:
+        base, node = regs[2] * self.ROWS, 0
+        for level, bits in enumerate(CONTEXT_BITS):
+            context = node if level < 3 else (node ^ (node >> 2)) & ((1 << bits) - 1)
+            at = base + (context + self.FIRST[level])
+            cdf = self.table.take(at, axis=0, mode="clip")
+            sym = coder.symbol(regs, cdf)
+            self._learn(at, cdf, sym)
+            node = (node << 4) | sym
+        return node
+
+
+def _follow(entry: np.ndarray, sure: np.ndarray, same: np.ndarray, cur: np.ndarray) -> np.ndarray:
+    """Updated predicted ids: a kept prediction gains confidence, a wrong one loses it and then gives way."""
+    return np.where(same, entry + (sure < 7), np.where(sure > 1, entry - sure + (sure >> 1), (cur << 3) | 1))
 
 
 def _run(lengths: np.ndarray, ids: np.ndarray | None, data: list[bytes] | None):
     """Code the columns of ``ids`` (steps x lanes, lanes by falling length), or decode ``data``."""
     n, steps = len(lengths), int(lengths.max(initial=0))
-    coder = _Lanes(n, data, steps + 64)
+    coder = _Lanes(n, data, steps // 2 + 64)
     out = np.zeros((steps, n), np.uint16) if ids is None else ids
-    zero = [np.tile(EVEN, (n << b, 1)) for b in CONTEXT_BITS]
-    first = np.zeros(n << ORDER1, np.int32)
-    second = np.zeros(n << ORDER2, np.int32)
-    base1, base2 = (np.arange(n, dtype=np.int64) << b for b in (ORDER1, ORDER2))
-    by_two, by_one = _Flag(n, (8, 128, 8)), _Flag(n, (8, 128, 8))
+    symbols, by_two, by_one = _Symbols(n), _Flag(n), _Flag(n)
+    guesses = np.zeros(n * ((1 << ORDER1) + (1 << ORDER2)), np.int32)
+    first = np.arange(n, dtype=np.int64) * ((1 << ORDER1) + (1 << ORDER2))
+    second = first + (1 << ORDER1)
+    flags = np.arange(n, dtype=np.int64) * _Flag.TABLES + np.array([[0], [8], [8 + 128]])
     before, earlier = np.zeros(n, np.int64), np.zeros(n, np.int64)
     active = n - np.searchsorted(lengths[::-1], np.arange(steps), side="right")
-    every = np.arange(n)
     for t in range(steps):
         k = int(active[t])
-        lanes = every[:k]
+        before, earlier = before[:k], earlier[:k]
         cur = None if ids is None else ids[t, :k].astype(np.int64)
-        at1 = base1[:k] + ((before[:k] ^ (before[:k] >> 7)) & ((1 << ORDER1) - 1))
-        at2 = base2[:k] + (((before[:k] * 40503 + earlier[:k] * 30011) >> 3) & ((1 << ORDER2) - 1))
-        e1, e2 = first[at1], second[at2]
-        p1, p2, c1, c2 = e1 >> 3, e2 >> 3, e1 & 7, e2 & 7
-        agree = (p1 == p2).astype(np.int64)
+        if cur is not None and t % 64 == 0:
+            coder.reserve(64 * 6)  # six codings an id, each moves out a word at most
+        at = np.empty((2, k), np.int64)
+        at[0] = ((before ^ (before >> 7)) & ((1 << ORDER1) - 1)) + first[:k]
+        at[1] = (((before * 40503 + earlier * 30011) >> 3) & ((1 << ORDER2) - 1)) + second[:k]
+        entry = guesses.take(at).astype(np.int64)
+        guess, sure = entry >> 3, entry & 7
+        (p1, p2), (c1, c2) = guess, sure
+        agree = p1 == p2
+        places = np.empty((3, k), np.int64)
+        places[0], places[1], places[2] = c2, c2 * 16 + c1 * 2 + agree, c1
+        places += flags[:, :k]
         got = np.zeros(k, np.int64)
         open_ = np.ones(k, bool)
         # only lanes that have a prediction are asked whether it holds
-        for flag, guess, asked in ((by_two, p2, c2 > 0), (by_one, p1, (c1 > 0) & ((agree == 0) | (c2 == 0)))):
+        for flag, told, asked in ((by_two, p2, c2 > 0), (by_one, p1, (c1 > 0) & (~agree | (c2 == 0)))):
             some = np.flatnonzero(open_ & asked)
             if len(some):
                 regs = coder.take(some)
-                told = guess[some]
-                hit = flag.code(coder, regs, (c2[some], c2[some] * 16 + c1[some] * 2 + agree[some], c1[some]), None if cur is None else told == cur[some])
+                told = told.take(some)
+                hit = flag.code(coder, regs, places.take(some, axis=1), None if cur is None else told == cur.take(some))
                 coder.put(regs)
                 found = some[hit]
                 got[found] = told[hit]
@@ -228,24 +297,16 @@ def _run(lengths: np.ndarray, ids: np.ndarray | None, data: list[bytes] | None):
         left = np.flatnonzero(open_)
         if len(left):
             regs = coder.take(left)
-            want = None if cur is None else cur[left]
-            node = np.zeros(len(left), np.int64)
-            for level, bits in enumerate(CONTEXT_BITS):
-                context = node if level < 3 else (node ^ (node >> 2)) & ((1 << bits) - 1)
-                at = (left << bits) + context
-                cdf = zero[level][at]
-                sym = coder.symbol(regs, cdf, None if want is None else (want >> (12 - 4 * level)) & 15)
-                zero[level][at] = cdf + ((TOWARDS[sym] - cdf) >> RATE)
-                node = (node << 4) | sym
+            if cur is None:
+                got[left] = symbols.read(coder, regs)
+            else:
+                symbols.write(coder, regs, cur.take(left))
             coder.put(regs)
-            got[left] = node
-        cur = got if cur is None else cur
-        if ids is None:
+        if cur is None:
+            cur = got
             out[t, :k] = cur
-        _follow(first, at1, e1, cur)
-        _follow(second, at2, e2, cur)
-        earlier[:k] = before[:k]
-        before[:k] = cur
+        guesses[at] = _follow(entry, sure, guess == cur, cur)
+        before, earlier = cur, before
     return coder.finish() if ids is not None else out
 
 

@@ -78,6 +78,78 @@ def test_a_wrong_block_raises():
         idcoder.encode_blocks(np.array([1 << 16]))
 
 
+def test_ids_without_any_pattern_and_spoilt_blocks():
+    ids = np.random.default_rng(5).integers(0, 1 << 16, 9000).astype(np.int32)  # more words than are first held
+    blocks = idcoder.encode_blocks(ids)
+    assert (idcoder.decode_blocks(blocks) == ids).all()
+    for at in (0, 9, len(blocks[0][1]) // 2):
+        n, data, crc = blocks[0]
+        spoilt = data[:at] + bytes([data[at] ^ 0x41]) + data[at + 1 :]
+        with pytest.raises(ValueError, match="checksum"):
+            idcoder.decode_blocks([(n, spoilt, crc), *blocks[1:]])
+    with pytest.raises(ValueError, match="checksum"):
+        idcoder.decode_blocks([(n, data[: len(data) // 2], crc)])
+
+
+def test_a_carry_runs_through_full_words():
+    coder = idcoder._Lanes(2, None, 8)
+    coder.words[0, :4] = [5, 0xFFFFFF, 0xFFFFFF, 0x1000001]
+    coder.at += [4, 0]
+    coder.low += [(0x1000000 << 24) | 7, 9]
+    assert coder.finish() == [b"".join(x.to_bytes(3, "little") for x in (6, 0, 0, 2, 0, 7)), b"\0\0\0\x09\0\0"]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.sets(st.integers(1, (1 << 14) - 1), min_size=15, max_size=15), st.integers(0, (1 << 14) - 1)), min_size=1, max_size=9))
+def test_symbols_by_rank(rows):
+    cdf = np.array([[0, *sorted(bounds)] for bounds, _ in rows], np.int16)
+    sym = idcoder._rank(cdf, np.array([t for _, t in rows], np.int16))
+    assert sym.tolist() == [sum(b <= t for b in bounds) for bounds, t in rows]
+    bottom, size = idcoder._bounds(cdf, sym)
+    assert all(b <= t < b + w for b, w, (_, t) in zip(bottom, size, rows, strict=True))
+
+
+class _Counting:
+    """A tokenizer that notes the texts it is given."""
+
+    def __init__(self, tok):
+        self.tok, self.seen = tok, []
+
+    def get_vocab(self, **options):
+        return self.tok.get_vocab(**options)
+
+    def _encode(self, texts, **options):
+        self.seen += texts
+        return self.tok.encode_batch(texts, **options)
+
+    encode_batch = encode_batch_fast = _encode
+
+
+def test_words_in_use_stay_known(monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN_WORDS", 8)
+    monkeypatch.setattr(bpe, "_KNOWN", {})
+    tok = _Counting(bpe.tokenizer(PATH))
+    first = [f"wort{c}" for c in "abcdefghijkl"]
+    bpe.encode_words(tok, pa.array(first))
+    tok.seen.clear()
+    bpe.encode_words(tok, pa.array([*first[:10], "neu"]))
+    assert tok.seen == ["neu"]
+    assert set(first[10:]).isdisjoint(bpe._KNOWN[id(tok)])
+
+
+def test_words_of_plain_letters(monkeypatch):
+    monkeypatch.setattr(bpe, "_KNOWN", {})
+    letters = [chr(c) for c in range(0x41, 0x250) if bpe.PLAIN.fullmatch(chr(c))]
+    words = [w for c in letters for w in (c, f"{c}.", f"{c},", f"x{c}{c}y", f"{c}'s", f"{c}1.", f"{c}\u0307", f"{c}..")]
+    words += ["", ".", ",", "\u0130.", "\u0130x", "\u0131,", "<|endoftext|>", "<|endoftext|>.", "\u00d7", "a\u00d7."]
+    tok = _Counting(bpe.tokenizer(PATH))
+    flat, bounds = bpe.encode_words(tok, pa.array(words))
+    assert [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == _library(words)
+    tok.seen.clear()
+    bpe.encode_words(tok, pa.array(["stra\u00dfe", "Stra\u00dfe,", "stra\u00dfe."]))
+    assert tok.seen == ["stra\u00dfe"]
+
+
 def test_token_files_of_awkward_rows(spark, tmp_path):
     path = str(tmp_path / "ids")
     idcoder.write_ids(documents(spark), PATH, path)
