@@ -59,7 +59,7 @@ def tokenizer(path: str):
 # letters that stay single letters when lower-cased and composed; words of them are one match of the split pattern
 PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 
-# ids of words seen before by this process, as bytes; when there are too many, those not in use are forgotten
+# ids of words seen before by this process, as bytes; forgotten when there are too many
 _KNOWN: dict[int, dict[str, bytes]] = {}
 _PLACES: dict[int, dict[str, tuple]] = {}
 _SHAPES: dict[int, tuple] = {}
@@ -95,17 +95,18 @@ def _split_tail(word: str) -> tuple[str, str]:
     return word, ""
 
 
-def encode_words(tok, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all words one after the other, and the bounds of each word."""
+def encode_words(tok, words: pa.Array, keep: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words one after the other, and the bounds of each word; ``keep``: a full table keeps the words in use."""
     known = _KNOWN.setdefault(id(tok), {})
     split = [_split_tail(w) for w in words.to_pylist()]
     used = {w for pair in split for w in pair}
     if len(known) > KNOWN_WORDS:
-        kept = {w: known[w] for w in used if w in known}
+        kept = {w: known[w] for w in used if w in known} if keep else {}
         known.clear()
         known.update(kept)
     known[""] = b""
     fresh = [w for w in used if w not in known]
+    del used
     # plain words are one match each, so they can go to the library by the line and come back by their word ends
     plain = [w for w in fresh if PLAIN.fullmatch(w)]
     lines = [plain[k : k + LINE] for k in range(0, len(plain), LINE)]
@@ -129,10 +130,10 @@ def encode_words(tok, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(found), "<i4").astype(np.int32), bounds
 
 
-def encode_texts(tok, texts: pa.Array) -> list[np.ndarray]:
+def encode_texts(tok, texts: pa.Array, keep: bool = False) -> list[np.ndarray]:
     """Ids of every text, by its distinct white-space words."""
     table = WordTable(texts, lower=False)
-    flat, bounds = encode_words(tok, table.words)
+    flat, bounds = encode_words(tok, table.words, keep)
     counts = (bounds[1:] - bounds[:-1])[table.codes]
     ends = np.concatenate([[0], np.cumsum(counts)])
     take = np.repeat(bounds[:-1][table.codes] - ends[:-1], counts) + np.arange(ends[-1])

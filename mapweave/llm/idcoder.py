@@ -358,7 +358,7 @@ def _chunks(batches: Iterable[pa.RecordBatch], path: str, end_id: int) -> Iterat
     for batch in batches:
         for rows in text_slices(batch, limit=CHUNK_BYTES):
             texts = rows.column("text")
-            ids = encode_texts(tok, texts)
+            ids = encode_texts(tok, texts, keep=True)
             flat = np.concatenate([x for i in ids for x in (i, [end_id])]).astype(np.int32)
             blocks = encode_blocks(flat)
             yield pa.RecordBatch.from_arrays(

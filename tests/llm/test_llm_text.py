@@ -132,7 +132,7 @@ def test_words_in_use_stay_known(monkeypatch):
     first = [f"wort{c}" for c in "abcdefghijkl"]
     bpe.encode_words(tok, pa.array(first))
     tok.seen.clear()
-    bpe.encode_words(tok, pa.array([*first[:10], "neu"]))
+    bpe.encode_words(tok, pa.array([*first[:10], "neu"]), keep=True)
     assert tok.seen == ["neu"]
     assert set(first[10:]).isdisjoint(bpe._KNOWN[id(tok)])
 
