@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from mapweave.functions import geometry as G
 from mapweave.operators import measure as M
 from mapweave.schema import check_for_duplicate_columns, is_geometry
-from mapweave.session import broadcast_limit, materialize, measured_bytes, sized_broadcast
+from mapweave.session import broadcast_limit, materialize, measured_bytes, sized_broadcast, sized_join
 
 EDGE_COLS = ["x1", "y1", "x2", "y2"]
 
@@ -309,7 +309,7 @@ def _crowded(local: DataFrame, grid: Grid, level: int, max_edges: int) -> DataFr
     )
     helps = (F.coalesce("__spread", F.lit(0.0)) > 0) | F.col("__above").isNull() | (F.col("__n") < F.col("__above"))
     dense = counted.where((F.col("__n") > max_edges) & helps).select(*cells, "__n")
-    return None if dense.isEmpty() else materialize(dense, "crowded-cells")
+    return None if dense.isEmpty() else sized_join(materialize(dense, "crowded-cells"))
 
 
 def _covered_cells(e: DataFrame, grid: Grid, level: int, parents: DataFrame | None) -> DataFrame:
@@ -358,7 +358,7 @@ def cell_index(
     if first_levels is None:
         groups = {0: e}
     else:
-        first_levels = materialize(first_levels, "first-levels")
+        first_levels = sized_join(materialize(first_levels, "first-levels"))
         used = sorted(r[0] for r in first_levels.select("__first").distinct().collect())  # at most one for each level
         groups = {n: e.join(first_levels.where(F.col("__first") == n).select("__key"), "__key", "left_semi") for n in used}
     records, last = None, {}
@@ -367,7 +367,7 @@ def cell_index(
         while True:
             local = materialize(_edges_in_cells(own, grid, level, parents), "edge-cells")
             if level < base:  # every cell that the border passes through is split
-                dense = materialize(local.groupBy("__key", "__c", "__k").agg(F.count(F.lit(1)).alias("__n")), "border-cells")
+                dense = sized_join(materialize(local.groupBy("__key", "__c", "__k").agg(F.count(F.lit(1)).alias("__n")), "border-cells"))
             else:
                 dense = None if level == grid.levels - 1 else _crowded(local, grid, level, max_edges)
             rows = _records(local, _covered_cells(own, grid, level, parents), dense, level, grid).withColumn("__first", F.lit(first))
@@ -463,7 +463,7 @@ def bounded_cells(edges: DataFrame, key: str, cell_size: float, max_edges: int =
 
         local = materialize(_edges_in_cells(e, grid, level, parents), "edge-cells")
         dense = None if level == grid.levels - 1 else _crowded(local, grid, level, max_edges)
-        yield (local if dense is None else local.join(dense, ["__key", "__c", "__k"], "left_anti")), cell_of
+        yield sized_join(local, local if dense is None else local.join(dense, ["__key", "__c", "__k"], "left_anti")), cell_of
         if dense is None:
             return
         parents, level = dense, level + 1
@@ -567,7 +567,7 @@ def nested_shells(edges: DataFrame, key: str, cell_size: float = 0.01, max_edges
     A shell in a hole is an island and not reported. Only areas with several shells are looked at.
     """
     several = edges.where(~F.col("hole")).groupBy(key).agg(F.count_distinct("ring").alias("n")).where("n > 1").select(key)
-    several = materialize(several, "several-shells")
+    several = sized_join(materialize(several, "several-shells"))
     if several.isEmpty():
         return several.select(key, F.lit(0.0).alias("x"), F.lit(0.0).alias("y")).limit(0)
     rings = edges.join(several, key, "left_semi").withColumn("__ring", F.struct(_q(key).alias("k"), F.col("ring").alias("r")))
@@ -592,8 +592,9 @@ def invalid_areas(edges: DataFrame, key: str, cell_size: float = 0.01, max_edges
     smallest point (x, then y): a ring of fewer than three vertices; edges that cross, begin to run along each
     other, or rings that cross in a vertex; a ring that touches itself in a vertex; a shell in
     another. Valid areas have no row. ``n_crossings`` counts proper crossings. Rings are compared when
-    ``edges`` tells rings and holes apart.
+    ``edges`` tells rings and holes apart. Each reason reads the edges anew, so they are staged once, spread over the tasks.
     """
+    edges = materialize(edges.repartition(_q(key), "x1", "y1"), "validity-edges")
     levels = list(bounded_cells(edges, key, cell_size, max_edges))
     reason = lambda df, n, counts=0: df.select(_q(key).alias(key), "x", "y", F.lit(n).alias("reason"), F.lit(counts).alias("counts"))
     found = reason(self_intersections(edges, key, levels=levels), 1, 1).unionByName(reason(shared_stretches(edges, key, levels=levels), 1))

@@ -175,6 +175,19 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(spark.conf.get("mapweave.broadcast.maxBytes", str(DEFAULT_BROADCAST_LIMIT)))
 
 
+def sized_join(table: DataFrame, df: DataFrame | None = None) -> DataFrame:
+    """A staged ``table`` (or ``df``, made of its rows) that joins broadcast only if the rows fit Spark's own limit.
+
+    The planner holds the bytes of the compressed file against
+    ``spark.sql.autoBroadcastJoinThreshold``, but rows of cells and edges take many times as much
+    in the driver. Here they are measured (:func:`measured_bytes`); above the limit the frame gets a
+    ``merge`` hint, so both sides are shuffled, sorted and spilled where they must be.
+    """
+    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    df = table if df is None else df
+    return df if measured_bytes(table) <= limit else df.hint("merge")
+
+
 def sized_broadcast(df: DataFrame, name: str, limit_bytes: int | None = None) -> DataFrame:
     """Stage ``df`` and mark it for broadcast only if its measured rows fit.
 

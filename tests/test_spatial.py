@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +7,7 @@ from mapweave.functions import geometry as G
 from mapweave.operators import spatial as S
 from mapweave.plans import catalog
 from mapweave.plans import fixtures as FX
+from mapweave.session import measured_bytes
 
 from conftest import SF_SMALL
 
@@ -310,3 +313,29 @@ def test_area_keys_must_be_unique(spark):
     pts = spark.createDataFrame([(1, 0.5, 0.5)], "pid int, x double, y double").select("pid", G.point("x", "y").alias("pt"))
     with pytest.raises(ValueError, match="'region' is not unique"):
         S.join_point_in_area(pts, "pt", areas.unionByName(areas), "poly", area_key="region")
+
+
+def test_edges_in_cells_are_broadcast_by_their_rows_not_their_files(spark):
+    """Staged edges of many alike areas take few bytes on disk, but the rows of every cell would go to the driver."""
+    ring = [(0.0, 0.0), (8.0, 8.0), (8.0, 0.0), (0.0, 8.0), (0.0, 0.0)]
+    geom = G.polygon(F.array(*[G.vertex(F.lit(x), F.lit(y)) for x, y in ring]))
+    edges = S.area_edges(spark.range(400).select(F.col("id").alias("k"), geom.alias("g")), "g", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "600k")
+    try:
+        levels = list(S.bounded_cells(edges, "k", 1.0))
+        local = levels[0][0]
+        assert sum(os.path.getsize(f.removeprefix("file:")) for f in local.inputFiles()) < 600 << 10 < measured_bytes(local)
+        for found in (S.self_intersections(edges, "k", levels=levels), S.shared_stretches(edges, "k", levels=levels)):
+            plan = found._jdf.queryExecution().sparkPlan().toString()
+            assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert [(r.n_crossings, r.x, r.y, r["count"]) for r in S.invalid_areas(edges, "k", 1.0).groupBy("n_crossings", "x", "y").count().collect()] == [(1, 4.0, 4.0, 400)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_validity_stages_the_edges_once(spark, monkeypatch):
+    staged = []
+    keep = S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df, name="table": staged.append(name) or keep(df, name))
+    S.invalid_areas(S.area_edges(_square_with_hole(spark), "poly", "region"), "region", 1.0)
+    assert staged.count("validity-edges") == 1
