@@ -17,6 +17,7 @@ from mapweave.session import ship_package
 STEP_TESTS = 1 << 19  # tests of a vertex against an edge made at once; bounds the memory of a task
 BATCH_BYTES = 16 << 20
 _POINT = "struct<d:double,x:double,y:double>"
+MARGIN = 1e-6  # by which inner boxes are narrower than what was found free of edges, for rounding
 
 
 class Shapes:
@@ -181,16 +182,78 @@ def _measured(batch: pa.RecordBatch, g1: str, g2: str, both: bool) -> pa.RecordB
     return pa.RecordBatch.from_arrays(columns, names=[*names, *("p1", "p2")[: 2 if both else 1]])
 
 
-def measured(pairs: DataFrame, g1: str, g2: str, both: bool = False) -> DataFrame:
-    """``pairs`` without the geometries ``g1`` and ``g2``, with ``p1`` (and ``p2``): distance and the closest point on either.
+def _inner(shapes: Shapes) -> np.ndarray:
+    """(minx, miny, maxx, maxy) of a box whose points all belong to the geometry; NaN where none is known.
 
-    The point is NULL where a geometry is NULL or one has no vertices.
+    For an area that holds the middle of its box, it is that box drawn together to the middle until no edge passes through
+    it. For other geometries it is their first vertex.
     """
-    spark = pairs.sparkSession
+    n = len(shapes.v_at) - 1
+    out = np.full((4, n), np.nan)
+    rows = np.flatnonzero(np.diff(shapes.v_at) > 0)
+    out[:, rows] = shapes.v[[0, 1, 0, 1]][:, shapes.v_at[rows]]
+    rows = np.flatnonzero(shapes.areal & (np.diff(shapes.v_at) > 0) & (np.diff(shapes.s_at) > 0))
+    if not len(rows):
+        return out
+    # vertices and edges of rows without areas lie between those of the others, so every row is reduced
+    filled = np.flatnonzero(np.diff(shapes.v_at) > 0)
+    low, high = (np.full((2, n), np.nan) for _ in range(2))
+    low[:, filled], high[:, filled] = (f.reduceat(shapes.v, shapes.v_at[filled], axis=1) for f in (np.minimum, np.maximum))
+    middle, half = (low + high) / 2, (high - low) / 2
+    edged = np.flatnonzero(np.diff(shapes.s_at) > 0)
+    of = np.repeat(np.arange(n), np.diff(shapes.s_at))
+    x1, y1, x2, y2 = shapes.s
+    with np.errstate(all="ignore"):
+        cx, cy = middle[:, of]
+        left = ((y1 > cy) != (y2 > cy)) & (cx < (x2 - x1) * (cy - y1) / (y2 - y1) + x1)
+        # how far the box may grow before it meets an edge: least at an end or where the edge meets a diagonal
+        u1, v1, u2, v2 = (x1 - cx) / half[0, of], (y1 - cy) / half[1, of], (x2 - cx) / half[0, of], (y2 - cy) / half[1, of]
+        du, dv = u2 - u1, v2 - v1
+        free = np.minimum(np.maximum(np.abs(u1), np.abs(v1)), np.maximum(np.abs(u2), np.abs(v2)))
+        for t in ((v1 - u1) / (du - dv), -(u1 + v1) / (du + dv)):
+            at = np.maximum(np.abs(u1 + t * du), np.abs(v1 + t * dv))
+            free = np.where((t > 0) & (t < 1), np.fmin(free, at), free)
+        odd, room = np.zeros(n, bool), np.zeros(n)
+        odd[edged] = np.add.reduceat(left.astype(np.int64), shapes.s_at[edged]) % 2 == 1
+        room[edged] = np.minimum.reduceat(free, shapes.s_at[edged])
+        reach = half * np.minimum(room, 1.0) - MARGIN
+        good = rows[odd[rows] & (reach[:, rows] > 0).all(axis=0)]
+    out[:, good] = np.concatenate([(middle - reach)[:, good], (middle + reach)[:, good]])
+    return out
+
+
+def with_inner_box(df: DataFrame, geom: str, box: str) -> DataFrame:
+    """``df`` without the geometry ``geom``, with ``box``: a box of points that belong to it (NULL where none is known)."""
+    _small_batches(df)
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != geom)
+    sides = ("minx", "miny", "maxx", "maxy")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [n for n in batch.schema.names if n != geom]
+            found = _inner(Shapes(batch.column(geom)))
+            none = ~np.isfinite(found).all(axis=0)
+            boxes = pa.StructArray.from_arrays([pa.array(c) for c in found], names=list(sides), mask=pa.array(none))
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], boxes], names=[*names, box])
+
+    return df.mapInArrow(run, f"{kept}, `{box}` struct<{','.join(f'{s}:double' for s in sides)}>")
+
+
+def _small_batches(df: DataFrame) -> None:
+    """Ships the package and bounds the batches of a frame's tasks in bytes, unless the session does."""
+    spark = df.sparkSession
     ship_package(spark)
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key, None) in (None, str(2**31 - 1), str(2**63 - 1), "-1"):
         spark.conf.set(key, str(BATCH_BYTES))
+
+
+def measured(pairs: DataFrame, g1: str, g2: str, both: bool = False) -> DataFrame:
+    """``pairs`` without the geometries ``g1`` and ``g2``, with ``p1`` (and ``p2``): distance and the closest point on either.
+
+    The point is NULL where a geometry is NULL or one has no vertices.
+    """
+    _small_batches(pairs)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields if f.name not in (g1, g2))
     points = ", ".join(f"{p} {_POINT}" for p in ("p1", "p2")[: 2 if both else 1])
 

@@ -16,7 +16,7 @@ from mapweave.functions import geometry as G
 from mapweave.operators import measure as M
 from mapweave.operators import spatial as S
 from mapweave.schema import check_for_duplicate_columns, is_geometry
-from mapweave.session import materialize
+from mapweave.session import materialize, sized_join
 
 PIECE = 4
 FAN = 8
@@ -102,6 +102,11 @@ def pair_distances(
     are farther apart. What is left after the last round follows the stretch on which the borders are about
     nearest, not the product of their lengths.
     """
+    # read several times below: only the geometries that some pair asks for
+    left, right = (
+        materialize(df.join(sized_join(materialize(pairs.select(key).distinct(), "asked-keys")), key, "left_semi"), "asked-shapes")
+        for df, key in ((left, "lk"), (right, "rk"))
+    )
     contained = materialize(_contained(pairs, left, right), "contained-pairs")
     zero = F.struct(F.lit(0.0).alias("d"), "x", "y")
     ends = ["p1", "p2"] if second else ["p1"]
@@ -109,8 +114,7 @@ def pair_distances(
     apart = pairs.join(contained, ["lk", "rk"], "left_anti")
     sides = []
     for df, key, geom in ((left, "lk", "g1"), (right, "rk", "g2")):
-        wanted = df.join(pairs.select(key).distinct(), key, "left_semi")
-        sides.append(materialize(pieces(wanted, key, geom), "pieces"))
+        sides.append(materialize(pieces(df, key, geom), "pieces"))
     last = max(p.agg(F.max("n")).first()[0] or 0 for p in sides)
     depth = 1
     while FAN**depth <= last:

@@ -893,12 +893,28 @@ def _box_pairs(bounded: DataFrame, right: DataFrame, base: float) -> DataFrame:
     return pairs.where(here & (_box_gap("b1", "b2") <= F.col("reach"))).select("lk", "rk", "b1", "b2", "reach", *own, *more)
 
 
+def _overlapping(left: DataFrame, right: DataFrame, boxes: DataFrame, base: float, ties: Sequence[str]) -> DataFrame:
+    """(lk, known): of the right rows that surely have a point in common with a left one, the first in the order of ``ties`` (and ``rk``).
+
+    Found by boxes alone: all points of an inner box (:func:`measure.with_inner_box`) belong to the geometry, so
+    geometries with overlapping inner boxes are at distance 0. Others may be too.
+    """
+    own = M.with_inner_box(left.select("lk", "g1"), "g1", "b1").where("b1 IS NOT NULL").withColumn("reach", F.lit(0.0))
+    others = M.with_inner_box(right.join(boxes.select("rk"), "rk", "left_semi").select("rk", *ties, "g2"), "g2", "b2")
+    own = materialize(own, "inner-left")
+    others = sized_join(materialize(others.where("b2 IS NOT NULL"), "inner-right"))
+    met = _box_pairs(_spread(own, "lk"), others, base)
+    known = F.min(F.struct(*[F.col(t) for t in ties], F.col("rk"))).alias("known")
+    return sized_join(materialize(met.groupBy("lk").agg(known), "nearest-met"))
+
+
 def _nearest_pairs(left: DataFrame, right: DataFrame, radius: float, base: float, ties: Sequence[str], points: tuple[bool, bool]) -> DataFrame:
     """(lk, rk, d, x1, y1, x2, y2): the nearest right row within the radius of each left row that has one.
 
     ``left`` holds ``lk, g1, b1, n1, v1``, ``right`` holds ``rk, g2, b2, n2, v2`` (number of vertices, samples) and the tie columns. Keys and boxes
     alone are searched; geometries join the few pairs that survive. Pairs of more than
-    ``PAIR_EDGES`` vertex pairs are measured piece by piece. ``points`` asks
+    ``PAIR_EDGES`` vertex pairs are measured piece by piece, and where such come up, left rows that surely overlap a right
+    one meet only those right rows that come before it in the order of ties. ``points`` asks
     for the closest point on either side.
     """
     # of right rows in one and the same place one stands for all
@@ -913,25 +929,42 @@ def _nearest_pairs(left: DataFrame, right: DataFrame, radius: float, base: float
         rank = F.struct(gap.alias("d"), *[F.col(t) for t in ties], F.col("rk"))
         met = _candidates(left.select("lk", "b1", "v1"), boxes, radius, base).where(gap <= radius)
         return met.groupBy("lk").agg(F.min_by(F.struct("rk", *place), rank).alias("best")).select("lk", "best.*")
-    boxes = boxes.select("rk", "b2", "v2")
-    near = materialize(_candidates(left.select("lk", "b1", "v1"), boxes, radius, base), "nearest-candidates")
+    n_edges = [df.agg(F.max(n)).first()[0] or 0 for df, n in ((left, "n1"), (right, "n2"))]
+    large = n_edges[0] * n_edges[1] > PAIR_EDGES
+    # among areas of many edges, those that surely overlap are told by boxes (a closest point has to be measured)
+    met = _overlapping(left, right, boxes, base, ties) if large and not any(points) else None
+    asked = left if met is None else left.join(met.select("lk"), "lk", "left_anti")
+    near = _candidates(asked.select("lk", "b1", "v1"), boxes.select("rk", "b2", "v2"), radius, base)
+    near = materialize(near, "nearest-candidates")
     closest = near.groupBy("lk").agg(F.min(_box_reach("b1", "b2")).alias("bound"))
     kept = near.join(closest, "lk").where(_box_gap("b1", "b2") <= F.col("bound") * (1 + 1e-9) + 1e-6).select("lk", "rk", "reach")
-    n_edges = [df.agg(F.max(n)).first()[0] or 0 for df, n in ((left, "n1"), (right, "n2"))]
-    wide, tasks = None, near.count() // TASK_ROWS + 1
-    if n_edges[0] * n_edges[1] > PAIR_EDGES:
+    n_pairs = near.count()
+    if met is not None:
+        # beside a right row of distance 0 only others that come before it in the order of ties count
+        before = F.struct(*[F.col(t) for t in ties], F.col("rk")) < F.col("known")
+        bounded = left.select("lk", "b1").join(met, "lk").withColumn("reach", F.lit(M.MARGIN))
+        rivals = _box_pairs(_spread(materialize(bounded, "nearest-known"), "lk"), sized_join(materialize(boxes.drop("v2"), "nearest-boxes")), base).where(before)
+        rivals = materialize(rivals.select("lk", "rk", "reach"), "nearest-rivals")
+        kept, n_pairs = kept.unionByName(rivals), n_pairs + rivals.count()
+    wide, tasks = None, n_pairs // TASK_ROWS + 1
+    if large:
         sized = kept.join(left.select("lk", "n1"), "lk").join(right.select("rk", "n2"), "rk")
         sized = materialize(sized.select("lk", "rk", "reach", (F.col("n1") * F.col("n2") > PAIR_EDGES).alias("wide")), "nearest-sized")
         wide, kept = sized.where("wide").select("lk", "rk", "reach"), sized.where("NOT wide").select("lk", "rk")
     # the right geometry comes first, so that the left row's own shuffle is the last one before its pairs are measured
     pairs = kept.select("lk", "rk").join(right.select("rk", "g2", *ties), "rk").repartition(tasks, "lk").join(left.select("lk", "g1"), "lk")
 
+    if wide is not None and kept.isEmpty():  # nothing to join the geometries for
+        pairs = pairs.limit(0)
     measured = M.measured(pairs, "g1", "g2", points[1])
     if wide is not None:
         from mapweave.operators.pieces import pair_distances
 
         far = pair_distances(wide, left.select("lk", "g1"), right.select("rk", "g2"), radius, nearest_only=True, second=points[1])
         measured = measured.select(*far.columns, *ties).unionByName(far.join(right.select("rk", *ties), "rk"))
+    if met is not None:
+        zero = F.struct(F.lit(0.0).alias("d"), *[F.lit(None).cast("double").alias(c) for c in "xy"])
+        measured = measured.unionByName(met.select("lk", "known.rk", zero.alias("p1"), *[f"known.{t}" for t in ties]))
     shown = F.struct("rk", "p1", *(["p2"] if points[1] else []))
     rank = F.struct(F.col("p1.d").alias("d"), *[F.col(t) for t in ties], F.col("rk"))
     return measured.where(F.col("p1.d") <= radius).groupBy("lk").agg(F.min_by(shown, rank).alias("best")).select("lk", "best.*")

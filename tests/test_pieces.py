@@ -128,3 +128,29 @@ def test_nearest_join_of_large_shapes_equals_small_path(spark, monkeypatch):
         out = S.join_nearest_geometry(left, right, "p", "q", plane, plane, plane, max_meter=15.0, tie_breaker=["b"], join_type="fullouter")
         results.append(sorted((str(r.a), str(r.b), r.distance and round(r.distance, 9)) for r in out.collect()))
     assert results[0] == results[1]
+
+
+def _round_areas(spark, n, step, key, shift, edges=72):
+    """``n`` x ``n`` discs of ``edges`` edges, ``step`` apart; every fifth is a C that does not hold the middle of its box."""
+    at = [(math.cos(2 * math.pi * i / edges), math.sin(2 * math.pi * i / edges)) for i in range(edges)]
+    thin = [(x, y) for x, y in at if x < 0.5] + [(0.9 * x, 0.9 * y) for x, y in reversed(at) if x < 0.5]
+    rows = []
+    for i in range(n * n):
+        cx, cy = shift + step * (i // n), shift + step * (i % n)
+        ring = [(cx + 10 * x, cy + 10 * y) for x, y in (thin if i % 5 == 0 else at)]
+        rows.append((i, [[[*ring, ring[0]]]]))
+    df = spark.createDataFrame(rows, f"{key} int, parts array<array<array<struct<x:double,y:double>>>>")
+    return df.select(key, F.struct(F.lit("Polygon").alias("kind"), "parts").alias(f"g_{key}"))
+
+
+def test_overlapping_large_areas_do_not_measure_every_pair(spark, monkeypatch):
+    """Of all the areas that cover a left one, only those are measured that may come first."""
+    left, right = _round_areas(spark, 8, 1.0, "a", 0.0), _round_areas(spark, 8, 1.0, "b", 0.3)
+    measured, keep = [], S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df, name="table": measured.append((name, t := keep(df, name))) or t)
+    out = S.join_nearest_geometry(left, right, "g_a", "g_b", *["epsg:25832"] * 3, max_meter=50.0, tie_breaker=["b"], key_columns=["a"])
+    got = {r.a: (r.b, r.distance) for r in out.collect()}
+    assert [df.count() for name, df in measured if name == "nearest-sized"][0] < 64 * 64 / 4
+    pairs = left.crossJoin(right).select("a", "b", G.distance("g_a", "g_b").alias("d")).collect()
+    best = {a: min((r.d, r.b) for r in pairs if r.a == a) for a in got}
+    assert len(got) == 64 and got == {a: (b, d) for a, (d, b) in best.items()}
